@@ -26,23 +26,28 @@ def _ratio(threshold: float) -> float:
 
 
 def similar_values(left: DataFrame, right: DataFrame, threshold: float,
-                   lcol: str = "value", rcol: str = "value") -> DataFrame:
-    """Distinct value pairs (left_value, right_value, jw) with jw >= threshold."""
+                   lcol: str = "value", rcol: str = "value", keys: list[str] | None = None) -> DataFrame:
+    """Distinct value pairs (keys..., left_value, right_value, jw) with jw >= threshold.
+
+    ``keys`` restricts the search to values sharing the key columns (a block).
+    """
+    keys = keys or []
     r = _ratio(threshold)
-    lv = (left.select(F.col(lcol).alias("left_value")).where(F.col("left_value").isNotNull()).distinct()
+    lv = (left.select(*keys, F.col(lcol).alias("left_value")).where(F.col("left_value").isNotNull()).distinct()
           .withColumn("l_len", F.length("left_value"))
           .where(F.col("l_len") > 0)
           .withColumn("l_tags", tagged_chars("left_value"))
           .withColumn("partner_len", F.explode(F.sequence(
               F.greatest(F.lit(1), F.ceil(F.col("l_len") * F.lit(r) - F.lit(1e-9)).cast("int")),
               F.floor(F.col("l_len") / F.lit(r) + F.lit(1e-9)).cast("int")))))
-    rv = (right.select(F.col(rcol).alias("right_value")).where(F.col("right_value").isNotNull()).distinct()
+    rv = (right.select(*keys, F.col(rcol).alias("right_value")).where(F.col("right_value").isNotNull()).distinct()
           .withColumn("r_len", F.length("right_value"))
           .where(F.col("r_len") > 0)
           .withColumn("r_tags", tagged_chars("right_value")))
-    pairs = lv.join(rv, lv.partner_len == rv.r_len)
+    rv = rv.withColumn("partner_len", F.col("r_len"))
+    pairs = lv.join(rv, [*keys, "partner_len"])
     bound = jw_upper_bound(F.col("l_len"), F.col("r_len"), F.size(F.array_intersect("l_tags", "r_tags")))
-    cand = pairs.where(bound >= F.lit(threshold - 1e-9)).select("left_value", "right_value")
+    cand = pairs.where(bound >= F.lit(threshold - 1e-9)).select(*keys, "left_value", "right_value")
     scored = cand.withColumn(
         "jw", F.when(F.col("left_value") == F.col("right_value"), F.lit(1.0))
         .otherwise(jaro_winkler("left_value", "right_value")))

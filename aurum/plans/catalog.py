@@ -42,8 +42,8 @@ def full_sql(body: str) -> str:
     ``SELECT``) with the derived-source CTEs."""
     body = body.strip()
     if body.upper().startswith("SELECT"):
-        return "WITH " + source_ctes() + "\n" + body
-    return "WITH " + source_ctes() + ",\n" + body
+        return "WITH RECURSIVE " + source_ctes() + "\n" + body
+    return "WITH RECURSIVE " + source_ctes() + ",\n" + body
 
 
 def load_all() -> dict[str, Entry]:

@@ -1 +1,394 @@
-"""placeholder"""
+"""Pairwise rule set (bulk V2): blocked pair scoring, clusters, survivorship,
+quality, addresses, history, cross-reference and serving.
+
+Blocking semantics. With the pairwise rules a blocked pair matches (total >=
+0.70) exactly when the ids are equal (>= 0.98), the last 8 phone digits are
+equal (0.95) or the full-name Jaro-Winkler is >= 0.85 (>= 0.7225); every
+other blocked pair scores at most 0.10. So the match graph is
+
+* ``parity`` blocks (id, or soundex(last)+birth year): cliques on (org, id)
+  and (org, soundex, year, phone8), plus name similarity inside (org,
+  soundex, year);
+* ``extended`` blocks (adds soundex-only and phone blocks): cliques on
+  (org, id) and (org, phone8), plus name similarity inside (org, soundex).
+
+Cliques stay groups (:mod:`aurum.operators.graph`), name similarity runs on
+distinct names per block (:mod:`aurum.operators.fuzzy`). Unmerge overrides
+remove single pairs: only the nodes they name get explicit neighbour lists.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from aurum import rules
+from aurum.functions import digits, row_hash
+from aurum.operators import graph
+from aurum.operators.fuzzy import similar_values
+from aurum.operators.harmonise import enrich_v2, union_addresses, union_customers_v2
+from aurum.operators.quality import address_rules, customer_rules_bulk, score_quality
+from aurum.operators.scoring import pairwise_rules, pairwise_total
+from aurum.operators.survivorship import Rule, desc_date, survive
+from aurum.plans import inputs
+
+NODE_ATTRS = ["ssn", "first_name", "last_name", "birth_date", "canonical_first_name", "phone", "email"]
+
+
+def enriched(spark: SparkSession, sf_dir: str, canonical: str = "initcap") -> DataFrame:
+    u = union_customers_v2(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir))
+    return enrich_v2(u, canonical)
+
+
+def node_id(org="organization", src="source_system", key="source_key") -> Column:
+    return F.concat_ws("|", F.col(org), F.col(src), F.col(key))
+
+
+def base_rows(enr: DataFrame) -> DataFrame:
+    """Distinct matching rows per node (a node = org|system|key; updates add rows)."""
+    d = digits("phone")
+    return (enr.select("organization", "source_system", "source_key", *NODE_ATTRS).distinct()
+            .withColumn("node", node_id())
+            .withColumn("sdx", F.soundex("last_name"))
+            .withColumn("year", F.substring(F.col("birth_date").cast("string"), 1, 4))
+            .withColumn("ph8", F.when(F.col("phone").isNotNull() & (F.length(d) >= 8), F.substring(d, -8, 8)))
+            .withColumn("full", F.when(F.col("canonical_first_name").isNotNull() & F.col("last_name").isNotNull(),
+                                       F.concat("canonical_first_name", F.lit(" "), "last_name"))))
+
+
+def _k(*cols) -> Column:
+    return F.concat_ws("|", *[F.col(c) for c in cols])
+
+
+def memberships(rows: DataFrame, blocks: str) -> tuple[DataFrame, DataFrame]:
+    """(clique memberships (gid, node), name nodes (nblock, full, gid, node))."""
+    s = rows.where(F.col("ssn").isNotNull()).select(F.concat(F.lit("S|"), _k("organization", "ssn")).alias("gid"), "node")
+    if blocks == "parity":
+        p = rows.where(F.col("sdx").isNotNull() & F.col("year").isNotNull() & F.col("ph8").isNotNull()) \
+            .select(F.concat(F.lit("P|"), _k("organization", "sdx", "year", "ph8")).alias("gid"), "node")
+        nb = rows.where(F.col("sdx").isNotNull() & F.col("year").isNotNull()).withColumn("nblock", _k("organization", "sdx", "year"))
+    else:
+        p = rows.where(F.col("ph8").isNotNull()).select(F.concat(F.lit("P|"), _k("organization", "ph8")).alias("gid"), "node")
+        nb = rows.where(F.col("sdx").isNotNull()).withColumn("nblock", _k("organization", "sdx"))
+    names = nb.where(F.col("full").isNotNull()).select(
+        "nblock", "full", F.concat(F.lit("N|"), _k("nblock", "full")).alias("gid"), "node")
+    return s.unionByName(p), names
+
+
+def name_links(names: DataFrame) -> DataFrame:
+    """(gid, gid2) for distinct names of one block with full-name JW >= 0.85."""
+    nv = names.select("nblock", F.col("full").alias("value")).distinct()
+    sim = similar_values(nv, nv, 0.85, keys=["nblock"]).where(F.col("left_value") != F.col("right_value"))
+    return sim.select(F.concat(F.lit("N|"), F.concat_ws("|", "nblock", "left_value")).alias("gid"),
+                      F.concat(F.lit("N|"), F.concat_ws("|", "nblock", "right_value")).alias("gid2"))
+
+
+def _override_keys(ov: DataFrame) -> DataFrame:
+    return ov.select(F.least("source_key_a", "source_key_b").alias("k1"), F.greatest("source_key_a", "source_key_b").alias("k2")).distinct()
+
+
+def _node_key(c: str) -> Column:
+    # node = org|system|key ; the key itself may not contain '|' in the fixtures, take the rest
+    return F.regexp_extract(F.col(c), r"^[^|]*\|[^|]*\|(.*)$", 1)
+
+
+class MatchGraph:
+    """Compressed match graph of one rule-set configuration."""
+
+    def __init__(self, enr: DataFrame, blocks: str = "parity", overrides: DataFrame | None = None):
+        self.rows = base_rows(enr)
+        self.nodes = self.rows.select("node", "organization", "source_system", "source_key", "ssn").dropDuplicates(["node"])
+        cliques, names = memberships(self.rows, blocks)
+        self.links = name_links(names)
+        self.members = cliques.unionByName(names.select("gid", "node")).distinct()
+        self.overrides = overrides
+        if overrides is not None:
+            ok = _override_keys(overrides)
+            keys = ok.select(F.col("k1").alias("k")).unionByName(ok.select(F.col("k2").alias("k"))).distinct()
+            self.endpoints = self.nodes.join(keys, self.nodes.source_key == keys.k, "left_semi").select("node")
+            self.okeys = ok
+        else:
+            self.endpoints = None
+
+    # -- explicit neighbourhoods of override endpoints -------------------------------------------
+    def _endpoint_pairs(self) -> DataFrame:
+        ep_m = self.members.join(self.endpoints, "node", "left_semi")
+        direct = ep_m.join(self.members.withColumnRenamed("node", "other"), "gid")
+        via = ep_m.join(self.links, "gid").select(F.col("gid2").alias("gid"), "node") \
+            .join(self.members.withColumnRenamed("node", "other"), "gid")
+        pairs = direct.select("node", "other").unionByName(via.select("node", "other")) \
+            .where(F.col("node") != F.col("other")).distinct()
+        ka, kb = _node_key("node"), _node_key("other")
+        pk = pairs.withColumn("k1", F.least(ka, kb)).withColumn("k2", F.greatest(ka, kb))
+        return pk.join(self.okeys, ["k1", "k2"], "left_anti").select("node", "other")
+
+    def one_hop(self) -> DataFrame:
+        """(node, cluster_id, best_neighbor): min of the closed neighbourhood, and
+        the smallest neighbour other than the node itself (NULL = singleton)."""
+        gm = graph.group_minima(self.members)
+        own = self.members.join(gm, "gid")
+        via = self.members.join(self.links, "gid").join(gm.withColumnRenamed("gid", "gid2"), "gid2")
+        cand = own.select("node", "min1", "min2").unionByName(via.select("node", "min1", "min2"))
+        other = F.when(F.col("min1") != F.col("node"), F.col("min1")).otherwise(F.col("min2"))
+        agg = cand.groupBy("node").agg(F.min(other).alias("best_neighbor"))
+        if self.endpoints is not None:
+            agg = agg.join(self.endpoints, "node", "left_anti")
+            ep = self._endpoint_pairs().groupBy("node").agg(F.min("other").alias("best_neighbor"))
+            agg = agg.unionByName(ep)
+        out = self.nodes.select("node").join(agg, "node", "left")
+        return out.withColumn("cluster_id", F.least(F.col("node"), F.coalesce("best_neighbor", "node")))
+
+    def edges(self) -> DataFrame:
+        """Edge list with the same connectivity as the full match graph (stars + links)."""
+        m = self.members
+        if self.endpoints is not None:
+            m = m.join(self.endpoints, "node", "left_anti")
+        stars = graph.star_edges(m)
+        reps = m.groupBy("gid").agg(F.min("node").alias("rep"))
+        links = self.links.join(reps, "gid").join(reps.select(F.col("gid").alias("gid2"), F.col("rep").alias("rep2")), "gid2") \
+            .select(F.col("rep").alias("src"), F.col("rep2").alias("dst"))
+        e = stars.unionByName(links)
+        if self.endpoints is not None:
+            e = e.unionByName(self._endpoint_pairs().select(F.col("node").alias("src"), F.col("other").alias("dst")))
+        return e
+
+    def components(self) -> DataFrame:
+        return graph.connected_components(self.nodes.select("node"), self.edges()) \
+            .withColumnRenamed("component", "cluster_id")
+
+    def edge_scores(self, pairs: DataFrame) -> DataFrame:
+        """Score node pairs (node, other) over their rows; best row pair per node pair."""
+        r = self.rows.select("node", *NODE_ATTRS)
+        a = r.select(*[F.col(c).alias(c + "_a") for c in r.columns])
+        b = r.select(*[F.col(c).alias(c + "_b") for c in r.columns])
+        p = pairs.join(a, pairs.node == a.node_a).join(b, pairs.other == b.node_b)
+        s = pairwise_rules()
+        total, mtype = pairwise_total()
+        p = p.select("node", "other", *[v.alias(k) for k, v in s.items()]).withColumn("total_score", total).withColumn("match_type", mtype)
+        return p.groupBy("node", "other").agg(
+            F.min_by(F.struct(*s.keys(), "total_score", "match_type"),
+                     F.struct(-F.col("total_score"), F.col("match_type"))).alias("b")) \
+            .select("node", "other", "b.*")
+
+
+def clusters(g: MatchGraph, mode: str = "one_hop") -> DataFrame:
+    """Per node: cluster id, match type / score of its best-neighbour edge, status (CL-01..05)."""
+    oh = g.one_hop()
+    if mode == "transitive":
+        oh = oh.drop("cluster_id").join(g.components(), "node")
+    sc = g.edge_scores(oh.where(F.col("best_neighbor").isNotNull()).select("node", F.col("best_neighbor").alias("other")))
+    out = (g.nodes.join(oh, "node").join(sc.select("node", "match_type", "total_score"), "node", "left")
+           .select("source_system", "source_key", "organization", "cluster_id", "ssn",
+                   F.coalesce("match_type", F.lit("SINGLETON")).alias("match_type"),
+                   F.round("total_score", 6).alias("match_score")))
+    return out.withColumn("match_status", F.when((F.col("match_type") == "SINGLETON") & F.col("ssn").isNull(), "STEWARD_QUEUE")
+                          .otherwise("MATCHED")).drop("ssn")
+
+
+# ------------------------------------------------------------------------------------ golden
+
+def _priority(col_src: str, org: str, table: dict) -> Column:
+    return F.coalesce(*[F.when(F.col(col_src) == k, F.lit(v)) for k, v in table.items()], F.lit(3))
+
+
+def source_priority() -> Column:
+    return F.when(F.col("organization") == "BANK", _priority("source_system", "BANK", rules.PRIORITY_BANK)) \
+        .otherwise(_priority("source_system", "INS", rules.PRIORITY_INS))
+
+
+def citizenship_priority() -> Column:
+    return F.when(F.col("organization") == "BANK", _priority("source_system", "BANK", rules.CITIZENSHIP_PRIORITY_BANK)) \
+        .otherwise(_priority("source_system", "INS", rules.CITIZENSHIP_PRIORITY_INS))
+
+
+def golden_rules(prio: Column, cprio: Column) -> list[Rule]:
+    tie = [desc_date("record_date"), F.col("source_system"), F.col("source_key"), F.col("_source_file")]
+
+    def r(name, valid, p=prio):
+        return Rule(name, F.col(name), [p, *tie], valid, fallback=True)
+
+    return [
+        r("ssn", F.col("ssn").isNotNull()),
+        r("first_name", F.length(F.trim(F.coalesce("first_name", F.lit("")))) > 1),
+        r("last_name", F.length(F.trim(F.coalesce("last_name", F.lit("")))) > 1),
+        r("birth_date", F.col("birth_date").isNotNull()),
+        r("citizenship", F.col("citizenship").isNotNull(), cprio),
+        r("phone", F.col("phone").isNotNull() & (F.length(digits("phone")) >= 8)),
+        r("email", F.col("email").like("%@%")),
+    ]
+
+
+def golden(enr: DataFrame, cl: DataFrame) -> DataFrame:
+    """Survivorship per (cluster, org), one aggregation (GD-02), then quality (DQ-*)."""
+    grouped = enr.join(cl.select("source_system", "source_key", "organization", "cluster_id"),
+                       ["source_system", "source_key", "organization"]) \
+        .withColumn("_prio", source_priority()).withColumn("_cprio", citizenship_priority())
+    tie = [desc_date("record_date"), F.col("source_system"), F.col("source_key"), F.col("_source_file")]
+    g = survive(grouped, ["cluster_id", "organization"], golden_rules(F.col("_prio"), F.col("_cprio")), [
+        F.min_by("record_date", F.struct(F.col("_prio"), *tie)).alias("record_date"),
+        F.size(F.collect_set("source_system")).cast("long").alias("source_count"),
+        F.max(F.col("is_fake_name").cast("int")).cast("boolean").alias("is_fake_name"),
+        F.max(F.col("ssn_valid").cast("int")).cast("boolean").alias("ssn_valid"),
+    ])
+    g = score_quality(g, customer_rules_bulk(), fired="dq_fired_rules")
+    return g.select("cluster_id", "organization", "ssn", "first_name", "last_name", "birth_date", "citizenship",
+                    "phone", "email", "record_date", "source_count", "is_fake_name", "ssn_valid", "dq_score", "dq_fired_rules")
+
+
+GOLDEN_OUT = ["cluster_id", "organization", "ssn", "first_name", "last_name", "birth_date", "citizenship",
+              "phone", "email", "record_date", "source_count", "dq_score"]
+TRACKED_V2 = ["ssn", "first_name", "last_name", "birth_date", "citizenship", "phone", "email", "dq_score"]
+
+
+def history(enr: DataFrame, cl: DataFrame) -> DataFrame:
+    """SCD2 of golden versions at every file date (HS-04 semantics on HS-01/02 snapshots, R5)."""
+    grouped = enr.join(cl.select("source_system", "source_key", "organization", "cluster_id"),
+                       ["source_system", "source_key", "organization"]) \
+        .withColumn("_prio", source_priority()).withColumn("_cprio", citizenship_priority())
+    key = ["cluster_id", "organization"]
+    tie = [desc_date("record_date"), F.col("source_system"), F.col("source_key"), F.col("_source_file")]
+    rl = golden_rules(F.col("_prio"), F.col("_cprio"))
+
+    def st(r: Rule) -> Column:
+        inv = F.when(r.valid, F.lit(0)).otherwise(F.lit(1))
+        return F.min(F.struct(inv.alias("i"), *[k.alias(f"k{i}") for i, k in enumerate(r.order)], r.value.alias("v"))).alias(r.output)
+
+    per_date = grouped.groupBy(*key, "record_date").agg(
+        *[st(r) for r in rl],
+        F.min(F.struct(F.col("_prio"), *tie)).alias("_q"),
+        F.max(F.col("is_fake_name").cast("int")).alias("_fake"), F.max(F.col("ssn_valid").cast("int")).alias("_sv"))
+    first_seen = grouped.groupBy(*key, "source_system").agg(F.min("record_date").alias("record_date")) \
+        .groupBy(*key, "record_date").agg(F.count("*").alias("new_sources"))
+    w = Window.partitionBy(*key).orderBy("record_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    snap = per_date.join(first_seen, key + ["record_date"], "left").select(
+        *key, F.col("record_date").alias("snapshot_date"),
+        *[F.min(r.output).over(w)["v"].alias(r.output) for r in rl],
+        F.sum(F.coalesce("new_sources", F.lit(0))).over(w).cast("long").alias("source_count"),
+        (F.max("_fake").over(w) == 1).alias("is_fake_name"), (F.max("_sv").over(w) == 1).alias("ssn_valid"))
+    snap = score_quality(snap, customer_rules_bulk())
+    from aurum.plans.ssn_first import scd2
+    return scd2(snap, key, "snapshot_date", TRACKED_V2, "|").select(
+        *key, "ssn", "first_name", "last_name", "birth_date", "citizenship", "phone", "email", "dq_score",
+        "source_count", "valid_from", "valid_to", "is_valid", "row_hash")
+
+
+# ------------------------------------------------------------------------------------ addresses
+
+def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return union_addresses(inputs.addresses(spark, sf_dir, "FREG"), inputs.addresses(spark, sf_dir, "BS"),
+                           inputs.addresses(spark, sf_dir, "NICE"))
+
+
+def address_groups(addr: DataFrame, cl: DataFrame) -> DataFrame:
+    """Address -> customer cluster on (system, customer key, org) (JN-09)."""
+    c = cl.select("source_system", F.col("source_key").alias("source_customer_key"), "organization", "cluster_id")
+    return addr.join(c, ["source_system", "source_customer_key", "organization"]) \
+        .select("cluster_id", "organization", "source_system", "source_key", "source_customer_key") \
+        .distinct().withColumn("address_id", node_id())
+
+
+def address_golden(addr: DataFrame, cl: DataFrame) -> DataFrame:
+    """Golden address per (cluster, org) with address quality (GD-05, DQ-011..N02)."""
+    c = cl.select("source_system", F.col("source_key").alias("source_customer_key"), "organization", "cluster_id")
+    g = addr.join(c, ["source_system", "source_customer_key", "organization"]) \
+        .withColumn("_prio", F.coalesce(*[F.when(F.col("source_system") == k, F.lit(v)) for k, v in rules.ADDRESS_PRIORITY.items()], F.lit(3)))
+    tie = [desc_date("file_date"), F.col("source_system"), F.col("source_key"), F.col("_source_file")]
+    pr = F.col("_prio")
+    out = survive(g, ["cluster_id", "organization"], [
+        Rule("gate", F.col("gate"), [pr, *tie], F.length(F.trim(F.coalesce("gate", F.lit("")))) >= 3, fallback=True),
+        Rule("postnummer", F.col("postnummer"), [pr, *tie], F.col("postnummer").isNotNull(), fallback=True),
+        Rule("by", F.col("by"), [pr, *tie], F.col("by").isNotNull(), fallback=True),
+        Rule("land", F.col("land"), [F.when(F.col("land").isNotNull(), pr).otherwise(F.lit(99)), *tie], None, fallback=True),
+    ], [F.max("file_date").alias("last_updated"), F.count("*").cast("long").alias("source_rows")])
+    out = score_quality(out, address_rules(), fired="dq_fired_rules")
+    return out.select("cluster_id", "organization", F.lit("PRIMARY").alias("address_type"), "gate", "postnummer", "by",
+                      "land", F.lit(True).alias("is_primary"), "last_updated", "dq_score", "dq_fired_rules")
+
+
+def address_history(addr: DataFrame, cl: DataFrame) -> DataFrame:
+    """Address SCD2 from snapshots at every file date (HS-05)."""
+    c = cl.select("source_system", F.col("source_key").alias("source_customer_key"), "organization", "cluster_id")
+    g = addr.join(c, ["source_system", "source_customer_key", "organization"]) \
+        .withColumn("_prio", F.coalesce(*[F.when(F.col("source_system") == k, F.lit(v)) for k, v in rules.ADDRESS_PRIORITY.items()], F.lit(3)))
+    key = ["cluster_id", "organization"]
+    tie = [desc_date("file_date"), F.col("source_system"), F.col("source_key"), F.col("_source_file")]
+
+    def st(name, valid, first):
+        inv = F.when(valid, F.lit(0)).otherwise(F.lit(1)) if valid is not None else F.lit(0)
+        return F.min(F.struct(inv.alias("i"), first.alias("p"), *[k.alias(f"k{i}") for i, k in enumerate(tie)], F.col(name).alias("v"))).alias(name)
+
+    per_date = g.groupBy(*key, "file_date").agg(
+        st("gate", F.length(F.trim(F.coalesce("gate", F.lit("")))) >= 3, F.col("_prio")),
+        st("postnummer", F.col("postnummer").isNotNull(), F.col("_prio")),
+        st("by", F.col("by").isNotNull(), F.col("_prio")),
+        st("land", None, F.when(F.col("land").isNotNull(), F.col("_prio")).otherwise(F.lit(99))))
+    w = Window.partitionBy(*key).orderBy("file_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    snap = per_date.select(*key, F.col("file_date").alias("snapshot_date"),
+                           *[F.min(c).over(w)["v"].alias(c) for c in ["gate", "postnummer", "by", "land"]])
+    snap = score_quality(snap, address_rules()).withColumn("address_type", F.lit("PRIMARY")).withColumn("is_primary", F.lit(True))
+    from aurum.plans.ssn_first import scd2
+    tracked = ["address_type", "gate", "postnummer", "by", "land", "is_primary", "dq_score"]
+    return scd2(snap, key, "snapshot_date", tracked, "|").select(
+        *key, "address_type", "gate", "postnummer", "by", "land", "is_primary", "dq_score",
+        "valid_from", "valid_to", "is_valid", "row_hash")
+
+
+__all__ = ["enriched", "MatchGraph", "clusters", "golden", "history", "addresses", "address_groups",
+           "address_golden", "address_history", "row_hash"]
+
+
+# ------------------------------------------------------------------------------------ queries
+
+from aurum.plans import pairwise_sql as PS  # noqa: E402
+from aurum.plans.catalog import register  # noqa: E402
+from aurum.plans.sqlfrag import dq_address_terms, dq_bulk_terms, dq_fired, dq_score, tier  # noqa: E402,F401
+
+
+def _graph(spark, sf_dir, blocks):
+    enr = enriched(spark, sf_dir)
+    return enr, MatchGraph(enr, blocks, inputs.overrides(spark, sf_dir))
+
+
+def clusters_for(spark, sf_dir, blocks="extended", mode="transitive"):
+    enr, g = _graph(spark, sf_dir, blocks)
+    return enr, clusters(g, mode)
+
+
+CL_COLS = ["source_system", "source_key", "organization", "cluster_id", "match_type", "match_score", "match_status"]
+SQL_CL_ONEHOP = PS.clusters("parity", "one_hop") + "\nSELECT * FROM v2_clusters"
+SQL_CL_TRANS = PS.clusters("extended", "transitive") + "\nSELECT * FROM v2_clusters"
+
+
+@register("cluster_one_hop", SQL_CL_ONEHOP, "CL-01, CL-04, CL-05, BLK-01, BLK-02, BLK-07, SC-01..06, JN-04")
+def q_cluster_one_hop(spark, sf_dir):
+    return clusters_for(spark, sf_dir, "parity", "one_hop")[1].select(*CL_COLS)
+
+
+@register("cluster_transitive", SQL_CL_TRANS, "CL-02, CL-08, BLK-03, BLK-05, R6")
+def q_cluster_transitive(spark, sf_dir):
+    return clusters_for(spark, sf_dir, "extended", "transitive")[1].select(*CL_COLS)
+
+
+GOLD_SQL = PS.clusters("extended", "transitive") + PS.golden()
+
+
+@register("golden_v2", GOLD_SQL + "\nSELECT cluster_id, organization, ssn, first_name, last_name, birth_date, citizenship, "
+          "phone, email, record_date, source_count, dq_score FROM v2_golden", "GD-02, WN-02, WN-03, AG-01, AG-02, DQ-001..X03")
+def q_golden_v2(spark, sf_dir):
+    enr, cl = clusters_for(spark, sf_dir)
+    return golden(enr, cl).select(*GOLDEN_OUT)
+
+
+@register("dq_fired_rules", GOLD_SQL + "\nSELECT cluster_id, organization, dq_score, dq_fired_rules FROM v2_golden", "DQ-ENG")
+def q_dq_fired(spark, sf_dir):
+    enr, cl = clusters_for(spark, sf_dir)
+    return golden(enr, cl).select("cluster_id", "organization", "dq_score", "dq_fired_rules")
+
+
+ADDR_SQL = PS.clusters("extended", "transitive") + PS.address_golden()
+
+
+@register("address_golden", ADDR_SQL + "\nSELECT * FROM a2_golden", "GD-05, GD-07, PRJ-03, JN-09, DQ-011..N02")
+def q_address_golden(spark, sf_dir):
+    enr, cl = clusters_for(spark, sf_dir)
+    return address_golden(addresses(spark, sf_dir), cl)

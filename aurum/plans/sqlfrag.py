@@ -61,3 +61,75 @@ def row_hash(cols, sep: str) -> str:
 def tier(c: str) -> str:
     parts = " ".join(f"WHEN {c} >= {b} THEN '{label}'" for b, label in rules.DQ_TIERS)
     return f"(CASE {parts} ELSE '{rules.DQ_TIER_FLOOR}' END)"
+
+
+def s(v: str) -> str:
+    """SQL string literal."""
+    return "'" + v.replace("'", "''") + "'"
+
+
+def dq_bulk_terms(prefix: str = "") -> list[tuple[str, str, int]]:
+    """(rule id, predicate, points) of the bulk customer rules, SQL twin of
+    :func:`aurum.operators.quality.customer_rules_bulk`."""
+    p = prefix
+    email, fn, ln, ph = f"{p}email", f"{p}first_name", f"{p}last_name", f"{p}phone"
+    dom = "|".join(d.replace(".", r"\.") for d in rules.DISPOSABLE_DOMAINS_BULK)
+    ok = lambda c: f"({c} IS NOT NULL AND length(trim({c})) > 1)"
+    ph_list = ", ".join(s(x) for x in rules.PLACEHOLDER_PHONES_BULK)
+    return [
+        ("DQ-001", f"({email} IS NULL OR NOT regexp_matches({email}, {s(rules.EMAIL_PATTERN)}))", -20),
+        ("DQ-002", f"({email} IS NOT NULL AND regexp_matches(lower({email}), {s('@(' + dom + ')$')}))", -5),
+        ("DQ-003", f"(NOT {ok(fn)})", -20),
+        ("DQ-004", f"({ok(fn)} AND NOT regexp_matches({fn}, {s(rules.NAME_PATTERN_BULK)}))", -5),
+        ("DQ-005", f"(NOT {ok(ln)})", -20),
+        ("DQ-006", f"({ok(ln)} AND NOT regexp_matches({ln}, {s(rules.NAME_PATTERN_BULK)}))", -5),
+        ("DQ-N01", f"({ph} IS NOT NULL AND NOT regexp_matches(regexp_replace({ph}, '[^0-9+]', '', 'g'), {s(rules.PHONE_PATTERN_NO)}))", -5),
+        ("DQ-008", f"({ph} IS NOT NULL AND regexp_replace({ph}, '[^0-9]', '', 'g') IN ({ph_list}))", -20),
+        ("DQ-N03", f"({p}ssn IS NOT NULL AND NOT {p}ssn_valid)", -20),
+        ("DQ-AI01", f"({p}is_fake_name)", -20),
+        ("DQ-X03", f"({ok(fn)} AND {email} IS NOT NULL AND strpos(lower({email}), lower(trim({fn}))) > 0)", 5),
+    ]
+
+
+def dq_stream_terms(prefix: str = "") -> list[tuple[str, str, int]]:
+    p = prefix
+    email, fn, ln, ph = f"{p}email", f"{p}first_name", f"{p}last_name", f"{p}phone"
+    ok = lambda c: f"({c} IS NOT NULL AND length(trim({c})) > 1)"
+    valid_email = f"COALESCE({email} IS NOT NULL AND regexp_matches({email}, {s(rules.EMAIL_PATTERN)}), FALSE)"
+    valid_phone = f"COALESCE({ph} IS NOT NULL AND length(regexp_replace({ph}, '[^0-9]', '', 'g')) >= 7, FALSE)"
+    doms = ", ".join(s(x) for x in rules.DISPOSABLE_DOMAINS_STREAM)
+    phs = ", ".join(s(x) for x in rules.PLACEHOLDER_PHONES_STREAM)
+    return [
+        ("DQ-001", f"(NOT {valid_email})", -20),
+        ("DQ-002", f"({email} IS NOT NULL AND strpos({email}, '@') > 0 AND lower(split_part({email}, '@', 2)) IN ({doms}))", -5),
+        ("DQ-003", f"(NOT {ok(fn)})", -20),
+        ("DQ-004", f"({ok(fn)} AND NOT regexp_matches({fn}, {s(rules.NAME_PATTERN_STREAM)}))", -5),
+        ("DQ-005", f"(NOT {ok(ln)})", -20),
+        ("DQ-006", f"({ok(ln)} AND NOT regexp_matches({ln}, {s(rules.NAME_PATTERN_STREAM)}))", -5),
+        ("DQ-007", f"({ph} IS NOT NULL AND length({ph}) > 0 AND NOT regexp_matches(regexp_replace({ph}, '[^0-9+]', '', 'g'), {s(rules.PHONE_PATTERN_INTL)}))", -5),
+        ("DQ-008", f"({ph} IS NOT NULL AND length({ph}) > 0 AND regexp_replace({ph}, '[^0-9]', '', 'g') IN ({phs}))", -20),
+        ("DQ-C01", f"(NOT {valid_email} AND NOT {valid_phone})", -20),
+        ("DQ-C02", f"(NOT {ok(fn)} AND NOT {ok(ln)})", -20),
+        ("DQ-X03", f"({ok(fn)} AND {email} IS NOT NULL AND strpos(lower({email}), lower(trim({fn}))) > 0)", 5),
+    ]
+
+
+def dq_address_terms(prefix: str = "") -> list[tuple[str, str, int]]:
+    p = prefix
+    gate_ok = f"({p}gate IS NOT NULL AND length(trim({p}gate)) >= 3)"
+    return [
+        ("DQ-011", f"(NOT {gate_ok})", -5),
+        ("DQ-012", f"({p}\"by\" IS NULL)", -20),
+        ("DQ-X04", f"({gate_ok} AND {p}postnummer IS NOT NULL AND {p}\"by\" IS NOT NULL)", 10),
+        ("DQ-N02", f"({p}postnummer IS NOT NULL AND NOT regexp_matches({p}postnummer, {s(rules.POSTCODE_PATTERN_NO)}))", -5),
+    ]
+
+
+def dq_score(terms) -> str:
+    body = " + ".join(f"(CASE WHEN COALESCE({pred}, FALSE) THEN {pts} ELSE 0 END)" for _, pred, pts in terms)
+    return f"CAST(greatest(0, least(100, 100 + {body})) AS BIGINT)"
+
+
+def dq_fired(terms) -> str:
+    items = ", ".join(f"CASE WHEN COALESCE({pred}, FALSE) THEN {s(rid)} END" for rid, pred, _ in terms)
+    return f"list_filter([{items}], lambda x: x IS NOT NULL)"
