@@ -349,7 +349,7 @@ def _graph(spark, sf_dir, blocks):
     return enr, MatchGraph(enr, blocks, inputs.overrides(spark, sf_dir))
 
 
-def clusters_for(spark, sf_dir, blocks="extended", mode="transitive"):
+def clusters_for(spark, sf_dir, blocks="parity", mode="transitive"):
     enr, g = _graph(spark, sf_dir, blocks)
     return enr, clusters(g, mode)
 
@@ -369,7 +369,8 @@ def q_cluster_transitive(spark, sf_dir):
     return clusters_for(spark, sf_dir, "extended", "transitive")[1].select(*CL_COLS)
 
 
-GOLD_SQL = PS.clusters("extended", "transitive") + PS.golden()
+# the golden chain: reference blocking, transitive clusters (spec), overrides applied
+GOLD_SQL = PS.clusters("parity", "transitive") + PS.golden()
 
 
 @register("golden_v2", GOLD_SQL + "\nSELECT cluster_id, organization, ssn, first_name, last_name, birth_date, citizenship, "
@@ -385,10 +386,231 @@ def q_dq_fired(spark, sf_dir):
     return golden(enr, cl).select("cluster_id", "organization", "dq_score", "dq_fired_rules")
 
 
-ADDR_SQL = PS.clusters("extended", "transitive") + PS.address_golden()
+ADDR_SQL = PS.clusters("parity", "transitive") + PS.address_golden()
 
 
 @register("address_golden", ADDR_SQL + "\nSELECT * FROM a2_golden", "GD-05, GD-07, PRJ-03, JN-09, DQ-011..N02")
 def q_address_golden(spark, sf_dir):
     enr, cl = clusters_for(spark, sf_dir)
     return address_golden(addresses(spark, sf_dir), cl)
+
+
+# ------------------------------------------------------------------------------------ serving
+
+from aurum.functions import dq_tier  # noqa: E402
+from aurum.operators import serving  # noqa: E402
+
+V2_SQL = PS.clusters("parity", "transitive") + PS.golden() + PS.address_golden()
+
+
+def v2_chain(spark, sf_dir):
+    enr, cl = clusters_for(spark, sf_dir)
+    gold = golden(enr, cl)
+    addr = addresses(spark, sf_dir)
+    return enr, cl, gold, addr
+
+
+@register("steward_queue_v2", PS.clusters("parity", "transitive") + """
+SELECT e.source_key, e.source_system, e.organization, e.first_name, e.last_name, e.phone, e.email, e.record_date
+FROM v2_clusters c JOIN v2_enriched e USING (source_system, source_key, organization)
+WHERE c.match_status = 'STEWARD_QUEUE'""", "CL-05, HS-11")
+def q_steward_queue_v2(spark, sf_dir):
+    enr, cl = clusters_for(spark, sf_dir)
+    return cl.where(F.col("match_status") == "STEWARD_QUEUE").join(enr, ["source_system", "source_key", "organization"]) \
+        .select("source_key", "source_system", "organization", "first_name", "last_name", "phone", "email", "record_date")
+
+
+@register("steward_queue_by_org", PS.clusters("parity", "transitive") + """
+SELECT organization, count(*) AS queued, max(e.record_date) AS newest, min(e.record_date) AS oldest
+FROM v2_clusters c JOIN v2_enriched e USING (source_system, source_key, organization)
+WHERE c.match_status = 'STEWARD_QUEUE' GROUP BY organization""", "SV-06")
+def q_steward_by_org(spark, sf_dir):
+    return q_steward_queue_v2(spark, sf_dir).groupBy("organization").agg(
+        F.count("*").alias("queued"), F.max("record_date").alias("newest"), F.min("record_date").alias("oldest"))
+
+
+@register("cluster_numbering", PS.clusters("parity", "transitive") + """
+SELECT organization, cluster_id, dense_rank() OVER (PARTITION BY organization ORDER BY cluster_id) AS customer_group_id
+FROM (SELECT DISTINCT organization, cluster_id FROM v2_clusters)""", "CL-03, WN-07")
+def q_cluster_numbering(spark, sf_dir):
+    cl = clusters_for(spark, sf_dir)[1].select("organization", "cluster_id").distinct()
+    return graph.dense_number(cl, ["cluster_id"], ["organization"], out="customer_group_id")
+
+
+@register("cluster_stats", PS.clusters("parity", "transitive") + """
+SELECT organization, cluster_size, count(*) AS clusters FROM (
+  SELECT organization, cluster_id, count(*) AS cluster_size FROM v2_clusters GROUP BY 1, 2) GROUP BY 1, 2""", "CL-09")
+def q_cluster_stats(spark, sf_dir):
+    cl = clusters_for(spark, sf_dir)[1]
+    return cl.groupBy("organization", "cluster_id").agg(F.count("*").alias("cluster_size")) \
+        .groupBy("organization", "cluster_size").agg(F.count("*").alias("clusters"))
+
+
+@register("xref_customer", PS.clusters("parity", "transitive") + """
+SELECT row_number() OVER (ORDER BY cluster_id, organization, source_system, source_key) AS xref_id,
+       cluster_id, organization, source_system, source_key FROM v2_clusters""", "HS-09, WN-08")
+def q_xref_customer(spark, sf_dir):
+    cl = clusters_for(spark, sf_dir)[1].select("cluster_id", "organization", "source_system", "source_key")
+    return graph.dense_number(cl, ["cluster_id", "organization", "source_system", "source_key"], out="xref_id")
+
+
+@register("address_groups", V2_SQL + """
+SELECT DISTINCT cluster_id, organization, source_system, source_key, source_customer_key,
+       concat_ws('|', organization, source_system, source_key) AS address_id FROM a2_grouped""", "JN-09")
+def q_address_groups(spark, sf_dir):
+    _, cl, _, addr = v2_chain(spark, sf_dir)
+    return address_groups(addr, cl)
+
+
+@register("xref_address", V2_SQL + """
+SELECT row_number() OVER (ORDER BY address_id, organization, source_system, source_key) AS xref_id,
+       address_id, cluster_id, organization, source_system, source_key
+FROM (SELECT DISTINCT cluster_id, organization, source_system, source_key,
+             concat_ws('|', organization, source_system, source_key) AS address_id FROM a2_grouped)""", "HS-09, WN-08")
+def q_xref_address(spark, sf_dir):
+    _, cl, _, addr = v2_chain(spark, sf_dir)
+    ag = address_groups(addr, cl).select("address_id", "cluster_id", "organization", "source_system", "source_key")
+    return graph.dense_number(ag, ["address_id", "organization", "source_system", "source_key"], out="xref_id")
+
+
+@register("history_v2", V2_SQL + PS.history() + "\nSELECT * FROM v2_history", "HS-04, HS-01, HS-02, WN-05, WN-06")
+def q_history_v2(spark, sf_dir):
+    enr, cl = clusters_for(spark, sf_dir)
+    return history(enr, cl)
+
+
+@register("address_history", V2_SQL + PS.address_history() + "\nSELECT * FROM a2_history", "HS-05")
+def q_address_history(spark, sf_dir):
+    _, cl, _, addr = v2_chain(spark, sf_dir)
+    return address_history(addr, cl)
+
+
+PIT_DATE = "2024-01-01"
+
+
+@register("history_point_in_time", V2_SQL + PS.history() + f"""
+SELECT cluster_id, organization, first_name, last_name, phone, email, dq_score, valid_from
+FROM v2_history WHERE valid_from <= DATE '{PIT_DATE}' AND DATE '{PIT_DATE}' < valid_to""", "HS-07")
+def q_pit(spark, sf_dir):
+    h = q_history_v2(spark, sf_dir)
+    return serving.point_in_time(h, PIT_DATE).select("cluster_id", "organization", "first_name", "last_name", "phone",
+                                                      "email", "dq_score", "valid_from")
+
+
+@register("golden_diff", V2_SQL + PS.history() + """,
+gd_pairs AS (
+  SELECT cluster_id, organization, valid_from AS changed_at,
+         lag(first_name) OVER w AS o_first_name, first_name AS n_first_name,
+         lag(last_name) OVER w AS o_last_name, last_name AS n_last_name,
+         lag(phone) OVER w AS o_phone, phone AS n_phone, lag(email) OVER w AS o_email, email AS n_email,
+         CAST(lag(dq_score) OVER w AS VARCHAR) AS o_dq_score, CAST(dq_score AS VARCHAR) AS n_dq_score,
+         row_number() OVER w AS rn
+  FROM v2_history WINDOW w AS (PARTITION BY cluster_id, organization ORDER BY valid_from)
+)
+SELECT * FROM (
+  SELECT cluster_id, organization, changed_at, 'first_name' AS field, o_first_name AS old_value, n_first_name AS new_value FROM gd_pairs WHERE rn > 1
+  UNION ALL SELECT cluster_id, organization, changed_at, 'last_name', o_last_name, n_last_name FROM gd_pairs WHERE rn > 1
+  UNION ALL SELECT cluster_id, organization, changed_at, 'phone', o_phone, n_phone FROM gd_pairs WHERE rn > 1
+  UNION ALL SELECT cluster_id, organization, changed_at, 'email', o_email, n_email FROM gd_pairs WHERE rn > 1
+  UNION ALL SELECT cluster_id, organization, changed_at, 'dq_score', o_dq_score, n_dq_score FROM gd_pairs WHERE rn > 1
+) WHERE old_value IS DISTINCT FROM new_value""", "HS-12")
+def q_golden_diff(spark, sf_dir):
+    return serving.golden_diff(q_history_v2(spark, sf_dir), ["cluster_id", "organization"], "valid_from",
+                               ["first_name", "last_name", "phone", "email", "dq_score"])
+
+
+@register("customer_360", V2_SQL + """,
+c360_addr AS (
+  SELECT cluster_id, organization, count(*) AS address_count,
+         max(CASE WHEN is_primary THEN gate END) AS primary_gate, max(CASE WHEN is_primary THEN "by" END) AS primary_by,
+         max(CASE WHEN is_primary THEN postnummer END) AS primary_postnummer, max(CASE WHEN is_primary THEN land END) AS primary_land,
+         max(CASE WHEN is_primary THEN dq_score END) AS primary_address_dq_score,
+         to_json(list({'address_id': cluster_id || '|' || organization || '|' || address_type, 'type': address_type, 'gate': gate,
+                       'by': "by", 'postnummer': postnummer, 'land': land, 'is_primary': is_primary, 'dq_score': dq_score}
+                      ORDER BY address_type, gate)) AS all_addresses
+  FROM a2_golden GROUP BY cluster_id, organization
+)
+SELECT g.cluster_id, g.first_name, g.last_name, g.first_name || ' ' || g.last_name AS full_name, g.email, g.phone,
+       g.dq_score, """ + tier("g.dq_score") + """ AS dq_tier, g.source_count, g.record_date AS last_updated, g.ssn, g.birth_date,
+       g.citizenship, g.organization, COALESCE(a.address_count, 0) AS address_count, a.primary_gate, a.primary_by,
+       a.primary_postnummer, a.primary_land,
+       concat_ws(', ', a.primary_gate, a.primary_by, a.primary_postnummer, a.primary_land) AS primary_address_full,
+       a.all_addresses, a.primary_address_dq_score
+FROM v2_golden g LEFT JOIN c360_addr a ON a.cluster_id = g.cluster_id AND a.organization = g.organization""", "SV-01, AG-04, JN-07, FN-14, FN-15")
+def q_customer_360(spark, sf_dir):
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    return serving.customer_360(gold, address_golden(addr, cl))
+
+
+@register("customer_360_flat", V2_SQL + """
+SELECT g.cluster_id, g.first_name, g.last_name, g.email, g.phone, g.dq_score, """ + tier("g.dq_score") + """ AS dq_tier,
+       g.source_count, g.record_date AS last_updated, g.ssn, g.birth_date, g.citizenship, g.organization,
+       g.cluster_id || '|' || g.organization || '|' || a.address_type AS address_id, a.address_type, a.gate, a."by" AS city,
+       a.postnummer, a.land, a.is_primary, a.dq_score AS address_dq_score
+FROM v2_golden g LEFT JOIN a2_golden a ON a.cluster_id = g.cluster_id AND a.organization = g.organization""", "SV-02, JN-07")
+def q_customer_360_flat(spark, sf_dir):
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    return serving.customer_360_flat(gold, address_golden(addr, cl))
+
+
+@register("cross_org", V2_SQL + """
+SELECT b.ssn, b.first_name AS bank_first_name, b.last_name AS bank_last_name, b.email AS bank_email, b.phone AS bank_phone,
+       i.first_name AS ins_first_name, i.last_name AS ins_last_name, i.email AS ins_email, i.phone AS ins_phone,
+       b.citizenship, b.birth_date
+FROM v2_golden b JOIN v2_golden i ON b.ssn = i.ssn AND b.organization = 'BANK' AND i.organization = 'INS'""", "SV-03, JN-08")
+def q_cross_org(spark, sf_dir):
+    return serving.cross_org(v2_chain(spark, sf_dir)[2])
+
+
+SEARCH_TERM = "hansen"
+
+
+@register("search_golden", V2_SQL + f"""
+SELECT cluster_id, organization, first_name, last_name, email, dq_score FROM v2_golden
+WHERE cluster_id ILIKE '%{SEARCH_TERM}%' OR first_name ILIKE '%{SEARCH_TERM}%' OR last_name ILIKE '%{SEARCH_TERM}%'
+   OR email ILIKE '%{SEARCH_TERM}%'
+ORDER BY cluster_id, organization LIMIT 20""", "SV-04, FN-17")
+def q_search(spark, sf_dir):
+    return serving.search(v2_chain(spark, sf_dir)[2], SEARCH_TERM, 20)
+
+
+@register("search_with_address", V2_SQL + """
+SELECT g.cluster_id, g.organization, g.first_name, g.last_name, g.dq_score, a.gate, a."by"
+FROM v2_golden g JOIN a2_golden a ON a.cluster_id = g.cluster_id AND a.organization = g.organization
+WHERE (a."by" ILIKE '%bergen%' OR a.gate ILIKE '%bergen%' OR g.last_name ILIKE '%bergen%') AND g.dq_score >= 90
+ORDER BY g.cluster_id, g.organization LIMIT 50""", "SV-05")
+def q_search_addr(spark, sf_dir):
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    return serving.search_with_address(gold, address_golden(addr, cl), "bergen", 90, 50)
+
+
+@register("top_golden", V2_SQL + """
+SELECT t.cluster_id, t.organization, t.first_name, t.last_name, t.dq_score, t.source_count, a.gate, a."by", a.postnummer
+FROM (SELECT * FROM v2_golden ORDER BY dq_score DESC, source_count DESC, cluster_id, organization LIMIT 10) t
+LEFT JOIN a2_golden a ON a.cluster_id = t.cluster_id AND a.organization = t.organization""", "SV-07")
+def q_top_golden(spark, sf_dir):
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    return serving.top_golden(gold, address_golden(addr, cl), 10)
+
+
+@register("lineage", V2_SQL + """
+SELECT e.source_system, e.source_key, e.organization, e.record_date, e._source_file, g.cluster_id,
+       e.first_name AS source_first_name, g.first_name AS golden_first_name, e.email AS source_email, g.email AS golden_email
+FROM v2_enriched e JOIN v2_clusters c USING (source_system, source_key, organization)
+JOIN v2_golden g ON g.cluster_id = c.cluster_id AND g.organization = c.organization""", "HS-10")
+def q_lineage(spark, sf_dir):
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    return serving.lineage(enr, cl, gold)
+
+
+@register("customer_card", V2_SQL + """,
+card_id AS (SELECT min(cluster_id) AS cluster_id FROM v2_golden WHERE organization = 'BANK'
+            AND source_count = (SELECT max(source_count) FROM v2_golden WHERE organization = 'BANK'))
+SELECT c.cluster_id, c.organization, c.source_system, c.source_key, e.first_name, e.last_name, e.email, e.record_date,
+       g.first_name AS golden_first_name, g.last_name AS golden_last_name, g.dq_score
+FROM v2_clusters c JOIN card_id USING (cluster_id) JOIN v2_enriched e USING (source_system, source_key, organization)
+JOIN v2_golden g ON g.cluster_id = c.cluster_id AND g.organization = c.organization
+WHERE c.organization = 'BANK'""", "SV-08, HS-08")
+def q_customer_card(spark, sf_dir):
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    return serving.customer_card(enr, cl, gold, "BANK")

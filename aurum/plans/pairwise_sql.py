@@ -187,3 +187,72 @@ a2_golden AS (
          last_updated, {dq_score(terms)} AS dq_score, {dq_fired(terms)} AS dq_fired_rules
   FROM a2_gold0
 )"""
+
+
+def history() -> str:
+    """Snapshots at every record date by the literal triangular join (oracle only)."""
+    tie = "g.record_date DESC, g.source_system, g.source_key, g._source_file"
+
+    def f(col, valid, p="g.prio"):
+        return f"first(g.{col} ORDER BY CASE WHEN {valid} THEN 0 ELSE 1 END, {p}, {tie}) AS {col}"
+
+    terms = dq_bulk_terms()
+    from aurum.plans.sqlfrag import row_hash
+    tracked = ["ssn", "first_name", "last_name", "birth_date", "citizenship", "phone", "email", "dq_score"]
+    return f""",
+h2_b AS (SELECT DISTINCT cluster_id, organization, record_date AS snapshot_date FROM v2_grouped),
+h2_s0 AS (
+  SELECT b.cluster_id, b.organization, b.snapshot_date,
+    {f('ssn', 'g.ssn IS NOT NULL')},
+    {f('first_name', "length(trim(COALESCE(g.first_name, ''))) > 1")},
+    {f('last_name', "length(trim(COALESCE(g.last_name, ''))) > 1")},
+    {f('birth_date', 'g.birth_date IS NOT NULL')},
+    {f('citizenship', 'g.citizenship IS NOT NULL', 'g.cprio')},
+    {f('phone', "g.phone IS NOT NULL AND length(regexp_replace(g.phone, '[^0-9]', '', 'g')) >= 8")},
+    {f('email', "g.email LIKE '%@%'")},
+    count(DISTINCT g.source_system) AS source_count, bool_or(g.is_fake_name) AS is_fake_name, bool_or(g.ssn_valid) AS ssn_valid
+  FROM h2_b b JOIN v2_grouped g ON g.cluster_id = b.cluster_id AND g.organization = b.organization AND g.record_date <= b.snapshot_date
+  GROUP BY 1, 2, 3
+),
+h2_s AS (SELECT *, {dq_score(terms)} AS dq_score FROM h2_s0),
+h2_h AS (SELECT *, {row_hash(tracked, '|')} AS row_hash FROM h2_s),
+h2_kept AS (
+  SELECT * FROM (SELECT *, lag(row_hash) OVER (PARTITION BY cluster_id, organization ORDER BY snapshot_date) AS prev FROM h2_h)
+  WHERE row_hash <> COALESCE(prev, '')
+),
+v2_history AS (
+  SELECT cluster_id, organization, ssn, first_name, last_name, birth_date, citizenship, phone, email, dq_score, source_count,
+         snapshot_date AS valid_from, COALESCE(lead(snapshot_date) OVER w, DATE '9999-12-31') AS valid_to,
+         lead(snapshot_date) OVER w IS NULL AS is_valid, row_hash
+  FROM h2_kept WINDOW w AS (PARTITION BY cluster_id, organization ORDER BY snapshot_date)
+)"""
+
+
+def address_history() -> str:
+    tie = "g.file_date DESC, g.source_system, g.source_key, g._source_file"
+    terms = dq_address_terms()
+    from aurum.plans.sqlfrag import row_hash
+    tracked = ["address_type", "gate", "postnummer", '"by"', "land", "is_primary", "dq_score"]
+    return f""",
+ah_b AS (SELECT DISTINCT cluster_id, organization, file_date AS snapshot_date FROM a2_grouped),
+ah_s0 AS (
+  SELECT b.cluster_id, b.organization, b.snapshot_date,
+    first(g.gate ORDER BY CASE WHEN length(trim(COALESCE(g.gate, ''))) >= 3 THEN 0 ELSE 1 END, g.prio, {tie}) AS gate,
+    first(g.postnummer ORDER BY CASE WHEN g.postnummer IS NOT NULL THEN 0 ELSE 1 END, g.prio, {tie}) AS postnummer,
+    first(g."by" ORDER BY CASE WHEN g."by" IS NOT NULL THEN 0 ELSE 1 END, g.prio, {tie}) AS "by",
+    first(g.land ORDER BY CASE WHEN g.land IS NOT NULL THEN g.prio ELSE 99 END, {tie}) AS land
+  FROM ah_b b JOIN a2_grouped g ON g.cluster_id = b.cluster_id AND g.organization = b.organization AND g.file_date <= b.snapshot_date
+  GROUP BY 1, 2, 3
+),
+ah_s AS (SELECT *, 'PRIMARY' AS address_type, TRUE AS is_primary, {dq_score(terms)} AS dq_score FROM ah_s0),
+ah_h AS (SELECT *, {row_hash(tracked, '|').replace('CAST(is_primary AS VARCHAR)', "CASE WHEN is_primary THEN 'true' ELSE 'false' END")} AS row_hash FROM ah_s),
+ah_kept AS (
+  SELECT * FROM (SELECT *, lag(row_hash) OVER (PARTITION BY cluster_id, organization ORDER BY snapshot_date) AS prev FROM ah_h)
+  WHERE row_hash <> COALESCE(prev, '')
+),
+a2_history AS (
+  SELECT cluster_id, organization, address_type, gate, postnummer, "by", land, is_primary, dq_score,
+         snapshot_date AS valid_from, COALESCE(lead(snapshot_date) OVER w, DATE '9999-12-31') AS valid_to,
+         lead(snapshot_date) OVER w IS NULL AS is_valid, row_hash
+  FROM ah_kept WINDOW w AS (PARTITION BY cluster_id, organization ORDER BY snapshot_date)
+)"""
