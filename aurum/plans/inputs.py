@@ -36,7 +36,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    # the tag covers the input folder and the recipe, so a changed recipe never reads stale tables
+    recipe = open(derived.__file__, "rb").read()
+    tag = hashlib.sha1(os.path.abspath(sf_dir).encode() + recipe).hexdigest()[:12]
     return shared_dir(spark, f"landing/{tag}/{name}")
 
 

@@ -31,13 +31,16 @@ from aurum.operators.quality import address_rules, customer_rules_bulk, score_qu
 from aurum.operators.scoring import pairwise_rules, pairwise_total
 from aurum.operators.survivorship import Rule, desc_date, survive
 from aurum.plans import inputs
+from aurum.plans.layers import layer
 
 NODE_ATTRS = ["ssn", "first_name", "last_name", "birth_date", "canonical_first_name", "phone", "email"]
 
 
 def enriched(spark: SparkSession, sf_dir: str, canonical: str = "initcap") -> DataFrame:
-    u = union_customers_v2(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir))
-    return enrich_v2(u, canonical)
+    def build():
+        u = union_customers_v2(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir))
+        return enrich_v2(u, canonical)
+    return layer(spark, ("v2_enriched", sf_dir, canonical), build)
 
 
 def node_id(org="organization", src="source_system", key="source_key") -> Column:
@@ -96,11 +99,11 @@ class MatchGraph:
     """Compressed match graph of one rule-set configuration."""
 
     def __init__(self, enr: DataFrame, blocks: str = "parity", overrides: DataFrame | None = None):
-        self.rows = base_rows(enr)
+        self.rows = base_rows(enr).checkpoint()
         self.nodes = self.rows.select("node", "organization", "source_system", "source_key", "ssn").dropDuplicates(["node"])
         cliques, names = memberships(self.rows, blocks)
-        self.links = name_links(names)
-        self.members = cliques.unionByName(names.select("gid", "node")).distinct()
+        self.links = name_links(names).checkpoint()
+        self.members = cliques.unionByName(names.select("gid", "node")).distinct().checkpoint()
         self.overrides = overrides
         if overrides is not None:
             ok = _override_keys(overrides)
@@ -173,7 +176,7 @@ class MatchGraph:
 
 def clusters(g: MatchGraph, mode: str = "one_hop") -> DataFrame:
     """Per node: cluster id, match type / score of its best-neighbour edge, status (CL-01..05)."""
-    oh = g.one_hop()
+    oh = g.one_hop().checkpoint()
     if mode == "transitive":
         oh = oh.drop("cluster_id").join(g.components(), "node")
     sc = g.edge_scores(oh.where(F.col("best_neighbor").isNotNull()).select("node", F.col("best_neighbor").alias("other")))
@@ -350,8 +353,10 @@ def _graph(spark, sf_dir, blocks):
 
 
 def clusters_for(spark, sf_dir, blocks="parity", mode="transitive"):
-    enr, g = _graph(spark, sf_dir, blocks)
-    return enr, clusters(g, mode)
+    enr = enriched(spark, sf_dir)
+    cl = layer(spark, ("v2_clusters", sf_dir, blocks, mode),
+               lambda: clusters(MatchGraph(enr, blocks, inputs.overrides(spark, sf_dir)), mode))
+    return enr, cl
 
 
 CL_COLS = ["source_system", "source_key", "organization", "cluster_id", "match_type", "match_score", "match_status"]
@@ -405,7 +410,7 @@ V2_SQL = PS.clusters("parity", "transitive") + PS.golden() + PS.address_golden()
 
 def v2_chain(spark, sf_dir):
     enr, cl = clusters_for(spark, sf_dir)
-    gold = golden(enr, cl)
+    gold = layer(spark, ("v2_golden", sf_dir), lambda: golden(enr, cl))
     addr = addresses(spark, sf_dir)
     return enr, cl, gold, addr
 

@@ -333,7 +333,8 @@ FROM v1_sc"""
 # --------------------------------------------------------------------------- registered queries
 
 def _groups(spark, sf_dir):
-    return groups(enriched(spark, sf_dir))
+    from aurum.plans.layers import layer
+    return layer(spark, ("v1_groups", sf_dir), lambda: groups(enriched(spark, sf_dir)))
 
 
 @register("groups_v1", SQL_GROUPS, "SC-14, PRJ-01, PRJ-05, FN-08, FN-10")
