@@ -1 +1,271 @@
-"""placeholder"""
+"""Source, harmonisation and scalar-function queries (SRC-*, PRJ-*, FN-*)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from aurum import functions as AF
+from aurum.operators.harmonise import enrich_v1, fake_name_flag, union_addresses, union_customers_v1, union_customers_v2
+from aurum.plans import inputs
+from aurum.plans.catalog import register
+from aurum.plans.sqlfrag import date_valid, initcap_word, mod11_valid, row_hash, s, soundex
+from aurum.session import shared_dir
+from aurum.sources.files import ingest_stream, lineage_columns, read_source_csv
+
+NICE_SCHEMA = T.StructType([T.StructField("ssn", T.StringType()), T.StructField("first_name", T.StringType()),
+                            T.StructField("last_name", T.StringType()), T.StructField("phone", T.StringType()),
+                            T.StructField("email", T.StringType()), T.StructField("record_date", T.DateType()),
+                            T.StructField("organization", T.StringType()), T.StructField("_source_file", T.StringType())])
+NICE_NULLS = ("", "NULL", "null", "N/A")
+
+
+def _landing_csv(spark, sf_dir, name, df, partition_by=None):
+    """Write a derived feed as CSV files once per session (the raw landing folder)."""
+    from aurum.plans.layers import _MEMO
+    key = (spark.sparkContext.applicationId, "csv", sf_dir, name)
+    if key not in _MEMO:
+        path = shared_dir(spark, f"csv/{uuid.uuid4().hex[:8]}/{name}")
+        w = df.write.option("header", True).mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.csv(path)
+        _MEMO[key] = path
+    return _MEMO[key]
+
+
+def _nice_csv(spark, sf_dir):
+    n = inputs.nice(spark, sf_dir)
+    # null tokens as different systems write them: 'N/A', 'NULL', 'null', empty
+    tok = F.when(F.length(F.col("_source_file")) % 3 == 0, "N/A").when(F.length(F.col("_source_file")) % 3 == 1, "NULL").otherwise("null")
+    out = n.select(F.coalesce("ssn", tok).alias("ssn"), "first_name", "last_name", F.coalesce("phone", F.lit("N/A")).alias("phone"),
+                   F.coalesce("email", F.lit("null")).alias("email"), F.col("record_date").cast("string").alias("record_date"),
+                   "organization", "_source_file")
+    return _landing_csv(spark, sf_dir, "nice", out)
+
+
+@register("src_csv_nulls", "SELECT ssn, first_name, last_name, phone, email, record_date, organization, _source_file FROM nice", "SRC-01, SRC-04")
+def q_src_csv(spark, sf_dir):
+    rows, _ = read_source_csv(spark, _nice_csv(spark, sf_dir), NICE_SCHEMA, NICE_NULLS)
+    return rows.drop("_source_path")
+
+
+@register("src_typed_load", "SELECT count(*) AS loaded, 0 AS rejected FROM nice", "SRC-04")
+def q_src_typed(spark, sf_dir):
+    rows, rej = read_source_csv(spark, _nice_csv(spark, sf_dir), NICE_SCHEMA, NICE_NULLS)
+    flags = rows.select(F.lit(1).alias("o")).unionByName(rej.select(F.lit(0).alias("o")))
+    return flags.agg(F.sum("o").cast("long").alias("loaded"), (F.count("*") - F.sum("o")).cast("int").alias("rejected"))
+
+
+@register("src_lineage", "SELECT record_date AS file_date, count(*) AS rows FROM freg GROUP BY 1", "SRC-03")
+def q_src_lineage(spark, sf_dir):
+    f = inputs.freg(spark, sf_dir).select("ssn", "first_name", F.col("record_date").cast("string").alias("record_date"))
+    path = _landing_csv(spark, sf_dir, "freg_by_date", f.withColumn("file_date", F.col("record_date")), partition_by="file_date")
+    schema = T.StructType([T.StructField("ssn", T.StringType()), T.StructField("first_name", T.StringType()),
+                           T.StructField("record_date", T.StringType())])
+    raw = spark.read.option("header", True).schema(schema).csv(path).select("ssn", F.col("_metadata.file_path").alias("_source_path"))
+    return lineage_columns(raw).groupBy(F.col("_file_date").alias("file_date")).agg(F.count("*").alias("rows"))
+
+
+@register("src_initial_plus_updates", """SELECT split_part(_source_file, '/', 1) AS phase, 'FREG' AS source, count(*) AS rows FROM freg GROUP BY 1
+UNION ALL SELECT split_part(_source_file, '/', 1), 'BS', count(*) FROM bs GROUP BY 1
+UNION ALL SELECT split_part(_source_file, '/', 1), 'NICE', count(*) FROM nice GROUP BY 1""", "SRC-05")
+def q_src_phases(spark, sf_dir):
+    parts = [inputs.freg(spark, sf_dir).withColumn("source", F.lit("FREG")),
+             inputs.bs(spark, sf_dir).withColumn("source", F.lit("BS")),
+             inputs.nice(spark, sf_dir).withColumn("source", F.lit("NICE"))]
+    u = parts[0].select("_source_file", "source")
+    for p in parts[1:]:
+        u = u.unionByName(p.select("_source_file", "source"))
+    return u.groupBy(F.split("_source_file", "/").getItem(0).alias("phase"), "source").agg(F.count("*").alias("rows"))
+
+
+@register("src_incremental", "SELECT ssn, first_name, last_name, phone, email, record_date, organization, _source_file FROM nice", "SRC-02")
+def q_src_incremental(spark, sf_dir):
+    """New-files-only ingestion: two drops of files, two availableNow runs on one checkpoint."""
+    base = shared_dir(spark, f"incremental/{uuid.uuid4().hex[:8]}")
+    n = inputs.nice(spark, sf_dir).select(*[F.col(c).cast("string") for c in NICE_SCHEMA.fieldNames()])
+    n.where(F.col("_source_file").startswith("initial/")).write.option("header", True).mode("append").csv(base + "/in")
+    q = ingest_stream(spark, base + "/in", NICE_SCHEMA, base + "/table", base + "/ckpt", NICE_NULLS)
+    q.awaitTermination()
+    n.where(F.col("_source_file").startswith("update/")).write.option("header", True).mode("append").csv(base + "/in")
+    q = ingest_stream(spark, base + "/in", NICE_SCHEMA, base + "/table", base + "/ckpt", NICE_NULLS)
+    q.awaitTermination()
+    return spark.read.parquet(base + "/table").drop("_source_path")
+
+
+V1U = """SELECT ssn, first_name, last_name, birth_date, citizenship, CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS email,
+       o.organization, record_date, 'FREG' AS source_system, 3 AS trust_score, _source_file
+FROM freg CROSS JOIN (VALUES ('BANK'), ('INS')) AS o(organization)
+UNION ALL SELECT ssn, first_name, last_name, NULL, NULL, phone, email, organization, record_date, 'BS', 2, _source_file FROM bs
+UNION ALL SELECT ssn, first_name, last_name, NULL, NULL, phone, email, organization, record_date, 'NICE', 1, _source_file FROM nice"""
+
+
+@register("customer_union", V1U, "PRJ-01, ST-01")
+def q_union(spark, sf_dir):
+    return union_customers_v1(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir), True)
+
+
+from aurum.plans import pairwise_sql as PS  # noqa: E402
+
+
+@register("customer_union_broadcast", PS.base() + "\nSELECT source_system, source_key, ssn, first_name, last_name, birth_date, "
+          "citizenship, phone, email, record_date, organization, _source_file FROM v2_union", "PRJ-02, FN-01..03")
+def q_union_b(spark, sf_dir):
+    return union_customers_v2(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir))
+
+
+@register("address_union", PS.clusters("parity", "transitive") + PS.addresses() + "\nSELECT * EXCLUDE (_source_file) FROM a2_union", "PRJ-03, SRC-03")
+def q_addr_union(spark, sf_dir):
+    return union_addresses(inputs.addresses(spark, sf_dir, "FREG"), inputs.addresses(spark, sf_dir, "BS"),
+                           inputs.addresses(spark, sf_dir, "NICE")).drop("_source_file")
+
+
+@register("source_key_surrogate", PS.base() + "\nSELECT source_key, first_name, last_name, phone FROM v2_union WHERE source_system = 'NICE' AND ssn IS NULL", "PRJ-04")
+def q_surrogate(spark, sf_dir):
+    u = union_customers_v2(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir))
+    return u.where((F.col("source_system") == "NICE") & F.col("ssn").isNull()).select("source_key", "first_name", "last_name", "phone")
+
+
+@register("row_key", f"""SELECT source_system, ssn, record_date, organization,
+  md5(concat_ws('|', source_system, COALESCE(ssn, ''), COALESCE(first_name, ''), COALESCE(last_name, ''), CAST(record_date AS VARCHAR),
+                COALESCE(organization, ''), COALESCE(_source_file, ''))) AS row_key FROM ({V1U})""", "PRJ-05")
+def q_row_key(spark, sf_dir):
+    u = enrich_v1(union_customers_v1(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir), True))
+    return u.select("source_system", "ssn", "record_date", "organization", "row_key")
+
+
+PROFILE_COLS = ["ssn", "first_name", "last_name", "birth_date", "citizenship", "phone", "email"]
+
+
+@register("profile_completeness", PS.base() + ",\nprof AS (SELECT * FROM v2_union)\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(*) AS total FROM prof" for c in PROFILE_COLS),
+    "PRJ-10")
+def q_profile(spark, sf_dir):
+    u = union_customers_v2(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir))
+    agg = u.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in PROFILE_COLS], F.count("*").alias("_total"))
+    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in PROFILE_COLS]))
+    return agg.select(stack.alias("p"), "_total").select("p.column_name", "p.nulls", F.col("_total").alias("total"))
+
+
+# ------------------------------------------------------------------------- scalar functions
+
+@register("fn_initcap", f"SELECT first_name, {initcap_word('trim(first_name)')} AS title_name FROM nice", "FN-01")
+def q_fn_initcap(spark, sf_dir):
+    return inputs.nice(spark, sf_dir).select("first_name", AF.title_case("first_name").alias("title_name"))
+
+
+@register("fn_normalise_email", "SELECT email, lower(trim(email)) AS email_norm FROM nice", "FN-02")
+def q_fn_email(spark, sf_dir):
+    return inputs.nice(spark, sf_dir).select("email", AF.norm_email("email").alias("email_norm"))
+
+
+@register("fn_normalise_phone", "SELECT phone, NULLIF(regexp_replace(phone, '[^0-9+]', '', 'g'), '') AS phone_norm FROM nice", "FN-03")
+def q_fn_phone(spark, sf_dir):
+    return inputs.nice(spark, sf_dir).select("phone", AF.norm_phone("phone").alias("phone_norm"))
+
+
+def _suffix_sql(n):
+    d = "regexp_replace(phone, '[^0-9]', '', 'g')"
+    return f"CASE WHEN length({d}) >= {n} THEN right({d}, {n}) END"
+
+
+@register("fn_phone_suffix", f"SELECT phone, {_suffix_sql(4)} AS suffix4, {_suffix_sql(8)} AS suffix8, {_suffix_sql(10)} AS suffix10 FROM nice", "FN-04")
+def q_fn_suffix(spark, sf_dir):
+    n = inputs.nice(spark, sf_dir)
+    return n.select("phone", AF.phone_suffix("phone", 4).alias("suffix4"), AF.phone_suffix("phone", 8).alias("suffix8"),
+                    AF.phone_suffix("phone", 10).alias("suffix10"))
+
+
+@register("fn_email_domain", "SELECT email, CASE WHEN strpos(email, '@') > 0 THEN substr(email, strpos(email, '@')) END AS domain FROM nice", "FN-05")
+def q_fn_domain(spark, sf_dir):
+    return inputs.nice(spark, sf_dir).select("email", AF.email_domain("email").alias("domain"))
+
+
+@register("fn_soundex", f"SELECT DISTINCT last_name, {soundex('last_name')} AS code FROM (SELECT last_name FROM freg UNION ALL SELECT last_name FROM nice)", "FN-06")
+def q_fn_soundex(spark, sf_dir):
+    u = inputs.freg(spark, sf_dir).select("last_name").unionByName(inputs.nice(spark, sf_dir).select("last_name"))
+    return u.select("last_name", AF.soundex_nordic("last_name").alias("code")).distinct()
+
+
+@register("fn_jaro_winkler", """SELECT n.k, n.organization, upper(n.first_name) AS a, upper(f.first_name) AS b,
+  round(jaro_winkler_similarity(upper(n.first_name), upper(f.first_name)), 6) AS jw
+FROM (SELECT * FROM nice WHERE _source_file LIKE 'initial/%') n JOIN (SELECT * FROM freg WHERE _source_file LIKE 'initial/%') f ON f.k = n.k""", "FN-07")
+def q_fn_jw(spark, sf_dir):
+    """Each CRM row's first name against the registry's for the same person (row-wise, no pairs)."""
+    n = inputs.table(spark, sf_dir, "nice").where(F.col("_source_file").startswith("initial/"))
+    f = inputs.table(spark, sf_dir, "freg").where(F.col("_source_file").startswith("initial/")).select("k", F.col("first_name").alias("f_first"))
+    j = n.join(f, "k")
+    return j.select("k", "organization", F.upper("first_name").alias("a"), F.upper("f_first").alias("b")) \
+        .withColumn("jw", F.round(AF.jaro_winkler("a", "b"), 6))
+
+
+@register("fn_ssn_mod11", f"SELECT DISTINCT ssn, {mod11_valid('ssn')} AS valid FROM (SELECT ssn FROM freg UNION ALL SELECT ssn FROM bs UNION ALL SELECT ssn FROM nice)", "FN-08")
+def q_fn_mod11(spark, sf_dir):
+    u = inputs.freg(spark, sf_dir).select("ssn").unionByName(inputs.bs(spark, sf_dir).select("ssn")).unionByName(inputs.nice(spark, sf_dir).select("ssn"))
+    return u.select("ssn", AF.ssn_mod11_valid("ssn").alias("valid")).distinct()
+
+
+@register("fn_ssn_date_valid", f"SELECT DISTINCT ssn, {date_valid('ssn')} AS valid FROM (SELECT ssn FROM bs UNION ALL SELECT ssn FROM nice)", "FN-09")
+def q_fn_date(spark, sf_dir):
+    u = inputs.bs(spark, sf_dir).select("ssn").unionByName(inputs.nice(spark, sf_dir).select("ssn"))
+    return u.select("ssn", AF.ssn_date_valid("ssn").alias("valid")).distinct()
+
+
+from aurum import rules  # noqa: E402
+from aurum.plans.sqlfrag import values_table  # noqa: E402
+
+
+@register("enrich_nickname", f"""SELECT DISTINCT first_name, COALESCE(n.canonical, upper(first_name)) AS canonical_first_name
+FROM (SELECT first_name FROM freg UNION ALL SELECT first_name FROM bs UNION ALL SELECT first_name FROM nice) u
+LEFT JOIN {values_table(rules.NICKNAMES, ['nickname', 'canonical'], 'n')} ON upper(u.first_name) = n.nickname""", "FN-10")
+def q_nickname(spark, sf_dir):
+    e = enrich_v1(union_customers_v1(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir), True))
+    return e.select("first_name", "canonical_first_name").distinct()
+
+
+# Test / placeholder name tokens of the rule-based fake-name flag.
+FAKE_TOKENS = ["TEST", "DUMMY", "ASDF", "QWERTY", "FOO", "BAR", "XXX", "NONAME", "UNKNOWN"]
+
+
+@register("enrich_fake_name", PS.base() + f"""
+SELECT source_system, source_key, organization,
+  (upper(trim(first_name)) IN ({', '.join(s(t) for t in FAKE_TOKENS)}) OR upper(trim(last_name)) IN ({', '.join(s(t) for t in FAKE_TOKENS)})
+   OR COALESCE(regexp_matches(concat_ws(' ', first_name, last_name), '[0-9]'), FALSE)) AS is_fake_name
+FROM v2_union""", "FN-11")
+def q_fake(spark, sf_dir):
+    u = union_customers_v2(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir))
+    tokens = spark.createDataFrame([(t,) for t in FAKE_TOKENS], "token string")
+    return fake_name_flag(u, tokens).select("source_system", "source_key", "organization", "is_fake_name")
+
+
+@register("fn_row_hash", f"SELECT ssn, first_name, record_date, {row_hash(['ssn', 'first_name', 'last_name', 'phone', 'email', 'record_date'], '|')} AS row_hash FROM nice", "FN-12")
+def q_row_hash(spark, sf_dir):
+    n = inputs.nice(spark, sf_dir)
+    return n.select("ssn", "first_name", "record_date", AF.row_hash("ssn", "first_name", "last_name", "phone", "email", "record_date").alias("row_hash"))
+
+
+@register("fn_validators", f"""SELECT email, first_name, phone,
+  COALESCE(regexp_matches(email, {s(rules.EMAIL_PATTERN)}), FALSE) AS email_ok,
+  COALESCE(regexp_matches(first_name, {s(rules.NAME_PATTERN_BULK)}), FALSE) AS name_ok,
+  COALESCE(regexp_matches(regexp_replace(phone, '[^0-9+]', '', 'g'), {s(rules.PHONE_PATTERN_NO)}), FALSE) AS phone_no_ok,
+  COALESCE(regexp_matches(regexp_replace(phone, '[^0-9+]', '', 'g'), {s(rules.PHONE_PATTERN_INTL)}), FALSE) AS phone_intl_ok
+FROM nice""", "FN-16")
+def q_validators(spark, sf_dir):
+    n = inputs.nice(spark, sf_dir)
+    p = F.regexp_replace("phone", r"[^0-9+]", "")
+    return n.select("email", "first_name", "phone",
+                    F.coalesce(F.col("email").rlike(rules.EMAIL_PATTERN), F.lit(False)).alias("email_ok"),
+                    F.coalesce(F.col("first_name").rlike(rules.NAME_PATTERN_BULK), F.lit(False)).alias("name_ok"),
+                    F.coalesce(p.rlike(rules.PHONE_PATTERN_NO), F.lit(False)).alias("phone_no_ok"),
+                    F.coalesce(p.rlike(rules.PHONE_PATTERN_INTL), F.lit(False)).alias("phone_intl_ok"))
+
+
+@register("fn_postcode", f"""SELECT src_address_id, postnummer, COALESCE(regexp_matches(postnummer, {s(rules.POSTCODE_PATTERN_NO)}), FALSE) AS postcode_ok,
+  CASE WHEN length(postnummer) >= 3 THEN left(postnummer, 3) END AS postal_block FROM addr_nice""", "FN-16, BLK-06")
+def q_postcode(spark, sf_dir):
+    a = inputs.addresses(spark, sf_dir, "NICE")
+    return a.select("src_address_id", "postnummer", F.coalesce(F.col("postnummer").rlike(rules.POSTCODE_PATTERN_NO), F.lit(False)).alias("postcode_ok"),
+                    F.when(F.length("postnummer") >= 3, F.substring("postnummer", 1, 3)).alias("postal_block"))
