@@ -170,7 +170,7 @@ class MatchGraph:
         p = p.select("node", "other", *[v.alias(k) for k, v in s.items()]).withColumn("total_score", total).withColumn("match_type", mtype)
         return p.groupBy("node", "other").agg(
             F.min_by(F.struct(*s.keys(), "total_score", "match_type"),
-                     F.struct(-F.col("total_score"), F.col("match_type"))).alias("b")) \
+                     F.struct(-F.col("total_score"), F.col("match_type"), *[-F.col(k) for k in s.keys()])).alias("b")) \
             .select("node", "other", "b.*")
 
 
