@@ -93,14 +93,26 @@ nrt_reach{sfx}(s, d) AS (
 nrt_cl{sfx} AS (
   SELECT st.*, c.cluster_id FROM nrt_state{sfx} st JOIN (SELECT s AS node, min(d) AS cluster_id FROM nrt_reach{sfx} GROUP BY s) c USING (node)
 ),
-nrt_g0{sfx} AS (
+{gold(sfx, f"nrt_cl{sfx}")}"""
+
+
+def gold(sfx: str, cl: str) -> str:
+    """Golden + quality + hash over a clustered state CTE ``cl``."""
+    prio = "CASE source_system WHEN 'CRM_A' THEN 1 WHEN 'CRM_B' THEN 2 WHEN 'CRM_C' THEN 3 ELSE 99 END"
+
+    def pick(col, valid):
+        return (f"first({col} ORDER BY CASE WHEN {valid} THEN 0 ELSE 1 END, CASE WHEN {valid} THEN {prio} ELSE 0 END, "
+                f"event_ts DESC, source_system, source_key) FILTER (WHERE {col} IS NOT NULL AND length({col}) > 0) AS {col}")
+
+    terms = dq_stream_terms()
+    return f"""nrt_g0{sfx} AS (
   SELECT cluster_id,
     {pick('first_name', 'length(trim(first_name)) > 1')},
     {pick('last_name', 'length(trim(last_name)) > 1')},
     {pick('email', "strpos(email, '@') > 0")},
     {pick('phone', f"length({DIG('phone')}) >= 7")},
     count(DISTINCT source_system) AS source_count
-  FROM nrt_cl{sfx} GROUP BY cluster_id
+  FROM {cl} GROUP BY cluster_id
 ),
 nrt_gold{sfx} AS (
   SELECT cluster_id, first_name, last_name, email, phone, dq_score, source_count,
