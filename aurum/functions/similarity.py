@@ -11,7 +11,10 @@ characters, applied only when Jaro > 0.7.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +66,10 @@ def jaro_winkler_py(s: str | None, t: str | None) -> float | None:
     return j + prefix * 0.1 * (1.0 - j)
 
 
+# ship this module to the Python workers by value: executors need no install of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.DoubleType())
 def _jw_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler_py(x, y) for x, y in zip(a, b)], dtype="float64")
