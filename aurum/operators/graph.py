@@ -56,16 +56,22 @@ def _small_star(e: DataFrame) -> DataFrame:
     return spokes.unionByName(hub).distinct()
 
 
+def _is_star_forest(e: DataFrame) -> bool:
+    """Converged when every edge points high -> low to a root: each source has
+    one target and no target is itself a source (one job, two aggregations)."""
+    multi = e.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") > 1).select(F.lit(1).alias("x"))
+    chained = e.select(F.col("dst").alias("src")).distinct().join(e.select("src").distinct(), "src").select(F.lit(1).alias("x"))
+    return multi.unionByName(chained).limit(1).count() == 0
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """nodes(node), edges(src, dst) -> (node, component = smallest node of its component)."""
     e = edges.select("src", "dst").where(F.col("src") != F.col("dst"))
     e = e.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct().checkpoint()
     for _ in range(max_rounds):
-        nxt = _small_star(_large_star(e)).checkpoint()
-        if nxt.exceptAll(e).limit(1).count() == 0 and e.exceptAll(nxt).limit(1).count() == 0:
-            e = nxt
+        if _is_star_forest(e):
             break
-        e = nxt
+        e = _small_star(_large_star(e)).checkpoint()
     # converged: every edge is (member, root)
     lab = e.groupBy("src").agg(F.min("dst").alias("component")).withColumnRenamed("src", "node")
     return nodes.select("node").distinct().join(lab, "node", "left") \

@@ -24,7 +24,7 @@ _TABLES = {
     "addr_bs": lambda s, d: derived.addresses_raw(s, d, "BS"),
     "addr_nice": lambda s, d: derived.addresses_raw(s, d, "NICE"),
     "overrides": lambda s, d: derived.unmerge_overrides(s, d),
-    "persons": lambda s, d: derived.persons(s, d),
+    "persons": lambda s, d: derived._persons(s, d),
 }
 
 
@@ -43,6 +43,10 @@ def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    pkey = (spark.sparkContext.applicationId, sf_dir)
+    if name != "persons" and pkey not in derived._PERSONS_OVERRIDE:
+        # every feed copies from the persons table: land it first, derive from the landed copy
+        derived._PERSONS_OVERRIDE[pkey] = table(spark, sf_dir, "persons")
     path = landing_path(spark, sf_dir, name)
     if not _exists(spark, path):
         _TABLES[name](spark, sf_dir).write.mode("overwrite").parquet(path)

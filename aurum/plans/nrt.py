@@ -33,8 +33,9 @@ STATE_COLS = ["source_system", "source_key", "first_name", "last_name", "canonic
 
 
 def mapped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    recs = layer(spark, ("nrt_recs", sf_dir), lambda: map_events(raw_events(spark, sf_dir))[0])
-    rej = layer(spark, ("nrt_rejects", sf_dir), lambda: map_events(raw_events(spark, sf_dir))[1])
+    raw = layer(spark, ("nrt_raw", sf_dir), lambda: raw_events(spark, sf_dir))
+    recs = layer(spark, ("nrt_recs", sf_dir), lambda: map_events(raw)[0])
+    rej = layer(spark, ("nrt_rejects", sf_dir), lambda: map_events(raw)[1])
     return recs, rej
 
 
