@@ -351,3 +351,61 @@ def q_checks(spark, sf_dir):
                 .where(F.col("nxt").isNotNull() & (F.col("nxt") != F.col("valid_to")))),
     ]
     return C.union_checks(parts)
+
+
+@register("history_of_customer", V2_SQL + PS.history() + """,
+card_id AS (SELECT min(cluster_id) AS cluster_id FROM v2_golden WHERE organization = 'BANK'
+            AND source_count = (SELECT max(source_count) FROM v2_golden WHERE organization = 'BANK'))
+SELECT h.* FROM v2_history h JOIN card_id USING (cluster_id) WHERE h.organization = 'BANK'""", "HS-08")
+def q_hist_customer(spark, sf_dir):
+    gold = _gold(spark, sf_dir).where(F.col("organization") == "BANK")
+    pick = gold.join(gold.agg(F.max("source_count").alias("mx")), F.col("source_count") == F.col("mx")).agg(F.min("cluster_id").alias("cluster_id"))
+    h = pairwise.q_history_v2(spark, sf_dir).where(F.col("organization") == "BANK")
+    return h.join(pick, "cluster_id")
+
+
+# Postcode format per country (DQ-009) and the ISO-2 country shape (DQ-010).
+POSTCODE_BY_COUNTRY = [("NO", "^[0-9]{4}$"), ("SE", "^[0-9]{3} ?[0-9]{2}$"), ("DK", "^[0-9]{4}$"), ("PL", "^[0-9]{2}-[0-9]{3}$")]
+
+
+@register("dq_rules_extended", V2_SQL + """,
+pc AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', '{p}')" for c, p in POSTCODE_BY_COUNTRY) + """) AS t(land, pattern))
+SELECT a.cluster_id, a.organization, a.land, a.postnummer,
+  (a.postnummer IS NOT NULL AND pc.pattern IS NOT NULL AND NOT regexp_matches(a.postnummer, pc.pattern)) AS dq_009_postcode_by_country,
+  (a.land IS NULL OR NOT regexp_matches(a.land, '^[A-Z]{2}$')) AS dq_010_iso_country
+FROM a2_golden a LEFT JOIN pc ON pc.land = a.land""", "DQ-009, DQ-010")
+def q_dq_ext(spark, sf_dir):
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    ag = address_golden(addr, cl)
+    pc = F.broadcast(spark.createDataFrame(POSTCODE_BY_COUNTRY, "land string, pattern string"))
+    j = ag.join(pc, "land", "left")
+    return j.select("cluster_id", "organization", "land", "postnummer",
+                    (F.col("postnummer").isNotNull() & F.col("pattern").isNotNull() & ~F.expr("postnummer rlike pattern")).alias("dq_009_postcode_by_country"),
+                    (F.col("land").isNull() | ~F.col("land").rlike("^[A-Z]{2}$")).alias("dq_010_iso_country"))
+
+
+@register("candidate_pairs", PS.base() + """,
+cp AS (
+  SELECT 'ssn' AS block, organization || '|' || ssn AS k, node FROM v2_base WHERE ssn IS NOT NULL
+  UNION ALL SELECT 'soundex_year', organization || '|' || sdx || '|' || yr, node FROM v2_base WHERE sdx IS NOT NULL AND yr IS NOT NULL
+  UNION ALL SELECT 'soundex', organization || '|' || sdx, node FROM v2_base WHERE sdx IS NOT NULL
+  UNION ALL SELECT 'phone8', organization || '|' || ph8, node FROM v2_base WHERE ph8 IS NOT NULL
+)
+SELECT block, count(*) AS blocks, sum(n) AS records, CAST(sum(n * (n - 1) / 2) AS BIGINT) AS candidate_pairs, max(n) AS largest_block
+FROM (SELECT block, k, count(DISTINCT node) AS n FROM cp GROUP BY 1, 2) GROUP BY block""", "BLK-07, BLK-09, R7")
+def q_candidate_pairs(spark, sf_dir):
+    """Candidate-pair volume per blocking pass from block sizes alone: the
+    skew report that decides which passes stay groups (never a pair list)."""
+    r = pairwise.base_rows(pairwise.enriched(spark, sf_dir))
+    parts = [("ssn", ["organization", "ssn"]), ("soundex_year", ["organization", "sdx", "year"]),
+             ("soundex", ["organization", "sdx"]), ("phone8", ["organization", "ph8"])]
+    out = None
+    for name, cols in parts:
+        ok = F.lit(True)
+        for c in cols:
+            ok = ok & F.col(c).isNotNull()
+        p = r.where(ok).groupBy(*cols).agg(F.countDistinct("node").alias("n")).agg(
+            F.lit(name).alias("block"), F.count("*").alias("blocks"), F.sum("n").alias("records"),
+            F.sum((F.col("n") * (F.col("n") - 1) / 2)).cast("long").alias("candidate_pairs"), F.max("n").alias("largest_block"))
+        out = p if out is None else out.unionByName(p)
+    return out

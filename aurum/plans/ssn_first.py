@@ -129,6 +129,11 @@ def current(gold: DataFrame) -> DataFrame:
     return gold.withColumn("row_hash", row_hash(*TRACKED_V1, sep="::")).withColumn("pipeline_version", F.lit("v001"))
 
 
+def snapshots(g: DataFrame) -> DataFrame:
+    """Golden state of every (id, org) at each of its record dates (HS-01/02, R5)."""
+    return _snapshots(g)
+
+
 def history(g: DataFrame) -> DataFrame:
     """SCD2 history without the triangular join (HS-01..03, R5).
 
@@ -138,6 +143,15 @@ def history(g: DataFrame) -> DataFrame:
     boundary. Versions equal to their predecessor are dropped *before* the
     validity end is taken, so intervals are contiguous.
     """
+    snap = _snapshots(g)
+    key = ["match_id", "organization"]
+    return scd2(snap, key, "snapshot_date", TRACKED_V1, "::").select(
+        F.md5(F.concat_ws("::", "match_id", "organization")).alias("customer_id"),
+        "match_id", "organization", "first_name", "last_name", "birth_date", "citizenship", "phone", "email",
+        "source_count", "row_hash", "valid_from", "valid_to", "is_valid")
+
+
+def _snapshots(g: DataFrame) -> DataFrame:
     m = _matched(g)
     key = ["match_id", "organization"]
     tk = lambda c: F.when(F.col(c).isNotNull(), F.struct(
@@ -159,10 +173,7 @@ def history(g: DataFrame) -> DataFrame:
                     F.max("bd").over(w).alias("birth_date"), F.max("cz").over(w).alias("citizenship"),
                     F.min("ph").over(w)["v"].alias("phone"), F.min("em").over(w)["v"].alias("email"),
                     F.sum(F.coalesce("new_sources", F.lit(0))).over(w).cast("long").alias("source_count")))
-    return scd2(snap, key, "snapshot_date", TRACKED_V1, "::").select(
-        F.md5(F.concat_ws("::", "match_id", "organization")).alias("customer_id"),
-        "match_id", "organization", "first_name", "last_name", "birth_date", "citizenship", "phone", "email",
-        "source_count", "row_hash", "valid_from", "valid_to", "is_valid")
+    return snap
 
 
 def scd2(snap: DataFrame, key: list[str], date_col: str, tracked: list[str], sep: str) -> DataFrame:
@@ -395,3 +406,13 @@ def q_fuzzy_scores(spark, sf_dir):
     return s.select(F.col("qf").alias("canonical_first_name"), F.col("ql").alias("last_name_upper"),
                     F.col("ssn_min").alias("candidate_ssn"), F.round("score", 6).alias("jw_combined"),
                     F.round(F.max("score").over(w), 6).alias("max_jw_per_name"))
+
+
+@register("history_boundaries", V1_BASE + "\nSELECT DISTINCT match_id, organization, record_date AS snapshot_date FROM v1_m", "HS-01")
+def q_boundaries(spark, sf_dir):
+    return _matched(_groups(spark, sf_dir)).select("match_id", "organization", F.col("record_date").alias("snapshot_date")).distinct()
+
+
+@register("history_snapshots", SQL_HISTORY + "\nSELECT * FROM v1_snap", "HS-02, JN-06")
+def q_snapshots(spark, sf_dir):
+    return snapshots(_groups(spark, sf_dir))
