@@ -409,3 +409,79 @@ def q_candidate_pairs(spark, sf_dir):
             F.sum((F.col("n") * (F.col("n") - 1) / 2)).cast("long").alias("candidate_pairs"), F.max("n").alias("largest_block"))
         out = p if out is None else out.unionByName(p)
     return out
+
+
+RACE_FIELDS = ["first_name", "last_name", "phone", "email"]
+
+
+@register("survivorship_race", GOLD_ONLY + """,
+race_latest AS (
+  SELECT cluster_id, organization, source_system, """ + ", ".join(
+    f"first({f} ORDER BY record_date DESC, source_key, _source_file) AS {f}" for f in RACE_FIELDS) + """
+  FROM v2_grouped GROUP BY 1, 2, 3
+),
+race_long AS (""" + "\nUNION ALL\n".join(
+    f"SELECT r.cluster_id, r.organization, '{f}' AS field, r.source_system, r.{f} AS source_value, g.{f} AS golden_value "
+    f"FROM race_latest r JOIN v2_golden g ON g.cluster_id = r.cluster_id AND g.organization = r.organization" for f in RACE_FIELDS) + """)
+SELECT *, COALESCE(source_value = golden_value, FALSE) AS is_winner FROM race_long""", "GD-08")
+def q_race(spark, sf_dir):
+    """Per golden field, each source's latest value side by side with the survivor."""
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    from aurum.operators.survivorship import desc_date
+    e = enr.join(cl.select("source_system", "source_key", "organization", "cluster_id"), ["source_system", "source_key", "organization"])
+    latest = e.groupBy("cluster_id", "organization", "source_system").agg(
+        F.min_by(F.struct(*RACE_FIELDS), F.struct(desc_date("record_date"), F.col("source_key"), F.col("_source_file"))).alias("v"))
+    g = gold.select("cluster_id", "organization", *[F.col(f).alias("g_" + f) for f in RACE_FIELDS])
+    j = latest.join(g, ["cluster_id", "organization"])
+    st = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col("v." + f).alias("source_value"), F.col("g_" + f).alias("golden_value"))
+                             for f in RACE_FIELDS])).alias("x")
+    return j.select("cluster_id", "organization", "source_system", st).select(
+        "cluster_id", "organization", "x.field", "source_system", "x.source_value", "x.golden_value",
+        F.coalesce(F.col("x.source_value") == F.col("x.golden_value"), F.lit(False)).alias("is_winner"))
+
+
+@register("score_rules_extended", PS.clusters("parity", "transitive") + PS.addresses() + """,
+addr_latest AS (
+  SELECT organization, source_system, source_customer_key, first(gate ORDER BY file_date DESC, source_key) AS gate,
+         first(postnummer ORDER BY file_date DESC, source_key) AS postnummer, first("by" ORDER BY file_date DESC, source_key) AS city
+  FROM a2_union GROUP BY 1, 2, 3
+),
+nb AS (
+  SELECT b.*, a.gate, a.postnummer, a.city FROM v2_base b LEFT JOIN addr_latest a
+    ON a.organization = b.organization AND a.source_system = b.source_system AND a.source_customer_key = b.source_key
+)
+SELECT h.node, h.best_neighbor,
+  bool_or(COALESCE(lower(x.last_name) = lower(y.last_name) AND x.birth_date = y.birth_date, FALSE)) AS d03_name_dob,
+  CAST(max(CASE WHEN x.gate IS NOT NULL AND y.gate IS NOT NULL AND jaro_winkler_similarity(x.gate, y.gate) >= 0.80
+            AND x.postnummer = y.postnummer THEN 0.25 ELSE 0.0 END) AS DOUBLE) AS score_p02,
+  max(CAST(CASE WHEN length(regexp_replace(x.phone, '[^0-9]', '', 'g')) >= 7 AND length(regexp_replace(y.phone, '[^0-9]', '', 'g')) >= 7
+            AND right(regexp_replace(x.phone, '[^0-9]', '', 'g'), 7) = right(regexp_replace(y.phone, '[^0-9]', '', 'g'), 7)
+            AND x.city = y.city THEN 0.10 ELSE 0.0 END AS DOUBLE)) AS score_p05
+FROM v2_onehop h JOIN nb x ON x.node = h.node JOIN nb y ON y.node = h.best_neighbor
+GROUP BY 1, 2""", "SC-15")
+def q_extended_rules(spark, sf_dir):
+    """The specified-but-deferred rules D03 (last name + birth date, no published
+    weight: a flag), P02 (street JW >= 0.80 and same postcode: 0.25) and P05
+    (last 7 phone digits and same city: 0.10) on each record's best-neighbour edge."""
+    from aurum.functions import digits, jaro_winkler
+    from aurum.operators.survivorship import desc_date
+    from aurum.plans import inputs
+    enr = pairwise.enriched(spark, sf_dir)
+    g = pairwise.MatchGraph(enr, "parity", inputs.overrides(spark, sf_dir))
+    oh = g.one_hop().where(F.col("best_neighbor").isNotNull()).select("node", "best_neighbor")
+    a = pairwise.addresses(spark, sf_dir).groupBy("organization", "source_system", "source_customer_key").agg(
+        F.min_by(F.struct("gate", "postnummer", F.col("by").alias("city")), F.struct(desc_date("file_date"), F.col("source_key"))).alias("a"))
+    rows = g.rows.join(a, (g.rows.organization == a.organization) & (g.rows.source_system == a.source_system)
+                       & (g.rows.source_key == a.source_customer_key), "left") \
+        .select("node", "last_name", "birth_date", "phone", F.col("a.gate").alias("gate"), F.col("a.postnummer").alias("postnummer"),
+                F.col("a.city").alias("city"))
+    x = rows.select(*[F.col(c).alias("x_" + c) for c in rows.columns])
+    y = rows.select(*[F.col(c).alias("y_" + c) for c in rows.columns])
+    p = oh.join(x, oh.node == x.x_node).join(y, oh.best_neighbor == y.y_node)
+    dx, dy = digits("x_phone"), digits("y_phone")
+    return p.groupBy("node", "best_neighbor").agg(
+        F.bool_or(F.coalesce((F.lower("x_last_name") == F.lower("y_last_name")) & (F.col("x_birth_date") == F.col("y_birth_date")), F.lit(False))).alias("d03_name_dob"),
+        F.max(F.when(F.col("x_gate").isNotNull() & F.col("y_gate").isNotNull() & (jaro_winkler("x_gate", "y_gate") >= 0.80)
+                     & (F.col("x_postnummer") == F.col("y_postnummer")), 0.25).otherwise(0.0)).alias("score_p02"),
+        F.max(F.when((F.length(dx) >= 7) & (F.length(dy) >= 7) & (F.substring(dx, -7, 7) == F.substring(dy, -7, 7))
+                     & (F.col("x_city") == F.col("y_city")), 0.10).otherwise(0.0)).alias("score_p05"))
