@@ -485,3 +485,61 @@ def q_extended_rules(spark, sf_dir):
                      & (F.col("x_postnummer") == F.col("y_postnummer")), 0.25).otherwise(0.0)).alias("score_p02"),
         F.max(F.when((F.length(dx) >= 7) & (F.length(dy) >= 7) & (F.substring(dx, -7, 7) == F.substring(dy, -7, 7))
                      & (F.col("x_city") == F.col("y_city")), 0.10).otherwise(0.0)).alias("score_p05"))
+
+
+ADDR_FIELDS = ["gate", "postnummer", "by", "land"]
+
+
+@register("address_winners", V2_SQL + ",\nawin AS (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS field, e.source_system FROM a2_grouped e JOIN a2_golden g ON g.cluster_id = e.cluster_id "
+    f"AND g.organization = e.organization WHERE e.\"{f}\" IS NOT NULL AND e.\"{f}\" = g.\"{f}\"" for f in ADDR_FIELDS)
+    + ")\nSELECT field, source_system, count(*) AS rows_matching_golden FROM awin GROUP BY 1, 2", "AG-13")
+def q_addr_winners(spark, sf_dir):
+    enr, cl, gold, addr = v2_chain(spark, sf_dir)
+    ag = address_golden(addr, cl).select("cluster_id", "organization", *[F.col(f).alias("g_" + f) for f in ADDR_FIELDS])
+    c = cl.select("source_system", F.col("source_key").alias("source_customer_key"), "organization", "cluster_id")
+    e = addr.join(c, ["source_system", "source_customer_key", "organization"]).join(ag, ["cluster_id", "organization"])
+    st = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), (F.col(f).isNotNull() & (F.col(f) == F.col("g_" + f))).alias("hit"))
+                             for f in ADDR_FIELDS]))
+    return e.select("source_system", st.alias("x")).where("x.hit").groupBy(F.col("x.field").alias("field"), "source_system") \
+        .agg(F.count("*").alias("rows_matching_golden"))
+
+
+# The pairwise survivorship written as a rule *table* (data), turned into min_by rules (GD-04).
+RULE_TABLE = [
+    # output, validity, priority column
+    ("ssn", "not_null", "source"),
+    ("first_name", "len_gt_1", "source"),
+    ("last_name", "len_gt_1", "source"),
+    ("birth_date", "not_null", "source"),
+    ("citizenship", "not_null", "citizenship"),
+    ("phone", "digits_ge_8", "source"),
+    ("email", "has_at", "source"),
+]
+
+
+def rules_from_table(rows) -> list:
+    from aurum.functions import digits
+    from aurum.operators.survivorship import Rule, desc_date
+    valid = {
+        "not_null": lambda c: F.col(c).isNotNull(),
+        "len_gt_1": lambda c: F.length(F.trim(F.coalesce(c, F.lit("")))) > 1,
+        "digits_ge_8": lambda c: F.col(c).isNotNull() & (F.length(digits(c)) >= 8),
+        "has_at": lambda c: F.col(c).like("%@%"),
+    }
+    prio = {"source": F.col("_prio"), "citizenship": F.col("_cprio")}
+    tie = [desc_date("record_date"), F.col("source_system"), F.col("source_key"), F.col("_source_file")]
+    return [Rule(r["output"], F.col(r["output"]), [prio[r["priority"]], *tie], valid[r["validity"]](r["output"]), fallback=True)
+            for r in rows]
+
+
+@register("survive_generic", GOLD_ONLY + "\nSELECT cluster_id, organization, ssn, first_name, last_name, birth_date, citizenship, phone, email FROM v2_gold0",
+          "GD-04")
+def q_survive_generic(spark, sf_dir):
+    from aurum.operators.survivorship import survive
+    enr, cl = clusters_for(spark, sf_dir)
+    table = spark.createDataFrame(RULE_TABLE, "output string, validity string, priority string")
+    rows = table.collect()  # the rule table: a handful of rows of metadata, never data
+    grouped = enr.join(cl.select("source_system", "source_key", "organization", "cluster_id"), ["source_system", "source_key", "organization"]) \
+        .withColumn("_prio", pairwise.source_priority()).withColumn("_cprio", pairwise.citizenship_priority())
+    return survive(grouped, ["cluster_id", "organization"], rules_from_table(rows))
