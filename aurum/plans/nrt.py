@@ -399,3 +399,66 @@ for _name, _col, _ids in [("block_soundex", "block_soundex", "BLK-03, BLK-09"),
 SELECT {_col} AS block_key, count(*) AS records, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS candidate_pairs
 FROM nrt_state WHERE {_col} IS NOT NULL GROUP BY 1""", _ids)(
         lambda spark, sf_dir, _c=_col: block_stats(state_all(spark, sf_dir), _c))
+
+
+# ------------------------------------------------------------------------------------ address stream (RT-08)
+
+from aurum.operators.quality import address_rules  # noqa: E402
+from aurum.sources.derived import CITIES, _pick  # noqa: E402
+
+
+def address_state(state: DataFrame) -> DataFrame:
+    """CRM address records keyed to the customer records they belong to (derived
+    from the person behind each key; CRM_C abbreviates the street for k%3=0)."""
+    k = F.substring("source_key", 2, 20).cast("long")
+    street = F.when((F.col("source_system") == "CRM_C") & (k % 3 == 0), F.concat(F.lit("Storg. "), (1 + k % 120).cast("string"))) \
+        .otherwise(F.concat(F.lit("Storgata "), (1 + k % 120).cast("string")))
+    return state.select(
+        "source_system", F.concat(F.lit("ADDR-"), F.col("source_key")).alias("source_key"), F.col("source_key").alias("source_customer_key"),
+        street.alias("gate"), F.lpad(((k * 37) % 10000).cast("string"), 4, "0").alias("postnummer"),
+        F.when(k % 30 == 7, F.lit(None).cast("string")).otherwise(_pick(CITIES, k % 4)).alias("by"),
+        F.lit("NO").alias("land"), "event_ts")
+
+
+def address_golden(addr: DataFrame, clustered: DataFrame) -> DataFrame:
+    """Link addresses to stream clusters, survive by validity -> priority -> recency, score."""
+    c = clustered.select("source_system", F.col("source_key").alias("source_customer_key"), "cluster_id")
+    g = addr.join(c, ["source_system", "source_customer_key"])
+    prio = F.coalesce(*[F.when(F.col("source_system") == k, F.lit(v)) for k, v in rules.STREAM_PRIORITY.items()], F.lit(99))
+    rec = -F.unix_micros(F.col("event_ts").cast("timestamp"))
+    tie = [prio, rec, F.col("source_system"), F.col("source_key")]
+    out = survive(g, ["cluster_id"], [
+        Rule("gate", F.col("gate"), tie, F.length(F.trim(F.coalesce("gate", F.lit("")))) >= 3, fallback=True),
+        Rule("postnummer", F.col("postnummer"), tie, F.col("postnummer").isNotNull(), fallback=True),
+        Rule("by", F.col("by"), tie, F.col("by").isNotNull(), fallback=True),
+        Rule("land", F.col("land"), tie, F.col("land").isNotNull(), fallback=True),
+    ])
+    return score_quality(out, address_rules())
+
+
+@register("nrt_address_pipeline", NS.events() + NS.chain("", ALL) + f""",
+addr AS (
+  SELECT source_system, 'ADDR-' || source_key AS source_key, source_key AS source_customer_key,
+    CASE WHEN source_system = 'CRM_C' AND CAST(substr(source_key, 2) AS BIGINT) % 3 = 0
+         THEN 'Storg. ' ELSE 'Storgata ' END || CAST(1 + CAST(substr(source_key, 2) AS BIGINT) % 120 AS VARCHAR) AS gate,
+    lpad(CAST((CAST(substr(source_key, 2) AS BIGINT) * 37) % 10000 AS VARCHAR), 4, '0') AS postnummer,
+    CASE WHEN CAST(substr(source_key, 2) AS BIGINT) % 30 = 7 THEN NULL
+         ELSE {NS.lst(CITIES)}[CAST(substr(source_key, 2) AS BIGINT) % 4 + 1] END AS "by",
+    'NO' AS land, event_ts
+  FROM nrt_state
+),
+ag AS (
+  SELECT c.cluster_id, a.* FROM addr a JOIN nrt_cl c ON c.source_system = a.source_system AND c.source_key = a.source_customer_key
+),
+ag0 AS (
+  SELECT cluster_id,
+    first(gate ORDER BY CASE WHEN length(trim(COALESCE(gate, ''))) >= 3 THEN 0 ELSE 1 END, p, event_ts DESC, source_system, source_key) AS gate,
+    first(postnummer ORDER BY CASE WHEN postnummer IS NOT NULL THEN 0 ELSE 1 END, p, event_ts DESC, source_system, source_key) AS postnummer,
+    first("by" ORDER BY CASE WHEN "by" IS NOT NULL THEN 0 ELSE 1 END, p, event_ts DESC, source_system, source_key) AS "by",
+    first(land ORDER BY CASE WHEN land IS NOT NULL THEN 0 ELSE 1 END, p, event_ts DESC, source_system, source_key) AS land
+  FROM (SELECT *, CASE source_system WHEN 'CRM_A' THEN 1 WHEN 'CRM_B' THEN 2 WHEN 'CRM_C' THEN 3 ELSE 99 END AS p FROM ag)
+  GROUP BY cluster_id
+)
+SELECT *, {NS.dq_score(NS.dq_address_terms())} AS dq_score FROM ag0""", "RT-08, GD-05")
+def q_nrt_address(spark, sf_dir):
+    return address_golden(address_state(state_all(spark, sf_dir)), clusters_all(spark, sf_dir))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from aurum import rules
-from aurum.plans.sqlfrag import dq_fired, dq_score, dq_stream_terms, lst, row_hash, s, soundex
+from aurum.plans.sqlfrag import dq_address_terms, dq_fired, dq_score, dq_stream_terms, lst, row_hash, s, soundex
 from aurum.sources.derived import FIRST_NAMES, LAST_NAMES, MAIL_DOMAINS
 
 DIG = lambda c: f"regexp_replace({c}, '[^0-9]', '', 'g')"
@@ -130,4 +130,4 @@ FROM {new} n FULL OUTER JOIN (SELECT cluster_id, row_hash FROM {old}) o ON n.clu
 WHERE n.row_hash IS NULL OR o.row_hash IS NULL OR n.row_hash <> o.row_hash"""
 
 
-__all__ = ["events", "chain", "golden_events_sql", "dq_fired", "s"]
+__all__ = ["events", "chain", "golden_events_sql", "dq_fired", "s", "lst", "dq_score", "dq_address_terms"]
