@@ -379,7 +379,7 @@ GOLD_SQL = PS.clusters("parity", "transitive") + PS.golden()
 
 
 @register("golden_v2", GOLD_SQL + "\nSELECT cluster_id, organization, ssn, first_name, last_name, birth_date, citizenship, "
-          "phone, email, record_date, source_count, dq_score FROM v2_golden", "GD-02, WN-02, WN-03, AG-01, AG-02, DQ-001..X03")
+          "phone, email, record_date, source_count, dq_score FROM v2_golden", "GD-02, WN-02, WN-03, AG-01, AG-02, JN-05, DQ-001, DQ-002, DQ-003, DQ-004, DQ-005, DQ-006, DQ-007, DQ-008, DQ-N03, DQ-AI01, DQ-X03")
 def q_golden_v2(spark, sf_dir):
     enr, cl = clusters_for(spark, sf_dir)
     return golden(enr, cl).select(*GOLDEN_OUT)
@@ -461,7 +461,7 @@ def q_xref_customer(spark, sf_dir):
 
 @register("address_groups", V2_SQL + """
 SELECT DISTINCT cluster_id, organization, source_system, source_key, source_customer_key,
-       concat_ws('|', organization, source_system, source_key) AS address_id FROM a2_grouped""", "JN-09")
+       concat_ws('|', organization, source_system, source_key) AS address_id FROM a2_grouped""", "JN-09, ST-02")
 def q_address_groups(spark, sf_dir):
     _, cl, _, addr = v2_chain(spark, sf_dir)
     return address_groups(addr, cl)

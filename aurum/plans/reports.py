@@ -22,12 +22,12 @@ def _gold(spark, sf_dir):
     return v2_chain(spark, sf_dir)[2]
 
 
-@register("dq_score_bulk", GOLD_ONLY + "\nSELECT cluster_id, organization, dq_score FROM v2_golden", "DQ-001..X03 (bulk)")
+@register("dq_score_bulk", GOLD_ONLY + "\nSELECT cluster_id, organization, dq_score FROM v2_golden", "DQ-001, DQ-002, DQ-003, DQ-004, DQ-005, DQ-006, DQ-007, DQ-008, DQ-N03, DQ-AI01, DQ-X03, DQ-ENG")
 def q_dq_bulk(spark, sf_dir):
     return _gold(spark, sf_dir).select("cluster_id", "organization", "dq_score")
 
 
-@register("dq_score_nrt", NS.events() + NS.chain("", "TRUE") + "\nSELECT cluster_id, dq_score FROM nrt_gold", "DQ-001..X03 (stream), DQ-C01, DQ-C02")
+@register("dq_score_nrt", NS.events() + NS.chain("", "TRUE") + "\nSELECT cluster_id, dq_score FROM nrt_gold", "DQ-001, DQ-002, DQ-003, DQ-004, DQ-005, DQ-006, DQ-007, DQ-008, DQ-C01, DQ-C02, DQ-X03")
 def q_dq_nrt(spark, sf_dir):
     return nrt.golden(nrt.clusters_all(spark, sf_dir)).select("cluster_id", "dq_score")
 
@@ -320,7 +320,7 @@ chk AS (
 SELECT check_name, violations, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM chk"""
 
 
-@register("quality_gates", CHECK_SQL, "CK-01..CK-10, JN-10")
+@register("quality_gates", CHECK_SQL, "CK-01..10, JN-10")
 def q_checks(spark, sf_dir):
     from aurum.plans import inputs
     enr, cl, gold, addr = v2_chain(spark, sf_dir)

@@ -355,7 +355,7 @@ def q_groups_v1(spark, sf_dir):
                                          "candidate_ssn")
 
 
-@register("golden_v1", SQL_GOLDEN, "GD-01, WN-01, AG-01, AG-02, FN-13, DQ-CMP")
+@register("golden_v1", SQL_GOLDEN, "GD-01, WN-01, AG-01, AG-02, FN-13, DQ-CMP, PRJ-09, ST-02")
 def q_golden_v1(spark, sf_dir):
     return golden(_groups(spark, sf_dir))
 
