@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aurum import rules
-from aurum.functions import md5_key, norm_email, norm_phone, ssn_date_valid, ssn_mod11_valid, title_case
+from aurum.functions import ssn_date_valid, ssn_mod11_valid
 
 
 def org_table(spark: SparkSession) -> DataFrame:
@@ -166,4 +166,4 @@ def fake_name_flag(df: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 __all__ = ["union_customers_v1", "enrich_v1", "union_customers_v2", "union_addresses", "enrich_v2",
-           "file_date", "org_table", "nickname_table", "fake_name_flag", "md5_key", "norm_email", "norm_phone", "title_case"]
+           "file_date", "org_table", "nickname_table", "fake_name_flag", "org_fanout"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aurum.functions import digits, soundex_nordic
+from aurum.functions import digits
 from aurum.functions.similarity import jaro_winkler
 
 
@@ -94,4 +94,4 @@ def stream_total(s: dict[str, Column] | None = None) -> Column:
     return F.greatest(s["score_d01"], s["score_d02"], s["score_c01"]) + s["score_p01"] + s["score_p03"] + s["score_p04"]
 
 
-__all__ = ["pairwise_rules", "pairwise_total", "stream_rules", "stream_total", "soundex_nordic"]
+__all__ = ["pairwise_rules", "pairwise_total", "stream_rules", "stream_total"]

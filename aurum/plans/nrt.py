@@ -121,8 +121,7 @@ def golden(clustered: DataFrame) -> DataFrame:
         rule("phone", F.length(digits("phone")) >= 7),
     ], [F.size(F.collect_set("source_system")).cast("long").alias("source_count")])
     g = score_quality(g, customer_rules_stream())
-    return g.withColumn("row_hash", F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
-                                                              for c in ["first_name", "last_name", "email", "phone", "dq_score", "source_count"]]), 256)) \
+    return g.withColumn("row_hash", row_hash("first_name", "last_name", "email", "phone", "dq_score", "source_count", sep="|")) \
         .select("cluster_id", "first_name", "last_name", "email", "phone", "dq_score", "source_count", "row_hash")
 
 

@@ -63,13 +63,6 @@ TOTAL = "greatest(score_d01, score_d02, score_c01) + score_p01 + score_p03 + sco
 
 def chain(sfx: str, where: str) -> str:
     """State, matched pairs, closure, clusters and golden for the events passing ``where``."""
-    prio = "CASE source_system WHEN 'CRM_A' THEN 1 WHEN 'CRM_B' THEN 2 WHEN 'CRM_C' THEN 3 ELSE 99 END"
-
-    def pick(col, valid):
-        return (f"first({col} ORDER BY CASE WHEN {valid} THEN 0 ELSE 1 END, CASE WHEN {valid} THEN {prio} ELSE 0 END, "
-                f"event_ts DESC, source_system, source_key) FILTER (WHERE {col} IS NOT NULL AND length({col}) > 0) AS {col}")
-
-    terms = dq_stream_terms()
     return f""",
 nrt_state{sfx} AS (
   SELECT * EXCLUDE (rn), source_system || '|' || source_key AS node FROM (

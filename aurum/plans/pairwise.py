@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aurum import rules
-from aurum.functions import digits, row_hash
+from aurum.functions import digits
 from aurum.operators import graph
 from aurum.operators.fuzzy import similar_values
 from aurum.operators.harmonise import enrich_v2, union_addresses, union_customers_v2
@@ -337,19 +337,14 @@ def address_history(addr: DataFrame, cl: DataFrame) -> DataFrame:
 
 
 __all__ = ["enriched", "MatchGraph", "clusters", "golden", "history", "addresses", "address_groups",
-           "address_golden", "address_history", "row_hash"]
+           "address_golden", "address_history"]
 
 
 # ------------------------------------------------------------------------------------ queries
 
 from aurum.plans import pairwise_sql as PS  # noqa: E402
 from aurum.plans.catalog import register  # noqa: E402
-from aurum.plans.sqlfrag import dq_address_terms, dq_bulk_terms, dq_fired, dq_score, tier  # noqa: E402,F401
-
-
-def _graph(spark, sf_dir, blocks):
-    enr = enriched(spark, sf_dir)
-    return enr, MatchGraph(enr, blocks, inputs.overrides(spark, sf_dir))
+from aurum.plans.sqlfrag import tier  # noqa: E402
 
 
 def clusters_for(spark, sf_dir, blocks="parity", mode="transitive"):
@@ -402,7 +397,6 @@ def q_address_golden(spark, sf_dir):
 
 # ------------------------------------------------------------------------------------ serving
 
-from aurum.functions import dq_tier  # noqa: E402
 from aurum.operators import serving  # noqa: E402
 
 V2_SQL = PS.clusters("parity", "transitive") + PS.golden() + PS.address_golden()
