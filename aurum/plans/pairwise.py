@@ -524,9 +524,9 @@ c360_addr AS (
          max(CASE WHEN is_primary THEN gate END) AS primary_gate, max(CASE WHEN is_primary THEN "by" END) AS primary_by,
          max(CASE WHEN is_primary THEN postnummer END) AS primary_postnummer, max(CASE WHEN is_primary THEN land END) AS primary_land,
          max(CASE WHEN is_primary THEN dq_score END) AS primary_address_dq_score,
-         to_json(list({'address_id': cluster_id || '|' || organization || '|' || address_type, 'type': address_type, 'gate': gate,
+         CAST(to_json(list({'address_id': cluster_id || '|' || organization || '|' || address_type, 'type': address_type, 'gate': gate,
                        'by': "by", 'postnummer': postnummer, 'land': land, 'is_primary': is_primary, 'dq_score': dq_score}
-                      ORDER BY address_type, gate)) AS all_addresses
+                      ORDER BY address_type, gate)) AS VARCHAR) AS all_addresses
   FROM a2_golden GROUP BY cluster_id, organization
 )
 SELECT g.cluster_id, g.first_name, g.last_name, g.first_name || ' ' || g.last_name AS full_name, g.email, g.phone,

@@ -391,7 +391,7 @@ cp AS (
   UNION ALL SELECT 'soundex', organization || '|' || sdx, node FROM v2_base WHERE sdx IS NOT NULL
   UNION ALL SELECT 'phone8', organization || '|' || ph8, node FROM v2_base WHERE ph8 IS NOT NULL
 )
-SELECT block, count(*) AS blocks, sum(n) AS records, CAST(sum(n * (n - 1) / 2) AS BIGINT) AS candidate_pairs, max(n) AS largest_block
+SELECT block, count(*) AS blocks, CAST(sum(n) AS BIGINT) AS records, CAST(sum(n * (n - 1) / 2) AS BIGINT) AS candidate_pairs, max(n) AS largest_block
 FROM (SELECT block, k, count(DISTINCT node) AS n FROM cp GROUP BY 1, 2) GROUP BY block""", "BLK-07, BLK-09, R7")
 def q_candidate_pairs(spark, sf_dir):
     """Candidate-pair volume per blocking pass from block sizes alone: the
