@@ -130,3 +130,32 @@ def q_pipeline_run(spark, sf_dir):
     for o in out[1:]:
         res = res.unionByName(o)
     return res
+
+
+def _addr_sql() -> str:
+    from aurum.sources.derived import CITIES
+    k = "CAST(substr(source_key, 2) AS BIGINT)"
+    return f""",
+st_addr AS (
+  SELECT cluster_id, source_system, 'ADDR-' || source_key AS source_key, event_ts,
+    CASE WHEN source_system = 'CRM_C' AND {k} % 3 = 0 THEN 'Storg. ' ELSE 'Storgata ' END || CAST(1 + {k} % 120 AS VARCHAR) AS gate,
+    lpad(CAST(({k} * 37) % 10000 AS VARCHAR), 4, '0') AS postnummer,
+    CASE WHEN {k} % 30 = 7 THEN NULL ELSE {NS.lst(CITIES)}[{k} % 4 + 1] END AS "by", 'NO' AS land,
+    CASE source_system WHEN 'CRM_A' THEN 1 WHEN 'CRM_B' THEN 2 WHEN 'CRM_C' THEN 3 ELSE 99 END AS p
+  FROM st_cl
+),
+st_ag AS (
+  SELECT cluster_id,
+    first(gate ORDER BY CASE WHEN length(trim(COALESCE(gate, ''))) >= 3 THEN 0 ELSE 1 END, p, event_ts DESC, source_system, source_key) AS gate,
+    first(postnummer ORDER BY CASE WHEN postnummer IS NOT NULL THEN 0 ELSE 1 END, p, event_ts DESC, source_system, source_key) AS postnummer,
+    first("by" ORDER BY CASE WHEN "by" IS NOT NULL THEN 0 ELSE 1 END, p, event_ts DESC, source_system, source_key) AS "by",
+    first(land ORDER BY CASE WHEN land IS NOT NULL THEN 0 ELSE 1 END, p, event_ts DESC, source_system, source_key) AS land
+  FROM st_addr GROUP BY cluster_id
+)
+SELECT *, {NS.dq_score(NS.dq_address_terms())} AS dq_score FROM st_ag"""
+
+
+@register("nrt_address_stream", _stream_sql() + _addr_sql(), "RT-08, RT-02")
+def q_address_stream(spark, sf_dir):
+    store, v = _run(spark, sf_dir)
+    return store.read("address_golden", v).select("cluster_id", "gate", "postnummer", "by", "land", "dq_score")

@@ -106,6 +106,13 @@ def process_batch(store: StateStore, batch: DataFrame, batch_id: int) -> None:
     else:
         before = old_gold.join(affected, "cluster_id", "left_semi")
         store.write("golden", batch_id, old_gold.join(affected, "cluster_id", "left_anti").unionByName(fresh))
+    # address stream (RT-08): addresses of the touched clusters, linked, survived, scored
+    fresh_addr = nrt.address_golden(nrt.address_state(new_state), new_cl.join(affected, "cluster_id", "left_semi"))
+    old_addr = store.read("address_golden", prev)
+    if old_addr is None:
+        store.write("address_golden", batch_id, fresh_addr)
+    else:
+        store.write("address_golden", batch_id, old_addr.join(affected, "cluster_id", "left_anti").unionByName(fresh_addr))
     events = nrt.golden_events(before, fresh, "1970-01-01 00:00:00").withColumn("valid_from", F.lit(None).cast("timestamp"))
     store.append("cdc_golden", batch_id, events)
     xold = old_cl if old_cl is not None else new_cl.limit(0)
