@@ -64,3 +64,23 @@ def tokenizer_file(name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def merge_spans(spans: Column) -> Column:
+    """Sorted, disjoint (start, end) of an array of structs with ``start`` and ``end``."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    return F.aggregate(ordered, none, lambda acc, s: F.when(
+        (F.size(acc) > 0) & (s["start"] < F.element_at(acc, -1)["end"]),
+        F.concat(F.slice(acc, 1, F.size(acc) - 1),
+                 F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end")))),
+    ).otherwise(F.concat(acc, F.array(s))))
+
+
+def replace_spans(text: Column, spans: Column, with_: str) -> Column:
+    """``text`` with each of the (merged) spans replaced by ``with_``. Offsets are code points from 0."""
+    merged = merge_spans(spans)
+    starts = F.concat(F.array(F.lit(0)), F.transform(merged, lambda s: s["end"]))
+    ends = F.concat(F.transform(merged, lambda s: s["start"]), F.array(F.length(text)))
+    kept = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda p: text.substr(p["a"] + F.lit(1), p["b"] - p["a"]))
+    return F.array_join(kept, with_)
