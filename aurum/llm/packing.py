@@ -6,9 +6,9 @@ best fit for a piece of s tokens is the lowest set bit at or above s. If none
 fits, a bin is opened; if too many are then open, the fullest is closed first.
 
 Every task packs its own stream of documents (tokenised there; no text or
-token ids are shuffled). The few bins that a task still holds open at its end
-are packed again as whole items, by the same packer in falling order of size,
-in far fewer tasks. Memory per task is bounded by the open bins.
+token ids are shuffled). The pieces in the few bins that a task still holds
+open at its end are packed again, longest first, by the same packer in far
+fewer tasks. Memory per task is bounded by the open bins.
 
 Semantics: a document is its token ids and an end id; null text is empty, so
 it is the end id alone. Documents longer than ``capacity`` are cut; the first
@@ -133,17 +133,16 @@ class BestFit:
 PIECES = ["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset", "used"]
 
 
+def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=PIECES)
+
+
 def _pack(path: str, end_id: int, capacity: int, max_open: int):
     def run(batches):
         tok, packer = byte_bpe(path), BestFit(capacity, max_open)
         own = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
 
-        def batch():
-            cols = list(zip(*rows))
-            rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=PIECES)
-
         for b in batches:
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 ids = np.append(tok.encode(text), np.uint32(end_id)).astype("<u4")
@@ -154,46 +153,48 @@ def _pack(path: str, end_id: int, capacity: int, max_open: int):
                     for closed, items in packer.add(j - i, item):
                         rows += [(*x, own + closed, offset, None) for offset, x in items]
             if len(rows) >= 20_000:
-                yield batch()
+                yield _piece_batch(rows)
+                rows = []
         for k, used, items in packer.rest():
             rows += [(*x, own + k, offset, used) for offset, x in items]
         if rows:
-            yield batch()
+            yield _piece_batch(rows)
     return run
 
 
 def _repack(capacity: int, max_open: int):
-    """(bin, used) in falling order -> (bin, new bin, base): where a bin's contents go."""
+    """Pieces in falling length -> packed pieces."""
     def run(batches):
         packer = BestFit(capacity, max_open)
-        done: list[tuple] = []
+        own = (1 << 60) + (TaskContext.get().partitionId() << 40)
+        rows: list[tuple] = []
         for b in batches:
-            for old, used in zip(b.column("bin").to_pylist(), b.column("used").to_pylist()):
-                for _, items in packer.add(used, old):
-                    done += [(x, items[0][1], base) for base, x in items]
-        for _, _, items in packer.rest():
-            done += [(x, items[0][1], base) for base, x in items]
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done)], names=["bin", "into", "base"])
+            for item in zip(*(b.column(c).to_pylist() for c in PIECES[:5])):
+                for closed, items in packer.add(item[3], item):
+                    rows += [(*x, own + closed, offset, None) for offset, x in items]
+            if len(rows) >= 20_000:
+                yield _piece_batch(rows)
+                rows = []
+        for k, used, items in packer.rest():
+            rows += [(*x, own + k, offset, used) for offset, x in items]
+        if rows:
+            yield _piece_batch(rows)
     return run
 
 
-def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, max_open: int = 512, repack_bins: int = 50_000,
+def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, max_open: int = 512, repack_bins: int = 8192,
          vocab: str | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece.
 
-    ``max_open`` open bins per packer; a repacking task takes about ``repack_bins`` leftover bins.
+    ``max_open`` open bins per packer; a repacking task takes the contents of about ``repack_bins`` leftover bins.
     """
     path = vocab or tokenizer_file(VOCAB_FILE)
     schema = ", ".join(f"{c} long" for c in PIECES)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     placed = materialise(source.mapInArrow(_pack(path, end_id, capacity, max_open), schema), "packed-pieces")
     closed, left = placed.where("used is null"), placed.where("used is not null")
-    bins = left.select("bin", "used").distinct()
-    tasks = max(1, round(bins.count() / repack_bins))
-    moved = bins.repartition(tasks, F.pmod(F.xxhash64("bin"), F.lit(tasks))).sortWithinPartitions(F.desc("used"), "bin") \
-        .mapInArrow(_repack(capacity, max_open), "bin long, into long, base long")
-    # the new bin is named after the first bin that went into it, so its id is free of other use
-    left = left.join(moved, "bin").withColumns({"bin": F.col("into"), "offset": F.col("offset") + F.col("base")})
-    return closed.unionByName(left.select(closed.columns)) \
+    tasks = max(1, round((left.agg(F.sum("length")).first()[0] or 0) / (capacity * repack_bins)))
+    again = left.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32")) \
+        .sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32").mapInArrow(_repack(capacity, 2 * repack_bins), schema)
+    return closed.unionByName(again) \
         .select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset")
