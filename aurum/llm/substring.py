@@ -228,14 +228,14 @@ def hot_anchors(texts: DataFrame, size: int, sample_rows: int = 10_000, share: f
 
 
 def _confirm(batches):
-    """Runs in order of anchor -> runs of confirmed windows (key, pos, n). Holds the rows of about one batch, or one anchor."""
+    """Runs in order of anchor -> runs of confirmed windows (key, pos, n, shared). Holds the rows of about one batch, or one anchor."""
     def settle(t: pa.Table):
         anchor = t.column("anchor").to_numpy()
         seen = t.column("seen").to_numpy()
         key, pos, n = (t.column(c).to_numpy() for c in ("key", "pos", "n"))
         done = seen == 0
         if done.any():
-            yield _found(key[done], pos[done], n[done])
+            yield _found(key[done], pos[done], n[done], True)
         group = np.cumsum(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         # only anchors with more than one row can confirm anything
         rows = np.flatnonzero(~done & (np.bincount(group[~done], minlength=int(group[-1]) + 1)[group] > 1))
@@ -261,7 +261,7 @@ def _confirm(batches):
             start, length = _runs(np.concatenate([[True], (np.diff(at) != 1) | (owner[at[1:]] != owner[at[:-1]])]))
             r = owner[at[start]]
             inside = at[start] - (np.cumsum(count) - count)[r]
-            yield _found(key[rows[r]], pos[rows[r]] + inside, length)
+            yield _found(key[rows[r]], pos[rows[r]] + inside, length, False)
 
     held: list[pa.RecordBatch] = []
     for b in batches:
@@ -280,8 +280,10 @@ def _confirm(batches):
         yield from settle(pa.Table.from_batches(held))
 
 
-def _found(key, pos, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], names=["key", "pos", "n"])
+def _found(key, pos, n, shared: bool) -> pa.RecordBatch:
+    """``shared``: the run also stands for other documents, so its ends are phrases even where it touches another run."""
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array([shared] * len(key))],
+                                      names=["key", "pos", "n", "shared"])
 
 
 def cover(runs: list[tuple[int, int]], size: int) -> list[int]:
@@ -337,13 +339,16 @@ def _dedup_shard(size: int, schema: pa.Schema):
         keys = docs.column("_key").to_pylist()
         texts = [words(t) for t in docs.column("_text").to_pylist()]
         at = dict(zip(keys, range(len(keys))))
-        by_key: dict[int, list[tuple[int, int]]] = {}
-        for key, pos, n in zip(*(runs.column(c).to_pylist() for c in ("key", "pos", "n"))):
-            by_key.setdefault(key, []).append((pos, n))
-        phrases = set()
-        for key, own in by_key.items():
-            ws = texts[at[key]]
-            phrases.update(b" ".join(ws[p:p + size]) for p in cover(own, size))
+        own: dict[int, list[tuple[int, int]]] = {}
+        places: dict[int, set[int]] = {}
+        for key, pos, n, shared in zip(*(runs.column(c).to_pylist() for c in ("key", "pos", "n", "shared"))):
+            if shared:
+                places.setdefault(key, set()).update(cover([(pos, n)], size))
+            else:
+                own.setdefault(key, []).append((pos, n))
+        for key, found in own.items():
+            places.setdefault(key, set()).update(cover(found, size))
+        phrases = {b" ".join(texts[at[key]][p:p + size]) for key, found in places.items() for p in found}
         spans = locate(texts, phrases)
         kept, removed = [], []
         for ws, cut in zip(texts, spans):
@@ -373,7 +378,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, text: str = "text") -> D
     texts = source.where(F.col("_text") != "").select(F.col("_key").alias("key"), F.col("_text").alias("text"))
     hot = hot_anchors(texts, size)
     hashed = texts.mapInArrow(_hash_windows(size, shards, hot), RUN_SCHEMA)
-    confirmed = hashed.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(_confirm, "key long, pos int, n int")
+    confirmed = hashed.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(_confirm, "key long, pos int, n int, shared boolean")
     shard = lambda c: F.pmod(F.col(c), F.lit(shards))
     out = source.drop("_key", "_text").withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit("")}).schema
     return source.withColumn("_shard", shard("_key")).groupBy("_shard") \
