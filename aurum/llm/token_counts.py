@@ -47,7 +47,8 @@ BLOCK_CHARS, BLOCK_POSTINGS = 24_000_000, 2_000_000
 #: a pre-token in so many documents of a block is dealt over SALTS tasks
 HOT, SALTS = 256, 16
 HEAD = "#"
-COLUMNS = ["token", "salt", "block", "width", "postings"]
+#: the lowest bit of ``block`` tells that its postings are pairs of 16 bits, not 32
+COLUMNS = ["token", "block", "postings"]
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -97,17 +98,14 @@ def _blocks(batches):
         raw = np.stack([d[order], f[order]], axis=1).astype("<u2" if small else "<u4").tobytes()
         offsets = np.concatenate([[0], np.cumsum(uses) * width])
         ids = np.array(keys, "<i8")
-        salt = np.where(uses >= HOT, 1 + (block + (block >> 32)) % SALTS, 0).astype(np.int32)
         names = list(at)
         for i in range(0, len(names), 50_000):
             j = min(len(names), i + 50_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[i:j], pa.string()), pa.array(salt[i:j]), pa.array(np.full(j - i, block)),
-                 pa.array(np.full(j - i, width, np.int32)), _binary(offsets[i:j + 1], raw)], names=COLUMNS)
+                [pa.array(names[i:j], pa.string()), pa.array(np.full(j - i, 2 * block + small)), _binary(offsets[i:j + 1], raw)], names=COLUMNS)
         # the block's document keys travel once, under a name that no pre-token has
         yield pa.RecordBatch.from_arrays(
-            [pa.array([f"{HEAD}{block}"]), pa.array([0], pa.int32()), pa.array([block]), pa.array([0], pa.int32()),
-             pa.array([ids.tobytes()], pa.binary())], names=COLUMNS)
+            [pa.array([f"{HEAD}{block}"]), pa.array([2 * block + small]), pa.array([ids.tobytes()], pa.binary())], names=COLUMNS)
 
     for b in batches:
         for k1, k2, text in zip(*(b.column(c).to_pylist() for c in ("k1", "k2", "text"))):
@@ -143,7 +141,7 @@ def _merge(path: str):
             tokens = b.column("token").to_pylist()
             fresh = [t for t, before in zip(tokens, [last, *tokens]) if t != before and t[0] != HEAD]
             counts = iter(count_pieces(fresh, path))
-            for t, block, width, post in zip(tokens, *(b.column(c).to_pylist() for c in ("block", "width", "postings"))):
+            for t, block, post in zip(tokens, *(b.column(c).to_pylist() for c in ("block", "postings"))):
                 if t[0] == HEAD:
                     last = t
                     yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([post], pa.binary()), pa.array([None], pa.binary())],
@@ -151,7 +149,7 @@ def _merge(path: str):
                     continue
                 if t != last:
                     last, last_n = t, next(counts)
-                p = np.frombuffer(post, "<u2" if width == 4 else "<u4").reshape(-1, 2)
+                p = np.frombuffer(post, "<u2" if block & 1 else "<u4").reshape(-1, 2)
                 s = sums.get(block)
                 top = int(p[-1, 0]) + 1
                 if s is None or len(s) < top:
@@ -189,8 +187,9 @@ def token_counts(docs: DataFrame, text: str = "text", limit: int = 4096, vocab:
     partitions = shuffle_partitions(docs.sparkSession)
     full = text_or_empty(text)
     keyed = docs.select(full.alias("text"), *[c.alias(n) for n, c in text_key(text).items()]).where(F.col("text") != "")
-    posts = keyed.mapInArrow(_blocks, "token string, salt int, block long, width int, postings binary")
-    partial = posts.repartition(partitions, "token", "salt").sortWithinPartitions("token") \
+    posts = keyed.mapInArrow(_blocks, "token string, block long, postings binary")
+    salt = F.when(F.length("postings") >= 4 * HOT, F.pmod(F.col("block") + F.shiftright("block", 33), F.lit(SALTS))).otherwise(0)
+    partial = posts.repartition(partitions, "token", salt).sortWithinPartitions("token") \
         .mapInArrow(_merge(path), "block long, docs binary, sums binary")
     counted = partial.groupBy("block").applyInPandas(_by_document, "k1 long, k2 long, n_tokens long") \
         .groupBy("k1", "k2").agg(F.max("n_tokens").alias("_n"))
