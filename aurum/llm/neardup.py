@@ -16,13 +16,16 @@ The joining, without a pair list of any group:
 2. nodes are banded (``BANDS`` x ``ROWS`` coordinates). In each band group
    every member is tested against the smallest and the largest node, by exact
    similarity of the shingle sets, and links give components;
-3. groups whose members then lie in different components have their remaining
-   cross-component pairs tested. A large one is first divided by a second band
-   (members must agree in both), so that texts which only share a very common
-   passage part company; within the parts all cross-component pairs are tested.
+3. groups whose members then lie in different components are looked at whole.
+   A large one is first divided by further bands (members must agree in all of
+   them), which parts texts that only share a very common passage. A group's
+   pairs of different components whose signatures agree in ``AGREE`` of the
+   coordinates are tested exactly, and each link joins two components at once,
+   so a group gives fewer links than it has members.
 
-Nothing is capped: star tests only save tests that could not change a class.
-A pair of similarity 0.8 shares no band with probability 7e-5.
+Nothing is capped: tests left out could not change a class. A pair of
+similarity 0.8 shares no band with probability 7e-5, and agrees in fewer than
+``AGREE`` coordinates with probability 8e-5.
 
 Semantics: words are white-space separated, lower-cased. A text with one to
 four words is one shingle. Null and wordless texts are classes of their own
@@ -47,8 +50,10 @@ ship_by_value(__name__)
 SHINGLE = 5
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
-#: a group up to this many members has its cross-component pairs tested as it is
-SMALL = 64
+#: a group up to this many members is looked at whole; larger ones are divided, at most DEPTH times
+SMALL, DEPTH = 4000, 5
+#: coordinates of K in which a pair agrees before it is tested exactly
+AGREE = 80
 RANK_UNIT = 1 << 20  # resolution of a dart's rank
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: P(Poisson(1) <= n)
@@ -165,12 +170,15 @@ def _sign(batches):
 
 
 def _shingle_sets(batches):
+    """Shingle sets, and signatures in 32 bits a coordinate."""
     memo = _memo()
     for b in batches:
         for i in range(0, b.num_rows, 500):
             part = b.slice(i, 500)
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([shingles(t, memo).tobytes() for t in part.column("text").to_pylist()], pa.binary())],
-                                             names=["node", "s"])
+            sets = [shingles(t, memo) for t in part.column("text").to_pylist()]
+            sig = (dart_minhash(sets) & np.uint64(0xFFFFFFFF)).astype("<u4")
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary())],
+                                             names=["node", "s", "sig"])
 
 
 def jaccard(a: bytes, b: bytes) -> float:
@@ -187,17 +195,35 @@ def _test_pairs(batches):
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sims, pa.float64())], names=["a", "b", "sim"])
 
 
-def links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+def links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of nodes whose exact similarity reaches the threshold."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-    text = docs.join(wanted, ["doc_id", "k1", "k2"]).select("node", "text")
-    sets = materialise(text.mapInArrow(_shingle_sets, "node long, s binary").groupBy("node").agg(F.first("s").alias("s")), "neardup-shingles")
     tested = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b") \
         .mapInArrow(_test_pairs, "a long, b long, sim double")
     return tested.where(F.col("sim") >= threshold).select("a", "b")
 
 
+def _join_components(threshold: float):
+    """One group: links between its components, each of which joins two."""
+    def run(group: pa.Table) -> pa.Table:
+        node, n, sets = group.column("node").to_pylist(), group.column("n").to_numpy(), group.column("s").to_pylist()
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), "<u4").reshape(len(node), -1)
+        root = np.unique(group.column("component").to_numpy(), return_inverse=True)[1]
+        out = []
+        for i in range(len(node) - 1):
+            rest = slice(i + 1, len(node))
+            fits = (root[rest] != root[i]) & (np.minimum(n[rest], n[i]) >= np.maximum(n[rest], n[i]) * threshold - 1e-9)
+            if not fits.any():
+                continue
+            at = i + 1 + np.flatnonzero(fits)
+            for j in at[(sig[at] == sig[i]).sum(axis=1) >= AGREE]:
+                if root[j] != root[i] and jaccard(sets[i], sets[j]) >= threshold:
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+                    root[root == root[j]] = root[i]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+    return run
+
+
 def _star(groups: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     """Pairs of every member with the smallest and the largest node of its group."""
     ends = groups.groupBy(*keys).agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")) \
@@ -212,19 +238,17 @@ def _pairs(p: DataFrame, threshold: float) -> DataFrame:
     return p.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _cross(groups: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    """Pairs of members of one group in different components."""
-    left = groups.select(*keys, F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    right = groups.select(*keys, F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    return _pairs(left.join(right, keys).where(F.col("cx") < F.col("cy")), threshold)
-
-
 def _open(groups: DataFrame, keys: list[str]) -> DataFrame:
     """Keys and sizes of the groups that lie in more than one component."""
     return groups.groupBy(*keys).agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")) \
         .where(F.col("c0") != F.col("c1")).select(*keys, "size")
 
 
+def _components(members: DataFrame, edges: DataFrame) -> DataFrame:
+    found = connected_components(members.select("node"), edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return materialise(found, "neardup-components")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, class_id), one row per row of ``docs``."""
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"), *[c.alias(n) for n, c in text_key(text).items()])
@@ -236,26 +260,32 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text",
     shared = banded.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1").drop("size")
     groups = materialise(banded.join(shared, keys), "neardup-groups")
 
-    readable = keyed.withColumn("doc_id", F.coalesce("doc_id", "k1"))
-    by_node = nodes.select("node", F.col("node").alias("doc_id"), "k1", "k2")
-    first = materialise(_star(groups, keys, threshold), "neardup-pairs")
-    linked = materialise(links(first, by_node, readable, threshold), "neardup-links")
-    members = groups.select("node").distinct()
-    component = materialise(connected_components(members, linked.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "neardup-components")
+    members = materialise(groups.select("node").distinct().join(nodes.select("node", "k1", "k2"), "node"), "neardup-members")
+    text = keyed.withColumn("node", F.coalesce("doc_id", "k1")).join(members, ["node", "k1", "k2"]).select("node", "text")
+    # repeated rows of one node are equal
+    sets = materialise(text.mapInArrow(_shingle_sets, "node long, s binary, sig binary").groupBy("node").agg(F.first("s").alias("s"), F.first("sig").alias("sig")), "neardup-sets")
+    linked = materialise(links(_star(groups, keys, threshold), sets, threshold), "neardup-links")
+    component = _components(members, linked)
 
     labelled = groups.join(component, "node")
-    unsettled = _open(labelled, keys)
-    rest = materialise(labelled.join(unsettled, keys), "neardup-open")
-    # a large open group is divided by each later band in which its members agree
-    second = nodes.join(rest.where(F.col("size") > SMALL).select("node", "band", "key", "component").withColumnRenamed("band", "b1"), "node") \
-        .select("node", "n", "component", "b1", F.col("key").alias("k1"), F.posexplode("bands").alias("band", "key")).where("band > b1")
-    fine = ["b1", "k1", "band", "key"]
-    divided = second.join(_open(second, fine).drop("size"), fine)
-    more = _cross(rest.where(F.col("size") <= SMALL), keys, threshold).unionByName(_cross(divided, fine, threshold)).distinct()
-    more = materialise(more.join(first, ["a", "b"], "left_anti"), "neardup-more")
+    rest = materialise(labelled.join(_open(labelled, keys), keys), "neardup-open")
+    more = None
+    for depth in range(DEPTH):
+        whole = rest if depth == DEPTH - 1 else rest.where(F.col("size") <= SMALL)
+        found = whole.select(*keys, "node", "n", "component").join(sets, "node").groupBy(*keys) \
+            .applyInArrow(_join_components(threshold), "a long, b long")
+        more = found if more is None else more.unionByName(found)
+        large = rest.where(F.col("size") > SMALL)
+        if depth == DEPTH - 1 or large.isEmpty():
+            break
+        # divided by each later band in which members agree; the new key names all bands so far
+        bands = nodes.select("node", F.posexplode("bands").alias("next", "next_key"))
+        parts = large.join(bands, "node").where(F.col("next") > F.col("band")) \
+            .select("node", "n", "component", F.xxhash64("band", "key", "next", "next_key").alias("key"), F.col("next").alias("band"))
+        rest = materialise(parts.join(_open(parts, keys), keys), "neardup-open")
+    more = materialise(more.distinct(), "neardup-links")
     if not more.isEmpty():
-        linked = linked.unionByName(materialise(links(more, by_node, readable, threshold), "neardup-links"))
-        component = materialise(connected_components(members, linked.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "neardup-components")
+        component = _components(members, linked.unionByName(more))
 
     named = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))

@@ -290,8 +290,9 @@ def test_signature_does_not_depend_on_its_batch():
         assert (neardup.dart_minhash([s])[0] == together[k]).all()
 
 
-def test_near_duplicates(spark, awkward, no_docs, monkeypatch):
-    monkeypatch.setattr(neardup, "SMALL", 3)
+@pytest.mark.parametrize("small", [True, False])
+def test_near_duplicates(spark, awkward, no_docs, monkeypatch, small):
+    monkeypatch.setattr(neardup, "SMALL", 3 if small else 500)
     rng = random.Random(4)
     texts = list(awkward)
     for g in range(12):  # groups of near copies around the threshold, chains included
