@@ -2,7 +2,7 @@
 
 Spark has no built-in for it, so the score itself is an Arrow-batched pandas
 UDF. It is only ever called on *distinct value pairs* that survived an exact,
-JVM-side upper bound (:func:`jw_upper_bound`), never on record pairs.
+JVM-side upper bound (:func:`jw_upper_bound`), and on the record edges that a report scores.
 
 Definition (0..1): Jaro with match window max(|a|,|b|)//2 - 1, transpositions
 halved; Winkler boost prefix_scale 0.1 on a common prefix of at most 4
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -70,9 +71,57 @@ def jaro_winkler_py(s: str | None, t: str | None) -> float | None:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def jaro_winkler_many(left: list[str], right: list[str]) -> np.ndarray:
+    """Jaro-Winkler of many pairs at once: the loops run over character positions, each step over all pairs."""
+    out = np.zeros(len(left))
+    for at in range(0, len(left), 4096):
+        out[at:at + 4096] = _pairs(left[at:at + 4096], right[at:at + 4096])
+    return out
+
+
+def _codes(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points [pair, position], padded, and the lengths."""
+    lengths = np.array([len(v) for v in values])
+    width = max(1, int(lengths.max(initial=0)))
+    return np.array(values, f"U{width}").view(np.uint32).reshape(len(values), width), lengths
+
+
+def _pairs(left: list[str], right: list[str]) -> np.ndarray:
+    s, ls = _codes(left)
+    t, lt = _codes(right)
+    window = np.maximum(np.maximum(ls, lt) // 2 - 1, 0)
+    widest = int(window.max(initial=0))
+    s_hit, t_hit = np.zeros(s.shape, bool), np.zeros(t.shape, bool)
+    for i in range(s.shape[1]):
+        free = i < ls
+        for j in range(max(0, i - widest), min(t.shape[1], i + widest + 1)):
+            hit = free & (j < lt) & (abs(i - j) <= window) & ~t_hit[:, j] & (s[:, i] == t[:, j])
+            t_hit[:, j] |= hit
+            s_hit[:, i] |= hit
+            free &= ~hit
+    m = s_hit.sum(axis=1)
+    # matched characters of both sides in order: positions that differ are transpositions
+    k = min(s.shape[1], t.shape[1])
+    sm = np.take_along_axis(s, np.argsort(~s_hit, axis=1, kind="stable"), 1)[:, :k]
+    tm = np.take_along_axis(t, np.argsort(~t_hit, axis=1, kind="stable"), 1)[:, :k]
+    moved = ((sm != tm) & (np.arange(k) < m[:, None])).sum(axis=1) // 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        j = np.where(m > 0, (m / ls + m / lt + (m - moved) / m) / 3.0, 0.0)
+    same = np.ones(len(left), bool)
+    prefix = np.zeros(len(left))
+    for i in range(min(4, k)):
+        same &= (s[:, i] == t[:, i]) & (i < ls) & (i < lt)
+        prefix += same
+    return np.where(j > 0.7, j + prefix * 0.1 * (1.0 - j), j)
+
+
 @F.pandas_udf(T.DoubleType())
 def _jw_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([jaro_winkler_py(x, y) for x, y in zip(a, b)], dtype="float64")
+    known = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), np.nan)
+    if known.any():
+        out[known] = jaro_winkler_many(a[known].tolist(), b[known].tolist())
+    return pd.Series(out).where(known, None).astype("float64")
 
 
 def jaro_winkler(a, b) -> Column:
@@ -105,12 +154,3 @@ def jw_upper_bound(len_a, len_b, overlap) -> Column:
     m = F.least(overlap, len_a, len_b).cast("double")
     j = F.when(m == 0, F.lit(0.0)).otherwise((m / len_a + m / len_b + 1.0) / 3.0)
     return j + 0.4 * (1.0 - j)
-
-
-def min_partner_len(n: int, threshold: float) -> int:
-    """Smallest partner length that can still reach ``threshold`` against length n."""
-    import math
-    j_min = (threshold - 0.4) / 0.6
-    # (1 + r + 1) / 3 >= j_min  ->  r >= 3 j_min - 2
-    r = max(3 * j_min - 2, 0.0)
-    return max(1, math.ceil(r * n - 1e-9))

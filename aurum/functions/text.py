@@ -17,10 +17,16 @@ def blank_to_null(c) -> Column:
     return F.when(F.length(F.trim(c)) > 0, c)
 
 
+def capitalise(c) -> Column:
+    """Trimmed, lower-cased, and a capital after every non-letter ('anne-marie o'brien' -> 'Anne-Marie O'Brien')."""
+    parts = F.split(F.lower(F.trim(_c(c))), r"(?<=[^\p{L}])")
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), p.substr(F.lit(2), F.length(p)))), "")
+
+
 def title_case(c) -> Column:
-    """INITCAP(TRIM(x)); blank -> NULL (stream mappers do the same)."""
+    """Capitalised text; blank -> NULL (stream mappers do the same)."""
     c = _c(c)
-    return F.when(F.length(F.trim(c)) > 0, F.initcap(F.trim(c)))
+    return F.when(F.length(F.trim(c)) > 0, capitalise(c))
 
 
 def norm_email(c) -> Column:
@@ -58,10 +64,6 @@ def soundex_nordic(c) -> Column:
     return F.when(F.length(F.trim(c)) > 0, F.soundex(folded))
 
 
-def md5_key(*cols) -> Column:
-    return F.md5(F.concat(*[F.coalesce(_c(x).cast("string"), F.lit("")) for x in cols]))
-
-
 def row_hash(*cols, sep: str = "|") -> Column:
     """SHA-256 over tracked attributes, NULL -> '' (dates as yyyy-MM-dd)."""
     return F.sha2(F.concat_ws(sep, *[F.coalesce(_c(x).cast("string"), F.lit("")) for x in cols]), 256)
@@ -75,16 +77,5 @@ def dq_tier(c) -> Column:
     return expr.otherwise(rules.DQ_TIER_FLOOR)
 
 
-def is_valid_email(c) -> Column:
-    c = _c(c)
-    return c.isNotNull() & c.rlike(rules.EMAIL_PATTERN)
-
-
-def name_len_ok(c) -> Column:
-    """Name present and longer than one character after trim."""
-    c = _c(c)
-    return c.isNotNull() & (F.length(F.trim(c)) > 1)
-
-
 def full_name(first, last) -> Column:
     return F.concat_ws(" ", _c(first), _c(last))

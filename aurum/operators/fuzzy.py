@@ -2,53 +2,77 @@
 
 Record pairs are never formed here: the search runs on the *distinct values*
 of each side (copies of a name collapse to one row) and keeps the value pairs
-whose Jaro-Winkler similarity reaches a threshold. Two exact filters run
-JVM-side before the Arrow UDF is called:
-
-1. partner length band: JW >= t needs Jaro >= (t - 0.4) / 0.6, which bounds the
-   length ratio, so each value meets only partners in a length band (an
-   equi-join on the exploded partner length, not a cross join);
-2. character-overlap bound: the multiset character overlap bounds the Jaro
-   match count, hence JW from above.
+whose Jaro-Winkler similarity reaches a threshold. Everything before the score
+itself is an exact filter on the JVM side:
+
+1. signatures. With p common leading characters (p = 0..4), JW >= t needs
+   Jaro >= (t - 0.1 p) / (1 - 0.1 p), hence at least need(p) matching characters
+   in either value. Two values with that many characters in common share one
+   of the first length - need(p) + 1 characters of each, in a fixed order that
+   starts with rare letters. So every value emits (p, leading characters,
+   character) for those, and candidates are an equi-join on that signature;
+2. the multiset character overlap bounds the Jaro match count, hence JW from
+   above.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aurum.functions.similarity import jaro_winkler, jw_upper_bound, tagged_chars
 
+# letters from rare to common: only an order, any one is right
+RARITY = "QXZWÆØÅCJYVPFUBGMDHKTOLISRNAE"
+
+
+def _share(threshold: float, prefix: int) -> float:
+    """Least share of a value's characters that must match when ``prefix`` leading characters agree."""
+    j = (threshold - 0.1 * prefix) / (1.0 - 0.1 * prefix)
+    return max(0.0, 3.0 * j - 2.0)
+
+
+def _signatures(value: Column, threshold: float) -> Column:
+    """Signatures by which any partner with JW >= threshold (and > 0) is met."""
+    n = F.length(value)
+    # second and later occurrences of a letter are rarer than first ones
+    tags = F.array_sort(F.transform(tagged_chars(value), lambda x: F.struct(
+        (-F.substring(x, 2, 4).cast("int")).alias("k"), F.instr(F.lit(RARITY), F.upper(F.substring(x, 1, 1))).alias("r"), x.alias("x"))))
+    parts = []
+    for p in range(5):
+        need = F.greatest(F.lit(1), F.ceil(n * F.lit(_share(threshold, p)) - F.lit(1e-9)).cast("int"))
+        own = _own(tags, n, need, value, p)
+        parts.append(F.when(n >= p, own).otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(*parts))
+
 
-def _ratio(threshold: float) -> float:
-    j_min = (threshold - 0.4) / 0.6
-    return max(3.0 * j_min - 2.0, 0.05)
+def _own(tags: Column, n: Column, need: Column, value: Column, p: int) -> Column:
+    head = F.concat(F.lit(f"{p}"), F.substring(value, 1, p), F.lit("|"))
+    return F.transform(F.slice(tags, 1, F.greatest(F.lit(0), n - need + 1)), lambda s: F.concat(head, s["x"]))
+
+
+def candidates(left: DataFrame, right: DataFrame, threshold: float, lcol: str = "value", rcol: str = "value",
+               keys: list[str] | None = None) -> DataFrame:
+    """Distinct value pairs (keys..., left_value, right_value) that may reach the threshold."""
+    keys = keys or []
+
+    def side(df: DataFrame, col: str, name: str) -> DataFrame:
+        v = df.select(*keys, F.col(col).alias(name)).where(F.col(name).isNotNull() & (F.length(name) > 0)).distinct()
+        return v.withColumn("signature", F.explode(_signatures(F.col(name), threshold)))
+
+    pairs = side(left, lcol, "left_value").join(side(right, rcol, "right_value"), [*keys, "signature"]) \
+        .select(*keys, "left_value", "right_value").distinct()
+    overlap = F.size(F.array_intersect(tagged_chars("left_value"), tagged_chars("right_value")))
+    return pairs.where(jw_upper_bound(F.length("left_value"), F.length("right_value"), overlap) >= F.lit(threshold - 1e-9))
 
 
 def similar_values(left: DataFrame, right: DataFrame, threshold: float,
                    lcol: str = "value", rcol: str = "value", keys: list[str] | None = None) -> DataFrame:
-    """Distinct value pairs (keys..., left_value, right_value, jw) with jw >= threshold.
+    """Distinct value pairs (keys..., left_value, right_value, jw) with jw >= threshold and > 0.
 
     ``keys`` restricts the search to values sharing the key columns (a block).
     """
-    keys = keys or []
-    r = _ratio(threshold)
-    lv = (left.select(*keys, F.col(lcol).alias("left_value")).where(F.col("left_value").isNotNull()).distinct()
-          .withColumn("l_len", F.length("left_value"))
-          .where(F.col("l_len") > 0)
-          .withColumn("l_tags", tagged_chars("left_value"))
-          .withColumn("partner_len", F.explode(F.sequence(
-              F.greatest(F.lit(1), F.ceil(F.col("l_len") * F.lit(r) - F.lit(1e-9)).cast("int")),
-              F.floor(F.col("l_len") / F.lit(r) + F.lit(1e-9)).cast("int")))))
-    rv = (right.select(*keys, F.col(rcol).alias("right_value")).where(F.col("right_value").isNotNull()).distinct()
-          .withColumn("r_len", F.length("right_value"))
-          .where(F.col("r_len") > 0)
-          .withColumn("r_tags", tagged_chars("right_value")))
-    rv = rv.withColumn("partner_len", F.col("r_len"))
-    pairs = lv.join(rv, [*keys, "partner_len"])
-    bound = jw_upper_bound(F.col("l_len"), F.col("r_len"), F.size(F.array_intersect("l_tags", "r_tags")))
-    cand = pairs.where(bound >= F.lit(threshold - 1e-9)).select(*keys, "left_value", "right_value")
-    scored = cand.withColumn(
+    scored = candidates(left, right, threshold, lcol, rcol, keys).withColumn(
         "jw", F.when(F.col("left_value") == F.col("right_value"), F.lit(1.0))
         .otherwise(jaro_winkler("left_value", "right_value")))
-    return scored.where(F.col("jw") >= F.lit(threshold))
+    return scored.where((F.col("jw") >= F.lit(threshold)) & (F.col("jw") > 0))

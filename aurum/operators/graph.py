@@ -31,7 +31,8 @@ def group_minima(members: DataFrame) -> DataFrame:
 def star_edges(members: DataFrame) -> DataFrame:
     """Star edges (node, group minimum) for every non-minimum member."""
     m = members.select("gid", "node").distinct()
-    mins = m.groupBy("gid").agg(F.min("node").alias("root"))
+    # a written table on the other side lets AQE split the join where one group is hot
+    mins = m.groupBy("gid").agg(F.min("node").alias("root")).checkpoint()
     return m.join(mins, "gid").where(F.col("node") != F.col("root")).select(F.col("node").alias("src"), F.col("root").alias("dst"))
 
 
@@ -42,7 +43,8 @@ def _undirected(e: DataFrame) -> DataFrame:
 
 def _large_star(e: DataFrame) -> DataFrame:
     u = _undirected(e)
-    m = u.groupBy("src").agg(F.min("dst").alias("m")).withColumn("m", F.least("m", "src"))
+    u = u.checkpoint()
+    m = u.groupBy("src").agg(F.min("dst").alias("m")).withColumn("m", F.least("m", "src")).checkpoint()
     return u.join(m, "src").where(F.col("dst") > F.col("src")) \
         .select(F.col("dst").alias("src"), F.col("m").alias("dst")).distinct()
 
@@ -50,7 +52,8 @@ def _large_star(e: DataFrame) -> DataFrame:
 def _small_star(e: DataFrame) -> DataFrame:
     # orient every edge high -> low, star each node's lower neighbourhood on its minimum
     o = e.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).where(F.col("src") != F.col("dst")).distinct()
-    m = o.groupBy("src").agg(F.min("dst").alias("m"))
+    o = o.checkpoint()
+    m = o.groupBy("src").agg(F.min("dst").alias("m")).checkpoint()
     spokes = o.join(m, "src").where(F.col("dst") != F.col("m")).select(F.col("dst").alias("src"), F.col("m").alias("dst"))
     hub = m.select("src", F.col("m").alias("dst"))
     return spokes.unionByName(hub).distinct()

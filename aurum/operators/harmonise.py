@@ -7,12 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aurum import rules
-from aurum.functions import ssn_date_valid, ssn_mod11_valid
-
-
-def org_table(spark: SparkSession) -> DataFrame:
-    """The two organisations (fixed, two rows: broadcast is size-safe)."""
-    return spark.createDataFrame([(o,) for o in rules.ORGANIZATIONS], "organization string")
+from aurum.functions import capitalise, ssn_date_valid, ssn_mod11_valid
 
 
 def org_fanout() -> Column:
@@ -84,7 +79,7 @@ def union_customers_v2(freg: DataFrame, bs: DataFrame, nice: DataFrame) -> DataF
     s = T.StringType()
     f = freg.withColumn("organization", org_fanout()).select(
         F.lit("FREG").alias("source_system"), F.col("ssn").alias("source_key"), "ssn",
-        F.initcap(F.trim("first_name")).alias("first_name"), F.initcap(F.trim("last_name")).alias("last_name"),
+        capitalise("first_name").alias("first_name"), capitalise("last_name").alias("last_name"),
         "birth_date", "citizenship", F.lit(None).cast(s).alias("phone"), F.lit(None).cast(s).alias("email"),
         "record_date", "organization", "_source_file",
     )
@@ -92,7 +87,7 @@ def union_customers_v2(freg: DataFrame, bs: DataFrame, nice: DataFrame) -> DataF
     def crm(df: DataFrame, name: str, key: Column) -> DataFrame:
         return df.select(
             F.lit(name).alias("source_system"), key.alias("source_key"), "ssn",
-            F.initcap(F.trim("first_name")).alias("first_name"), F.initcap(F.trim("last_name")).alias("last_name"),
+            capitalise("first_name").alias("first_name"), capitalise("last_name").alias("last_name"),
             F.lit(None).cast("date").alias("birth_date"), F.lit(None).cast(s).alias("citizenship"),
             F.regexp_replace("phone", r"[^0-9+]", "").alias("phone"), F.lower(F.trim("email")).alias("email"),
             "record_date", "organization", "_source_file",
@@ -114,8 +109,8 @@ def union_addresses(a_freg: DataFrame, a_bs: DataFrame, a_nice: DataFrame) -> Da
         return df.withColumn("organization", org_fanout()).select(
             F.lit(name).alias("source_system"), F.col("src_address_id").alias("source_key"),
             F.col("src_customer_id").alias("source_customer_key"),
-            F.initcap(F.trim("gate")).alias("gate"), F.trim("postnummer").alias("postnummer"),
-            F.initcap(F.trim("by")).alias("by"), F.upper(F.trim("land")).alias("land"),
+            capitalise("gate").alias("gate"), F.trim("postnummer").alias("postnummer"),
+            capitalise("by").alias("by"), F.upper(F.trim("land")).alias("land"),
             "organization", "_source_file", file_date(F.col("_source_file")).alias("file_date"),
         )
 
@@ -135,24 +130,24 @@ def enrich_v2(union: DataFrame, canonical: str = "initcap", nicknames: DataFrame
     """
     out = union.withColumn("ssn_valid", ssn_date_valid("ssn"))
     if canonical == "nickname":
-        nick = F.broadcast(nicknames if nicknames is not None else nickname_table(union.sparkSession))
+        nick = nicknames if nicknames is not None else F.broadcast(nickname_table(union.sparkSession))
         out = (
             out.join(nick, F.upper(F.trim("first_name")) == F.col("nickname"), "left")
             .withColumn("canonical_first_name",
                         F.when(F.length(F.trim("first_name")) > 1,
-                               F.initcap(F.coalesce(F.col("canonical"), F.trim("first_name"))))
+                               capitalise(F.coalesce(F.col("canonical"), F.trim("first_name"))))
                         .otherwise(F.col("first_name")))
             .drop("nickname", "canonical")
         )
     else:
-        out = out.withColumn("canonical_first_name", F.initcap(F.trim("first_name")))
+        out = out.withColumn("canonical_first_name", capitalise("first_name"))
     return out.withColumn("is_fake_name", F.lit(False))
 
 
 def fake_name_flag(df: DataFrame, tokens: DataFrame) -> DataFrame:
     """Rule-based fake/test-name flag (FN-11 re-aimed): any name token in the
-    token table (broadcast, small by construction) or a digit in the name."""
-    tok = F.broadcast(tokens.select(F.upper("token").alias("token")).distinct())
+    token table or a digit in the name."""
+    tok = tokens.select(F.upper("token").alias("token")).distinct()
     names = df.select("source_system", "source_key", "organization",
                       F.explode(F.array(F.upper(F.trim("first_name")), F.upper(F.trim("last_name")))).alias("token"))
     hits = names.join(tok, "token", "left_semi").select("source_system", "source_key", "organization").distinct() \
@@ -166,4 +161,4 @@ def fake_name_flag(df: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 __all__ = ["union_customers_v1", "enrich_v1", "union_customers_v2", "union_addresses", "enrich_v2",
-           "file_date", "org_table", "nickname_table", "fake_name_flag", "org_fanout"]
+           "file_date", "nickname_table", "fake_name_flag", "org_fanout"]

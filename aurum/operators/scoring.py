@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aurum.functions import digits
+from aurum.functions import digits, soundex_nordic
 from aurum.functions.similarity import jaro_winkler
 
 
@@ -38,7 +38,7 @@ def pairwise_rules(jw_full: Column | None = None) -> dict[str, Column]:
     if jw_full is None:
         jw_full = jaro_winkler(F.concat(_a("canonical_first_name"), F.lit(" "), _a("last_name")),
                                F.concat(_b("canonical_first_name"), F.lit(" "), _b("last_name")))
-    sa, sb = F.soundex(_a("last_name")), F.soundex(_b("last_name"))
+    sa, sb = soundex_nordic(_a("last_name")), soundex_nordic(_b("last_name"))
     s = {
         "score_d01": F.when(ssn_eq & names_eq, 1.0).otherwise(0.0),
         "score_d01b": F.when(ssn_eq & ~names_eq, 0.98).otherwise(0.0),

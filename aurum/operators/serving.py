@@ -74,7 +74,7 @@ def cross_org(gold: DataFrame) -> DataFrame:
 
 
 def _contains(c: str, q: str):
-    return F.col(c).ilike(f"%{q}%")
+    return F.lower(c).contains(q.lower())
 
 
 def search(gold: DataFrame, q: str, limit: int = 20) -> DataFrame:

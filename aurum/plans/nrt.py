@@ -178,7 +178,7 @@ def score_best_edges(state: DataFrame) -> DataFrame:
 def block_stats(state: DataFrame, col: str) -> DataFrame:
     """Block sizes and implied candidate pairs per key (BLK-09): n (n-1) / 2."""
     return state.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("block_key")).agg(F.count("*").alias("records")) \
-        .withColumn("candidate_pairs", (F.col("records") * (F.col("records") - 1) / 2).cast("long"))
+        .withColumn("candidate_pairs", F.shiftright(F.col("records") * (F.col("records") - 1), 1))
 
 
 # ------------------------------------------------------------------------------------ queries

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aurum import rules
-from aurum.functions import digits
+from aurum.functions import digits, soundex_nordic
 from aurum.operators import graph
 from aurum.operators.fuzzy import similar_values
 from aurum.operators.harmonise import enrich_v2, union_addresses, union_customers_v2
@@ -52,7 +52,7 @@ def base_rows(enr: DataFrame) -> DataFrame:
     d = digits("phone")
     return (enr.select("organization", "source_system", "source_key", *NODE_ATTRS).distinct()
             .withColumn("node", node_id())
-            .withColumn("sdx", F.soundex("last_name"))
+            .withColumn("sdx", soundex_nordic("last_name"))
             .withColumn("year", F.substring(F.col("birth_date").cast("string"), 1, 4))
             .withColumn("ph8", F.when(F.col("phone").isNotNull() & (F.length(d) >= 8), F.substring(d, -8, 8)))
             .withColumn("full", F.when(F.col("canonical_first_name").isNotNull() & F.col("last_name").isNotNull(),

@@ -57,9 +57,9 @@ def q_dq_hist(spark, sf_dir):
     return _gold(spark, sf_dir).groupBy("dq_score").agg(F.count("*").alias("customers"))
 
 
-@register("dq_low", GOLD_ONLY + "\nSELECT cluster_id, organization, first_name, last_name, dq_score FROM v2_golden WHERE dq_score < 90", "AG-11")
+@register("dq_low", GOLD_ONLY + "\nSELECT cluster_id, organization, first_name, last_name, dq_score FROM v2_golden WHERE dq_score < 50", "AG-11")
 def q_dq_low(spark, sf_dir):
-    return _gold(spark, sf_dir).where(F.col("dq_score") < 90).select("cluster_id", "organization", "first_name", "last_name", "dq_score")
+    return _gold(spark, sf_dir).where(F.col("dq_score") < 50).select("cluster_id", "organization", "first_name", "last_name", "dq_score")
 
 
 @register("dq_rule_hits", GOLD_ONLY + """
@@ -192,7 +192,7 @@ FROM (SELECT CAST(floor(epoch(max(event_ts) OVER (PARTITION BY event_id // 10)))
           "AG-17, RT-06")
 def q_latency(spark, sf_dir):
     """Out-of-orderness of the event log: how far each event's time lags the
-    newest event of its arrival block; percentiles by a mergeable sketch."""
+    newest event of its arrival block; exact percentiles."""
     from aurum.sources.events import raw_events
     ev = raw_events(spark, sf_dir)
     w = Window.partitionBy(F.floor(F.col("event_id") / 10))
@@ -257,7 +257,7 @@ def q_unmerge(spark, sf_dir):
 def _bstats(df, key_cols, name):
     return df.where(F.greatest(*[F.col(c).isNull() for c in key_cols]) == False).groupBy(  # noqa: E712
         F.concat_ws("|", *key_cols).alias("block_key")).agg(F.countDistinct("node").alias("records")) \
-        .withColumn("candidate_pairs", (F.col("records") * (F.col("records") - 1) / 2).cast("long"))
+        .withColumn("candidate_pairs", F.shiftright(F.col("records") * (F.col("records") - 1), 1))
 
 
 @register("block_ssn", PS.base() + """
@@ -406,7 +406,7 @@ def q_candidate_pairs(spark, sf_dir):
             ok = ok & F.col(c).isNotNull()
         p = r.where(ok).groupBy(*cols).agg(F.countDistinct("node").alias("n")).agg(
             F.lit(name).alias("block"), F.count("*").alias("blocks"), F.sum("n").alias("records"),
-            F.sum((F.col("n") * (F.col("n") - 1) / 2)).cast("long").alias("candidate_pairs"), F.max("n").alias("largest_block"))
+            F.sum(F.shiftright(F.col("n") * (F.col("n") - 1), 1)).alias("candidate_pairs"), F.max("n").alias("largest_block"))
         out = p if out is None else out.unionByName(p)
     return out
 

@@ -6,7 +6,7 @@ from aurum import rules
 
 
 def lst(values) -> str:
-    return "[" + ", ".join("'" + v + "'" for v in values) + "]"
+    return "[" + ", ".join(s(v) for v in values) + "]"
 
 
 def values_table(rows, cols, alias: str = "t") -> str:
@@ -49,8 +49,9 @@ def soundex(c: str) -> str:
 
 
 def initcap_word(c: str) -> str:
-    """INITCAP for single-word ASCII values (the fixtures' names)."""
-    return f"(upper(substr({c}, 1, 1)) || lower(substr({c}, 2)))"
+    """A capital at the start and after every non-letter, the rest lower case."""
+    return (f"array_to_string(list_transform(regexp_extract_all({c}, '[A-Za-zÀ-ÖØ-öø-ÿ]+|[^A-Za-zÀ-ÖØ-öø-ÿ]+'), "
+            f"lambda w: upper(w[1]) || lower(w[2:])), '')")
 
 
 def row_hash(cols, sep: str) -> str:

@@ -20,7 +20,7 @@ from aurum.plans import inputs
 from aurum.plans.catalog import register
 from aurum.plans.sqlfrag import mod11_valid, row_hash as sql_row_hash, values_table
 
-NEAR_MISS = 0.84  # (f + l) / 2 >= 0.92 implies f >= 0.84 and l >= 0.84: exact prefilter
+NEAR_MISS = 0.84  # scored pairs are reported from this average on
 
 GROUP_COLS = ["row_key", "ssn", "first_name", "last_name", "canonical_first_name", "birth_date", "citizenship",
               "phone", "email", "organization", "record_date", "source_system", "trust_score", "ssn_valid",
@@ -33,32 +33,71 @@ def enriched(spark: SparkSession, sf_dir: str, broadcast: bool = True) -> DataFr
     return enrich_v1(u)
 
 
-def fuzzy_candidates(enr: DataFrame, threshold: float = rules.FUZZY_THRESHOLD_V1) -> tuple[DataFrame, DataFrame]:
-    """Best candidate id per SSN-less *name* (not per record) (JN-01/02, AG-03).
+#: score bounds at which names without a match are searched for their best rejected candidate
+NEAR_STEPS = (0.84, 0.7, 0.55, 0.0)
 
-    Returns (best, near): ``best`` holds names whose best average score is >=
-    threshold with the winning id (ties -> smallest id); ``near`` holds every
-    SSN-less name's best score among candidates passing the exact 84/84
-    prefilter, with the largest id at that score.
-    """
+
+def _name_sets(enr: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidate names with their smallest and largest valid id, and the SSN-less names."""
     cand = (enr.where("ssn_valid").select(F.col("canonical_first_name").alias("cf"), F.upper("last_name").alias("cl"), "ssn")
             .groupBy("cf", "cl").agg(F.min("ssn").alias("ssn_min"), F.max("ssn").alias("ssn_max")))
     q = (enr.where(F.col("ssn").isNull())
          .select(F.col("canonical_first_name").alias("qf"), F.upper("last_name").alias("ql"))
          .where(F.col("qf").isNotNull() & F.col("ql").isNotNull()).distinct())
-    fp = similar_values(q.select(F.col("qf").alias("value")), cand.select(F.col("cf").alias("value")), NEAR_MISS) \
-        .select(F.col("left_value").alias("qf"), F.col("right_value").alias("cf"), F.col("jw").alias("jwf"))
-    lp = similar_values(q.select(F.col("ql").alias("value")), cand.select(F.col("cl").alias("value")), NEAR_MISS) \
-        .select(F.col("left_value").alias("ql"), F.col("right_value").alias("cl"), F.col("jw").alias("jwl"))
-    scored = (q.join(fp, "qf").join(lp, "ql").join(cand, ["cf", "cl"])
-              .withColumn("score", (F.col("jwf") + F.col("jwl")) / 2.0 * 100.0))
-    best = (scored.where(F.col("score") >= threshold).groupBy("qf", "ql")
+    return cand, q
+
+
+def _scored(q: DataFrame, cand: DataFrame, bound: float) -> DataFrame:
+    """Names with every candidate whose average score is at least ``bound`` (and some below it).
+
+    An average of ``bound`` needs one part at least ``bound`` and the other at
+    least 2 ``bound`` - 1. Each search starts from the stronger part, so the
+    candidate names prune its hits before the weaker part is looked up.
+    """
+    weak = max(0.0, 2.0 * bound - 1.0)
+    out = None
+    for strong, other in ((("qf", "cf"), ("ql", "cl")), (("ql", "cl"), ("qf", "cf"))):
+        (sq, sc), (oq, oc) = strong, other
+        hits = similar_values(q.select(F.col(sq).alias("value")), cand.select(F.col(sc).alias("value")), bound) \
+            .select(F.col("left_value").alias(sq), F.col("right_value").alias(sc), F.col("jw").alias("jw_strong"))
+        met = q.join(hits, sq).join(cand, sc)
+        rest = similar_values(met.select(F.col(oq).alias("value")), met.select(F.col(oc).alias("value")), weak) \
+            .select(F.col("left_value").alias(oq), F.col("right_value").alias(oc), F.col("jw").alias("jw_other"))
+        # a weak part without any common character scores 0
+        one = met.join(rest, [oq, oc], "left" if weak == 0.0 else "inner") \
+            .withColumn("score", (F.col("jw_strong") + F.coalesce("jw_other", F.lit(0.0))) / 2.0 * 100.0)
+        one = one.select("qf", "ql", "cf", "cl", "ssn_min", "ssn_max", "score")
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("qf", "ql", "cf", "cl").agg(F.min("ssn_min").alias("ssn_min"), F.max("ssn_max").alias("ssn_max"), F.max("score").alias("score"))
+
+
+def fuzzy_candidates(enr: DataFrame, threshold: float = rules.FUZZY_THRESHOLD_V1) -> tuple[DataFrame, DataFrame]:
+    """Best candidate id per SSN-less *name* (not per record) (JN-01/02, AG-03).
+
+    Returns (best, near): ``best`` holds names whose best average score is >=
+    threshold with the winning id (ties -> smallest id); ``near`` holds the best
+    score of every other name, with the largest id at that score. It is exact:
+    the bound falls in steps, a name is settled at the first step that finds a
+    score at or over it, and only names still open go on.
+    """
+    cand, q = _name_sets(enr)
+    cand, q = cand.checkpoint(), q.checkpoint()
+    scored = _scored(q, cand, threshold / 100.0).where(F.col("score") >= threshold)
+    best = (scored.groupBy("qf", "ql")
             .agg(F.min_by(F.struct("ssn_min", "score"), F.struct(-F.col("score"), F.col("ssn_min"))).alias("b"))
-            .select("qf", "ql", F.col("b.ssn_min").alias("best_ssn"), F.col("b.score").alias("best_score")))
-    near = (scored.groupBy("qf", "ql")
-            .agg(F.max_by(F.struct("score", "ssn_max"), F.struct("score", "ssn_max")).alias("n"))
-            .select("qf", "ql", F.col("n.score").alias("near_score"), F.col("n.ssn_max").alias("near_ssn")))
-    return best, near
+            .select("qf", "ql", F.col("b.ssn_min").alias("best_ssn"), F.col("b.score").alias("best_score"))).checkpoint()
+    near, left = None, q.join(best, ["qf", "ql"], "left_anti").checkpoint()
+    for bound in NEAR_STEPS:
+        hit = _scored(left, cand, bound).where(F.col("score") >= bound * 100.0)
+        hit = (hit.groupBy("qf", "ql").agg(F.max_by(F.struct("score", "ssn_max"), F.struct("score", "ssn_max")).alias("n"))
+               .select("qf", "ql", F.col("n.score").alias("near_score"), F.col("n.ssn_max").alias("near_ssn"))).checkpoint()
+        near = hit if near is None else near.unionByName(hit)
+        left = left.join(hit, ["qf", "ql"], "left_anti").checkpoint()
+        if left.isEmpty():
+            return best, near
+    # no candidate shares a character with these names: every candidate scores 0
+    top = cand.select(F.max("ssn_max")).scalar()
+    return best, near.unionByName(left.select("qf", "ql", F.lit(0.0).alias("near_score"), top.alias("near_ssn")).where(F.col("near_ssn").isNotNull()))
 
 
 def groups(enr: DataFrame) -> DataFrame:
@@ -234,7 +273,7 @@ v1_sc AS (
   SELECT qf, ql, ssn_min, ssn_max, (jwf + jwl) / 2.0 * 100.0 AS score FROM (
     SELECT q.qf, q.ql, c.ssn_min, c.ssn_max,
            jaro_winkler_similarity(q.qf, c.cf) AS jwf, jaro_winkler_similarity(q.ql, c.cl) AS jwl
-    FROM v1_q q, v1_cand c) WHERE jwf >= {NEAR_MISS} AND jwl >= {NEAR_MISS}
+    FROM v1_q q, v1_cand c)
 ),
 v1_best AS (
   SELECT qf, ql, ssn_min AS best_ssn, score AS best_score FROM (
@@ -338,7 +377,7 @@ FROM v1_groups WHERE match_method = 'UNMATCHED'"""
 SQL_FUZZY_SCORES = V1_BASE + """
 SELECT qf AS canonical_first_name, ql AS last_name_upper, ssn_min AS candidate_ssn, round(score, 6) AS jw_combined,
        round(max(score) OVER (PARTITION BY qf, ql), 6) AS max_jw_per_name
-FROM v1_sc"""
+FROM v1_sc WHERE score >= """ + str(NEAR_MISS * 100.0)
 
 
 # --------------------------------------------------------------------------- registered queries
@@ -390,18 +429,11 @@ def q_fuzzy_unmatched(spark, sf_dir):
 
 @register("fuzzy_scores", SQL_FUZZY_SCORES, "JN-01, WN-04, FN-07")
 def q_fuzzy_scores(spark, sf_dir):
-    """Scored (name, candidate-name) pairs passing the exact prefilter, with
+    """Scored (name, candidate-name) pairs from ``NEAR_MISS`` on, with
     the per-name maximum (the SSN-less side's distinct names, not records)."""
-    enr = enriched(spark, sf_dir)
-    cand = (enr.where("ssn_valid").select(F.col("canonical_first_name").alias("cf"), F.upper("last_name").alias("cl"), "ssn")
-            .groupBy("cf", "cl").agg(F.min("ssn").alias("ssn_min")))
-    q = (enr.where(F.col("ssn").isNull()).select(F.col("canonical_first_name").alias("qf"), F.upper("last_name").alias("ql"))
-         .where(F.col("qf").isNotNull() & F.col("ql").isNotNull()).distinct())
-    fp = similar_values(q.select(F.col("qf").alias("value")), cand.select(F.col("cf").alias("value")), NEAR_MISS) \
-        .select(F.col("left_value").alias("qf"), F.col("right_value").alias("cf"), F.col("jw").alias("jwf"))
-    lp = similar_values(q.select(F.col("ql").alias("value")), cand.select(F.col("cl").alias("value")), NEAR_MISS) \
-        .select(F.col("left_value").alias("ql"), F.col("right_value").alias("cl"), F.col("jw").alias("jwl"))
-    s = q.join(fp, "qf").join(lp, "ql").join(cand, ["cf", "cl"]).withColumn("score", (F.col("jwf") + F.col("jwl")) / 2.0 * 100.0)
+    cand, q = _name_sets(enriched(spark, sf_dir))
+    s = _scored(q.checkpoint(), cand.checkpoint(), NEAR_MISS)
+    s = s.where(F.col("score") >= NEAR_MISS * 100.0)
     w = Window.partitionBy("qf", "ql")
     return s.select(F.col("qf").alias("canonical_first_name"), F.col("ql").alias("last_name_upper"),
                     F.col("ssn_min").alias("candidate_ssn"), F.round("score", 6).alias("jw_combined"),

@@ -60,7 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared folder and is used as is. Only
-    when it is unset (local tests) a fresh scratch folder is created.
+    when it is unset a local master gets a fresh scratch folder, and any other
+    master is an error: executors would not see a folder of the driver's.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="aurum-ckpt-", dir=os.environ.get("AURUM_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aurum.functions import email_domain, norm_email, norm_phone, phone_suffix, title_case
+from aurum.functions import email_domain, norm_email, norm_phone, phone_suffix, soundex_nordic, title_case
 from aurum.sources.derived import FIRST_NAMES, LAST_NAMES, MAIL_DOMAINS, _pick
 
 # Topic names and their source systems.
@@ -90,7 +90,7 @@ def map_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     recs = m.where(F.col("reject_reason").isNull()).select(
         "event_id", "arrival_seq", "source_system", "source_key", "first_name", "last_name", "email", "phone", "event_ts",
         title_case("first_name").alias("canonical_first_name"),
-        F.when(F.length(F.trim("last_name")) > 0, F.soundex("last_name")).alias("block_soundex"),
+        soundex_nordic("last_name").alias("block_soundex"),
         email_domain("email").alias("block_email_domain"),
         phone_suffix("phone", 4).alias("block_phone_suffix"))
     return recs, rejects

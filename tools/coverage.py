@@ -36,7 +36,7 @@ def main() -> None:
     sec2 = survey.split("## 2. Operator inventory")[1].split("## Not built")[0]
     ids = []
     for line in sec2.splitlines():
-        m = re.match(r"\|\s*([A-Z]+-[0-9A-Z]+(?:/[0-9A-Z]+)?)\s*\|", line)
+        m = re.match(r"\|\s*([A-Z]+-[0-9A-Z]+(?:/[0-9A-Z]+)?)(?:\s*\([^)|]*\))?\s*\|", line)
         if m and not m.group(1).startswith("ID"):
             ids.append(m.group(1))
     by_id: dict[str, list[str]] = {}
