@@ -34,7 +34,7 @@ def enriched(spark: SparkSession, sf_dir: str, broadcast: bool = True) -> DataFr
 
 
 #: score bounds at which names without a match are searched for their best rejected candidate
-NEAR_STEPS = (0.75, 0.55, 0.0)
+NEAR_STEPS = (0.7, 0.0)
 
 
 def _name_sets(enr: DataFrame) -> tuple[DataFrame, DataFrame]:

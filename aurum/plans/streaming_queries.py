@@ -13,7 +13,7 @@ from aurum.plans.catalog import register
 from aurum.plans.layers import _MEMO
 from aurum.session import shared_dir
 from aurum.sources.events import raw_events
-from aurum.streaming.pipeline import StateStore, process_batch, run_stream, write_message_files
+from aurum.streaming.pipeline import RAW_SCHEMA, TIME_FORMAT, StateStore, process_batch, run_stream, write_message_files
 
 ENDS = nrt.BATCH_ENDS
 
@@ -30,7 +30,7 @@ def _run(spark, sf_dir, replay_last: bool = False):
     if replay_last:
         # at-least-once delivery: the last batch arrives again under its id -> no-op
         last = store.committed()
-        files = spark.read.schema("event_id long, arrival_seq long, topic string, event_ts timestamp_ntz, payload string") \
+        files = spark.read.schema(RAW_SCHEMA).options(**TIME_FORMAT) \
             .json(base + "/in").where(F.col("event_ts") >= F.lit(ENDS[-2]).cast("timestamp"))
         process_batch(store, files, last)
     _MEMO[key] = (store, store.committed())
@@ -38,22 +38,47 @@ def _run(spark, sf_dir, replay_last: bool = False):
 
 
 def _stream_sql() -> str:
-    ch = "".join(NS.chain(f"_{i}", f"event_ts < TIMESTAMP '{end}'") for i, end in enumerate(ENDS))
-    touched = []
-    for i in range(1, len(ENDS)):
-        touched.append(f"""touched_{i} AS (SELECT DISTINCT source_system || '|' || source_key AS node FROM nrt_recs
-  WHERE event_ts >= TIMESTAMP '{ENDS[i - 1]}' AND event_ts < TIMESTAMP '{ENDS[i]}')""")
-    edges = ["SELECT node_a AS s, node_b AS d FROM nrt_pairs_0"]
-    for i in range(1, len(ENDS)):
-        edges.append(f"SELECT node_a, node_b FROM nrt_pairs_{i} WHERE node_a IN (SELECT node FROM touched_{i}) "
-                     f"OR node_b IN (SELECT node FROM touched_{i})")
+    """The stream replayed in SQL: state, never-split clusters and golden records after every batch (suffix ``_b<i>``)."""
+    out = [NS.events()]
+    for i, end in enumerate(ENDS):
+        out.append(NS.chain(f"_{i}", f"event_ts < TIMESTAMP '{end}'"))
+        if i:
+            out.append(f""",
+touched_{i} AS (SELECT DISTINCT source_system || '|' || source_key AS node FROM nrt_recs
+  WHERE event_ts >= TIMESTAMP '{ENDS[i - 1]}' AND event_ts < TIMESTAMP '{end}')""")
+        edges = ["SELECT node_a AS s, node_b AS d FROM nrt_pairs_0"]
+        for j in range(1, i + 1):
+            edges.append(f"SELECT node_a, node_b FROM nrt_pairs_{j} WHERE node_a IN (SELECT node FROM touched_{j}) "
+                         f"OR node_b IN (SELECT node FROM touched_{j})")
+        out.append(f""",
+e_b{i} AS ({' UNION '.join(edges)}),
+u_b{i} AS (SELECT s, d FROM e_b{i} UNION SELECT d, s FROM e_b{i}),
+reach_b{i}(s, d) AS (SELECT node, node FROM nrt_state_{i} UNION SELECT r.s, u.d FROM reach_b{i} r JOIN u_b{i} u ON r.d = u.s),
+cl_b{i} AS (SELECT st.*, c.cluster_id FROM nrt_state_{i} st JOIN (SELECT s AS node, min(d) AS cluster_id FROM reach_b{i} GROUP BY s) c USING (node)),
+{NS.gold(f'_b{i}', f'cl_b{i}')}""")
     last = len(ENDS) - 1
-    return NS.events() + ch + ",\n" + ",\n".join(touched) + f""",
-st_e AS ({' UNION '.join(edges)}),
-st_u AS (SELECT s, d FROM st_e UNION SELECT d, s FROM st_e),
-st_reach(s, d) AS (SELECT node, node FROM nrt_state_{last} UNION SELECT r.s, u.d FROM st_reach r JOIN st_u u ON r.d = u.s),
-st_cl AS (SELECT st.*, c.cluster_id FROM nrt_state_{last} st JOIN (SELECT s AS node, min(d) AS cluster_id FROM st_reach GROUP BY s) c USING (node)),
-{NS.gold('_st', 'st_cl')}"""
+    return "".join(out) + f""",
+st_cl AS (SELECT * FROM cl_b{last}),
+nrt_gold_st AS (SELECT * FROM nrt_gold_b{last})"""
+
+
+def _stream_events_sql() -> str:
+    """Golden change events of every batch with their event time."""
+    parts = []
+    for i in range(len(ENDS)):
+        old = f"nrt_gold_b{i - 1}" if i else "(SELECT * FROM nrt_gold_b0 WHERE FALSE)"
+        since = f"WHERE event_ts >= TIMESTAMP '{ENDS[i - 1]}'" if i else ""
+        closed = f"""UNION ALL SELECT o.cluster_id, a.ts_at FROM cl_b{i - 1} o JOIN cl_b{i} n USING (node)
+    JOIN (SELECT cluster_id, max(event_ts) AS ts_at FROM cl_b{i} {since} GROUP BY 1) a ON a.cluster_id = n.cluster_id
+    WHERE o.cluster_id <> n.cluster_id""" if i else ""
+        parts.append(f"""SELECT COALESCE(n.cluster_id, o.cluster_id) AS customer_id,
+  CASE WHEN n.row_hash IS NULL THEN 'CLOSE' WHEN o.row_hash IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS event_type,
+  n.row_hash, o.row_hash AS previous_hash, t.ts_at AS valid_from
+FROM nrt_gold_b{i} n FULL OUTER JOIN (SELECT cluster_id, row_hash FROM {old}) o ON n.cluster_id = o.cluster_id
+LEFT JOIN (SELECT cluster_id, max(ts_at) AS ts_at FROM (SELECT cluster_id, event_ts AS ts_at FROM cl_b{i} {since} {closed}) GROUP BY 1) t
+  ON t.cluster_id = COALESCE(n.cluster_id, o.cluster_id)
+WHERE n.row_hash IS NULL OR o.row_hash IS NULL OR n.row_hash <> o.row_hash""")
+    return _stream_sql() + ",\nst_events AS (" + "\nUNION ALL\n".join(parts) + ")"
 
 
 @register("nrt_pipeline", _stream_sql() + "\nSELECT * FROM nrt_gold_st", "RT-02, CL-06, GD-03, RT-03")
@@ -83,15 +108,23 @@ def q_metrics(spark, sf_dir):
     return store.table("metrics").select("batch_id", "processed", "rejected")
 
 
-@register("history_stream_apply", None, "HS-06, SNK-04")
-def q_hist_stream(spark, sf_dir):
-    """SCD2 history folded from the stream's golden change events (batch id = version)."""
+@register("nrt_stream_events", _stream_events_sql() + "\nSELECT * FROM st_events", "RT-03, SNK-01")
+def q_stream_events(spark, sf_dir):
+    """Golden change events as the stream wrote them, valid from the newest touched event."""
     store, _ = _run(spark, sf_dir)
-    ev = store.table("cdc_golden").withColumn("valid_from", F.col("batch_id").cast("long"))
+    return store.table("cdc_golden").select("customer_id", "event_type", "row_hash", "previous_hash", "valid_from")
+
+
+@register("history_stream_apply", _stream_events_sql() + """
+SELECT customer_id, event_type, row_hash, previous_hash, valid_from, valid_to, valid_to IS NULL AS is_current
+FROM (SELECT *, lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) AS valid_to FROM st_events)
+WHERE event_type <> 'CLOSE'""", "HS-06, SNK-04")
+def q_hist_stream(spark, sf_dir):
+    """SCD2 history folded from the stream's golden change events; a CLOSE ends the version before it."""
     from pyspark.sql import Window
     w = Window.partitionBy("customer_id").orderBy("valid_from")
-    return ev.where(F.col("event_type") != "CLOSE").withColumn("valid_to", F.lead("valid_from").over(w)) \
-        .withColumn("is_current", F.col("valid_to").isNull()) \
+    return q_stream_events(spark, sf_dir).withColumn("valid_to", F.lead("valid_from").over(w)) \
+        .where(F.col("event_type") != "CLOSE").withColumn("is_current", F.col("valid_to").isNull()) \
         .select("customer_id", "event_type", "row_hash", "previous_hash", "valid_from", "valid_to", "is_current")
 
 

@@ -26,6 +26,10 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
+#: event times keep their microseconds in the JSON messages
+TIME_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 class StateStore:
     """Versioned Parquet tables + an append-only commit log (no lakehouse jar needed)."""
 
@@ -93,9 +97,16 @@ def process_batch(store: StateStore, batch: DataFrame, batch_id: int) -> None:
     old_gold = store.read("golden", prev)
     ids_new = new_cl.join(touched, ["source_system", "source_key"], "left_semi").select("cluster_id")
     affected = ids_new
+    # a change is valid from the newest touched event of its cluster; an absorbed cluster closes with the one that took it
+    changed_at = new_cl.join(touched, ["source_system", "source_key"], "left_semi").groupBy("cluster_id").agg(F.max("event_ts").alias("changed_at"))
     if old_cl is not None:
-        moved = old_cl.alias("o").join(new_cl.alias("n"), ["source_system", "source_key"]) \
-            .where(F.col("o.cluster_id") != F.col("n.cluster_id")).select(F.col("o.cluster_id").alias("cluster_id"))
+        moves = old_cl.alias("o").join(new_cl.alias("n"), ["source_system", "source_key"]) \
+            .where(F.col("o.cluster_id") != F.col("n.cluster_id")) \
+            .select(F.col("o.cluster_id").alias("closed"), F.col("n.cluster_id").alias("cluster_id")).distinct().checkpoint()
+        moved = moves.select(F.col("closed").alias("cluster_id"))
+        closed_at = moves.join(changed_at, "cluster_id").groupBy("closed").agg(F.max("changed_at").alias("changed_at"))
+        changed_at = changed_at.unionByName(closed_at.withColumnRenamed("closed", "cluster_id")) \
+            .groupBy("cluster_id").agg(F.max("changed_at").alias("changed_at"))
         affected = affected.unionByName(moved).unionByName(
             old_cl.join(touched, ["source_system", "source_key"], "left_semi").select("cluster_id"))
     affected = affected.distinct().checkpoint()
@@ -113,7 +124,8 @@ def process_batch(store: StateStore, batch: DataFrame, batch_id: int) -> None:
         store.write("address_golden", batch_id, fresh_addr)
     else:
         store.write("address_golden", batch_id, old_addr.join(affected, "cluster_id", "left_anti").unionByName(fresh_addr))
-    events = nrt.golden_events(before, fresh, "1970-01-01 00:00:00").withColumn("valid_from", F.lit(None).cast("timestamp"))
+    events = nrt.golden_events(before, fresh, "1970-01-01 00:00:00").drop("valid_from") \
+        .join(changed_at.select(F.col("cluster_id").alias("customer_id"), F.col("changed_at").cast("timestamp").alias("valid_from")), "customer_id", "left")
     store.append("cdc_golden", batch_id, events)
     xold = old_cl if old_cl is not None else new_cl.limit(0)
     store.append("cdc_xref", batch_id, nrt.xref_events(xold.join(touched, ["source_system", "source_key"], "left_semi")
@@ -131,7 +143,7 @@ def process_batch(store: StateStore, batch: DataFrame, batch_id: int) -> None:
 def run_stream(spark: SparkSession, in_dir: str, state_dir: str, checkpoint: str, files_per_batch: int = 1) -> StreamingQuery:
     """Start the stream on a folder of JSON message files; availableNow drains it and stops."""
     store = StateStore(spark, state_dir)
-    src = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(in_dir)
+    src = spark.readStream.schema(RAW_SCHEMA).options(maxFilesPerTrigger=files_per_batch, **TIME_FORMAT).json(in_dir)
     return (src.writeStream.foreachBatch(lambda df, bid: process_batch(store, df, bid))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
@@ -143,5 +155,5 @@ def write_message_files(raw: DataFrame, out_dir: str, ends: list[str]) -> None:
         part = raw.where(F.col("event_ts") < F.lit(end).cast("timestamp"))
         if lo is not None:
             part = part.where(F.col("event_ts") >= F.lit(lo).cast("timestamp"))
-        part.orderBy("arrival_seq").coalesce(1).write.mode("append").json(out_dir)
+        part.orderBy("arrival_seq").coalesce(1).write.mode("append").options(**TIME_FORMAT).json(out_dir)
         lo = end
