@@ -260,8 +260,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text",
     shared = banded.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1").drop("size")
     groups = materialise(banded.join(shared, keys), "neardup-groups")
 
+    # texts and group members meet by a sort-merge join at every size: the members grow with the corpus
     members = materialise(groups.select("node").distinct().join(nodes.select("node", "k1", "k2"), "node"), "neardup-members")
-    text = keyed.withColumn("node", F.coalesce("doc_id", "k1")).join(members, ["node", "k1", "k2"]).select("node", "text")
+    text = keyed.withColumn("node", F.coalesce("doc_id", "k1")).join(members.hint("merge"), ["node", "k1", "k2"]).select("node", "text")
     # repeated rows of one node are equal
     sets = materialise(text.mapInArrow(_shingle_sets, "node long, s binary, sig binary").groupBy("node").agg(F.first("s").alias("s"), F.first("sig").alias("sig")), "neardup-sets")
     linked = materialise(links(_star(groups, keys, threshold), sets, threshold), "neardup-links")
