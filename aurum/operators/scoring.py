@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from aurum import rules
 from aurum.functions import digits, soundex_nordic
 from aurum.functions.similarity import jaro_winkler
 
 
+D = dict(rules.PAIR_SCORES)
+
+
 def _a(c): return F.col(c + "_a")  # noqa: E704
 def _b(c): return F.col(c + "_b")  # noqa: E704
 
@@ -40,11 +44,11 @@ def pairwise_rules(jw_full: Column | None = None) -> dict[str, Column]:
                                F.concat(_b("canonical_first_name"), F.lit(" "), _b("last_name")))
     sa, sb = soundex_nordic(_a("last_name")), soundex_nordic(_b("last_name"))
     s = {
-        "score_d01": F.when(ssn_eq & names_eq, 1.0).otherwise(0.0),
-        "score_d01b": F.when(ssn_eq & ~names_eq, 0.98).otherwise(0.0),
-        "score_d02": F.when(F.coalesce(d02, F.lit(False)), 0.95).otherwise(0.0),
-        "score_fuzzy_name": F.when(have_names & (jw_full >= 0.85), jw_full * 0.85).otherwise(0.0),
-        "score_soundex": F.when(sa.isNotNull() & (sa == sb), 0.10).otherwise(0.0),
+        "score_d01": F.when(ssn_eq & names_eq, D["D01"]).otherwise(0.0),
+        "score_d01b": F.when(ssn_eq & ~names_eq, D["D01b"]).otherwise(0.0),
+        "score_d02": F.when(F.coalesce(d02, F.lit(False)), D["D02"]).otherwise(0.0),
+        "score_fuzzy_name": F.when(have_names & (jw_full >= rules.FUZZY_NAME_LEAST), jw_full * rules.FUZZY_NAME_WEIGHT).otherwise(0.0),
+        "score_soundex": F.when(sa.isNotNull() & (sa == sb), rules.SOUNDEX_BONUS).otherwise(0.0),
     }
     return s
 
@@ -54,8 +58,8 @@ def pairwise_total(s: dict[str, Column] | None = None) -> tuple[Column, Column]:
     if s is None:
         s = {k: F.col(k) for k in ["score_d01", "score_d01b", "score_d02", "score_fuzzy_name", "score_soundex"]}
     total = F.greatest(s["score_d01"], s["score_d01b"], s["score_d02"]) + s["score_fuzzy_name"] + s["score_soundex"]
-    mtype = (F.when(s["score_d01"] >= 1.0, "D01").when(s["score_d01b"] >= 0.98, "D01b")
-             .when(s["score_d02"] >= 0.95, "D02").when(s["score_fuzzy_name"] > 0.0, "FUZZY").otherwise("OTHER"))
+    mtype = (F.when(s["score_d01"] >= D["D01"], "D01").when(s["score_d01b"] >= D["D01b"], "D01b")
+             .when(s["score_d02"] >= D["D02"], "D02").when(s["score_fuzzy_name"] > 0.0, "FUZZY").otherwise("OTHER"))
     return total, mtype
 
 

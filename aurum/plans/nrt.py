@@ -60,6 +60,7 @@ def node_col() -> Column:
 
 def memberships(state: DataFrame) -> DataFrame:
     """(gid, node) of the decisive cliques (see module doc)."""
+    rules.check_match_graph()
     s = state.withColumn("node", node_col())
     em = F.col("email")
     p10 = F.regexp_replace("phone", r"\+", "")

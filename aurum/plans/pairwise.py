@@ -81,7 +81,7 @@ def memberships(rows: DataFrame, blocks: str) -> tuple[DataFrame, DataFrame]:
 def name_links(names: DataFrame) -> DataFrame:
     """(gid, gid2) for distinct names of one block with full-name JW >= 0.85."""
     nv = names.select("nblock", F.col("full").alias("value")).distinct()
-    sim = similar_values(nv, nv, 0.85, keys=["nblock"]).where(F.col("left_value") != F.col("right_value"))
+    sim = similar_values(nv, nv, rules.FUZZY_NAME_LEAST, keys=["nblock"]).where(F.col("left_value") != F.col("right_value"))
     return sim.select(F.concat(F.lit("N|"), F.concat_ws("|", "nblock", "left_value")).alias("gid"),
                       F.concat(F.lit("N|"), F.concat_ws("|", "nblock", "right_value")).alias("gid2"))
 
@@ -99,6 +99,7 @@ class MatchGraph:
     """Compressed match graph of one rule-set configuration."""
 
     def __init__(self, enr: DataFrame, blocks: str = "parity", overrides: DataFrame | None = None):
+        rules.check_match_graph()
         self.rows = base_rows(enr).checkpoint()
         self.nodes = self.rows.select("node", "organization", "source_system", "source_key", "ssn").dropDuplicates(["node"])
         cliques, names = memberships(self.rows, blocks)
@@ -428,6 +429,16 @@ def q_steward_by_org(spark, sf_dir):
         F.count("*").alias("queued"), F.max("record_date").alias("newest"), F.min("record_date").alias("oldest"))
 
 
+@register("steward_list_by_org", PS.clusters("parity", "transitive") + """
+SELECT e.organization, e.record_date, e.source_system, e.source_key, e.first_name, e.last_name, e.phone, e.email
+FROM v2_clusters c JOIN v2_enriched e USING (source_system, source_key, organization)
+WHERE c.match_status = 'STEWARD_QUEUE' ORDER BY 1, 2 DESC, 3, 4""", "SV-06")
+def q_steward_list(spark, sf_dir):
+    """The steward's list by organisation, newest record first."""
+    return q_steward_queue_v2(spark, sf_dir).select("organization", "record_date", "source_system", "source_key", "first_name", "last_name", "phone", "email") \
+        .orderBy("organization", F.desc("record_date"), "source_system", "source_key")
+
+
 @register("cluster_numbering", PS.clusters("parity", "transitive") + """
 SELECT organization, cluster_id, dense_rank() OVER (PARTITION BY organization ORDER BY cluster_id) AS customer_group_id
 FROM (SELECT DISTINCT organization, cluster_id FROM v2_clusters)""", "CL-03, WN-07")

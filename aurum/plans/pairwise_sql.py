@@ -6,6 +6,7 @@ from __future__ import annotations
 from aurum import rules
 from aurum.plans.sqlfrag import date_valid, dq_address_terms, dq_bulk_terms, dq_fired, dq_score, initcap_word, soundex
 
+D = dict(rules.PAIR_SCORES)
 IC = lambda c: initcap_word(f"trim({c})")
 DIG = lambda c: f"regexp_replace({c}, '[^0-9]', '', 'g')"
 
@@ -45,17 +46,17 @@ def _score_cols(a: str, b: str) -> str:
     jw = (f"jaro_winkler_similarity({a}.canonical_first_name || ' ' || {a}.last_name, "
           f"{b}.canonical_first_name || ' ' || {b}.last_name)")
     return f"""
-    CASE WHEN {a}.ssn IS NOT NULL AND {a}.ssn = {b}.ssn AND {names_eq} THEN 1.0 ELSE 0.0 END AS score_d01,
-    CASE WHEN {a}.ssn IS NOT NULL AND {a}.ssn = {b}.ssn AND NOT ({names_eq}) THEN 0.98 ELSE 0.0 END AS score_d01b,
+    CASE WHEN {a}.ssn IS NOT NULL AND {a}.ssn = {b}.ssn AND {names_eq} THEN {D["D01"]} ELSE 0.0 END AS score_d01,
+    CASE WHEN {a}.ssn IS NOT NULL AND {a}.ssn = {b}.ssn AND NOT ({names_eq}) THEN {D["D01b"]} ELSE 0.0 END AS score_d01b,
     CASE WHEN {a}.phone IS NOT NULL AND {b}.phone IS NOT NULL AND length({DIG(a + '.phone')}) >= 8 AND length({DIG(b + '.phone')}) >= 8
-              AND right({DIG(a + '.phone')}, 8) = right({DIG(b + '.phone')}, 8) THEN 0.95 ELSE 0.0 END AS score_d02,
-    CASE WHEN {have} AND {jw} >= 0.85 THEN {jw} * 0.85 ELSE 0.0 END AS score_fuzzy_name,
-    CASE WHEN {a}.sdx IS NOT NULL AND {a}.sdx = {b}.sdx THEN 0.10 ELSE 0.0 END AS score_soundex"""
+              AND right({DIG(a + '.phone')}, 8) = right({DIG(b + '.phone')}, 8) THEN {D["D02"]} ELSE 0.0 END AS score_d02,
+    CASE WHEN {have} AND {jw} >= {rules.FUZZY_NAME_LEAST} THEN {jw} * {rules.FUZZY_NAME_WEIGHT} ELSE 0.0 END AS score_fuzzy_name,
+    CASE WHEN {a}.sdx IS NOT NULL AND {a}.sdx = {b}.sdx THEN {rules.SOUNDEX_BONUS} ELSE 0.0 END AS score_soundex"""
 
 
 TOTAL = "greatest(score_d01, score_d01b, score_d02) + score_fuzzy_name + score_soundex"
-MTYPE = ("CASE WHEN score_d01 >= 1.0 THEN 'D01' WHEN score_d01b >= 0.98 THEN 'D01b' WHEN score_d02 >= 0.95 THEN 'D02' "
-         "WHEN score_fuzzy_name > 0.0 THEN 'FUZZY' ELSE 'OTHER' END")
+MTYPE = ("CASE " + " ".join(f"WHEN score_{name.lower()} >= {score} THEN '{name}'" for name, score in rules.PAIR_SCORES)
+         + " WHEN score_fuzzy_name > 0.0 THEN 'FUZZY' ELSE 'OTHER' END")
 
 
 def clusters(blocks: str = "parity", mode: str = "one_hop") -> str:
@@ -114,12 +115,18 @@ v2_clusters AS (
     return sql
 
 
+def _rank(table: dict[str, int]) -> str:
+    return "(CASE source_system " + " ".join(f"WHEN '{name}' THEN {rank}" for name, rank in table.items()) + " ELSE 3 END)"
+
+
+def _priority(bank: dict[str, int], ins: dict[str, int]) -> str:
+    return f"CASE WHEN organization = 'BANK' THEN {_rank(bank)} ELSE {_rank(ins)} END"
+
+
 def golden() -> str:
     tie = "record_date DESC, source_system, source_key, _source_file"
-    prio = ("CASE WHEN organization = 'BANK' THEN (CASE source_system WHEN 'FREG' THEN 1 WHEN 'BS' THEN 2 ELSE 3 END) "
-            "ELSE (CASE source_system WHEN 'FREG' THEN 1 WHEN 'BS' THEN 2 WHEN 'NICE' THEN 2 ELSE 3 END) END")
-    cprio = ("CASE WHEN organization = 'BANK' THEN (CASE source_system WHEN 'FREG' THEN 1 WHEN 'BS' THEN 1 ELSE 2 END) "
-             "ELSE (CASE source_system WHEN 'FREG' THEN 1 ELSE 2 END) END")
+    prio = _priority(rules.PRIORITY_BANK, rules.PRIORITY_INS)
+    cprio = _priority(rules.CITIZENSHIP_PRIORITY_BANK, rules.CITIZENSHIP_PRIORITY_INS)
 
     def f(col, valid, p="prio"):
         return f"first({col} ORDER BY CASE WHEN {valid} THEN 0 ELSE 1 END, {p}, {tie}) AS {col}"

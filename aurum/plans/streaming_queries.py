@@ -149,7 +149,9 @@ def q_nrt_replay(spark, sf_dir):
     return store.read("golden", store.committed())
 
 
-@register("pipeline_run", None, "SNK-05")
+@register("pipeline_run", pairwise.GOLD_SQL + """
+SELECT 'raw_enriched' AS layer, count(*) AS row_count FROM v2_enriched UNION ALL SELECT 'agg_clusters', count(*) FROM v2_clusters
+UNION ALL SELECT 'agg_golden', count(*) FROM v2_golden UNION ALL SELECT 'srv_customer_360', count(*) FROM v2_golden""", "SNK-05")
 def q_pipeline_run(spark, sf_dir):
     """Layered refresh RAW -> AGG -> SRV written as Parquet tables under the shared folder."""
     base = shared_dir(spark, f"layers/{uuid.uuid4().hex[:8]}")

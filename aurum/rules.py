@@ -53,6 +53,14 @@ DQ_TIERS = [(90, "Excellent"), (70, "Good"), (50, "Fair")]
 DQ_TIER_FLOOR = "Poor"
 
 MATCH_THRESHOLD = 0.70
+# Scores of the pairwise rules (label, score), the fuzzy-name rule (least similarity, weight) and the soundex bonus.
+PAIR_SCORES = [("D01", 1.0), ("D01b", 0.98), ("D02", 0.95)]
+FUZZY_NAME_LEAST = 0.85
+FUZZY_NAME_WEIGHT = 0.85
+SOUNDEX_BONUS = 0.10
+# Fixed value: sum of the stream's probabilistic rules at their most
+STREAM_PROBABILISTIC_MOST = 0.65
+STREAM_DETERMINISTIC_LEAST = 0.80
 FUZZY_THRESHOLD_V1 = 92.0
 OPEN_END = "9999-12-31"
 
@@ -68,3 +76,17 @@ STREAM_PRIORITY = {"CRM_A": 1, "CRM_B": 2, "CRM_C": 3}
 ORGANIZATIONS = ["BANK", "INS"]
 
 TOPICS = {"topic.crm.a": "CRM_A", "topic.crm.b": "CRM_B", "topic.crm.c": "CRM_C"}
+
+
+def check_match_graph() -> None:
+    """The match graphs rest on this order of scores and threshold; a rule table that breaks it must not run silently.
+
+    Pairwise: every deterministic rule and every fuzzy name match at its least
+    reaches the threshold alone, and the soundex bonus alone does not. Stream:
+    the deterministic rules reach it alone, the probabilistic ones do not together.
+    """
+    least = min([score for _, score in PAIR_SCORES] + [FUZZY_NAME_LEAST * FUZZY_NAME_WEIGHT])
+    if not SOUNDEX_BONUS < MATCH_THRESHOLD <= least:
+        raise ValueError(f"MATCH_THRESHOLD must lie over {SOUNDEX_BONUS} and not over {least:.4f} for the pairwise match graph")
+    if not STREAM_PROBABILISTIC_MOST < MATCH_THRESHOLD <= STREAM_DETERMINISTIC_LEAST:
+        raise ValueError(f"MATCH_THRESHOLD must lie over {STREAM_PROBABILISTIC_MOST} and not over {STREAM_DETERMINISTIC_LEAST} for the stream match graph")

@@ -23,9 +23,9 @@ LAST_NAMES = ["Hansen", "Johansen", "Olsen", "Larsen", "Andersen", "Pedersen", "
               "Kristiansen", "Jensen", "Karlsen", "Johnsen", "Pettersen", "Eriksen", "Berg",
               "Haugen", "Hagen", "Johannessen", "Andreassen", "Jacobsen", "Dahl", "Halvorsen",
               "Henriksen", "Lund", "Sorensen", "Jakobsen"]
-STEWARD_NAMES = [("Zygmunt", "Wierzbicki"), ("Bartholomew", "Throgmorton"),
-                 ("Xiomara", "Felicissimo"), ("Oswaldo", "Baumgartner"),
-                 ("Perpetua", "Quisenberry")]
+STEWARD_NAMES = [("Quwanxi", "Zbigovtzuk"), ("Uvuzela", "Ptakowiczyk"),
+                 ("Yxtabqua", "Fuzzumiwoq"), ("Izquib", "Cvetkqumzov"),
+                 ("Wuvoxq", "Xutuwumqi")]
 MAIL_DOMAINS = ["example.no", "post.no", "online.no", "mail.no", "mailinator.com"]
 CITIES = ["Oslo", "Bergen", "Trondheim", "Stavanger"]
 UPDATE_SHIFT_DAYS = 200
