@@ -33,7 +33,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     This cuts the lineage at a reliable copy: a lost executor never makes an
-    upstream stage run again, and several consumers read one result.
+    upstream stage run again, and several consumers read one result. A join
+    with the written table is one of two plain exchanges, so adaptive execution
+    can split it where a key of the other side holds a large part of all rows.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -228,6 +228,7 @@ def _star(groups: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     """Pairs of every member with the smallest and the largest node of its group."""
     ends = groups.groupBy(*keys).agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")) \
         .where(F.col("lo.node") != F.col("hi.node"))
+    ends = materialise(ends, "neardup-ends")
     to = groups.join(ends, keys).select("node", "n", F.explode(F.array("lo", "hi")).alias("to")).where(F.col("node") != F.col("to.node"))
     return _pairs(to.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("to.node").alias("y"), F.col("to.n").alias("ny")), threshold)
 
@@ -241,7 +242,7 @@ def _pairs(p: DataFrame, threshold: float) -> DataFrame:
 def _open(groups: DataFrame, keys: list[str]) -> DataFrame:
     """Keys and sizes of the groups that lie in more than one component."""
     return groups.groupBy(*keys).agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")) \
-        .where(F.col("c0") != F.col("c1")).select(*keys, "size")
+        .where(F.col("c0") != F.col("c1")).select(*keys, "size").transform(lambda df: materialise(df, "neardup-unsettled"))
 
 
 def _components(members: DataFrame, edges: DataFrame) -> DataFrame:
@@ -257,7 +258,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text",
     nodes = materialise(by_text.withColumn("node", F.coalesce("doc_id", "k1")), "neardup-nodes")
     banded = nodes.where("n > 0").select("node", "n", F.posexplode("bands").alias("band", "key"))
     keys = ["band", "key"]
-    shared = banded.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1").drop("size")
+    shared = materialise(banded.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1").drop("size"), "neardup-shared")
     groups = materialise(banded.join(shared, keys), "neardup-groups")
 
     # texts and group members meet by a sort-merge join at every size: the members grow with the corpus
@@ -290,7 +291,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text",
 
     named = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    classes = named.join(smallest, "component").select("k1", "k2", "class_id", "n")
+    classes = materialise(named.join(smallest, "component").select("k1", "k2", "class_id", "n"), "neardup-classes")
     # a wordless text is no copy of another: its document is its own class
     return signed.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]) \
         .select("doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))

@@ -180,7 +180,8 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **bootstra
     more = bootstrap(found, **bootstrapping).groupBy("k1", "k2").agg(F.collect_set(F.struct(number.alias("kind"), "start", "end")).alias("more"))
     both = found.select("k1", "k2", base.alias("base")).join(more, ["k1", "k2"], "left")
     spans = F.array_sort(F.concat("base", F.coalesce(F.col("more").cast(SPAN), F.array().cast(SPAN))))
-    return both.select("k1", "k2", F.col("base").cast(SPAN).alias("base"), spans.cast(SPAN).alias("spans")).where(F.size("spans") > 0)
+    both = both.select("k1", "k2", F.col("base").cast(SPAN).alias("base"), spans.cast(SPAN).alias("spans")).where(F.size("spans") > 0)
+    return materialise(both, "pii-spans")
 
 
 def describe(spans: Column) -> Column:

@@ -22,7 +22,10 @@ are removed.
    every occurrence word for word; covered words go.
 
 Documents travel once, to their shard. Automata, blocks and shards are bounded;
-no document meets the phrases of another shard.
+no document meets the phrases of another shard. Of texts that repeat in a task
+one goes to the shard of its key; its copies lose all their words (each of
+their windows recurs), so they travel without text, dealt over all shards, as
+do texts too short for a window.
 
 Semantics: a word is a run of characters other than space and U+0009-U+000D.
 Windows are judged on the input. Repeated rows are each other's copies. Null
@@ -34,6 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -334,11 +338,40 @@ def locate(texts: list[list[bytes]], phrases: set[bytes]) -> list[list[tuple[int
     return out
 
 
+#: keys of texts that a task remembers
+SEEN = 2_000_000
+
+
+def _spread(size: int, shards: int, names: list[str]):
+    """Rows -> rows with their shard; ``_text`` is null, and ``_n`` the number of words, where all words go."""
+    def run(batches):
+        seen: set[int] = set()
+        turn = TaskContext.get().partitionId()
+        for b in batches:
+            shard, texts, counts = [], [], []
+            for key, text in zip(b.column("_key").to_pylist(), b.column("_text").to_pylist()):
+                n = len(words(text))
+                again = n >= size and key in seen
+                if n < size or again:
+                    turn += 1
+                    shard.append(turn % shards)
+                else:
+                    shard.append(key % shards)
+                    if len(seen) < SEEN:
+                        seen.add(key)
+                texts.append(None if again else text)
+                counts.append(n)
+            cols = {n: b.column(n) for n in names if n != "_text"} | {"_text": pa.array(texts, pa.string()), "_n": pa.array(counts, pa.int64()), "_shard": pa.array(shard, pa.int64())}
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+    return run
+
+
 def _dedup_shard(size: int, schema: pa.Schema):
     def run(docs: pa.Table, runs: pa.Table) -> pa.Table:
         keys = docs.column("_key").to_pylist()
-        texts = [words(t) for t in docs.column("_text").to_pylist()]
-        at = dict(zip(keys, range(len(keys))))
+        counts = docs.column("_n").to_pylist()
+        texts = [words(t or "") for t in docs.column("_text").to_pylist()]
+        at = {key: k for k, key in enumerate(keys) if texts[k]}
         own: dict[int, list[tuple[int, int]]] = {}
         places: dict[int, set[int]] = {}
         for key, pos, n, shared in zip(*(runs.column(c).to_pylist() for c in ("key", "pos", "n", "shared"))):
@@ -357,10 +390,10 @@ def _dedup_shard(size: int, schema: pa.Schema):
                 out += ws[last:a]
                 last = b
             out += ws[last:]
-            removed.append(len(ws) - len(out))
+            removed.append(counts[len(removed)] - len(out))
             kept.append(b" ".join(out).decode("utf-8", "surrogatepass"))
         cols = {n: docs.column(n) for n in docs.schema.names if n in schema.names}
-        cols |= {"n_words": pa.array([len(t) for t in texts], pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string())}
+        cols |= {"n_words": docs.column("_n"), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string())}
         return pa.table([cols[n] for n in schema.names], schema=schema)
     return run
 
@@ -379,8 +412,9 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, text: str = "text") -> D
     hot = hot_anchors(texts, size)
     hashed = texts.mapInArrow(_hash_windows(size, shards, hot), RUN_SCHEMA)
     confirmed = hashed.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(_confirm, "key long, pos int, n int, shared boolean")
-    shard = lambda c: F.pmod(F.col(c), F.lit(shards))
     out = source.drop("_key", "_text").withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit("")}).schema
-    return source.withColumn("_shard", shard("_key")).groupBy("_shard") \
-        .cogroup(confirmed.withColumn("_shard", shard("key")).groupBy("_shard")) \
+    ordered = [c for c in source.columns if c != "_text"]
+    spread = source.withColumns({"_n": F.lit(0).cast("long"), "_shard": F.lit(0).cast("long")}).select(*ordered, F.expr("nullif(_text, '')").alias("_text"), "_n", "_shard").schema
+    return source.mapInArrow(_spread(size, shards, source.columns), spread).groupBy("_shard") \
+        .cogroup(confirmed.withColumn("_shard", F.pmod("key", F.lit(shards))).groupBy("_shard")) \
         .applyInArrow(_dedup_shard(size, to_arrow_schema(out)), out)

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import process_cache, ship_by_value, shuffle_partitions, text_key, text_or_empty, tokenizer_file
+from aurum.llm.common import materialise, process_cache, ship_by_value, shuffle_partitions, text_key, text_or_empty, tokenizer_file
 
 ship_by_value(__name__)
 
@@ -193,6 +193,7 @@ def token_counts(docs: DataFrame, text: str = "text", limit: int = 4096, vocab:
         .mapInArrow(_merge(path), "block long, docs binary, sums binary")
     counted = partial.groupBy("block").applyInPandas(_by_document, "k1 long, k2 long, n_tokens long") \
         .groupBy("k1", "k2").agg(F.max("n_tokens").alias("_n"))
+    counted = materialise(counted, "token-counts")
     rest = docs.drop("n_bytes", "n_tokens", "over_limit")
     sized = rest.withColumns({"_" + n: c for n, c in text_key(text).items()} | {"n_bytes": F.octet_length(full).cast("long")}).drop(text)
     out = sized.join(counted.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), ["_k1", "_k2"], "left").drop("_k1", "_k2")
