@@ -404,20 +404,17 @@ FROM nrt_state WHERE {_col} IS NOT NULL GROUP BY 1""", _ids)(
 # ------------------------------------------------------------------------------------ address stream (RT-08)
 
 from aurum.operators.quality import address_rules  # noqa: E402
-from aurum.sources.derived import CITIES, _pick  # noqa: E402
+from aurum.sources.derived import CITIES  # noqa: E402
+from aurum.sources.events import ADDRESS_COLS, map_addresses, raw_address_events  # noqa: E402
 
 
-def address_state(state: DataFrame) -> DataFrame:
-    """CRM address records keyed to the customer records they belong to (derived
-    from the person behind each key; CRM_C abbreviates the street for k%3=0)."""
-    k = F.substring("source_key", 2, 20).cast("long")
-    street = F.when((F.col("source_system") == "CRM_C") & (k % 3 == 0), F.concat(F.lit("Storg. "), (1 + k % 120).cast("string"))) \
-        .otherwise(F.concat(F.lit("Storgata "), (1 + k % 120).cast("string")))
-    return state.select(
-        "source_system", F.concat(F.lit("ADDR-"), F.col("source_key")).alias("source_key"), F.col("source_key").alias("source_customer_key"),
-        street.alias("gate"), F.lpad(((k * 37) % 10000).cast("string"), 4, "0").alias("postnummer"),
-        F.when(k % 30 == 7, F.lit(None).cast("string")).otherwise(_pick(CITIES, k % 4)).alias("by"),
-        F.lit("NO").alias("land"), "event_ts")
+def upsert_addresses(records: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Keyed latest address state; the newest event time wins, then the later arrival."""
+    r = records.select(*ADDRESS_COLS)
+    if state is not None:
+        r = state.select(*ADDRESS_COLS).unionByName(r)
+    return r.groupBy("source_system", "source_key").agg(
+        F.max_by(F.struct(*ADDRESS_COLS[2:]), F.struct("event_ts", "arrival_seq")).alias("s")).select("source_system", "source_key", "s.*")
 
 
 def address_golden(addr: DataFrame, clustered: DataFrame) -> DataFrame:
@@ -461,4 +458,4 @@ ag0 AS (
 )
 SELECT *, {NS.dq_score(NS.dq_address_terms())} AS dq_score FROM ag0""", "RT-08, GD-05")
 def q_nrt_address(spark, sf_dir):
-    return address_golden(address_state(state_all(spark, sf_dir)), clusters_all(spark, sf_dir))
+    return address_golden(upsert_addresses(map_addresses(raw_address_events(spark, sf_dir))), clusters_all(spark, sf_dir))

@@ -12,7 +12,7 @@ from aurum.plans import nrt_sql as NS
 from aurum.plans.catalog import register
 from aurum.plans.layers import _MEMO
 from aurum.session import shared_dir
-from aurum.sources.events import raw_events
+from aurum.sources.events import raw_address_events, raw_events
 from aurum.streaming.pipeline import RAW_SCHEMA, TIME_FORMAT, StateStore, process_batch, run_stream, write_message_files
 
 ENDS = nrt.BATCH_ENDS
@@ -23,7 +23,7 @@ def _run(spark, sf_dir, replay_last: bool = False):
     if key in _MEMO:
         return _MEMO[key]
     base = shared_dir(spark, f"stream/{uuid.uuid4().hex[:8]}")
-    write_message_files(raw_events(spark, sf_dir), base + "/in", ENDS)
+    write_message_files(raw_events(spark, sf_dir).unionByName(raw_address_events(spark, sf_dir)), base + "/in", ENDS)
     q = run_stream(spark, base + "/in", base + "/state", base + "/ckpt")
     q.awaitTermination()
     store = StateStore(spark, base + "/state")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aurum.functions import email_domain, norm_email, norm_phone, phone_suffix, soundex_nordic, title_case
-from aurum.sources.derived import FIRST_NAMES, LAST_NAMES, MAIL_DOMAINS, _pick
+from aurum.sources.derived import CITIES, FIRST_NAMES, LAST_NAMES, MAIL_DOMAINS, _pick
 
 # Topic names and their source systems.
 TOPIC_OF_EVENT = {"signup": "topic.crm.a", "purchase": "topic.crm.b", "click": "topic.crm.b",
@@ -53,6 +53,42 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("event_ts"), payload.alias("payload"))
 
 
+#: address messages of all systems share one topic; the payload names its system
+ADDRESS_TOPIC = "topic.address"
+SCHEMA_ADDRESS = T.StructType([T.StructField(n, T.StringType()) for n in
+                               ["source_system", "src_address_id", "src_customer_id", "gate", "postnummer", "by", "land"]])
+ADDRESS_COLS = ["source_system", "source_key", "source_customer_key", "gate", "postnummer", "by", "land", "event_ts", "arrival_seq"]
+
+
+def raw_address_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Address messages: every readable CRM event is followed by its customer's address
+    (person k lives at number 1 + k % 120; CRM_C abbreviates the street for k % 3 = 0, no city for k % 30 = 7)."""
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    n = cust.select(F.count("*")).scalar()
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type").where("event_id % 97 <> 0")
+    k, eid = F.col("user_id") % n, F.col("event_id")
+    letter = F.when(F.col("event_type") == "signup", "A").when(F.col("event_type").isin("purchase", "click"), "B") \
+        .when(F.col("event_type").isin("view", "error"), "C")
+    street = F.when((letter == "C") & (k % 3 == 0), "Storg. ").otherwise("Storgata ")
+    key = F.concat(letter, k.cast("string"))
+    payload = F.to_json(F.struct(
+        F.concat(F.lit("CRM_"), letter).alias("source_system"), F.concat(F.lit("ADDR-"), key).alias("src_address_id"), key.alias("src_customer_id"),
+        F.concat(street, (1 + k % 120).cast("string")).alias("gate"), F.lpad(((k * 37) % 10000).cast("string"), 4, "0").alias("postnummer"),
+        F.when(k % 30 == 7, F.lit(None).cast("string")).otherwise(_pick(CITIES, k % 4)).alias("by"), F.lit("NO").alias("land")))
+    return ev.where(letter.isNotNull()).select(
+        "event_id", ((F.floor(eid / 10) * 10) + 9 - eid % 10).alias("arrival_seq"), F.lit(ADDRESS_TOPIC).alias("topic"),
+        F.col("ts").alias("event_ts"), payload.alias("payload"))
+
+
+def map_addresses(raw: DataFrame) -> DataFrame:
+    """Address records of the address topic; payloads without keys are left to the caller's rejects."""
+    j = F.from_json("payload", SCHEMA_ADDRESS)
+    a = raw.where(F.col("topic") == ADDRESS_TOPIC).select("event_ts", "arrival_seq", j.alias("j")).select(
+        "j.source_system", F.col("j.src_address_id").alias("source_key"), F.col("j.src_customer_id").alias("source_customer_key"),
+        "j.gate", "j.postnummer", "j.by", "j.land", "event_ts", "arrival_seq")
+    return a.where("source_system is not null and source_key is not null and source_customer_key is not null").select(*ADDRESS_COLS)
+
+
 def _split_name(c: Column) -> tuple[Column, Column]:
     parts = F.split(F.coalesce(c, F.lit("")), " ", 2)
     first = F.when(F.length(parts.getItem(0)) > 0, title_case(parts.getItem(0)))
@@ -66,6 +102,10 @@ def map_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     Returns (records, rejects). Rejects are malformed JSON, unknown topics and
     payloads without their business key; they carry a reason.
     """
+    # well-formed address messages are mapped by map_addresses; the others are rejected here
+    address = F.from_json("payload", SCHEMA_ADDRESS)
+    keyed = address["source_system"].isNotNull() & address["src_address_id"].isNotNull() & address["src_customer_id"].isNotNull()
+    raw = raw.where((F.col("topic") != ADDRESS_TOPIC) | F.col("topic").isNull() | ~F.coalesce(keyed, F.lit(False)))
     # one parse per message with the union of the three topic schemas
     j = F.col("_j")
     a = b = c = j
@@ -83,7 +123,8 @@ def map_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     m = raw.select("event_id", "arrival_seq", "topic", "event_ts", "payload",
                    sys_.alias("source_system"), key.alias("source_key"), first.alias("first_name"), last.alias("last_name"),
                    email.alias("email"), phone.alias("phone"))
-    m = m.withColumn("reject_reason", F.when(F.col("source_system").isNull(), "UNKNOWN_TOPIC")
+    m = m.withColumn("reject_reason", F.when(F.col("topic") == ADDRESS_TOPIC, "MALFORMED_OR_NO_KEY")
+                     .when(F.col("source_system").isNull(), "UNKNOWN_TOPIC")
                      .when(F.col("payload").isNull(), "NULL_PAYLOAD")
                      .when(F.col("source_key").isNull(), "MALFORMED_OR_NO_KEY"))
     rejects = m.where(F.col("reject_reason").isNotNull()).select("event_id", "topic", "event_ts", "payload", "reject_reason")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aurum.plans import nrt
-from aurum.sources.events import map_events
+from aurum.sources.events import map_addresses, map_events
 
 RAW_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("arrival_seq", T.LongType()),
@@ -117,13 +117,19 @@ def process_batch(store: StateStore, batch: DataFrame, batch_id: int) -> None:
     else:
         before = old_gold.join(affected, "cluster_id", "left_semi")
         store.write("golden", batch_id, old_gold.join(affected, "cluster_id", "left_anti").unionByName(fresh))
-    # address stream (RT-08): addresses of the touched clusters, linked, survived, scored
-    fresh_addr = nrt.address_golden(nrt.address_state(new_state), new_cl.join(affected, "cluster_id", "left_semi"))
+    # address stream (RT-08): keyed address state from its own topic; addresses of changed clusters and of clusters
+    # with a changed address are linked, survived and scored
+    addresses = map_addresses(batch).checkpoint()
+    state_addr = store.write("addresses", batch_id, nrt.upsert_addresses(addresses, store.read("addresses", prev)))
+    moved_in = new_cl.join(addresses.select("source_system", F.col("source_customer_key").alias("source_key")).distinct(),
+                           ["source_system", "source_key"], "left_semi").select("cluster_id")
+    affected_addr = affected.unionByName(moved_in).distinct()
+    fresh_addr = nrt.address_golden(state_addr, new_cl.join(affected_addr, "cluster_id", "left_semi"))
     old_addr = store.read("address_golden", prev)
     if old_addr is None:
         store.write("address_golden", batch_id, fresh_addr)
     else:
-        store.write("address_golden", batch_id, old_addr.join(affected, "cluster_id", "left_anti").unionByName(fresh_addr))
+        store.write("address_golden", batch_id, old_addr.join(affected_addr, "cluster_id", "left_anti").unionByName(fresh_addr))
     events = nrt.golden_events(before, fresh, "1970-01-01 00:00:00").drop("valid_from") \
         .join(changed_at.select(F.col("cluster_id").alias("customer_id"), F.col("changed_at").cast("timestamp").alias("valid_from")), "customer_id", "left")
     store.append("cdc_golden", batch_id, events)
