@@ -55,6 +55,10 @@ ROLE = re.compile(
     r"masthead|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|paywall|login|signup|"
     r"comments?|comment-?list|disqus|replies|respond|discussion|share|sharing|social|related|recommended|recirc|pagination|pager|toolbar|skip-?link|"
     r"copyright|disclaimer|search(?:box|form)?|contentinfo|complementary|navigation)(?:[^a-z]|$)", re.I)
+#: what a layout has or lacks says nothing about the element itself
+MODIFIER = re.compile(r"(?<![a-z])(?:no|has|have|with|without|hide|show|is)-[a-z-]+")
+#: names of article elements that are not the article
+SUBORDINATE = frozenset("comment comments user-comment reader-comment reply related teaser promo ad advert sponsored".split())
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
@@ -64,30 +68,42 @@ def boilerplate(name: str, attrs: str, in_content: bool) -> bool:
         return True
     if name == "header":
         return not in_content  # the article's own header holds its headline
-    if not attrs or name in ("html", "body", "article", "main") or name in VOID:
+    if not attrs or name in ("html", "body", "main") or name in VOID:
         return False
-    if HIDDEN.search(attrs):
-        return True
-    names = " ".join(filter(None, (x for m in NAME.findall(attrs) for x in m)))
-    return bool(names) and bool(ROLE.search(CAMEL.sub("-", names).replace("_", "-")))
+    names = CAMEL.sub("-", " ".join(filter(None, (x for m in NAME.findall(attrs) for x in m)))).replace("_", "-").lower()
+    if name == "article":
+        return not SUBORDINATE.isdisjoint(names.split())
+    return bool(HIDDEN.search(attrs)) or bool(names) and bool(ROLE.search(MODIFIER.sub(" ", names)))
 
 
-def tokenise(page: str) -> list[tuple[str, str, bool]]:
-    """Tokens in page order: (kind, text, inside a content element).
+def tokenise(page: str) -> list[tuple[str, str, int]]:
+    """Tokens in page order: (kind, text, number of the content element they are in, or 0).
 
     kind: ``w`` raw text outside boilerplate, or the tag's kind: its name,
     with ``!`` before it for a boilerplate element, ``/`` for a closing tag.
+    Where a page has articles, they are its content elements; else ``<main>`` is.
     """
-    out: list[tuple[str, str, bool]] = []
-    content = 0  # depth of article/main
+    found = _tokens(page)
+    if any(articles for _, _, articles, _ in found):
+        return [(kind, text, article) for kind, text, article, _ in found]
+    return [(kind, text, int(main)) for kind, text, _, main in found]
+
+
+def _tokens(page: str) -> list[tuple[str, str, int, bool]]:
+    out: list[tuple[str, str, int, bool]] = []
+    article = main = number = 0  # depths, and the number of the outermost article
     skip: list[str] = []  # open elements since (and with) the boilerplate element that began the skipping
+
+    def put(kind: str, text: str = "") -> None:
+        out.append((kind, text, number if article else 0, main > 0))
+
     at, end = 0, len(page)
     last = page.rfind(">") + 1  # no tag ends behind it
     while at < end:
         m = TAG.search(page, at, last)
         stop = m.start() if m else end
         if stop > at and not skip:
-            out.append(("w", page[at:stop], content > 0))
+            put("w", page[at:stop])
         if not m:
             break
         at, name, attrs = m.end(), (m[2] or "").lower(), m[3] or ""
@@ -101,30 +117,32 @@ def tokenise(page: str) -> list[tuple[str, str, bool]]:
             if closing and name == skip[0]:
                 skip.pop()
                 if not skip:
-                    out.append(("/!" + name, "", content > 0))
+                    put("/!" + name)
                 continue
             if not closing and name == skip[0] and not empty:
                 skip.append(name)
                 at = _after_raw(page, at, name)
                 continue
-            if not (closing and (name in CONTENT and content or name == "body") or not closing and name in CONTENT and not content or name == "body"):
+            content = article or main
+            if not (closing and name in CONTENT and content or not closing and name in CONTENT and not content or name == "body"):
                 if not closing and name in RAW:
                     at = _after_raw(page, at, name)
                 continue
             skip.clear()
         if closing:
-            if name in CONTENT and content:
-                out.append(("/" + name, "", True))
-                content -= 1
-            else:
-                out.append(("/" + name, "", content > 0))
-        elif not empty and boilerplate(name, attrs, content > 0):
-            out.append(("!" + name, "", content > 0))
+            put("/" + name)
+            article -= name == "article" and article > 0
+            main -= name == "main" and main > 0
+        elif not empty and boilerplate(name, attrs, bool(article or main)):
+            put("!" + name)
             skip = [name]
             at = _after_raw(page, at, name)
         else:
-            content += name in CONTENT and not empty
-            out.append((name, "", content > 0))
+            if name == "article" and not empty:
+                number += not article
+                article += 1
+            main += name == "main" and not empty
+            put(name)
     return out
 
 
@@ -206,11 +224,9 @@ def extract(page: str, weights: dict[str, float]) -> str:
     scores = [word * len(text.split()) if kind == "w" else 0.0 if kind.lstrip("/") in CONTENT else weights.get(feature(kind), UNSEEN)
               for kind, text, _ in tokens]
     i, j = best_region(scores)
-    marked = [k for k in range(i, j) if tokens[k][2]]
-    if marked:  # the region lies in marked content: take that element (or elements) whole and nothing beside it
-        chosen = [t for t in tokens if t[2]]
-    else:
-        chosen = tokens[i:j]
+    marked = {within for _, _, within in tokens[i:j]} - {0}
+    # content elements that the region meets are taken whole, and nothing beside them
+    chosen = [t for t in tokens if t[2] in marked] if marked else tokens[i:j]
     parts = []
     for kind, text, _ in chosen:
         if kind == "w":

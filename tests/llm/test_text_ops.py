@@ -270,3 +270,12 @@ def test_markov_models_find_random_strings(spark):
     assert got == {1: [("random", 4, 32)], 2: [], 3: []}
 
 
+
+
+def test_articles_among_others():
+    w = {"w": 1.0, "/article": 0.0}
+    page = ('<body class="has-sidebar"><main><h2>Latest</h2><article class="post has-comments"><h1>T</h1><p>the real text of it</p>'
+            '<article class="comment"><p>a reader says</p></article><p>and its end</p></article><div class="share">Share me</div></main></body>')
+    assert html_extract.extract(page, w) == "T the real text of it and its end"
+    assert html_extract.extract("<main><p>only main</p><aside>x</aside></main><footer>f</footer>", w) == "only main"
+    assert html_extract.extract('<div class="page no-sidebar"><p>plain text</p></div>', w) == "plain text"
