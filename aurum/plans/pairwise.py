@@ -26,7 +26,7 @@ from aurum import rules
 from aurum.functions import digits, soundex_nordic
 from aurum.operators import graph
 from aurum.operators.fuzzy import similar_values
-from aurum.operators.harmonise import enrich_v2, union_addresses, union_customers_v2
+from aurum.operators.harmonise import enrich_v2, fake_name_flag, union_addresses, union_customers_v2
 from aurum.operators.quality import address_rules, customer_rules_bulk, score_quality
 from aurum.operators.scoring import pairwise_rules, pairwise_total
 from aurum.operators.survivorship import Rule, desc_date, survive
@@ -39,7 +39,9 @@ NODE_ATTRS = ["ssn", "first_name", "last_name", "birth_date", "canonical_first_n
 def enriched(spark: SparkSession, sf_dir: str, canonical: str = "initcap") -> DataFrame:
     def build():
         u = union_customers_v2(inputs.freg(spark, sf_dir), inputs.bs(spark, sf_dir), inputs.nice(spark, sf_dir))
-        return enrich_v2(u, canonical)
+        e = enrich_v2(u, canonical)
+        # the dictionary variant also flags fake names by rule
+        return e if canonical == "initcap" else fake_name_flag(e, spark.createDataFrame([(t,) for t in rules.FAKE_TOKENS], "token string"))
     return layer(spark, ("v2_enriched", sf_dir, canonical), build)
 
 
@@ -348,9 +350,9 @@ from aurum.plans.catalog import register  # noqa: E402
 from aurum.plans.sqlfrag import tier  # noqa: E402
 
 
-def clusters_for(spark, sf_dir, blocks="parity", mode="transitive"):
-    enr = enriched(spark, sf_dir)
-    cl = layer(spark, ("v2_clusters", sf_dir, blocks, mode),
+def clusters_for(spark, sf_dir, blocks="parity", mode="transitive", canonical="initcap"):
+    enr = enriched(spark, sf_dir, canonical)
+    cl = layer(spark, ("v2_clusters", sf_dir, blocks, mode, canonical),
                lambda: clusters(MatchGraph(enr, blocks, inputs.overrides(spark, sf_dir)), mode))
     return enr, cl
 

@@ -4,14 +4,25 @@ OR-blocking, explicit pair scoring, recursive transitive closure."""
 from __future__ import annotations
 
 from aurum import rules
-from aurum.plans.sqlfrag import date_valid, dq_address_terms, dq_bulk_terms, dq_fired, dq_score, initcap_word, soundex
+from aurum.plans.sqlfrag import date_valid, dq_address_terms, dq_bulk_terms, dq_fired, dq_score, initcap_word, s, soundex, values_table
 
 D = dict(rules.PAIR_SCORES)
 IC = lambda c: initcap_word(f"trim({c})")
 DIG = lambda c: f"regexp_replace({c}, '[^0-9]', '', 'g')"
 
 
-def base() -> str:
+def _enrichment(canonical: str) -> str:
+    """Columns and source of ``v2_enriched``: initcap names, or nicknames with the fake-name flag."""
+    if canonical == "initcap":
+        return f"{IC('first_name')} AS canonical_first_name, FALSE AS is_fake_name FROM v2_union"
+    fake = ", ".join(s(t) for t in rules.FAKE_TOKENS)
+    return f"""CASE WHEN length(trim(first_name)) > 1 THEN {IC('COALESCE(n.canonical, trim(first_name))')} ELSE first_name END AS canonical_first_name,
+         COALESCE(upper(trim(first_name)) IN ({fake}), FALSE) OR COALESCE(upper(trim(last_name)) IN ({fake}), FALSE)
+         OR COALESCE(regexp_matches(concat_ws(' ', first_name, last_name), '[0-9]'), FALSE) AS is_fake_name
+  FROM v2_union LEFT JOIN {values_table(rules.NICKNAMES, ['nickname', 'canonical'], 'n')} ON upper(trim(first_name)) = n.nickname"""
+
+
+def base(canonical: str = "initcap") -> str:
     return f"""
 v2_union AS (
   SELECT 'FREG' AS source_system, ssn AS source_key, ssn, {IC('first_name')} AS first_name, {IC('last_name')} AS last_name,
@@ -27,7 +38,7 @@ v2_union AS (
          regexp_replace(phone, '[^0-9+]', '', 'g'), lower(trim(email)), record_date, organization, _source_file FROM nice
 ),
 v2_enriched AS (
-  SELECT *, {date_valid('ssn')} AS ssn_valid, {IC('first_name')} AS canonical_first_name, FALSE AS is_fake_name FROM v2_union
+  SELECT v2_union.*, {date_valid('ssn')} AS ssn_valid, {_enrichment(canonical)}
 ),
 v2_base AS (
   SELECT *, concat_ws('|', organization, source_system, source_key) AS node, {soundex('last_name')} AS sdx,
@@ -59,12 +70,12 @@ MTYPE = ("CASE " + " ".join(f"WHEN score_{name.lower()} >= {score} THEN '{name}'
          + " WHEN score_fuzzy_name > 0.0 THEN 'FUZZY' ELSE 'OTHER' END")
 
 
-def clusters(blocks: str = "parity", mode: str = "one_hop") -> str:
+def clusters(blocks: str = "parity", mode: str = "one_hop", canonical: str = "initcap") -> str:
     cond = ("(a.ssn IS NOT NULL AND b.ssn IS NOT NULL AND a.ssn = b.ssn) "
             "OR (a.sdx IS NOT NULL AND a.sdx = b.sdx AND a.yr IS NOT NULL AND a.yr = b.yr)")
     if blocks == "extended":
         cond += " OR (a.sdx IS NOT NULL AND a.sdx = b.sdx) OR (a.ph8 IS NOT NULL AND a.ph8 = b.ph8)"
-    sql = base() + f""",
+    sql = base(canonical) + f""",
 v2_scored AS (
   SELECT a.node AS node_a, b.node AS node_b, a.source_key AS key_a, b.source_key AS key_b, {_score_cols('a', 'b')}
   FROM v2_base a JOIN v2_base b ON a.organization = b.organization

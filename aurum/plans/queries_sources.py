@@ -226,8 +226,7 @@ def q_nickname(spark, sf_dir):
     return e.select("first_name", "canonical_first_name").distinct()
 
 
-# Test / placeholder name tokens of the rule-based fake-name flag.
-FAKE_TOKENS = ["TEST", "DUMMY", "ASDF", "QWERTY", "FOO", "BAR", "XXX", "NONAME", "UNKNOWN"]
+FAKE_TOKENS = rules.FAKE_TOKENS
 
 
 @register("enrich_fake_name", PS.base() + f"""

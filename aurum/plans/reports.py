@@ -156,16 +156,22 @@ def q_versions(spark, sf_dir):
                                                        F.max("valid_from").alias("last_changed")).where(F.col("versions") > 1)
 
 
-@register("compare_variants", None, "AG-15")
+def _variant_sql(name: str, golden_cte: str) -> str:
+    return f"""SELECT '{name}' AS variant, count(*) AS golden, count(*) FILTER (WHERE source_count >= 2) AS merged,
+  round(avg(dq_score), 6) AS avg_score, count(*) FILTER (WHERE is_fake_name) AS fake_names FROM {golden_cte}"""
+
+
+@register("compare_variants", GOLD_ONLY + "," + (PS.clusters("parity", "transitive", "nickname") + PS.golden()).replace("v2_", "v3_")
+          + "\n" + _variant_sql("initcap", "v2_golden") + " UNION ALL " + _variant_sql("nickname", "v3_golden"), "AG-15, FN-10, FN-11, DQ-AI01")
 def q_compare(spark, sf_dir):
-    g1 = ssn_first.golden(ssn_first._groups(spark, sf_dir))
-    g2 = _gold(spark, sf_dir)
-    g3 = nrt.golden(nrt.clusters_all(spark, sf_dir))
-
-    def row(df, name, score):
-        return df.agg(F.lit(name).alias("variant"), F.count("*").alias("golden"), F.count_if(F.col("source_count") >= 2).alias("merged"),
-                      F.round(F.avg(score), 6).alias("avg_score"))
-    return row(g1, "ssn_first", "dq_score").unionByName(row(g2, "pairwise", "dq_score")).unionByName(row(g3, "stream", "dq_score"))
+    """The two pairwise variants end to end: names as they are, and dictionary names with the fake-name flag."""
+    enr, cl = clusters_for(spark, sf_dir, "parity", "transitive", "nickname")
+    out = None
+    for name, g in (("initcap", _gold(spark, sf_dir)), ("nickname", golden(enr, cl))):
+        row = g.agg(F.lit(name).alias("variant"), F.count("*").alias("golden"), F.count_if(F.col("source_count") >= 2).alias("merged"),
+                    F.round(F.avg("dq_score"), 6).alias("avg_score"), F.count_if("is_fake_name").alias("fake_names"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @register("layer_volumes", GOLD_ONLY + PS.address_golden() + """

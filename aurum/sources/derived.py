@@ -25,7 +25,7 @@ LAST_NAMES = ["Hansen", "Johansen", "Olsen", "Larsen", "Andersen", "Pedersen", "
               "Henriksen", "Lund", "Sorensen", "Jakobsen"]
 STEWARD_NAMES = [("Quwanxi", "Zbigovtzuk"), ("Uvuzela", "Ptakowiczyk"),
                  ("Yxtabqua", "Fuzzumiwoq"), ("Izquib", "Cvetkqumzov"),
-                 ("Wuvoxq", "Xutuwumqi")]
+                 ("Test", "Xutuwumqi")]
 MAIL_DOMAINS = ["example.no", "post.no", "online.no", "mail.no", "mailinator.com"]
 CITIES = ["Oslo", "Bergen", "Trondheim", "Stavanger"]
 UPDATE_SHIFT_DAYS = 200
