@@ -20,9 +20,16 @@ def ship_by_value(module_name: str) -> None:
 ship_by_value(__name__)
 
 
-def process_cache() -> dict:
-    """A dict that lives as long as the Python worker: loaded vocabularies and memo tables."""
-    return sys.__dict__.setdefault("_aurum_llm_cache", {})
+def process_cache(owner: str) -> dict:
+    """A dict that lives as long as the Python worker: an operator's loaded vocabularies and memo tables.
+
+    A worker serves one operator after another; what the last one kept is dropped.
+    """
+    held = sys.__dict__.setdefault("_aurum_llm_cache", {})
+    if owner not in held:
+        held.clear()
+        held[owner] = {}
+    return held[owner]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

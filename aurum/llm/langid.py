@@ -43,7 +43,7 @@ SHORT = 24
 def pieces(path: str) -> tuple[dict[str, int], int, int]:
     """Piece -> id of the vocabulary's ordinary pieces, the longest piece, and the id of byte piece 0."""
     key = ("pieces", path)
-    cache = process_cache()
+    cache = process_cache("langid")
     if key not in cache:
         import sentencepiece
 
@@ -216,7 +216,7 @@ def fit(docs: DataFrame, fit_rows: int = 1000, rounds: int = 3, smoothing: float
 class _Scorer:
     """Memo of word scores in one Python worker: word -> row of a matrix [word, language]."""
 
-    def __init__(self, logp: np.ndarray, path: str, limit: int = 400_000):
+    def __init__(self, logp: np.ndarray, path: str, limit: int = 250_000):
         self.logp, self.prob = logp, np.exp(logp).tolist()
         self.vocab = pieces(path)
         self.limit, self.rows, self.at = limit, np.zeros((1024, logp.shape[1])), {}
@@ -254,27 +254,27 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     shared, path, langs = sc.broadcast(model.logp), model.path, model.langs
     token = uuid.uuid4().hex
 
-    def run(texts):
-        cache = process_cache()
-        for b in texts:
-            scorer = cache.get("langid")
-            if scorer is None or scorer[0] != token:
-                scorer = cache["langid"] = (token, _Scorer(shared.value, path))
-            pred, score = [], []
-            for t in b.column("text").to_pylist():
-                ll = scorer[1].text(t) if t else None
-                if ll is None:
-                    pred.append(UNDEFINED)
-                    score.append(0.0)
-                else:
-                    k = int(ll.argmax())
-                    pred.append(langs[k])
-                    score.append(float(1.0 / np.exp(np.maximum(ll - ll[k], -700.0)).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in b.schema.names], pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                names=[*b.schema.names, "lang_pred", "score"])
+    @F.pandas_udf("lang_pred string, score double")
+    def scored(texts):
+        import pandas as pd
+
+        cache = process_cache("langid")
+        if cache.get("token") != token:
+            cache["token"], cache["scorer"] = token, _Scorer(shared.value, path)
+        scorer, pred, score = cache["scorer"], [], []
+        for t in texts:
+            ll = scorer.text(t) if t else None
+            if ll is None:
+                pred.append(UNDEFINED)
+                score.append(0.0)
+            else:
+                k = int(ll.argmax())
+                pred.append(langs[k])
+                score.append(float(1.0 / np.exp(np.maximum(ll - ll[k], -700.0)).sum()))
+        return pd.DataFrame({"lang_pred": pred, "score": score})
 
-    return rest.mapInArrow(run, rest.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema)
+    # only the text goes to Python and only the two results come back
+    return rest.withColumn("_scored", scored(F.col("text"))).select(*rest.columns, "_scored.lang_pred", "_scored.score")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

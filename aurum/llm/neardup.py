@@ -153,7 +153,7 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
 
 
 def _memo() -> dict:
-    return process_cache().setdefault("word-hashes", {})
+    return process_cache("neardup").setdefault("word-hashes", {})
 
 
 def _sign(batches):

@@ -77,7 +77,7 @@ class ByteBPE:
 
 
 def byte_bpe(path: str) -> ByteBPE:
-    cache = process_cache()
+    cache = process_cache("packing")
     if (key := ("byte_bpe", path)) not in cache:
         cache[key] = ByteBPE(path)
     return cache[key]

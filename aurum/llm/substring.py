@@ -69,7 +69,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def word_hashes(ws: list[bytes]) -> list[int]:
     import xxhash
 
-    memo = process_cache().setdefault("substring-words", {})
+    memo = process_cache("substring").setdefault("substring-words", {})
     if len(memo) > 400_000:
         memo.clear()
     get, out = memo.get, []

@@ -58,7 +58,7 @@ def pre_tokens(text: str) -> list[str]:
 
 def count_pieces(tokens: list[str], path: str) -> list[int]:
     """Pieces of each pre-token, by the library."""
-    cache = process_cache()
+    cache = process_cache("token_counts")
     if (key := ("sentencepiece", path)) not in cache:
         import sentencepiece
 
