@@ -207,5 +207,6 @@ def mask(docs: DataFrame, text: str = "text", with_: str = "[PII]", **bootstrapp
     found = find(docs, text, **bootstrapping).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans"))
     keyed = docs.withColumns({"_" + n: c for n, c in text_key(text).items()})
     hit = F.col("_spans").isNotNull() & F.col(text).isNotNull()
-    out = keyed.join(found, ["_k1", "_k2"], "left")
+    # the spans grow with the corpus, so texts meet them by a sort-merge join at every size
+    out = keyed.join(found.hint("merge"), ["_k1", "_k2"], "left")
     return out.withColumn(text, F.when(hit, replace_spans(F.col(text), F.col("_spans"), with_)).otherwise(F.col(text))).select(docs.columns)
