@@ -16,16 +16,21 @@ The joining, without a pair list of any group:
 2. nodes are banded (``BANDS`` x ``ROWS`` coordinates). In each band group
    every member is tested against the smallest and the largest node, by exact
    similarity of the shingle sets, and links give components;
-3. groups whose members then lie in different components are looked at whole.
-   A large one is first divided by further bands (members must agree in all of
-   them), which parts texts that only share a very common passage. A group's
-   pairs of different components whose signatures agree in ``AGREE`` of the
-   coordinates are tested exactly, and each link joins two components at once,
-   so a group gives fewer links than it has members.
-
-Nothing is capped: tests left out could not change a class. A pair of
-similarity 0.8 shares no band with probability 7e-5, and agrees in fewer than
-``AGREE`` coordinates with probability 8e-5.
+3. large groups whose members then lie in different components get further
+   star rounds (ends of two different components each time). The members of
+   those still open are banded anew, whatever group they came from, with longer
+   bands (``FINE_BANDS`` x ``FINE_ROWS`` coordinates of a signature of their
+   own), which part texts that only share a very common passage;
+4. open groups are cut into blocks of bounded members and bytes, and each pair
+   of blocks is one task. Its pairs of different components whose signatures
+   agree in ``AGREE`` of the coordinates are tested exactly, and each link joins
+   two components at once, so a task gives fewer links than it has members.
+
+No group is dropped or cut short. A pair of similarity 0.8 shares no band with
+probability 7e-5, and agrees in fewer than ``AGREE`` coordinates with
+probability 8e-5; one that meets in large open groups alone shares no long band
+with probability 7e-5 more. The price: a group of m members that is still open
+after steps 2 and 3 costs about 2 m / ``SMALL`` copies of each member.
 
 Semantics: words are white-space separated, lower-cased. A text with one to
 four words is one shingle. Null and wordless texts are classes of their own
@@ -50,8 +55,10 @@ ship_by_value(__name__)
 SHINGLE = 5
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
-#: a group up to this many members is looked at whole; larger ones are divided, at most DEPTH times
-SMALL, DEPTH = 4000, 5
+#: bands of the members of large open groups
+FINE_BANDS, FINE_ROWS = 84, 10
+#: a task compares up to about this many members and bytes of shingle sets; larger open groups get further star rounds first
+SMALL, TASK_BYTES, STAR_ROUNDS = 4000, 64 << 20, 3
 #: coordinates of K in which a pair agrees before it is tested exactly
 AGREE = 80
 RANK_UNIT = 1 << 20  # resolution of a dart's rank
@@ -203,16 +210,32 @@ def links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return tested.where(F.col("sim") >= threshold).select("a", "b")
 
 
+def _fine_bands(batches):
+    """The long bands of shingle sets: (node, n, band, key), bands numbered behind those of all nodes."""
+    for b in batches:
+        for i in range(0, b.num_rows, 500):
+            part = b.slice(i, 500)
+            sets = [np.frombuffer(s, np.uint64) for s in part.column("s").to_pylist()]
+            keys = band_keys(dart_minhash(sets, FINE_BANDS * FINE_ROWS), FINE_BANDS, FINE_ROWS).view(np.int64)
+            at = np.repeat(np.arange(len(sets)), FINE_BANDS)
+            band = np.tile(np.arange(BANDS, BANDS + FINE_BANDS, dtype=np.int32), len(sets))
+            yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(at)), part.column("n").take(pa.array(at)), pa.array(band), pa.array(keys.reshape(-1))],
+                                             names=["node", "n", "band", "key"])
+
+
 def _join_components(threshold: float):
-    """One group: links between its components, each of which joins two."""
+    """One pair of blocks (or one block): links between its components, each of which joins two."""
     def run(group: pa.Table) -> pa.Table:
         node, n, sets = group.column("node").to_pylist(), group.column("n").to_numpy(), group.column("s").to_pylist()
         sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), "<u4").reshape(len(node), -1)
         root = np.unique(group.column("component").to_numpy(), return_inverse=True)[1]
+        block = group.column("block").to_numpy()
+        one = group.num_rows > 0 and group.column("lo")[0].as_py() == group.column("hi")[0].as_py()
         out = []
         for i in range(len(node) - 1):
             rest = slice(i + 1, len(node))
-            fits = (root[rest] != root[i]) & (np.minimum(n[rest], n[i]) >= np.maximum(n[rest], n[i]) * threshold - 1e-9)
+            # the pairs inside a block are those of its own task
+            fits = (root[rest] != root[i]) & (np.minimum(n[rest], n[i]) >= np.maximum(n[rest], n[i]) * threshold - 1e-9) & (one | (block[rest] != block[i]))
             if not fits.any():
                 continue
             at = i + 1 + np.flatnonzero(fits)
@@ -224,9 +247,20 @@ def _join_components(threshold: float):
     return run
 
 
-def _star(groups: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    """Pairs of every member with the smallest and the largest node of its group."""
-    ends = groups.groupBy(*keys).agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")) \
+def _block_pairs(groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Members of open groups, once for each pair (lo, hi) of blocks that their block is part of."""
+    half = F.when((F.col("size") <= SMALL) & (F.col("bytes") <= TASK_BYTES), 1) \
+        .otherwise(F.ceil(F.greatest(F.col("size") * 2 / SMALL, F.col("bytes") * 2 / TASK_BYTES))).cast("int")
+    dealt = groups.withColumn("blocks", half).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return dealt.select(*keys, "node", "n", "component", "block", other) \
+        .select(*keys, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "n", "component", "block")
+
+
+def _star(groups: DataFrame, keys: list[str], threshold: float, order: list | None = None) -> DataFrame:
+    """Pairs of every member with the first and the last node of its group, by ``order`` (by default the node's number)."""
+    end = F.struct(*(order or []), "node", "n")
+    ends = groups.groupBy(*keys).agg(F.min(end).alias("lo"), F.max(end).alias("hi")) \
         .where(F.col("lo.node") != F.col("hi.node"))
     ends = materialise(ends, "neardup-ends")
     to = groups.join(ends, keys).select("node", "n", F.explode(F.array("lo", "hi")).alias("to")).where(F.col("node") != F.col("to.node"))
@@ -240,9 +274,9 @@ def _pairs(p: DataFrame, threshold: float) -> DataFrame:
 
 
 def _open(groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys and sizes of the groups that lie in more than one component."""
-    return groups.groupBy(*keys).agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")) \
-        .where(F.col("c0") != F.col("c1")).select(*keys, "size").transform(lambda df: materialise(df, "neardup-unsettled"))
+    """Keys and sizes (members, bytes of shingle sets) of the groups that lie in more than one component."""
+    return groups.groupBy(*keys).agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size"), (F.sum("n") * 8).alias("bytes")) \
+        .where(F.col("c0") != F.col("c1")).select(*keys, "size", "bytes").transform(lambda df: materialise(df, "neardup-unsettled"))
 
 
 def _components(members: DataFrame, edges: DataFrame) -> DataFrame:
@@ -269,22 +303,32 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text",
     linked = materialise(links(_star(groups, keys, threshold), sets, threshold), "neardup-links")
     component = _components(members, linked)
 
-    labelled = groups.join(component, "node")
-    rest = materialise(labelled.join(_open(labelled, keys), keys), "neardup-open")
-    more = None
-    for depth in range(DEPTH):
-        whole = rest if depth == DEPTH - 1 else rest.where(F.col("size") <= SMALL)
-        found = whole.select(*keys, "node", "n", "component").join(sets, "node").groupBy(*keys) \
-            .applyInArrow(_join_components(threshold), "a long, b long")
-        more = found if more is None else more.unionByName(found)
-        large = rest.where(F.col("size") > SMALL)
-        if depth == DEPTH - 1 or large.isEmpty():
+    def still_open(members_of: DataFrame) -> DataFrame:
+        labelled = members_of.select(*keys, "node", "n").join(component, "node")
+        return materialise(labelled.join(_open(labelled, keys), keys), "neardup-open")
+
+    def starred(of: DataFrame, order: list | None = None) -> None:
+        nonlocal linked, component
+        linked = materialise(linked.unionByName(links(_star(of, keys, threshold, order), sets, threshold)).distinct(), "neardup-links")
+        component = _components(members, linked)
+
+    rest = still_open(groups)
+    large = rest.where(F.col("size") > SMALL)
+    for k in range(STAR_ROUNDS):
+        if large.isEmpty():
             break
-        # divided by each later band in which members agree; the new key names all bands so far
-        bands = nodes.select("node", F.posexplode("bands").alias("next", "next_key"))
-        parts = large.join(bands, "node").where(F.col("next") > F.col("band")) \
-            .select("node", "n", "component", F.xxhash64("band", "key", "next", "next_key").alias("key"), F.col("next").alias("band"))
-        rest = materialise(parts.join(_open(parts, keys), keys), "neardup-open")
+        starred(large, [F.xxhash64("component", F.lit(k)), F.xxhash64("node", F.lit(k))])
+        rest = still_open(rest)
+        large = rest.where(F.col("size") > SMALL)
+    if not large.isEmpty():
+        hot = materialise(large.select("node").distinct().join(nodes.select("node", "n"), "node"), "neardup-hot")
+        fine = materialise(hot.join(sets.select("node", "s"), "node").mapInArrow(_fine_bands, "node long, n long, band int, key long"), "neardup-fine")
+        shared = materialise(fine.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1").drop("size"), "neardup-shared")
+        fine = materialise(fine.join(shared, keys), "neardup-groups")
+        starred(fine)
+        small = rest.where(F.col("size") <= SMALL)
+        rest = still_open(small.select(*keys, "node", "n").unionByName(fine.select(*keys, "node", "n")))
+    more = _block_pairs(rest, keys).join(sets, "node").groupBy(*keys, "lo", "hi").applyInArrow(_join_components(threshold), "a long, b long")
     more = materialise(more.distinct(), "neardup-links")
     if not more.isEmpty():
         component = _components(members, linked.unionByName(more))

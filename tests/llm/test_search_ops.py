@@ -319,6 +319,64 @@ def test_nameless_and_repeated_rows(spark):
     assert sorted(got, key=str) == sorted([(7, 3), (7, 3), (3, 3), (None, 3), (None, None), (5, 5), (6, 6)], key=str)
 
 
+def test_a_pair_that_meets_in_one_large_open_group_alone(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 3)
+    rng = random.Random(11)
+
+    def changed(words, n, tag):
+        words = list(words)
+        for k in rng.sample(range(len(words)), n):
+            words[k] = f"{tag}{rng.random()}"
+        return words
+
+    def look(texts):
+        sets = [neardup.shingles(" ".join(t), {}) for t in texts]
+        return sets, neardup.band_keys(neardup.dart_minhash(sets))
+
+    def alike(a, b):
+        return neardup.jaccard(a.tobytes(), b.tobytes())
+
+    pair = None
+    for seed in range(200):
+        x = prose(seed, 150, [f"v{i}" for i in range(5000)]).split()
+        others = [changed(x, 3, "y") for _ in range(40)]
+        sets, bands = look([x, *others])
+        shared = (bands[1:] == bands[0]).sum(axis=1)
+        for k in np.flatnonzero(shared == 1):
+            if alike(sets[0], sets[k + 1]) >= 0.8:
+                pair = x, others[k], int(np.flatnonzero(bands[k + 1] == bands[0])[0]), bands[0], sets[0], sets[k + 1]
+        if pair:
+            break
+    x, y, band, key, sx, sy = pair
+    beside = []  # members of the pair's only common group that are copies of neither, nor of each other
+    while len(beside) < 8:
+        tried = [changed(x, 10, "z") for _ in range(200)]
+        sets, bands = look(tried)
+        for k in np.flatnonzero(bands[:, band] == key[band]):
+            if max(alike(sets[k], o) for o in [sx, sy, *[s for _, s in beside]]) < 0.8:
+                beside.append((tried[k], sets[k]))
+    texts = [t for t, _ in beside[:4]] + [x, y] + [t for t, _ in beside[4:8]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows)
+    assert got[5] == 4
+
+
+def test_no_task_holds_a_large_group(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 40)
+    monkeypatch.setattr(neardup, "TASK_BYTES", 8000)
+    for n, size in ((10, 500), (50, 300)):
+        members = spark.range(size).select(F.lit(0).alias("band"), F.lit(7).alias("key"), F.col("id").alias("node"), F.lit(n).alias("n"), F.col("id").alias("component"))
+        groups = members.withColumns({"size": F.lit(size), "bytes": F.lit(size * n * 8)})
+        dealt = neardup._block_pairs(groups, ["band", "key"])
+        tasks = [(r["m"], r["b"]) for r in dealt.groupBy("lo", "hi").agg(F.count("*").alias("m"), (F.sum("n") * 8).alias("b")).collect()]
+        assert max(m for m, _ in tasks) <= 2 * 40 and max(b for _, b in tasks) <= 2 * 8000
+        # every pair meets in one task
+        block = {r["node"]: r["block"] for r in dealt.select("node", "block").distinct().collect()}
+        lots = {(r["lo"], r["hi"]) for r in dealt.select("lo", "hi").distinct().collect()}
+        assert {tuple(sorted((block[a], block[b]))) for a in block for b in block} <= lots
+
+
 # --- queries against their SQL
 
 @pytest.mark.parametrize("name", ["op6_substring_dedup", "op7_topk", "op8_decontaminate"])
