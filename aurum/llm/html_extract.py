@@ -10,8 +10,8 @@ list ... is a kind of its own), held at or under a small negative number.
 
 Elements that are never article text (scripts, styles, forms, menus, footers,
 sidebars, adverts, notices, reader comments ...) count as tags only: their
-words neither score nor appear. If the page marks its content, the region
-found is widened or cut to that element.
+words neither score nor appear. Where the region meets marked elements, it is
+widened to the whole of them; nothing is cut from it.
 
 Semantics: null html is empty. Character references are decoded; white space
 (any Unicode white space) becomes one space, blocks are joined by one space,
@@ -225,8 +225,8 @@ def extract(page: str, weights: dict[str, float]) -> str:
               for kind, text, _ in tokens]
     i, j = best_region(scores)
     marked = {within for _, _, within in tokens[i:j]} - {0}
-    # content elements that the region meets are taken whole, and nothing beside them
-    chosen = [t for t in tokens if t[2] in marked] if marked else tokens[i:j]
+    # content elements that the region meets are taken whole
+    chosen = [t for k, t in enumerate(tokens) if i <= k < j or t[2] in marked]
     parts = []
     for kind, text, _ in chosen:
         if kind == "w":

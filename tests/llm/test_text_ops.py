@@ -279,3 +279,25 @@ def test_articles_among_others():
     assert html_extract.extract(page, w) == "T the real text of it and its end"
     assert html_extract.extract("<main><p>only main</p><aside>x</aside></main><footer>f</footer>", w) == "only main"
     assert html_extract.extract('<div class="page no-sidebar"><p>plain text</p></div>', w) == "plain text"
+
+
+def test_story_beside_an_article():
+    w = {"w": 1.0, "p": -0.5, "main": -0.5, "div": -0.5, "h1": -0.5}
+    story = prose(5, 80)
+    for name in ("main", "div"):
+        for card in ("card", "comment-item"):
+            got = html_extract.extract(f'<body><nav>menu</nav><{name}><p>{story}</p><article class="{card}"><p>a teaser of the next one</p></article></{name}></body>', w)
+            assert got.startswith(story), (name, card)
+    assert html_extract.extract(f"<main><h1>A headline of five words</h1><article><p>{story}</p></article></main>", w) == f"A headline of five words {story}"
+
+
+def test_given_pages_without_their_article_tags(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html")
+    weights = html_extract.fit(pages)
+    same = []
+    for r in pages.collect():
+        inner = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        bare = r["html"].replace("<article>", "<div>").replace("</article>", "</div>")
+        same.append(html_extract.extract(bare, weights) == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split()))
+    print("bare pages equal:", sum(same), len(same))
+    assert sum(same) >= 0.9 * len(same)
