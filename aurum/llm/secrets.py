@@ -31,6 +31,8 @@ ship_by_value(__name__)
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # AKIA[A-Z0-9]+ of 18 or more: a shorter run has no match at all
 HEX = re.compile(r"[0-9a-f]{16,}")
+#: texts without this have no base match
+MAY_MATCH = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12}|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"""
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_LEAST = 12
 
@@ -51,6 +53,12 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(out)
 
 
+def _labelled(batches):
+    """Hashes of the texts that have a base match."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column("h").filter(pa.array([bool(base_spans(t)) for t in b.column("text").to_pylist()], pa.bool_()))], names=["h"])
+
+
 def _transitions(batches):
     """Transition counts of labelled strings: (random or not, from, to, count)."""
     counts = np.zeros((2, len(CODE) + 1, len(CODE) + 1), np.int64)
@@ -82,17 +90,19 @@ def _count(matrix: np.ndarray, word: str) -> None:
 def fit(docs: DataFrame, text: str = "text", fit_rows: int = 20_000, smoothing: float = 0.5) -> np.ndarray | None:
     """Log-likelihood ratios [from, to] of random over ordinary transitions.
 
-    ``fit_rows`` bounds the labelled sample: the expected number of texts, taken by a hash of the text.
+    ``fit_rows`` bounds the labelled sample: the expected number of texts with a base match, taken by a hash of the
+    text; the smallest hash is always in. None means that no text has a base match.
     """
-    labelled = docs.select(text_or_empty(text).alias("text")).where(F.col("text") != "")
-    share = min(1.0, fit_rows / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    likely = docs.select(text_or_empty(text).alias("text")).where(F.col("text").rlike(MAY_MATCH)) \
+        .withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
+    n, least = likely.mapInArrow(_labelled, "h long").agg(F.count("*"), F.min("h")).first()
+    if not n:
+        return None
+    sample = likely.where(F.col("h") < max(min(1.0, fit_rows / n) * (1 << 20), least + 1))
     got = sample.mapInArrow(_transitions, "label int, a int, b int, n long").groupBy("label", "a", "b").agg(F.sum("n").alias("n"))
     counts = np.full((2, len(CODE) + 1, len(CODE) + 1), smoothing)
     for r in got.collect():  # at most 2 x alphabet x alphabet rows
         counts[r["label"], r["a"], r["b"]] += r["n"]
-    if counts[1].sum() <= smoothing * counts[1].size:
-        return None
     logs = np.log(counts / counts.sum(axis=2, keepdims=True))
     return logs[1] - logs[0]
 

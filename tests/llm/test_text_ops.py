@@ -271,6 +271,23 @@ def test_markov_models_find_random_strings(spark):
 
 
 
+def test_rare_secrets_are_all_labels(spark):
+    """The bound of the sample counts labelled texts alone."""
+    assigned = "token=Zm9vYmFyYmF6cXV4"
+    rows = [(i, prose(i, 20) + (f" {assigned}{i}" if i % 1000 == 7 else "")) for i in range(3000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secrets.fit(d, fit_rows=3)
+    assert model is not None and (model == secrets.fit(d)).all()
+    # copies of one text are all in the sample or all out of it
+    assert all(secrets.fit(spark.createDataFrame([(i, f"{assigned}{k}") for i in range(50)], d.schema), fit_rows=1) is not None for k in range(2))
+    assert secrets.fit(d.where("doc_id % 1000 <> 7")) is None
+
+
+def test_no_base_match_is_missed_by_the_filter(spark, awkward):
+    texts = [t for t in [*awkward, *SECRETS, "Api_Key'  :  \"aaaaaaaaaaaa", "xAKIA" + "A" * 14, "f" * 16, "ToKeN====abcdefghijkl"] if t]
+    kept = {r["text"] for r in spark.createDataFrame([(t,) for t in texts], "text string").where(F.col("text").rlike(secrets.MAY_MATCH)).collect()}
+    assert {t for t in texts if secrets.base_spans(t)} <= kept
+
 
 def test_articles_among_others():
     w = {"w": 1.0, "/article": 0.0}
