@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm import decontam, html_extract, langid, neardup, packing, pii, secrets, substring, token_counts, topk
+from aurum.llm import decontam, html_extract, langid, lloyd, neardup, packing, pii, ppm, secrets, substring, token_counts, topk, whitening
 from aurum.llm.common import sha_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), sha_hex(_spans(base)).alias("base_sha256"), _spans(F.col("secrets")).alias("spans"))
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = lloyd.compress(table(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", lloyd.hex_code(F.col("code")).alias("code"), "error", "label_error", F.lit(lloyd.books_digest(books)).alias("codebooks_sha256"))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", ppm.held_out().alias("held_out"))
+    return ppm.score(docs, ~F.col("held_out")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
@@ -140,3 +157,31 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
+
+
+def lloyd_sql(rounds: int = 4) -> str:
+    """Lloyd's rounds by a full scan: every part meets every entry of its codebook."""
+    near = "arg_min(c.j, {'d': list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.c) + list_inner_product(c.c, c.c), 'j': c.j})"
+    least = "min(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.c) + list_inner_product(c.c, c.c))"
+    sql = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] AS x FROM v, (SELECT unnest(range(4)) AS part)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS j, x AS c FROM p WHERE r <= 256)"""
+    for k in range(rounds):
+        sql += f""",
+a{k} AS MATERIALIZED (SELECT p.r, p.part, {near} AS j FROM p JOIN c{k} c USING (part) GROUP BY p.r, p.part),
+m{k} AS (SELECT part, j, list(s ORDER BY i) AS c FROM (
+  SELECT part, j, i, floor(sum(y) / count(*)) AS s FROM (SELECT a.part, a.j, unnest(p.x) AS y, unnest(range(len(p.x))) AS i FROM a{k} a JOIN p USING (r, part)) GROUP BY ALL) GROUP BY part, j),
+c{k + 1} AS MATERIALIZED (SELECT c.part, c.j, coalesce(m.c, c.c) AS c FROM c{k} c LEFT JOIN m{k} m USING (part, j))"""
+    return sql + f""",
+f AS MATERIALIZED (SELECT p.r, p.part, {near} AS j, {least} AS d FROM p JOIN c{rounds} c USING (part) GROUP BY p.r, p.part),
+e AS (SELECT r, string_agg(printf('%02x', j), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM f GROUP BY r),
+h AS (SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY part, j, i)) AS codebooks_sha256
+      FROM (SELECT part, j, unnest(c) AS y, unnest(range(len(c))) AS i FROM c{rounds}))
+SELECT v.vec_id, e.code, e.error, CAST(sum(e.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error, h.codebooks_sha256
+FROM v JOIN e USING (r), h"""
+
+
+SQL["op11_vector_codes"] = lloyd_sql()
