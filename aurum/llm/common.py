@@ -32,6 +32,34 @@ def process_cache(owner: str) -> dict:
     return held[owner]
 
 
+def give_back() -> None:
+    """Return a task's freed memory to the system, so that idle workers stay small beside a full JVM heap."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run, keep: str | None = None):
+    """``run`` (batches -> batches), which drops what operators remember and frees memory at the end of a task.
+
+    ``keep`` names an operator whose loaded vocabulary stays for the next task.
+    """
+    def wrapped(batches):
+        yield from run(batches)
+        if keep is None:
+            sys.__dict__.setdefault("_aurum_llm_cache", {}).clear()
+        else:
+            process_cache(keep)
+        give_back()
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

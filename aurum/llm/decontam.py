@@ -15,8 +15,9 @@ most ``part_chars`` characters of benchmark text, one narrow pass a part, so
 what is sent at once does not grow with the benchmark.
 
 Semantics: A-Z are lower-cased; a word is a run of ASCII letters, digits and
-non-ASCII characters. Null texts have no words; items without words or without
-an id have no windows; repeated items count once by id. Rows of documents are
+non-ASCII characters. Null texts have no words; items without words have no
+windows; repeated items count once by id. The passages of an item without an
+id are hit like all others, but there is no id to list. Ids keep their type. Rows of documents are
 judged one by one, so repeated rows give repeated results.
 """
 
@@ -29,8 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from aurum.llm.common import ship_by_value, text_or_empty
+from aurum.llm.common import materialise, ship_by_value, text_or_empty, tidy
 
 ship_by_value(__name__)
 
@@ -46,14 +49,14 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(FOLD).split()
 
 
-def phrases_of(items: list[tuple[int, str]], size: int) -> SimpleNamespace:
+def phrases_of(items: list[tuple], size: int) -> SimpleNamespace:
     """The distinct windows of a part of the benchmark: vocabulary, symbols (right-aligned), lengths and items of each."""
     vocab: dict[bytes, int] = {}
     found: dict[tuple[int, ...], set[int]] = {}
     for item, text in items:
         ids = [vocab.setdefault(w, len(vocab) + 1) for w in words(text)]
         for i in range(max(1, len(ids) - size + 1) if ids else 0):
-            found.setdefault(tuple(ids[i:i + size]), set()).add(item)
+            found.setdefault(tuple(ids[i:i + size]), set()).update(() if item is None else (item,))
     symbols = np.zeros((len(found), size), np.int64)
     for k, w in enumerate(found):
         symbols[k, size - len(w):] = w
@@ -216,7 +219,7 @@ SPANS = "array<struct<start:int,end:int>>"
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _pass(shared):
+def _pass(shared, item_type: pa.DataType):
     """One narrow pass: spans and items of one part of the benchmark, added to those already there."""
     def run(batches):
         phrases = shared.value
@@ -243,27 +246,29 @@ def _pass(shared):
             cols = {n: b.column(n) for n in b.schema.names if n not in ("n_words", "spans", "items")}
             cols["n_words"] = pa.array(n_words, pa.int64())
             cols["spans"] = pa.array([[{"start": s, "end": e} for s, e in m] for m in merged], SPAN_TYPE)
-            cols["items"] = pa.array([sorted(items.get(k, ())) for k in range(len(texts))], pa.list_(pa.int64()))
+            cols["items"] = pa.array([sorted(items.get(k, ())) for k in range(len(texts))], pa.list_(item_type))
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
     return run
 
 
-def find(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, part_chars: int = 16_000_000, text: str = "text",
+def find(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, part_chars: int = 4_000_000, text: str = "text",
          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (merged word ranges hit) and ``items`` (ids of items with occurring windows).
 
     Input columns of these names are replaced.
     """
     sc = docs.sparkSession.sparkContext
-    bench = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("t")).where("item is not null and t is not null")
+    bench = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("t")).where("t is not null")
+    id_type = bench.schema["item"].dataType
     chars = bench.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
     parts = max(1, -(-chars // part_chars))
     out = docs.drop("n_words", "spans", "items").withColumns(
-        {"_text": text_or_empty(text), "n_words": F.lit(0).cast("long"), "spans": F.array().cast(SPANS), "items": F.array().cast("array<long>")})
+        {"_text": text_or_empty(text), "n_words": F.lit(0).cast("long"), "spans": F.array().cast(SPANS), "items": F.array().cast(T.ArrayType(id_type))})
     for part in range(parts):
         own = bench.where(F.pmod(F.xxhash64("item", "t"), F.lit(parts)) == part).select("item", "t").toLocalIterator()
         shared = sc.broadcast(phrases_of([(r["item"], r["t"]) for r in own], size))
-        out = out.mapInArrow(_pass(shared), out.select(*[c for c in out.columns if c not in ("n_words", "spans", "items")], "n_words", "spans", "items").schema)
+        # one part at a time: a task never holds the phrases of several
+        out = (materialise(out, "decontam-part") if part else out).mapInArrow(tidy(_pass(shared, to_arrow_type(id_type))), out.select(*[c for c in out.columns if c not in ("n_words", "spans", "items")], "n_words", "spans", "items").schema)
     return out.drop("_text")
 
 

@@ -25,11 +25,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import materialise, process_cache, ship_by_value, shuffle_partitions, tokenizer_file
+from aurum.llm.common import give_back, materialise, process_cache, ship_by_value, shuffle_partitions, tokenizer_file
 
 ship_by_value(__name__)
 
@@ -213,32 +214,135 @@ def fit(docs: DataFrame, fit_rows: int = 1000, rounds: int = 3, smoothing: float
     return LanguageModel(langs, logp, path)
 
 
+class PieceTrie:
+    """The vocabulary as sorted transitions (node, letter) -> node, walked for all words of a batch at once."""
+
+    def __init__(self, ids: dict[str, int]):
+        nodes: dict[str, int] = {"": 0}
+        for piece in ids:
+            for j in range(1, len(piece) + 1):
+                nodes.setdefault(piece[:j], len(nodes))
+        keys = np.array([nodes[s[:-1]] << 21 | ord(s[-1]) for s in nodes if s], np.int64)
+        child = np.array([n for s, n in nodes.items() if s], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.child = keys[order], child[order]
+        self.piece = np.full(len(nodes), -1, np.int64)
+        for piece, k in ids.items():
+            self.piece[nodes[piece]] = k
+
+    def step(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """Next node of each (node, letter); -1 where there is none or ``node`` is -1."""
+        out = np.full(len(node), -1, np.int64)
+        live = np.flatnonzero(node >= 0)
+        key = node[live] << 21 | letter[live]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = self.keys[at] == key
+        out[live[hit]] = self.child[at[hit]]
+        return out
+
+
+def piece_trie(path: str) -> PieceTrie:
+    cache = process_cache("langid")
+    if ("trie", path) not in cache:
+        cache["trie", path] = PieceTrie(pieces(path)[0])
+    return cache["trie", path]
+
+
+def batch_loglik(words: list[str], logp: np.ndarray, path: str) -> np.ndarray:
+    """Forward algorithm over many words at once: log P(word | language) as [word, language].
+
+    Words of one length share a table of nodes: the walk from every start finds
+    all pieces, then each place adds up the segmentations that end there. Long
+    words and those that would underflow take the logarithmic way.
+    """
+    ids, longest, byte0 = pieces(path)
+    trie = piece_trie(path)
+    out = np.empty((len(words), logp.shape[1]))
+    by_length: dict[int, list[int]] = {}
+    for k, w in enumerate(words):
+        by_length.setdefault(len(w) + 1, []).append(k)
+    prob = np.vstack([np.exp(logp), np.zeros(logp.shape[1])])  # the last row stands for "no piece"
+    for n, at in by_length.items():
+        # bounded tables: at most about half a million places at a time
+        step = max(1, 500_000 // n)
+        for part in ([at[i:i + step] for i in range(0, len(at), step)] if n <= SHORT else []):
+            text = "".join("▁" + words[k] for k in part)
+            letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64).reshape(len(part), n)
+            out[part] = _forward(letters, trie, prob, longest, byte0)
+        places = np.array(at)
+        rest = at if n > SHORT else places[~np.isfinite(out[places]).all(axis=1)].tolist()
+        linear = prob.tolist() if n <= SHORT and rest else []
+        for k in rest:
+            out[k] = word_loglik(words[k], logp, linear, ids, longest, byte0)
+    return out
+
+
+def _forward(letters: np.ndarray, trie: PieceTrie, prob: np.ndarray, longest: int, byte0: int) -> np.ndarray:
+    m, n = letters.shape
+    none = len(prob) - 1
+    node = np.zeros(m * n, np.int64).reshape(m, n)
+    alpha = np.zeros((n + 1, m, prob.shape[1]))
+    alpha[0] = 1.0
+    found = []  # found[l - 1][word, start]: piece of l letters
+    for length in range(1, min(longest, n) + 1):
+        starts = n - length + 1
+        node = trie.step(node[:, :starts].ravel(), letters[:, length - 1:].ravel()).reshape(m, starts)
+        if not (node >= 0).any() and length > 1:
+            break
+        found.append(np.where(node >= 0, trie.piece[node], -1))
+    extra = prob
+    bare = found[0] < 0
+    if bare.any():  # letters outside the vocabulary: the product of their byte pieces
+        unknown = np.unique(letters[bare])
+        rows = [np.prod(prob[[byte0 + b for b in chr(c).encode("utf-8", "surrogatepass")]], axis=0) for c in unknown.tolist()]
+        extra = np.vstack([prob, rows])
+        found[0] = np.where(bare, none + 1 + np.searchsorted(unknown, letters), found[0])
+    for j in range(1, n + 1):
+        for length in range(1, min(len(found), j) + 1):
+            piece = found[length - 1][:, j - length]
+            if (piece >= 0).any():
+                alpha[j] += alpha[j - length] * extra[np.where(piece < 0, none, piece)]
+    last = alpha[n]
+    with np.errstate(divide="ignore"):
+        return np.where((last.min(axis=1) > 1e-290)[:, None], np.log(last), np.nan)
+
+
 class _Scorer:
     """Memo of word scores in one Python worker: word -> row of a matrix [word, language]."""
 
-    def __init__(self, logp: np.ndarray, path: str, limit: int = 250_000):
-        self.logp, self.prob = logp, np.exp(logp).tolist()
-        self.vocab = pieces(path)
-        self.limit, self.rows, self.at = limit, np.zeros((1024, logp.shape[1])), {}
-
-    def row(self, word: str) -> int:
-        k = self.at.get(word)
-        if k is None:
-            k = self.at[word] = len(self.at)
-            if k == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[k] = word_loglik(word, self.logp, self.prob, *self.vocab)
-        return k
-
-    def text(self, text: str) -> np.ndarray | None:
-        words = Counter(WORD.findall(text.lower()))
-        if not words or not any(any(map(str.isalpha, w)) for w in words):
-            return None
-        if len(self.at) > self.limit:
-            self.at, self.rows = {}, np.zeros((1024, self.logp.shape[1]))
-        get = self.at.get
-        at = [k if (k := get(w)) is not None else self.row(w) for w in words]
-        return np.fromiter(words.values(), np.float64, len(words)) @ self.rows[at]
+    def __init__(self, logp: np.ndarray, path: str, limit: int = 120_000):
+        self.logp, self.path, self.limit = logp, path, limit
+        self.rows, self.at = np.zeros((0, logp.shape[1])), {}
+
+    def texts(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Log-likelihoods by language (None: no letter)."""
+        counted = [Counter(WORD.findall(t.lower())) if t else Counter() for t in texts]
+        new = [w for w in set().union(*counted) if w not in self.at]
+        if new:
+            if len(self.at) + len(new) > self.limit:
+                self.at, self.rows, new = {}, self.rows[:0], list(set().union(*counted))
+            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+            self.rows = np.concatenate([self.rows, batch_loglik(new, self.logp, self.path)])
+        out = []
+        for words in counted:
+            if not words or not any(any(map(str.isalpha, w)) for w in words):
+                out.append(None)
+            else:
+                out.append(np.fromiter(words.values(), np.float64, len(words)) @ self.rows[[self.at[w] for w in words]])
+        return out
+
+
+def portions(texts: list[str | None], most: int = 400_000):
+    """Neighbouring texts of together about ``most`` characters."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t or "")
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -255,23 +359,19 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     token = uuid.uuid4().hex
 
     @F.pandas_udf("lang_pred string, score double")
-    def scored(texts):
-        import pandas as pd
-
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cache = process_cache("langid")
         if cache.get("token") != token:
             cache["token"], cache["scorer"] = token, _Scorer(shared.value, path)
-        scorer, pred, score = cache["scorer"], [], []
-        for t in texts:
-            ll = scorer.text(t) if t else None
-            if ll is None:
-                pred.append(UNDEFINED)
-                score.append(0.0)
-            else:
-                k = int(ll.argmax())
-                pred.append(langs[k])
-                score.append(float(1.0 / np.exp(np.maximum(ll - ll[k], -700.0)).sum()))
-        return pd.DataFrame({"lang_pred": pred, "score": score})
+        for texts in batches:
+            pred, score = [], []
+            for part in portions(texts.tolist()):
+                for ll in cache["scorer"].texts(part):
+                    k = -1 if ll is None else int(ll.argmax())
+                    pred.append(UNDEFINED if ll is None else langs[k])
+                    score.append(0.0 if ll is None else float(1.0 / np.exp(np.maximum(ll - ll[k], -700.0)).sum()))
+            yield pd.DataFrame({"lang_pred": pred, "score": score})
+        give_back()
 
     # only the text goes to Python and only the two results come back
     return rest.withColumn("_scored", scored(F.col("text"))).select(*rest.columns, "_scored.lang_pred", "_scored.score")

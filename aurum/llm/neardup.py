@@ -34,8 +34,10 @@ after steps 2 and 3 costs about 2 m / ``SMALL`` copies of each member.
 
 Semantics: words are white-space separated, lower-cased. A text with one to
 four words is one shingle. Null and wordless texts are classes of their own
-document. Rows that share a doc_id are one document; rows without an id get a
-class by their text. ``class_id`` is the smallest doc_id of the class.
+document. A node is a text, so rows that share a doc_id but not a text may lie
+in different classes, and rows without an id are compared like all others.
+``class_id`` is the smallest doc_id of the class (null if none of its rows has
+an id).
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import materialise, process_cache, ship_by_value, text_key, text_or_empty
+from aurum.llm.common import materialise, process_cache, ship_by_value, text_key, text_or_empty, tidy
 from aurum.operators.graph import connected_components
 
 ship_by_value(__name__)
@@ -284,12 +286,13 @@ def _components(members: DataFrame, edges: DataFrame) -> DataFrame:
     return materialise(found, "neardup-components")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, class_id), one row per row of ``docs``."""
+def text_classes(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per distinct text: its key (k1, k2), smallest doc_id, number of shingles n, component and class_id."""
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"), *[c.alias(n) for n, c in text_key(text).items()])
-    signed = materialise(keyed.mapInArrow(_sign, "doc_id long, k1 long, k2 long, n long, bands array<long>"), "neardup-signatures")
+    signed = materialise(keyed.mapInArrow(tidy(_sign, "neardup"), "doc_id long, k1 long, k2 long, n long, bands array<long>"), "neardup-signatures")
     by_text = signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("bands").alias("bands"))
-    nodes = materialise(by_text.withColumn("node", F.coalesce("doc_id", "k1")), "neardup-nodes")
+    # written once, so a text keeps its number
+    nodes = materialise(by_text.withColumn("node", F.monotonically_increasing_id()), "neardup-nodes")
     banded = nodes.where("n > 0").select("node", "n", F.posexplode("bands").alias("band", "key"))
     keys = ["band", "key"]
     shared = materialise(banded.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1").drop("size"), "neardup-shared")
@@ -297,9 +300,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text",
 
     # texts and group members meet by a sort-merge join at every size: the members grow with the corpus
     members = materialise(groups.select("node").distinct().join(nodes.select("node", "k1", "k2"), "node"), "neardup-members")
-    text = keyed.withColumn("node", F.coalesce("doc_id", "k1")).join(members.hint("merge"), ["node", "k1", "k2"]).select("node", "text")
+    text = keyed.join(members.hint("merge"), ["k1", "k2"]).select("node", "text")
     # repeated rows of one node are equal
-    sets = materialise(text.mapInArrow(_shingle_sets, "node long, s binary, sig binary").groupBy("node").agg(F.first("s").alias("s"), F.first("sig").alias("sig")), "neardup-sets")
+    sets = materialise(text.mapInArrow(tidy(_shingle_sets), "node long, s binary, sig binary").groupBy("node").agg(F.first("s").alias("s"), F.first("sig").alias("sig")), "neardup-sets")
     linked = materialise(links(_star(groups, keys, threshold), sets, threshold), "neardup-links")
     component = _components(members, linked)
 
@@ -334,8 +337,30 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text",
         component = _components(members, linked.unionByName(more))
 
     named = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    classes = materialise(named.join(smallest, "component").select("k1", "k2", "class_id", "n"), "neardup-classes")
+    smallest = materialise(named.groupBy("component").agg(F.min("doc_id").alias("class_id")), "neardup-smallest")
+    return materialise(named.join(smallest, "component").select("k1", "k2", "doc_id", "n", "component", "class_id"), "neardup-classes")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, class_id), one row per row of ``docs``."""
+    classes = text_classes(docs, threshold, text, doc_id)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *[c.alias(n) for n, c in text_key(text).items()])
     # a wordless text is no copy of another: its document is its own class
-    return signed.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]) \
+    return rows.join(classes.select("k1", "k2", "class_id", "n"), ["k1", "k2"]) \
         .select("doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+
+
+def one_of_each(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` reduced to one row per class: of the text with the smallest doc_id (ids before none), its smallest row.
+
+    Rows of a wordless text stay, one per doc_id.
+    """
+    classes = text_classes(docs, threshold, text, doc_id)
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "k1", "k2")
+    kept = classes.where("n > 0").groupBy("component").agg(F.min(first).alias("of")).select(F.col("of.k1").alias("_k1"), F.col("of.k2").alias("_k2"), F.lit(True).alias("_worded"))
+    empty = classes.where("n = 0").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.lit(False).alias("_worded"))
+    chosen = materialise(kept.unionByName(empty), "neardup-kept")
+    keyed = docs.withColumns({f"_{n}": c for n, c in text_key(text).items()}).join(chosen, ["_k1", "_k2"])
+    row = F.struct(F.col(doc_id).isNull().alias("_nameless"), F.col(doc_id), *[F.col(c) for c in docs.columns if c != doc_id])
+    own = F.when(F.col("_worded"), F.lit(None)).otherwise(F.col(doc_id))
+    return keyed.groupBy("_k1", "_k2", "_worded", own.alias("_own")).agg(F.min(row).alias("_row")).select(*[F.col("_row")[c].alias(c) for c in docs.columns])

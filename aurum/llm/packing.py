@@ -73,7 +73,10 @@ class ByteBPE:
         return out
 
     def encode(self, text: str) -> np.ndarray:
-        return self.fast.encode_to_numpy(text, allowed_special=self.allowed)
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special=self.allowed)
+        except ValueError:  # a run (of white space, say) that is too long for its pattern matcher
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def byte_bpe(path: str) -> ByteBPE:

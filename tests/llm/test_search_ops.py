@@ -182,9 +182,9 @@ def brute_hits(texts, items, size=10):
     windows = {}
     for i, t in items:
         w = words(t)
-        if i is not None:
-            for k in range(max(1, len(w) - size + 1) if w else 0):
-                windows.setdefault(tuple(w[k:k + size]), set()).add(i)
+        for k in range(max(1, len(w) - size + 1) if w else 0):
+            # the passages of an item without an id are hit, though there is no id to list
+            windows.setdefault(tuple(w[k:k + size]), set()).update({i} - {None})
     out = []
     for t in texts:
         w = words(t)
@@ -224,6 +224,8 @@ def test_decontamination(spark, awkward, monkeypatch, shard):
     for part_chars in (16_000_000, 60):  # one pass, or many
         got = {r["doc_id"]: r for r in decontam.find(d, b, part_chars=part_chars).withColumn("hit", decontam.n_hit()).collect()}
         assert [(got[i]["n_words"], got[i]["hit"], got[i]["items"]) for i in range(len(texts))] == brute_hits(texts, items)
+    named = decontam.find(d, b.select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("item_id"), "text")).select("doc_id", "items").collect()
+    assert {r["doc_id"]: r["items"] for r in named} == {i: [f"i{x}" for x in want[2]] for i, want in enumerate(brute_hits(texts, items))}
     assert decontam.find(d.limit(0), b).count() == 0
     assert decontam.find(d, b.limit(0)).where("size(spans) > 0").count() == 0
 
@@ -319,6 +321,20 @@ def test_nameless_and_repeated_rows(spark):
     assert sorted(got, key=str) == sorted([(7, 3), (7, 3), (3, 3), (None, 3), (None, None), (5, 5), (6, 6)], key=str)
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    a, b = prose(1, 80), prose(2, 80)
+    near = a.split()
+    near[40] = "changed"
+    rows = [(7, a), (7, b), (3, " ".join(near)), (None, b + " more"), (None, prose(3, 80)), (None, prose(4, 80)), (None, prose(3, 80) + " x"), (5, None), (5, ""), (6, "")]
+    d = spark.createDataFrame([(i, t, k, "y") for k, (i, t) in enumerate(rows)], "doc_id long, text string, n int, k1 string")
+    got = sorted(((r["doc_id"], r["class_id"]) for r in neardup.near_duplicates(d).collect()), key=str)
+    assert got == sorted([(7, 3), (7, 7), (3, 3), (None, 7), (None, None), (None, None), (None, None), (5, 5), (5, 5), (6, 6)], key=str)
+    # one row of each class, whatever ids its rows share or lack; wordless rows stay by id
+    kept = neardup.one_of_each(d).select("n", *[c for c in d.columns if c != "n"]).collect()
+    assert sorted(r["n"] for r in kept if r["n"] not in (4, 6)) == [1, 2, 5, 7, 9] and len([r for r in kept if r["n"] in (4, 6)]) == 1
+    assert neardup.one_of_each(d).columns == d.columns and neardup.one_of_each(d.limit(0)).count() == 0
+
+
 def test_a_pair_that_meets_in_one_large_open_group_alone(spark, monkeypatch):
     monkeypatch.setattr(neardup, "SMALL", 3)
     rng = random.Random(11)

@@ -48,6 +48,27 @@ def test_forward_sums_all_segmentations():
     assert langid.word_loglik(long, logp, np.exp(logp).tolist(), ids, longest, byte0) == pytest.approx(slow)
 
 
+def test_batches_score_like_single_words():
+    path = tokenizer_file(langid.VOCAB_FILE)
+    ids, longest, byte0 = langid.pieces(path)
+    logp = np.log(np.random.default_rng(1).dirichlet(np.ones(max(ids.values()) + 1), 3).T)
+    words = ["a", "hello", "straße", "漢字", "😀", "é" * 23, "x" * 24, "x" * 300, "international", "ǅungla", "the", "qqqqqqqq", "hello"]
+    one = [langid.word_loglik(w, logp, np.exp(logp).tolist(), ids, longest, byte0) for w in words]
+    assert langid.batch_loglik(words, logp, path) == pytest.approx(np.array(one), rel=1e-9)
+    # probabilities under the smallest double take the logarithmic way
+    tiny = logp - 60.0
+    assert langid.batch_loglik(["漢字漢字漢字漢字", "a"], tiny, path) == pytest.approx(np.array([langid.word_loglik(w, tiny, np.exp(tiny).tolist(), ids, longest, byte0) for w in ("漢字漢字漢字漢字", "a")]))
+
+
+def test_a_full_memo_starts_again(awkward):
+    path = tokenizer_file(langid.VOCAB_FILE)
+    logp = np.log(np.random.default_rng(1).dirichlet(np.ones(max(langid.pieces(path)[0].values()) + 1), 2).T)
+    whole, small = langid._Scorer(logp, path), langid._Scorer(logp, path, limit=30)
+    for part in langid.portions(awkward, 2000):
+        for a, b in zip(whole.texts(part), small.texts(part)):
+            assert (a is None and b is None) or a == pytest.approx(b)
+
+
 def test_language_id(spark, awkward):
     texts = [(i, prose(i, 60, EN if i % 2 else FR), "en" if i % 2 else "fr") for i in range(40)]
     odd = [(100 + i, t, None) for i, t in enumerate(awkward)] + [(200, "12 34 !? --", "en"), (None, "le la les dans", None)]
@@ -146,6 +167,11 @@ def _check_packing(rows, texts, capacity):
     return len(places), sum(w[3] for w in want)
 
 
+def test_packing_of_very_long_white_space(spark):
+    texts = [(1, "a" + " " * 1_000_000 + "b"), (2, "\n" * 700_001), (3, "short")]
+    _check_packing(packing.pack(spark.createDataFrame(texts, "doc_id long, text string")).collect(), texts, 2048)
+
+
 def test_packing(docs, awkward, no_docs):
     texts = [*enumerate(awkward), (5, awkward[5]), (5, awkward[5]), (None, "nameless text " + prose(9, 60))]
     n, total = _check_packing(packing.pack(docs, capacity=128).collect(), texts, 128)
