@@ -30,17 +30,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: that of the smallest id.
-
-    Rows that share an id are one document (the smallest text stays); rows
-    without an id only collapse where their texts are equal.
-    """
-    classes = neardup.near_duplicates(docs.select("doc_id", "text"))
-    keep = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    row = F.struct(*[c for c in COLUMNS if c != "doc_id"])
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*")
-    nameless = docs.where("doc_id is null").groupBy("text").agg(F.min(row).alias("row")).select(F.lit(None).cast("long").alias("doc_id"), "row.*")
-    return named.select(COLUMNS).unionByName(nameless.select(COLUMNS))
+    """One document of each near-duplicate class: that of the smallest id, or a nameless one where no row has an id."""
+    return neardup.one_of_each(docs.select(COLUMNS))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
