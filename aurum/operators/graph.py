@@ -19,13 +19,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aurum.operators.partners import two_smallest
+
 
 def group_minima(members: DataFrame) -> DataFrame:
-    """members(gid, node) -> (gid, min1, min2): the two smallest distinct nodes."""
-    m = members.select("gid", "node").distinct()
-    mins = m.groupBy("gid").agg(F.min("node").alias("min1"))
-    second = m.join(mins, "gid").where(F.col("node") != F.col("min1")).groupBy("gid").agg(F.min("node").alias("min2"))
-    return mins.join(second, "gid", "left")
+    """members(gid, node) -> (gid, min1, min2): the two smallest distinct nodes, written so that joins with it can be split."""
+    return two_smallest(members).checkpoint()
 
 
 def star_edges(members: DataFrame) -> DataFrame:

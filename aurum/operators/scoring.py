@@ -81,14 +81,15 @@ def stream_rules(jw_full: Column | None = None, jw_first: Column | None = None)
     dom_a = F.when(F.instr(_a("email"), "@") > 0, F.substr(_a("email"), F.instr(_a("email"), "@")))
     dom_b = F.when(F.instr(_b("email"), "@") > 0, F.substr(_b("email"), F.instr(_b("email"), "@")))
     p04 = dom_a.isNotNull() & dom_b.isNotNull() & (dom_a == dom_b) & _a("canonical_first_name").isNotNull() & \
-        _b("canonical_first_name").isNotNull() & (jw_first >= 0.90)
+        _b("canonical_first_name").isNotNull() & (jw_first >= rules.STREAM_FIRST_NAME_LEAST)
+    w = rules.STREAM_SCORES
     return {
-        "score_d01": F.when(F.coalesce(email_eq, F.lit(False)), 1.0).otherwise(0.0),
-        "score_d02": F.when(F.coalesce(phone_eq, F.lit(False)), 0.95).otherwise(0.0),
-        "score_c01": F.when(F.coalesce(canon_eq, F.lit(False)), 0.80).otherwise(0.0),
-        "score_p01": F.when(have & (jw_full >= 0.85), jw_full * 0.30).otherwise(0.0),
-        "score_p03": F.when(_a("block_soundex").isNotNull() & (_a("block_soundex") == _b("block_soundex")), 0.20).otherwise(0.0),
-        "score_p04": F.when(F.coalesce(p04, F.lit(False)), 0.15).otherwise(0.0),
+        "score_d01": F.when(F.coalesce(email_eq, F.lit(False)), w["D01"]).otherwise(0.0),
+        "score_d02": F.when(F.coalesce(phone_eq, F.lit(False)), w["D02"]).otherwise(0.0),
+        "score_c01": F.when(F.coalesce(canon_eq, F.lit(False)), w["C01"]).otherwise(0.0),
+        "score_p01": F.when(have & (jw_full >= rules.FUZZY_NAME_LEAST), jw_full * w["P01"]).otherwise(0.0),
+        "score_p03": F.when(_a("block_soundex").isNotNull() & (_a("block_soundex") == _b("block_soundex")), w["P03"]).otherwise(0.0),
+        "score_p04": F.when(F.coalesce(p04, F.lit(False)), w["P04"]).otherwise(0.0),
     }
 
 

@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 
 from aurum import rules
 from aurum.functions import digits, row_hash
+from aurum.functions.similarity import jaro_winkler
 from aurum.operators import graph
+from aurum.operators.fuzzy import similar_values
+from aurum.operators.partners import best_partners
 from aurum.operators.quality import customer_rules_stream, score_quality
 from aurum.operators.scoring import stream_rules, stream_total
 from aurum.operators.survivorship import Rule, survive
@@ -158,13 +161,77 @@ def apply_cdc(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cur, hist.where(F.col("event_type") != "CLOSE")
 
 
+def _domain(c: str) -> Column:
+    return F.when(F.instr(c, "@") > 0, F.substr(F.col(c), F.instr(c, "@")))
+
+
+def score_entries(state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, holders, entries) of :mod:`aurum.operators.partners` for the stream rules.
+
+    A holder is a decisive key with one profile (names, mail domain, soundex).
+    Profiles of one key with similar full names are scored as pairs. All others
+    gain from an equal soundex and, within a domain, from a similar first name,
+    so their cells are the key's records of a soundex, of a domain and first
+    name, of both, and all.
+    """
+    w = rules.STREAM_SCORES
+    s = state.withColumn("node", node_col()).select(
+        "node", F.col("canonical_first_name").alias("first"), F.col("last_name").alias("last"), F.col("block_soundex").alias("sdx"), _domain("email").alias("domain"))
+    s = s.withColumn("full", F.concat("first", F.lit(" "), "last")).withColumn("profile", F.to_json(F.struct("first", "last", "sdx", "domain")))
+    rows = memberships(state).join(s, "node").checkpoint()
+    det = F.when(F.substring("gid", 1, 1) == "P", w["D02"]).when(F.substring("gid", 1, 1) == "C", w["C01"]).otherwise(w["D01"])
+    cell = {"profile": F.concat_ws("|", F.lit("a"), "gid", "profile"), "both": F.concat_ws("|", F.lit("b"), "gid", "sdx", "domain", "given"),
+            "given": F.concat_ws("|", F.lit("c"), "gid", "domain", "given"), "sdx": F.concat_ws("|", F.lit("d"), "gid", "sdx"), "gid": F.concat_ws("|", F.lit("e"), "gid")}
+    rows = rows.withColumn("given", F.lower("first"))
+    near = F.col("given").isNotNull() & F.col("domain").isNotNull()
+    use = {"profile": F.lit(True), "both": near & F.col("sdx").isNotNull(), "given": near, "sdx": F.col("sdx").isNotNull(), "gid": F.lit(True)}
+    members = None
+    for c, key in cell.items():
+        one = rows.where(use[c]).select(key.alias("cell"), "node")
+        members = one if members is None else members.unionByName(one)
+    holders = rows.select(cell["profile"].alias("holder"), "node").distinct()
+    profiles = rows.select("gid", "profile", "first", "last", "full", "given", "sdx", "domain").distinct().withColumn("det", det).checkpoint()
+
+    def several(of: DataFrame, keys: list[str], c: str) -> DataFrame:
+        """Distinct values by key, of keys with more than one."""
+        v = of.where(F.col(c).isNotNull()).select(*keys, F.col(c).alias("value")).distinct()
+        many = v.groupBy(*keys).agg(F.min("value").alias("x"), F.max("value").alias("y")).where(F.col("x") != F.col("y")).drop("x", "y")
+        return v.join(many, keys, "left_semi")
+
+    def similar(of: DataFrame, keys: list[str], c: str, least: float) -> DataFrame:
+        """(keys, a, b, jw), equal values included."""
+        v = several(of, keys, c)
+        found = similar_values(v, v, least, keys=keys).where(F.col("left_value") != F.col("right_value"))
+        own = of.where(F.col(c).isNotNull()).select(*keys, F.col(c).alias("a"), F.col(c).alias("b"), F.lit(1.0).alias("jw")).distinct()
+        return found.select(*keys, F.col("left_value").alias("a"), F.col("right_value").alias("b"), "jw").unionByName(own)
+
+    bonus = {"sdx": F.lit(w["P03"]), "given": F.lit(w["P04"])}
+    holder = cell["profile"].alias("holder")
+    entries = profiles.select(holder, cell["gid"].alias("cell"), F.col("det").alias("total")) \
+        .unionByName(profiles.where(use["sdx"]).select(holder, cell["sdx"].alias("cell"), (F.col("det") + bonus["sdx"]).alias("total")))
+    firsts = similar(profiles.where(near), ["gid", "domain"], "given", rules.STREAM_FIRST_NAME_LEAST).checkpoint()
+    by_first = profiles.where(near).join(firsts.withColumnRenamed("a", "given"), ["gid", "domain", "given"]).drop("given").withColumnRenamed("b", "given")
+    mine = F.concat_ws("|", F.lit("a"), "gid", "profile").alias("holder")
+    entries = entries.unionByName(by_first.select(mine, cell["given"].alias("cell"), (F.col("det") + bonus["given"]).alias("total"))) \
+        .unionByName(by_first.where(F.col("sdx").isNotNull()).select(mine, cell["both"].alias("cell"), (F.col("det") + bonus["sdx"] + bonus["given"]).alias("total")))
+    fulls = similar(profiles, ["gid"], "full", rules.FUZZY_NAME_LEAST).checkpoint()
+    cols = ["gid", "profile", "first", "last", "sdx", "domain", "det"]
+    x = profiles.select(*[F.col(c).alias(c if c == "gid" else c + "_a") for c in cols], F.col("full").alias("a"))
+    y = profiles.select(*[F.col(c).alias(c if c == "gid" else c + "_b") for c in cols if c != "det"], F.col("full").alias("b"))
+    pairs = x.join(fulls, ["gid", "a"]).join(y, ["gid", "b"])
+    same_sdx = F.coalesce(F.col("sdx_a") == F.col("sdx_b"), F.lit(False))
+    first_jw = jaro_winkler(F.lower("first_a"), F.lower("first_b"))
+    p04 = F.coalesce((F.col("domain_a") == F.col("domain_b")) & (first_jw >= rules.STREAM_FIRST_NAME_LEAST), F.lit(False))
+    total = F.col("det_a") + F.col("jw") * w["P01"] + F.when(same_sdx, w["P03"]).otherwise(0.0) + F.when(p04, w["P04"]).otherwise(0.0)
+    entries = entries.unionByName(pairs.select(F.concat_ws("|", F.lit("a"), "gid", "profile_a").alias("holder"),
+                                               F.concat_ws("|", F.lit("a"), "gid", "profile_b").alias("cell"), total.alias("total")))
+    return members.distinct(), holders, entries.withColumn("label", F.lit(""))
+
+
 def score_best_edges(state: DataFrame) -> DataFrame:
-    """Per record, its edge to the smallest matched partner, scored with every
+    """Per record its best edge (ties: the smallest partner), scored with every
     stream rule (SC-07..13, SC-16 match audit)."""
-    m = memberships(state)
-    gm = graph.group_minima(m)
-    other = F.when(F.col("min1") != F.col("node"), F.col("min1")).otherwise(F.col("min2"))
-    bn = m.join(gm, "gid").groupBy("node").agg(F.min(other).alias("other")).where(F.col("other").isNotNull())
+    bn = best_partners(*score_entries(state)).select("node", "other")
     s = state.withColumn("node", node_col())
     cols = ["node", "canonical_first_name", "last_name", "email", "phone", "block_soundex"]
     a = s.select(*[F.col(c).alias(c + "_a") for c in cols])
@@ -256,7 +323,8 @@ def q_golden_nrt(spark, sf_dir):
 
 
 @register("score_pairs_nrt", NS.events() + NS.chain("", ALL) + """,
-bn AS (SELECT s AS node_a, min(d) AS node_b FROM nrt_und GROUP BY s)
+bn AS (SELECT s AS node_a, first(d ORDER BY total_score DESC, d) AS node_b
+       FROM (SELECT node_a AS s, node_b AS d, round(total_score, 9) AS total_score FROM nrt_pairs UNION ALL SELECT node_b, node_a, round(total_score, 9) FROM nrt_pairs) GROUP BY s)
 SELECT bn.node_a, bn.node_b, round(CAST(score_d01 AS DOUBLE), 6) AS score_d01, round(CAST(score_d02 AS DOUBLE), 6) AS score_d02,
        round(CAST(score_c01 AS DOUBLE), 6) AS score_c01, round(CAST(score_p01 AS DOUBLE), 6) AS score_p01,
        round(CAST(score_p03 AS DOUBLE), 6) AS score_p03, round(CAST(score_p04 AS DOUBLE), 6) AS score_p04,

@@ -44,18 +44,19 @@ def _pair_scores(a: str, b: str) -> str:
     jw = f"jaro_winkler_similarity({a}.canonical_first_name || ' ' || {a}.last_name, {b}.canonical_first_name || ' ' || {b}.last_name)"
     jwf = f"jaro_winkler_similarity(lower({a}.canonical_first_name), lower({b}.canonical_first_name))"
     pa, pb = f"replace({a}.phone, '+', '')", f"replace({b}.phone, '+', '')"
+    w, least = rules.STREAM_SCORES, rules.FUZZY_NAME_LEAST
     return f"""
-      CASE WHEN {a}.email IS NOT NULL AND {a}.email = {b}.email THEN 1.0 ELSE 0.0 END AS score_d01,
+      CASE WHEN {a}.email IS NOT NULL AND {a}.email = {b}.email THEN {w["D01"]} ELSE 0.0 END AS score_d01,
       CASE WHEN {a}.phone IS NOT NULL AND {b}.phone IS NOT NULL AND length({pa}) >= 10 AND length({pb}) >= 10
-                AND right({pa}, 10) = right({pb}, 10) THEN 0.95 ELSE 0.0 END AS score_d02,
+                AND right({pa}, 10) = right({pb}, 10) THEN {w["D02"]} ELSE 0.0 END AS score_d02,
       CASE WHEN {have} AND lower({a}.canonical_first_name) = lower({b}.canonical_first_name)
-                AND lower({a}.last_name) = lower({b}.last_name) THEN 0.80 ELSE 0.0 END AS score_c01,
-      CASE WHEN {have} AND {jw} >= 0.85 THEN {jw} * 0.30 ELSE 0.0 END AS score_p01,
-      CASE WHEN {a}.block_soundex IS NOT NULL AND {a}.block_soundex = {b}.block_soundex THEN 0.20 ELSE 0.0 END AS score_p03,
+                AND lower({a}.last_name) = lower({b}.last_name) THEN {w["C01"]} ELSE 0.0 END AS score_c01,
+      CASE WHEN {have} AND {jw} >= {least} THEN {jw} * {w["P01"]} ELSE 0.0 END AS score_p01,
+      CASE WHEN {a}.block_soundex IS NOT NULL AND {a}.block_soundex = {b}.block_soundex THEN {w["P03"]} ELSE 0.0 END AS score_p03,
       CASE WHEN strpos({a}.email, '@') > 0 AND strpos({b}.email, '@') > 0
                 AND substr({a}.email, strpos({a}.email, '@')) = substr({b}.email, strpos({b}.email, '@'))
-                AND {a}.canonical_first_name IS NOT NULL AND {b}.canonical_first_name IS NOT NULL AND {jwf} >= 0.90
-           THEN 0.15 ELSE 0.0 END AS score_p04"""
+                AND {a}.canonical_first_name IS NOT NULL AND {b}.canonical_first_name IS NOT NULL AND {jwf} >= {rules.STREAM_FIRST_NAME_LEAST}
+           THEN {w["P04"]} ELSE 0.0 END AS score_p04"""
 
 
 TOTAL = "greatest(score_d01, score_d02, score_c01) + score_p01 + score_p03 + score_p04"

@@ -13,8 +13,11 @@ other blocked pair scores at most 0.10. So the match graph is
   (org, id) and (org, phone8), plus name similarity inside (org, soundex).
 
 Cliques stay groups (:mod:`aurum.operators.graph`), name similarity runs on
-distinct names per block (:mod:`aurum.operators.fuzzy`). Unmerge overrides
-remove single pairs: only the nodes they name get explicit neighbour lists.
+distinct names per block (:mod:`aurum.operators.fuzzy`). The best edge of a
+record is a leave-one-out maximum over the names of its groups
+(:mod:`aurum.operators.partners`). Unmerge overrides remove single pairs: a
+record they name (an endpoint) meets the smallest record without overrides and
+a few endpoints of each of its groups, as many as its overrides call for.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from aurum import rules
 from aurum.functions import digits, soundex_nordic
-from aurum.operators import graph
+from aurum.operators import graph, partners
 from aurum.operators.fuzzy import similar_values
 from aurum.operators.harmonise import enrich_v2, fake_name_flag, union_addresses, union_customers_v2
 from aurum.operators.quality import address_rules, customer_rules_bulk, score_quality
@@ -58,7 +61,10 @@ def base_rows(enr: DataFrame) -> DataFrame:
             .withColumn("year", F.substring(F.col("birth_date").cast("string"), 1, 4))
             .withColumn("ph8", F.when(F.col("phone").isNotNull() & (F.length(d) >= 8), F.substring(d, -8, 8)))
             .withColumn("full", F.when(F.col("canonical_first_name").isNotNull() & F.col("last_name").isNotNull(),
-                                       F.concat("canonical_first_name", F.lit(" "), "last_name"))))
+                                       F.concat("canonical_first_name", F.lit(" "), "last_name")))
+            # a name as it is (nulls told apart), and as the id rules compare it
+            .withColumn("name", F.to_json(F.struct("canonical_first_name", "last_name")))
+            .withColumn("norm", F.concat_ws("\u0001", *[F.lower(F.trim(F.coalesce(c, F.lit("")))) for c in ("canonical_first_name", "last_name")])))
 
 
 def _k(*cols) -> Column:
@@ -81,11 +87,10 @@ def memberships(rows: DataFrame, blocks: str) -> tuple[DataFrame, DataFrame]:
 
 
 def name_links(names: DataFrame) -> DataFrame:
-    """(gid, gid2) for distinct names of one block with full-name JW >= 0.85."""
+    """(nblock, a, b, jw) for distinct full names of one block with JW >= 0.85, both ways round."""
     nv = names.select("nblock", F.col("full").alias("value")).distinct()
     sim = similar_values(nv, nv, rules.FUZZY_NAME_LEAST, keys=["nblock"]).where(F.col("left_value") != F.col("right_value"))
-    return sim.select(F.concat(F.lit("N|"), F.concat_ws("|", "nblock", "left_value")).alias("gid"),
-                      F.concat(F.lit("N|"), F.concat_ws("|", "nblock", "right_value")).alias("gid2"))
+    return sim.select("nblock", F.col("left_value").alias("a"), F.col("right_value").alias("b"), "jw")
 
 
 def _override_keys(ov: DataFrame) -> DataFrame:
@@ -105,7 +110,10 @@ class MatchGraph:
         self.rows = base_rows(enr).checkpoint()
         self.nodes = self.rows.select("node", "organization", "source_system", "source_key", "ssn").dropDuplicates(["node"])
         cliques, names = memberships(self.rows, blocks)
-        self.links = name_links(names).checkpoint()
+        self.blocks = blocks
+        self.names = name_links(names).checkpoint()
+        name_gid = lambda c: F.concat(F.lit("N|"), F.concat_ws("|", "nblock", c))
+        self.links = self.names.select(name_gid("a").alias("gid"), name_gid("b").alias("gid2"))
         self.members = cliques.unionByName(names.select("gid", "node")).distinct().checkpoint()
         self.overrides = overrides
         if overrides is not None:
@@ -116,17 +124,124 @@ class MatchGraph:
         else:
             self.endpoints = None
 
-    # -- explicit neighbourhoods of override endpoints -------------------------------------------
+    # -- override endpoints ----------------------------------------------------------------------
+    def banned(self) -> DataFrame:
+        """(node, other) of all overrides, both ways round."""
+        n = self.nodes.select("node", F.col("source_key").alias("k"))
+        one = self.okeys.join(n.select("node", F.col("k").alias("k1")), "k1").join(n.select(F.col("node").alias("other"), F.col("k").alias("k2")), "k2")
+        return one.select("node", "other").unionByName(one.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct()
+
+    def most_banned(self) -> int:
+        return self.banned().groupBy("node").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
     def _endpoint_pairs(self) -> DataFrame:
-        ep_m = self.members.join(self.endpoints, "node", "left_semi")
-        direct = ep_m.join(self.members.withColumnRenamed("node", "other"), "gid")
-        via = ep_m.join(self.links, "gid").select(F.col("gid2").alias("gid"), "node") \
-            .join(self.members.withColumnRenamed("node", "other"), "gid")
-        pairs = direct.select("node", "other").unionByName(via.select("node", "other")) \
-            .where(F.col("node") != F.col("other")).distinct()
-        ka, kb = _node_key("node"), _node_key("other")
-        pk = pairs.withColumn("k1", F.least(ka, kb)).withColumn("k2", F.greatest(ka, kb))
-        return pk.join(self.okeys, ["k1", "k2"], "left_anti").select("node", "other")
+        """(node, other): for every endpoint enough of its partners to keep its smallest one and all connectivity.
+
+        In a group these are the smallest record without overrides (never
+        banned) and the 2 d + 2 smallest endpoints, d being the most overrides of
+        a record. The smallest allowed partner is among them. Endpoints of a group
+        with a free record are connected through it. In a group of endpoints alone
+        any two miss at most 2 d of the 2 d + 2 together, so they share a partner.
+        Rows grow with endpoints and overrides, not with the members of a group.
+        """
+        k = 2 * self.most_banned() + 2
+        held = self.members.join(self.endpoints, "node", "left_semi")
+        groups = held.select("gid").unionByName(held.select("gid").join(self.links, "gid").select(F.col("gid2").alias("gid"))).distinct().checkpoint()
+        near = self.members.join(groups, "gid", "left_semi")
+        free = near.join(self.endpoints, "node", "left_anti").groupBy("gid").agg(F.min("node").alias("other"))
+        tied = partners.k_smallest(held, "gid", k).select("gid", F.col("node").alias("other"))
+        met = free.unionByName(tied).checkpoint()
+        via = held.join(self.links, "gid").select(F.col("gid2").alias("gid"), "node")
+        pairs = held.select("gid", "node").unionByName(via).join(met, "gid").select("node", "other").where(F.col("node") != F.col("other")).distinct()
+        # endpoints of a linked name meet its records too
+        return pairs.join(self.banned(), ["node", "other"], "left_anti")
+
+    def unmerged(self) -> DataFrame:
+        """(node): records that an override parts from a match."""
+        held = self.members.join(self.endpoints, "node", "left_semi").select("gid", "node")
+        to = held.select(F.col("gid").alias("gid2"), F.col("node").alias("other"))
+        same = self.banned().join(held, "node")
+        linked = same.join(self.links, "gid").join(to, ["gid2", "other"])
+        equal = same.join(to.withColumnRenamed("gid2", "gid"), ["gid", "other"])
+        return equal.select("node").unionByName(linked.select("node")).distinct()
+
+    # -- best edges --------------------------------------------------------------------------------
+    def _entries(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(members, holders, entries) of :mod:`aurum.operators.partners` for the pairwise rules.
+
+        A holder is a key (equal id, equal phone, name block) with one of its names.
+        Its cells: the same name, the same name but for case, a similar name, the
+        same soundex, the whole key.
+        """
+        r = self.rows
+        phone_key = ["organization", "sdx", "year", "ph8"] if self.blocks == "parity" else ["organization", "ph8"]
+        block_key = ["organization", "sdx", "year"] if self.blocks == "parity" else ["organization", "sdx"]
+        parts = []
+        for kind, key in (("S", ["organization", "ssn"]), ("P", phone_key), ("N", block_key)):
+            has = [F.col(c).isNotNull() for c in key] + ([F.col("full").isNotNull()] if kind == "N" else [])
+            ok = has[0]
+            for h in has[1:]:
+                ok = ok & h
+            parts.append(r.where(ok).select(F.lit(kind).alias("kind"), F.concat(F.lit(kind + "|"), _k(*key)).alias("gid"), "name", "norm", "sdx", "full", "node"))
+        rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct().checkpoint()
+        is_s, is_n = F.col("kind") == "S", F.col("kind") == "N"
+        cell = {"name": F.concat_ws("|", F.lit("a"), "gid", "name"), "norm": F.concat_ws("|", F.lit("b"), "gid", "norm"),
+                "sdx": F.concat_ws("|", F.lit("c"), "gid", "sdx"), "gid": F.concat_ws("|", F.lit("d"), "gid")}
+        use = {"name": F.lit(True), "norm": is_s, "sdx": ~is_n & F.col("sdx").isNotNull(), "gid": ~is_n}
+        members = None
+        for c, key in cell.items():
+            one = rows.where(use[c]).select(key.alias("cell"), "node")
+            members = one if members is None else members.unionByName(one)
+        members = members.distinct()
+        holders = rows.select(F.concat_ws("|", F.lit("a"), "gid", "name").alias("holder"), "node")
+        names = rows.select("kind", "gid", "name", "norm", "sdx", "full").distinct().checkpoint()
+        d = dict(rules.PAIR_SCORES)
+        bonus = F.when(F.col("sdx").isNotNull(), F.lit(rules.SOUNDEX_BONUS)).otherwise(0.0)
+        other = F.when(is_s, F.lit(d["D01b"])).otherwise(F.lit(d["D02"]))
+        other_label = F.when(is_s, "D01b").otherwise("D02")
+        equal = F.when(is_s, F.lit(d["D01"])).when(is_n, 0.0).otherwise(F.lit(d["D02"]))
+        equal_label = F.when(is_s, "D01").when(is_n, "FUZZY").otherwise("D02")
+        holder = F.concat_ws("|", F.lit("a"), "gid", "name").alias("holder")
+
+        def entry(of: DataFrame, c: str, total: Column, label: Column) -> DataFrame:
+            return of.where(use[c]).select(holder, cell[c].alias("cell"), total.alias("total"), label.alias("label"))
+
+        entries = entry(names, "name", equal + F.when(F.col("full").isNotNull(), F.lit(1.0) * rules.FUZZY_NAME_WEIGHT).otherwise(0.0) + bonus, equal_label) \
+            .unionByName(entry(names, "norm", F.lit(d["D01"]) + F.lit(0.0) + bonus, F.lit("D01"))) \
+            .unionByName(entry(names, "sdx", other + F.lit(0.0) + F.lit(rules.SOUNDEX_BONUS), other_label)) \
+            .unionByName(entry(names, "gid", other, other_label))
+        return members, holders, entries.unionByName(self._similar_entries(names, other, d))
+
+    def _similar_entries(self, names: DataFrame, other: Column, d: dict) -> DataFrame:
+        """Entries of different names of one key whose full names are similar or equal."""
+        named = names.where(F.col("full").isNotNull())
+        several = named.where("kind <> 'N'").groupBy("gid").agg(F.min("full").alias("x"), F.max("full").alias("y")).where(F.col("x") != F.col("y")).select("gid")
+        values = named.join(several, "gid", "left_semi").select("gid", F.col("full").alias("value"))
+        found = similar_values(values, values, rules.FUZZY_NAME_LEAST, keys=["gid"]).where(F.col("left_value") != F.col("right_value")) \
+            .select("gid", F.col("left_value").alias("a"), F.col("right_value").alias("b"), "jw")
+        found = found.unionByName(self.names.select(F.concat(F.lit("N|"), "nblock").alias("gid"), "a", "b", "jw"))
+        # equal full names that are split differently into first and last name
+        twice = named.groupBy("gid", "full").agg(F.count("*").alias("n")).where("n > 1")
+        found = found.unionByName(twice.select("gid", F.col("full").alias("a"), F.col("full").alias("b"), F.lit(1.0).alias("jw"))).checkpoint()
+        x = named.select("kind", "gid", "name", "norm", "sdx", F.col("full").alias("a"))
+        y = named.select("gid", F.col("name").alias("name2"), F.col("norm").alias("norm2"), F.col("sdx").alias("sdx2"), F.col("full").alias("b"))
+        pairs = found.join(x, ["gid", "a"]).join(y, ["gid", "b"]).where(F.col("name") != F.col("name2"))
+        same = (F.col("kind") == "S") & (F.col("norm") == F.col("norm2"))
+        base = F.when(same, F.lit(d["D01"])).when(F.col("kind") == "N", 0.0).otherwise(other)
+        label = F.when(same, "D01").when(F.col("kind") == "S", "D01b").when(F.col("kind") == "N", "FUZZY").otherwise("D02")
+        bonus = F.when(F.col("sdx") == F.col("sdx2"), F.lit(rules.SOUNDEX_BONUS)).otherwise(0.0)
+        return pairs.select(F.concat_ws("|", F.lit("a"), "gid", "name").alias("holder"), F.concat_ws("|", F.lit("a"), "gid", "name2").alias("cell"),
+                            (base + F.col("jw") * rules.FUZZY_NAME_WEIGHT + bonus).alias("total"), label.alias("label"))
+
+    def best_edges(self) -> DataFrame:
+        """(node, other, total, label): the best edge of every record with a match, overrides applied (CL-04, SC-16)."""
+        members, holders, entries = self._entries()
+        if self.endpoints is None:
+            return partners.best_partners(members, holders, entries)
+        members, entries = members.checkpoint(), entries.checkpoint()
+        rest = partners.best_partners(members, holders, entries).join(self.endpoints, "node", "left_anti")
+        tied = partners.best_allowed(members, holders.join(self.endpoints, "node", "left_semi"), entries, self.banned(), self.most_banned() + 2)
+        return rest.unionByName(tied)
 
     def one_hop(self) -> DataFrame:
         """(node, cluster_id, best_neighbor): min of the closed neighbourhood, and
@@ -163,11 +278,13 @@ class MatchGraph:
             .withColumnRenamed("component", "cluster_id")
 
     def edge_scores(self, pairs: DataFrame) -> DataFrame:
-        """Score node pairs (node, other) over their rows; best row pair per node pair."""
-        r = self.rows.select("node", *NODE_ATTRS)
+        """Score node pairs (node, other) over their blocked rows; best row pair per node pair."""
+        r = self.rows.select("node", *NODE_ATTRS, "sdx", "year", "ph8")
         a = r.select(*[F.col(c).alias(c + "_a") for c in r.columns])
         b = r.select(*[F.col(c).alias(c + "_b") for c in r.columns])
-        p = pairs.join(a, pairs.node == a.node_a).join(b, pairs.other == b.node_b)
+        met = {c: F.coalesce(F.col(c + "_a") == F.col(c + "_b"), F.lit(False)) for c in ("ssn", "sdx", "year", "ph8")}
+        blocked = met["ssn"] | (met["sdx"] & met["year"]) if self.blocks == "parity" else met["ssn"] | met["sdx"] | met["ph8"]
+        p = pairs.join(a, pairs.node == a.node_a).join(b, pairs.other == b.node_b).where(blocked)
         s = pairwise_rules()
         total, mtype = pairwise_total()
         p = p.select("node", "other", *[v.alias(k) for k, v in s.items()]).withColumn("total_score", total).withColumn("match_type", mtype)
@@ -178,17 +295,24 @@ class MatchGraph:
 
 
 def clusters(g: MatchGraph, mode: str = "one_hop") -> DataFrame:
-    """Per node: cluster id, match type / score of its best-neighbour edge, status (CL-01..05)."""
-    oh = g.one_hop().checkpoint()
+    """Per node: cluster id, label and score of its best edge, status (CL-01..05, CL-08).
+
+    Status: UNMERGE where an override parts the record from a match, else
+    STEWARD_QUEUE for a record without id and match, else MATCHED.
+    """
     if mode == "transitive":
-        oh = oh.drop("cluster_id").join(g.components(), "node")
-    sc = g.edge_scores(oh.where(F.col("best_neighbor").isNotNull()).select("node", F.col("best_neighbor").alias("other")))
-    out = (g.nodes.join(oh, "node").join(sc.select("node", "match_type", "total_score"), "node", "left")
-           .select("source_system", "source_key", "organization", "cluster_id", "ssn",
-                   F.coalesce("match_type", F.lit("SINGLETON")).alias("match_type"),
-                   F.round("total_score", 6).alias("match_score")))
-    return out.withColumn("match_status", F.when((F.col("match_type") == "SINGLETON") & F.col("ssn").isNull(), "STEWARD_QUEUE")
-                          .otherwise("MATCHED")).drop("ssn")
+        found = g.components()
+    else:
+        found = g.one_hop().select("node", "cluster_id")
+    best = g.best_edges().select("node", "label", "total")
+    out = g.nodes.join(found, "node").join(best, "node", "left")
+    if g.endpoints is not None:
+        out = out.join(g.unmerged().withColumn("parted", F.lit(True)), "node", "left")
+    else:
+        out = out.withColumn("parted", F.lit(None).cast("boolean"))
+    status = F.when(F.col("parted"), "UNMERGE").when(F.col("label").isNull() & F.col("ssn").isNull(), "STEWARD_QUEUE").otherwise("MATCHED")
+    return out.select("source_system", "source_key", "organization", "cluster_id", F.coalesce("label", F.lit("SINGLETON")).alias("match_type"),
+                      F.round("total", 6).alias("match_score"), status.alias("match_status"))
 
 
 # ------------------------------------------------------------------------------------ golden

@@ -82,12 +82,14 @@ v2_scored AS (
    AND (a.source_system < b.source_system OR (a.source_system = b.source_system AND a.source_key < b.source_key))
    AND ({cond})
 ),
-v2_matches AS (
-  SELECT *, {TOTAL} AS total_score, {MTYPE} AS match_type FROM v2_scored
-  WHERE {TOTAL} >= {rules.MATCH_THRESHOLD}
-    AND NOT EXISTS (SELECT 1 FROM overrides o WHERE (o.source_key_a = key_a AND o.source_key_b = key_b)
-                                               OR (o.source_key_a = key_b AND o.source_key_b = key_a))
+v2_over AS (
+  SELECT *, {TOTAL} AS total_score, {MTYPE} AS match_type,
+         EXISTS (SELECT 1 FROM overrides o WHERE (o.source_key_a = key_a AND o.source_key_b = key_b)
+                                              OR (o.source_key_a = key_b AND o.source_key_b = key_a)) AS parted
+  FROM v2_scored WHERE {TOTAL} >= {rules.MATCH_THRESHOLD}
 ),
+v2_matches AS (SELECT * EXCLUDE (parted) FROM v2_over WHERE NOT parted),
+v2_parted AS (SELECT node_a AS node FROM v2_over WHERE parted UNION SELECT node_b FROM v2_over WHERE parted),
 v2_und AS (
   SELECT DISTINCT node_a AS s, node_b AS d FROM v2_matches UNION SELECT node_b, node_a FROM v2_matches
 ),
@@ -112,16 +114,14 @@ v2_cid AS (SELECT node, least(node, COALESCE(best_neighbor, node)) AS cluster_id
     sql += f"""
 v2_best AS (
   SELECT node, first(match_type ORDER BY total_score DESC, match_type) AS match_type, max(total_score) AS total_score
-  FROM (SELECT h.node, {TOTAL} AS total_score, {MTYPE} AS match_type
-        FROM (SELECT h.node, {_score_cols('a', 'b')}
-              FROM v2_onehop h JOIN v2_base a ON a.node = h.node JOIN v2_base b ON b.node = h.best_neighbor) h)
+  FROM (SELECT node_a AS node, match_type, total_score FROM v2_matches UNION ALL SELECT node_b, match_type, total_score FROM v2_matches)
   GROUP BY node
 ),
 v2_clusters AS (
   SELECT n.source_system, n.source_key, n.organization, c.cluster_id,
          COALESCE(b.match_type, 'SINGLETON') AS match_type, round(b.total_score, 6) AS match_score,
-         CASE WHEN b.match_type IS NULL AND n.ssn IS NULL THEN 'STEWARD_QUEUE' ELSE 'MATCHED' END AS match_status
-  FROM v2_nodes n JOIN v2_cid c ON c.node = n.node LEFT JOIN v2_best b ON b.node = n.node
+         CASE WHEN p.node IS NOT NULL THEN 'UNMERGE' WHEN b.match_type IS NULL AND n.ssn IS NULL THEN 'STEWARD_QUEUE' ELSE 'MATCHED' END AS match_status
+  FROM v2_nodes n JOIN v2_cid c ON c.node = n.node LEFT JOIN v2_best b ON b.node = n.node LEFT JOIN v2_parted p ON p.node = n.node
 )"""
     return sql
 

@@ -230,24 +230,29 @@ def q_proof(spark, sf_dir):
 SELECT node, best_neighbor, round(CAST(score_d01 AS DOUBLE), 6) AS score_d01, round(CAST(score_d01b AS DOUBLE), 6) AS score_d01b,
        round(CAST(score_d02 AS DOUBLE), 6) AS score_d02, round(CAST(score_fuzzy_name AS DOUBLE), 6) AS score_fuzzy_name,
        round(CAST(score_soundex AS DOUBLE), 6) AS score_soundex, round(CAST(total_score AS DOUBLE), 6) AS total_score, match_type
-FROM (SELECT h.node, h.best_neighbor, x.*, greatest(score_d01, score_d01b, score_d02) + score_fuzzy_name + score_soundex AS total_score,
-             """ + PS.MTYPE + """ AS match_type,
-             row_number() OVER (PARTITION BY h.node ORDER BY greatest(score_d01, score_d01b, score_d02) + score_fuzzy_name + score_soundex DESC,
-                                """ + PS.MTYPE + """, score_d01 DESC, score_d01b DESC, score_d02 DESC, score_fuzzy_name DESC,
-                                score_soundex DESC) AS rn
-      FROM v2_onehop h JOIN v2_base a ON a.node = h.node JOIN v2_base b ON b.node = h.best_neighbor,
-      LATERAL (SELECT """ + PS._score_cols("a", "b") + """) x)
+FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY total_score DESC, match_type, best_neighbor, score_d01 DESC, score_d01b DESC, score_d02 DESC,
+                                   score_fuzzy_name DESC, score_soundex DESC) AS rn
+      FROM (SELECT node_a AS node, node_b AS best_neighbor, * EXCLUDE (node_a, node_b) FROM v2_matches
+            UNION ALL SELECT node_b, node_a, * EXCLUDE (node_a, node_b) FROM v2_matches))
 WHERE rn = 1""", "SC-16, SC-01..06")
 def q_audit(spark, sf_dir):
+    """Every record's best edge with the score of each rule."""
     enr = pairwise.enriched(spark, sf_dir)
     from aurum.plans import inputs
     g = pairwise.MatchGraph(enr, "parity", inputs.overrides(spark, sf_dir))
-    oh = g.one_hop().where(F.col("best_neighbor").isNotNull())
-    sc = g.edge_scores(oh.select("node", F.col("best_neighbor").alias("other")))
+    sc = g.edge_scores(g.best_edges().select("node", "other"))
     cols = ["score_d01", "score_d01b", "score_d02", "score_fuzzy_name", "score_soundex", "total_score"]
     return sc.select("node", F.col("other").alias("best_neighbor"), *[F.round(c, 6).alias(c) for c in cols], "match_type")
 
 
+@register("unmerge_status", PS.clusters("extended", "transitive") + """
+SELECT source_system, source_key, organization, cluster_id, match_type, match_score FROM v2_clusters WHERE match_status = 'UNMERGE'""", "CL-08, JN-04")
+def q_unmerge_status(spark, sf_dir):
+    """Records that an override parts from a match, with the cluster and the best edge that are left."""
+    cl = pairwise.clusters_for(spark, sf_dir, "extended", "transitive")[1]
+    return cl.where(F.col("match_status") == "UNMERGE").select("source_system", "source_key", "organization", "cluster_id", "match_type", "match_score")
+
+
 @register("apply_unmerge", PS.clusters("extended", "one_hop") + """
 SELECT DISTINCT least(node_a, node_b) AS node_a, greatest(node_a, node_b) AS node_b FROM v2_matches
 WHERE key_a IN (SELECT source_key_a FROM overrides UNION SELECT source_key_b FROM overrides)
@@ -256,7 +261,11 @@ def q_unmerge(spark, sf_dir):
     """Matched pairs touching an override-named record after the overrides are removed."""
     from aurum.plans import inputs
     g = pairwise.MatchGraph(pairwise.enriched(spark, sf_dir), "extended", inputs.overrides(spark, sf_dir))
-    p = g._endpoint_pairs()
+    # here the pairs themselves are the result: endpoints meet all members of their groups
+    held = g.members.join(g.endpoints, "node", "left_semi")
+    all_of = held.select("gid", "node").unionByName(held.join(g.links, "gid").select(F.col("gid2").alias("gid"), "node")) \
+        .join(g.members.withColumnRenamed("node", "other"), "gid").where(F.col("node") != F.col("other"))
+    p = all_of.select("node", "other").distinct().join(g.banned(), ["node", "other"], "left_anti")
     return p.select(F.least("node", "other").alias("node_a"), F.greatest("node", "other").alias("node_b")).distinct()
 
 

@@ -61,9 +61,12 @@ PAIR_SCORES = [("D01", 1.0), ("D01b", 0.98), ("D02", 0.95)]
 FUZZY_NAME_LEAST = 0.85
 FUZZY_NAME_WEIGHT = 0.85
 SOUNDEX_BONUS = 0.10
-# Fixed value: sum of the stream's probabilistic rules at their most
-STREAM_PROBABILISTIC_MOST = 0.65
-STREAM_DETERMINISTIC_LEAST = 0.80
+# Scores of the stream's deterministic rules (D01 e-mail, D02 phone, C01 name) and weights of its
+# probabilistic ones (P01 full name, P03 soundex, P04 domain and first name), least similarity of a first name
+STREAM_SCORES = {"D01": 1.0, "D02": 0.95, "C01": 0.80, "P01": 0.30, "P03": 0.20, "P04": 0.15}
+STREAM_FIRST_NAME_LEAST = 0.90
+STREAM_PROBABILISTIC_MOST = sum(STREAM_SCORES[r] for r in ("P01", "P03", "P04"))
+STREAM_DETERMINISTIC_LEAST = min(STREAM_SCORES[r] for r in ("D01", "D02", "C01"))
 FUZZY_THRESHOLD_V1 = 92.0
 OPEN_END = "9999-12-31"
 
