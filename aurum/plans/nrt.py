@@ -92,18 +92,36 @@ def resolve(state: DataFrame) -> DataFrame:
     return state.withColumn("node", node_col()).join(cc, "node").withColumnRenamed("component", "cluster_id").drop("node")
 
 
-def assign_incremental(old_clusters: DataFrame, new_state: DataFrame, touched: DataFrame) -> DataFrame:
-    """Incremental assign/merge that never splits (CL-06): old cluster links are
-    kept, new links come from the groups of the touched records; survivor id is
-    the smallest id (the existing cluster's when it is smaller)."""
-    old_edges = old_clusters.select(node_col().alias("src"), F.col("cluster_id").alias("dst"))
-    m = memberships(new_state)
-    tnodes = touched.select(node_col().alias("node")).distinct()
-    hot = m.join(tnodes, "node", "left_semi").select("gid").distinct()
-    new_edges = graph.star_edges(m.join(hot, "gid", "left_semi"))
-    nodes = new_state.select(node_col().alias("node")).unionByName(old_clusters.select(node_col().alias("node"))).distinct()
-    cc = graph.connected_components(nodes, old_edges.unionByName(new_edges))
-    return new_state.withColumn("node", node_col()).join(cc, "node").withColumnRenamed("component", "cluster_id").drop("node")
+def assign_delta(old: DataFrame, changed: DataFrame) -> DataFrame:
+    """Incremental assign / merge that never splits (CL-06): the rows whose record or cluster changes.
+
+    ``old``: stored records with their cluster; ``changed``: new versions of
+    records. A stored record stands for its cluster, so the graph has one node per
+    cluster or new record that shares a key with a changed record, and its
+    components follow the batch, not the state. The survivor is the smallest id.
+    """
+    key = ["source_system", "source_key"]
+    node = node_col().alias("node")
+    mine = memberships(changed).checkpoint()
+    hot = mine.select("gid").distinct()
+    others = memberships(old.join(changed.select(*key), key, "left_anti")).join(hot, "gid", "left_semi")
+    known = old.select(node, "cluster_id")
+    met = mine.unionByName(others).join(known, "node", "left").select("gid", F.coalesce("cluster_id", "node").alias("node"))
+    # records without any key are nodes too
+    ids = met.select("node").unionByName(changed.select(node).join(known, "node", "left").select(F.coalesce("cluster_id", "node").alias("node"))).distinct().checkpoint()
+    found = graph.connected_components(ids, graph.star_edges(met)).checkpoint()
+    now = changed.withColumn("node", node_col()).join(known, "node", "left").withColumn("id", F.coalesce("cluster_id", "node")) \
+        .drop("cluster_id").join(found.select(F.col("node").alias("id"), F.col("component").alias("cluster_id")), "id").select(*STATE_COLS, "cluster_id")
+    merged = found.where(F.col("node") != F.col("component")).select(F.col("node").alias("cluster_id"), "component")
+    moved = old.join(changed.select(*key), key, "left_anti").join(merged, "cluster_id").select(*STATE_COLS, F.col("component").alias("cluster_id"))
+    return now.unionByName(moved)
+
+
+def assign_incremental(old: DataFrame, changed: DataFrame) -> DataFrame:
+    """All records with their cluster after :func:`assign_delta`."""
+    delta = assign_delta(old, changed).checkpoint()
+    key = ["source_system", "source_key"]
+    return old.select(*STATE_COLS, "cluster_id").join(delta.select(*key), key, "left_anti").unionByName(delta)
 
 
 def golden(clustered: DataFrame) -> DataFrame:
@@ -393,17 +411,41 @@ def q_cdc_history(spark, sf_dir):
     return hist.select("customer_id", "event_type", "row_hash", "previous_hash", "valid_from", "valid_to", "is_current")
 
 
-@register("cdc_apply_xref", NS.events() + NS.chain("", ALL) + """
-SELECT source_system, source_key, cluster_id AS customer_id FROM nrt_cl""", "SNK-04, HS-09")
+def apply_xref(events: DataFrame, order: str = "batch_id") -> DataFrame:
+    """Fold the ASSIGN / REASSIGN log into the cross-reference: the last assignment of every key (SNK-04)."""
+    return events.groupBy("source_system", "source_key").agg(F.max_by("customer_id", order).alias("customer_id"))
+
+
+def _xref_log(spark, sf_dir):
+    """The cross-reference events of every batch, resolved from scratch after each."""
+    recs, _ = mapped(spark, sf_dir)
+    before, log = None, None
+    for i, end in enumerate(BATCH_ENDS):
+        now = layer(spark, ("nrt_xref_batch", sf_dir, i), lambda end=end: resolve(upsert_latest(recs.where(F.col("event_ts") < F.lit(end).cast("timestamp")))))
+        ev = xref_events(now.limit(0) if before is None else before, now).withColumn("batch_id", F.lit(i))
+        log, before = ev if log is None else log.unionByName(ev), now
+    return log
+
+
+@register("cdc_apply_xref", _batch_sql() + """,
+xref_log AS (
+  SELECT source_system, source_key, cluster_id, 0 AS b FROM nrt_cl_0
+  UNION ALL SELECT n.source_system, n.source_key, n.cluster_id, 1 FROM nrt_cl_1 n LEFT JOIN nrt_cl_0 o USING (source_system, source_key)
+    WHERE o.cluster_id IS DISTINCT FROM n.cluster_id
+  UNION ALL SELECT n.source_system, n.source_key, n.cluster_id, 2 FROM nrt_cl_2 n LEFT JOIN nrt_cl_1 o USING (source_system, source_key)
+    WHERE o.cluster_id IS DISTINCT FROM n.cluster_id
+)
+SELECT source_system, source_key, arg_max(cluster_id, b) AS customer_id FROM xref_log GROUP BY 1, 2""", "SNK-04, HS-09")
 def q_cdc_xref_apply(spark, sf_dir):
-    # the xref mirror after replaying every ASSIGN/REASSIGN: latest assignment per key
-    return clusters_all(spark, sf_dir).select("source_system", "source_key", F.col("cluster_id").alias("customer_id"))
+    """The cross-reference mirror, from the events alone."""
+    return apply_xref(_xref_log(spark, sf_dir))
 
 
 def incremental(spark, sf_dir):
     recs, _ = mapped(spark, sf_dir)
-    touched = recs.where(F.col("event_ts") >= F.lit(CUTOFF).cast("timestamp")).select("source_system", "source_key")
-    return layer(spark, ("nrt_incr", sf_dir), lambda: assign_incremental(clusters_old(spark, sf_dir), state_all(spark, sf_dir), touched))
+    touched = recs.where(F.col("event_ts") >= F.lit(CUTOFF).cast("timestamp")).select("source_system", "source_key").distinct()
+    changed = state_all(spark, sf_dir).join(touched, ["source_system", "source_key"], "left_semi")
+    return layer(spark, ("nrt_incr", sf_dir), lambda: assign_incremental(clusters_old(spark, sf_dir), changed))
 
 
 _INCR_SQL = NS.events() + NS.chain("_o", OLD) + NS.chain("", ALL) + f""",

@@ -13,7 +13,7 @@ from aurum.plans.catalog import register
 from aurum.plans.layers import _MEMO
 from aurum.session import shared_dir
 from aurum.sources.events import raw_address_events, raw_events
-from aurum.streaming.pipeline import RAW_SCHEMA, TIME_FORMAT, StateStore, process_batch, run_stream, write_message_files
+from aurum.streaming.pipeline import RAW_SCHEMA, TIME_FORMAT, process_batch, replay
 
 ENDS = nrt.BATCH_ENDS
 
@@ -23,15 +23,12 @@ def _run(spark, sf_dir, replay_last: bool = False):
     if key in _MEMO:
         return _MEMO[key]
     base = shared_dir(spark, f"stream/{uuid.uuid4().hex[:8]}")
-    write_message_files(raw_events(spark, sf_dir).unionByName(raw_address_events(spark, sf_dir)), base + "/in", ENDS)
-    q = run_stream(spark, base + "/in", base + "/state", base + "/ckpt")
-    q.awaitTermination()
-    store = StateStore(spark, base + "/state")
+    store = replay(spark, raw_events(spark, sf_dir).unionByName(raw_address_events(spark, sf_dir)), base, ENDS)
     if replay_last:
         # at-least-once delivery: the last batch arrives again under its id -> no-op
         last = store.committed()
         files = spark.read.schema(RAW_SCHEMA).options(**TIME_FORMAT) \
-            .json(base + "/in").where(F.col("event_ts") >= F.lit(ENDS[-2]).cast("timestamp"))
+            .json(base + "/in/*").where(F.col("event_ts") >= F.lit(ENDS[-2]).cast("timestamp"))
         process_batch(store, files, last)
     _MEMO[key] = (store, store.committed())
     return _MEMO[key]
@@ -99,13 +96,37 @@ def q_dlq(spark, sf_dir):
     return store.table("dead_letter").select("event_id", "topic", "reject_reason")
 
 
-@register("nrt_metrics", NS.events() + ",\nwin AS (SELECT *, CASE " + " ".join(
-    f"WHEN event_ts < TIMESTAMP '{e}' THEN {i}" for i, e in enumerate(ENDS)) + """ END AS batch_id FROM nrt_ev)
-SELECT batch_id, count(*) FILTER (WHERE event_id % 97 <> 0) AS processed, count(*) FILTER (WHERE event_id % 97 = 0) AS rejected
-FROM win GROUP BY 1""", "RT-06, AG-17")
+def _metrics_sql() -> str:
+    """Counters after every batch, from the replay in SQL."""
+    parts = []
+    for i, end in enumerate(ENDS):
+        since = f"event_ts >= TIMESTAMP '{ENDS[i - 1]}' AND " if i else ""
+        win = f"{since}event_ts < TIMESTAMP '{end}'"
+        merges = f"(SELECT count(DISTINCT o.cluster_id) FROM cl_b{i - 1} o JOIN cl_b{i} n USING (node) WHERE o.cluster_id <> n.cluster_id)" if i else "0"
+        noops = f"""(SELECT count(DISTINCT c.cluster_id) FROM cl_b{i} c JOIN nrt_gold_b{i} n USING (cluster_id) JOIN nrt_gold_b{i - 1} o USING (cluster_id)
+    WHERE c.{since.replace(' AND ', '')} AND n.row_hash = o.row_hash)""" if i else "0"
+        parts.append(f"""SELECT {i} AS batch_id, count(*) AS processed, (SELECT count(*) FROM nrt_rejects WHERE {win}) AS rejected,
+  count(DISTINCT source_system || '|' || source_key) AS state_changes,
+  (SELECT count(*) FROM st_events_b WHERE b = {i}) AS golden_events, {noops} AS golden_noops, {merges} AS cluster_merges,
+  """ + ", ".join(f"quantile_cont(epoch_us((SELECT max(event_ts) FROM nrt_recs WHERE {win})) - epoch_us(event_ts), {p}) / 1e6 AS lag_p{round(100 * p)}_s"
+                  for p in (0.5, 0.95, 0.99)) + f"\nFROM nrt_recs WHERE {win}")
+    counts = [f"""SELECT {i} AS b FROM nrt_gold_b{i} n FULL OUTER JOIN {f'nrt_gold_b{i - 1}' if i else '(SELECT * FROM nrt_gold_b0 WHERE FALSE)'} o
+  ON n.cluster_id = o.cluster_id WHERE n.row_hash IS NULL OR o.row_hash IS NULL OR n.row_hash <> o.row_hash""" for i in range(len(ENDS))]
+    return _stream_sql() + ",\nst_events_b AS (" + " UNION ALL ".join(counts) + ")\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("nrt_metrics", _metrics_sql(), "RT-06, AG-17")
 def q_metrics(spark, sf_dir):
     store, _ = _run(spark, sf_dir)
-    return store.table("metrics").select("batch_id", "processed", "rejected")
+    return store.table("metrics").select("batch_id", "processed", "rejected", "state_changes", "golden_events", "golden_noops", "cluster_merges",
+                                         "lag_p50_s", "lag_p95_s", "lag_p99_s")
+
+
+@register("nrt_xref_mirror", _stream_sql() + "\nSELECT source_system, source_key, cluster_id AS customer_id FROM st_cl", "SNK-04, SNK-02, HS-09")
+def q_xref_mirror(spark, sf_dir):
+    """The cross-reference folded from the stream's ASSIGN / REASSIGN events."""
+    store, _ = _run(spark, sf_dir)
+    return nrt.apply_xref(store.table("cdc_xref"))
 
 
 @register("nrt_stream_events", _stream_events_sql() + "\nSELECT * FROM st_events", "RT-03, SNK-01")
@@ -128,7 +149,7 @@ def q_hist_stream(spark, sf_dir):
         .select("customer_id", "event_type", "row_hash", "previous_hash", "valid_from", "valid_to", "is_current")
 
 
-@register("nrt_replay", None, "RT-05")
+@register("nrt_replay", NS.events() + NS.chain("", "TRUE") + "\nSELECT * FROM nrt_gold", "RT-05, SRC-06")
 def q_nrt_replay(spark, sf_dir):
     """Stored source state replayed as events in time order through a fresh stream."""
     state = nrt.state_all(spark, sf_dir)
@@ -142,10 +163,7 @@ def q_nrt_replay(spark, sf_dir):
                                            F.concat_ws(" ", "first_name", "last_name").alias("caller_name"),
                                            "email", F.col("email").alias("email_address"), F.col("email").alias("callback_email"),
                                            "phone", F.col("phone").alias("mobile"), F.col("phone").alias("callback_phone"))).alias("payload"))
-    write_message_files(msgs, base + "/in", ENDS)
-    q = run_stream(spark, base + "/in", base + "/state", base + "/ckpt")
-    q.awaitTermination()
-    store = StateStore(spark, base + "/state")
+    store = replay(spark, msgs, base, ENDS)
     return store.read("golden", store.committed())
 
 

@@ -3,10 +3,10 @@
 Every micro-batch runs the batch operators set-wise on the new messages:
 map -> upsert latest state -> incremental clusters (never split) -> golden of
 the touched clusters -> quality -> CDC events (golden + xref) -> dead letters
--> metrics. State tables are Parquet versions named by batch id under
-``state_dir``; a batch is committed by appending its id to the commit log
-last, so a replayed batch id (at-least-once delivery, lost executor, restart)
-rewrites the same version and produces the same result (RT-04).
+-> metrics. Tables are a delta log under a commit manifest
+(:mod:`aurum.streaming.store`): a batch writes the rows it changes, and all of
+its writes appear at once, so a replayed batch id (at-least-once delivery, lost
+executor, restart) is a no-op, and a half-written one is run again (RT-04).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aurum.plans import nrt
 from aurum.sources.events import map_addresses, map_events
+from aurum.streaming.store import Batch, StateStore
 
 RAW_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("arrival_seq", T.LongType()),
@@ -30,136 +31,102 @@ RAW_SCHEMA = T.StructType([
 TIME_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-class StateStore:
-    """Versioned Parquet tables + an append-only commit log (no lakehouse jar needed)."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-    def committed(self) -> int:
-        log = f"{self.root}/_commits"
-        if not self._exists(log):
-            return -1
-        row = self.spark.read.parquet(log).agg(F.max("batch_id")).first()
-        return -1 if row[0] is None else int(row[0])
-
-    def read(self, table: str, version: int, schema: str | None = None) -> DataFrame | None:
-        if version < 0:
-            return None
-        return self.spark.read.parquet(f"{self.root}/{table}/v={version}")
-
-    def write(self, table: str, version: int, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{table}/v={version}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
-
-    def append(self, table: str, version: int, df: DataFrame) -> None:
-        # per-batch partition, overwritten on replay: append semantics, idempotent
-        df.withColumn("batch_id", F.lit(version)).write.mode("overwrite").parquet(f"{self.root}/{table}/batch={version}")
-
-    def commit(self, version: int) -> None:
-        self.spark.createDataFrame([(version,)], "batch_id long").write.mode("append").parquet(f"{self.root}/_commits")
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.option("basePath", f"{self.root}/{name}").parquet(f"{self.root}/{name}/batch=*")
+KEY = ["source_system", "source_key"]
 
 
 def process_batch(store: StateStore, batch: DataFrame, batch_id: int) -> None:
     """One micro-batch, set-wise (RT-02)."""
     if batch_id <= store.committed():
         return  # already committed: a replay of a finished batch is a no-op
-    prev = batch_id - 1
+    tx = store.begin(batch_id)
     recs, rejects = map_events(batch)
-    recs = recs.checkpoint()
-    old_state = store.read("state", prev)
-    new_state = store.write("state", batch_id, nrt.upsert_latest(recs, old_state))
-    # touched = keys whose stored version changed (out-of-order events are skipped)
-    if old_state is None:
-        touched = new_state.select("source_system", "source_key")
-    else:
-        cmp = new_state.alias("n").join(old_state.alias("o"), ["source_system", "source_key"], "left")
-        touched = cmp.where(F.col("o.event_ts").isNull() | (F.col("n.event_ts") != F.col("o.event_ts"))
-                            | (F.col("n.arrival_seq") != F.col("o.arrival_seq"))).select("source_system", "source_key")
-    touched = touched.checkpoint()
-    old_cl = store.read("clusters", prev)
-    if old_cl is None:
-        new_cl = nrt.resolve(new_state)
+    recs, rejects = recs.checkpoint(), rejects.checkpoint()
+    latest = nrt.upsert_latest(recs)
+    old = tx.read("clusters")
+    if old is None:
+        changed = latest.checkpoint()
+        delta = nrt.resolve(changed)
+        old = delta.limit(0)
     else:
-        new_cl = nrt.assign_incremental(old_cl.select("source_system", "source_key", "cluster_id"), new_state, touched)
-    new_cl = store.write("clusters", batch_id, new_cl)
-    # golden only for clusters that contain a touched record or lost one to a merge
-    old_gold = store.read("golden", prev)
-    ids_new = new_cl.join(touched, ["source_system", "source_key"], "left_semi").select("cluster_id")
-    affected = ids_new
+        # records whose stored version changes (out-of-order events are skipped)
+        held = old.join(latest.select(*KEY), KEY, "left_semi")
+        known = held.select(*KEY, F.col("event_ts").alias("_ts"), F.col("arrival_seq").alias("_seq"))
+        changed = nrt.upsert_latest(latest, held).join(known, KEY, "left") \
+            .where(F.col("_ts").isNull() | (F.col("event_ts") != F.col("_ts")) | (F.col("arrival_seq") != F.col("_seq"))).drop("_ts", "_seq").checkpoint()
+        delta = nrt.assign_delta(old, changed)
+    delta = delta.checkpoint()
+    before_rows = old.join(delta.select(*KEY), KEY, "left_semi").checkpoint()
+    tx.put("clusters", delta)
+    clusters = tx.read("clusters")
     # a change is valid from the newest touched event of its cluster; an absorbed cluster closes with the one that took it
-    changed_at = new_cl.join(touched, ["source_system", "source_key"], "left_semi").groupBy("cluster_id").agg(F.max("event_ts").alias("changed_at"))
-    if old_cl is not None:
-        moves = old_cl.alias("o").join(new_cl.alias("n"), ["source_system", "source_key"]) \
-            .where(F.col("o.cluster_id") != F.col("n.cluster_id")) \
-            .select(F.col("o.cluster_id").alias("closed"), F.col("n.cluster_id").alias("cluster_id")).distinct().checkpoint()
-        moved = moves.select(F.col("closed").alias("cluster_id"))
-        closed_at = moves.join(changed_at, "cluster_id").groupBy("closed").agg(F.max("changed_at").alias("changed_at"))
-        changed_at = changed_at.unionByName(closed_at.withColumnRenamed("closed", "cluster_id")) \
-            .groupBy("cluster_id").agg(F.max("changed_at").alias("changed_at"))
-        affected = affected.unionByName(moved).unionByName(
-            old_cl.join(touched, ["source_system", "source_key"], "left_semi").select("cluster_id"))
-    affected = affected.distinct().checkpoint()
-    fresh = nrt.golden(new_cl.join(affected, "cluster_id", "left_semi"))
-    if old_gold is None:
-        store.write("golden", batch_id, fresh)
-        before = fresh.limit(0)
-    else:
-        before = old_gold.join(affected, "cluster_id", "left_semi")
-        store.write("golden", batch_id, old_gold.join(affected, "cluster_id", "left_anti").unionByName(fresh))
-    # address stream (RT-08): keyed address state from its own topic; addresses of changed clusters and of clusters
-    # with a changed address are linked, survived and scored
-    addresses = map_addresses(batch).checkpoint()
-    state_addr = store.write("addresses", batch_id, nrt.upsert_addresses(addresses, store.read("addresses", prev)))
-    moved_in = new_cl.join(addresses.select("source_system", F.col("source_customer_key").alias("source_key")).distinct(),
-                           ["source_system", "source_key"], "left_semi").select("cluster_id")
-    affected_addr = affected.unionByName(moved_in).distinct()
-    fresh_addr = nrt.address_golden(state_addr, new_cl.join(affected_addr, "cluster_id", "left_semi"))
-    old_addr = store.read("address_golden", prev)
-    if old_addr is None:
-        store.write("address_golden", batch_id, fresh_addr)
-    else:
-        store.write("address_golden", batch_id, old_addr.join(affected_addr, "cluster_id", "left_anti").unionByName(fresh_addr))
+    touched = delta.join(changed.select(*KEY), KEY, "left_semi")
+    changed_at = touched.groupBy("cluster_id").agg(F.max("event_ts").alias("changed_at")).checkpoint()
+    moves = before_rows.select(*KEY, F.col("cluster_id").alias("closed")).join(delta.select(*KEY, "cluster_id"), KEY) \
+        .where(F.col("closed") != F.col("cluster_id")).select("closed", "cluster_id").distinct().checkpoint()
+    closed_at = moves.join(changed_at, "cluster_id").groupBy(F.col("closed").alias("cluster_id")).agg(F.max("changed_at").alias("changed_at"))
+    all_at = changed_at.unionByName(closed_at).groupBy("cluster_id").agg(F.max("changed_at").alias("changed_at"))
+    affected = changed_at.select("cluster_id").unionByName(moves.select(F.col("closed").alias("cluster_id"))).distinct().checkpoint()
+    fresh = nrt.golden(clusters.join(affected, "cluster_id", "left_semi")).checkpoint()
+    golden = tx.read("golden")
+    before = (fresh.limit(0) if golden is None else golden.join(affected, "cluster_id", "left_semi")).checkpoint()
     events = nrt.golden_events(before, fresh, "1970-01-01 00:00:00").drop("valid_from") \
-        .join(changed_at.select(F.col("cluster_id").alias("customer_id"), F.col("changed_at").cast("timestamp").alias("valid_from")), "customer_id", "left")
-    store.append("cdc_golden", batch_id, events)
-    xold = old_cl if old_cl is not None else new_cl.limit(0)
-    store.append("cdc_xref", batch_id, nrt.xref_events(xold.join(touched, ["source_system", "source_key"], "left_semi")
-                                                       .unionByName(xold.join(affected, "cluster_id", "left_semi")).distinct(),
-                                                       new_cl.join(affected, "cluster_id", "left_semi")))
-    store.append("dead_letter", batch_id, rejects)
-    spark = batch.sparkSession
-    metrics = spark.range(1).select(
-        recs.select(F.count("*")).scalar().alias("processed"), rejects.select(F.count("*")).scalar().alias("rejected"),
-        touched.select(F.count("*")).scalar().alias("state_changes"), events.select(F.count("*")).scalar().alias("golden_events"))
-    store.append("metrics", batch_id, metrics)
-    store.commit(batch_id)
-
-
-def run_stream(spark: SparkSession, in_dir: str, state_dir: str, checkpoint: str, files_per_batch: int = 1) -> StreamingQuery:
-    """Start the stream on a folder of JSON message files; availableNow drains it and stops."""
+        .join(all_at.select(F.col("cluster_id").alias("customer_id"), F.col("changed_at").cast("timestamp").alias("valid_from")), "customer_id", "left").checkpoint()
+    same = before.select("cluster_id", "row_hash")
+    tx.put("golden", fresh.join(same, ["cluster_id", "row_hash"], "left_anti").select(*fresh.columns), before.join(fresh.select("cluster_id"), "cluster_id", "left_anti"))
+    _addresses(tx, batch, clusters, affected)
+    tx.log("cdc_golden", events)
+    tx.log("cdc_xref", nrt.xref_events(before_rows, delta))
+    tx.log("dead_letter", rejects)
+    tx.log("metrics", _metrics(batch, recs, rejects, changed, events, fresh, moves))
+    tx.commit()
+
+
+def _addresses(tx: Batch, batch: DataFrame, clusters: DataFrame, affected: DataFrame) -> None:
+    """Address stream (RT-08): keyed address state from its own topic; addresses of changed clusters and of
+    clusters with a changed address are linked, survived and scored."""
+    new = nrt.upsert_addresses(map_addresses(batch)).checkpoint()
+    held = tx.read("addresses")
+    if held is not None:
+        new = nrt.upsert_addresses(new, held.join(new.select(*KEY), KEY, "left_semi")).checkpoint()
+    tx.put("addresses", new)
+    customer = new.select("source_system", F.col("source_customer_key").alias("source_key")).distinct()
+    touched = affected.unionByName(clusters.join(customer, KEY, "left_semi").select("cluster_id")).distinct().checkpoint()
+    fresh = nrt.address_golden(tx.read("addresses"), clusters.join(touched, "cluster_id", "left_semi")).checkpoint()
+    tx.put("address_golden", fresh, touched.join(fresh.select("cluster_id"), "cluster_id", "left_anti"))
+
+
+def _metrics(batch: DataFrame, recs: DataFrame, rejects: DataFrame, changed: DataFrame, events: DataFrame, fresh: DataFrame, moves: DataFrame) -> DataFrame:
+    """Counters of a batch (RT-06): messages, state changes, golden changes and no-ops, merged clusters, and how far
+    messages lie behind the newest of their batch (percentiles in seconds of event time)."""
+    n = lambda df: df.agg(F.count("*")).scalar()
+    end = recs.agg(F.max("event_ts").alias("end"))
+    behind = recs.join(F.broadcast(end)).select((F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(F.col("event_ts").cast("timestamp"))).alias("us"))
+    lag = behind.agg(*[(F.percentile("us", p) / 1e6).alias(f"lag_p{round(100 * p)}_s") for p in (0.5, 0.95, 0.99)])
+    made = events.where(F.col("event_type") != "CLOSE")
+    return lag.select(
+        n(recs).alias("processed"), n(rejects).alias("rejected"), n(changed).alias("state_changes"), n(events).alias("golden_events"),
+        (n(fresh) - n(made)).alias("golden_noops"), n(moves.select("closed").distinct()).alias("cluster_merges"), "lag_p50_s", "lag_p95_s", "lag_p99_s")
+
+
+def run_stream(spark: SparkSession, in_dir: str, state_dir: str, checkpoint: str, files_per_batch: int | None = None) -> StreamingQuery:
+    """Start the stream on folders of JSON message files; availableNow drains them and stops."""
     store = StateStore(spark, state_dir)
-    src = spark.readStream.schema(RAW_SCHEMA).options(maxFilesPerTrigger=files_per_batch, **TIME_FORMAT).json(in_dir)
+    limit = {} if files_per_batch is None else {"maxFilesPerTrigger": files_per_batch}
+    src = spark.readStream.schema(RAW_SCHEMA).options(**limit, **TIME_FORMAT).json(in_dir)
     return (src.writeStream.foreachBatch(lambda df, bid: process_batch(store, df, bid))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def write_message_files(raw: DataFrame, out_dir: str, ends: list[str]) -> None:
-    """Replay helper (RT-05): the message log as one JSON file per event-time window, in time order."""
+def replay(spark: SparkSession, raw: DataFrame, base: str, ends: list[str]) -> StateStore:
+    """A message log through a stream, in time order (RT-05): each event-time window becomes a folder of files,
+    as many as its messages call for, and one micro-batch."""
+    raw = raw.checkpoint()
     lo = None
-    for end in ends:
+    for k, end in enumerate(ends):
         part = raw.where(F.col("event_ts") < F.lit(end).cast("timestamp"))
         if lo is not None:
             part = part.where(F.col("event_ts") >= F.lit(lo).cast("timestamp"))
-        part.orderBy("arrival_seq").coalesce(1).write.mode("append").options(**TIME_FORMAT).json(out_dir)
+        part.write.options(**TIME_FORMAT).json(f"{base}/in/w{k}")
+        run_stream(spark, f"{base}/in/*", f"{base}/state", f"{base}/ckpt").awaitTermination()
         lo = end
+    return StateStore(spark, f"{base}/state")
