@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aurum.functions.similarity import jaro_winkler, jw_upper_bound, tagged_chars
+from aurum.functions.similarity import jaro_winkler, tagged_chars
 
 # letters from rare to common: only an order, any one is right
 RARITY = "QXZWÆØÅCJYVPFUBGMDHKTOLISRNAE"
@@ -32,12 +32,9 @@ def _share(threshold: float, prefix: int) -> float:
     return max(0.0, 3.0 * j - 2.0)
 
 
-def _signatures(value: Column, threshold: float) -> Column:
-    """Signatures by which any partner with JW >= threshold (and > 0) is met."""
+def _signatures(value: Column, tags: Column, threshold: float) -> Column:
+    """Signatures by which any partner with JW >= threshold (and > 0) is met; ``tags`` as :func:`_ranked` orders them."""
     n = F.length(value)
-    # second and later occurrences of a letter are rarer than first ones
-    tags = F.array_sort(F.transform(tagged_chars(value), lambda x: F.struct(
-        (-F.substring(x, 2, 4).cast("int")).alias("k"), F.instr(F.lit(RARITY), F.upper(F.substring(x, 1, 1))).alias("r"), x.alias("x"))))
     parts = []
     for p in range(5):
         need = F.greatest(F.lit(1), F.ceil(n * F.lit(_share(threshold, p)) - F.lit(1e-9)).cast("int"))
@@ -46,6 +43,12 @@ def _signatures(value: Column, threshold: float) -> Column:
     return F.array_distinct(F.concat(*parts))
 
 
+def _ranked(tags: Column) -> Column:
+    """Tagged characters from rare to common; second and later occurrences of a letter are rarer than first ones."""
+    return F.array_sort(F.transform(tags, lambda x: F.struct(
+        (-F.substring(x, 2, 4).cast("int")).alias("k"), F.instr(F.lit(RARITY), F.upper(F.substring(x, 1, 1))).alias("r"), x.alias("x"))))
+
+
 def _own(tags: Column, n: Column, need: Column, value: Column, p: int) -> Column:
     head = F.concat(F.lit(f"{p}"), F.substring(value, 1, p), F.lit("|"))
     return F.transform(F.slice(tags, 1, F.greatest(F.lit(0), n - need + 1)), lambda s: F.concat(head, s["x"]))
@@ -58,12 +61,15 @@ def candidates(left: DataFrame, right: DataFrame, threshold: float, lcol: str =
 
     def side(df: DataFrame, col: str, name: str) -> DataFrame:
         v = df.select(*keys, F.col(col).alias(name)).where(F.col(name).isNotNull() & (F.length(name) > 0)).distinct()
-        return v.withColumn("signature", F.explode(_signatures(F.col(name), threshold)))
-
-    pairs = side(left, lcol, "left_value").join(side(right, rcol, "right_value"), [*keys, "signature"]) \
-        .select(*keys, "left_value", "right_value").distinct()
-    overlap = F.size(F.array_intersect(tagged_chars("left_value"), tagged_chars("right_value")))
-    return pairs.where(jw_upper_bound(F.length("left_value"), F.length("right_value"), overlap) >= F.lit(threshold - 1e-9))
+        # a value's characters are tagged once; pairs only intersect them
+        v = v.withColumn(f"{name}_tags", tagged_chars(name)).withColumn("ranked", _ranked(F.col(f"{name}_tags")))
+        return v.withColumn("signature", F.explode(_signatures(F.col(name), F.col("ranked"), threshold))).drop("ranked")
+
+    pairs = side(left, lcol, "left_value").join(side(right, rcol, "right_value"), [*keys, "signature"])
+    # jw_upper_bound >= threshold, solved for the overlap (at least one character is shared here)
+    overlap = F.size(F.array_intersect("left_value_tags", "right_value_tags"))
+    per_match = F.lit(1.0) / F.length("left_value") + F.lit(1.0) / F.length("right_value")
+    return pairs.where(overlap * per_match >= F.lit(5.0 * (threshold - 0.4) - 1.0 - 1e-9)).select(*keys, "left_value", "right_value").distinct()
 
 
 def similar_values(left: DataFrame, right: DataFrame, threshold: float,
