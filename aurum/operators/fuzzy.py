@@ -17,10 +17,10 @@ itself is an exact filter on the JVM side:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.functions.similarity import jaro_winkler, tagged_chars
+from aurum.functions.similarity import jaro_winkler
 
 # letters from rare to common: only an order, any one is right
 RARITY = "QXZWÆØÅCJYVPFUBGMDHKTOLISRNAE"
@@ -32,26 +32,27 @@ def _share(threshold: float, prefix: int) -> float:
     return max(0.0, 3.0 * j - 2.0)
 
 
-def _signatures(value: Column, tags: Column, threshold: float) -> Column:
-    """Signatures by which any partner with JW >= threshold (and > 0) is met; ``tags`` as :func:`_ranked` orders them."""
-    n = F.length(value)
+def _signatures(value: str, ranked: str, threshold: float) -> str:
+    """SQL of the signatures by which any partner with JW >= threshold (and > 0) is met; ``ranked`` as :func:`_ranked` orders it.
+
+    SQL text, as thousands of single calls to the JVM would build the same expression.
+    """
     parts = []
     for p in range(5):
-        need = F.greatest(F.lit(1), F.ceil(n * F.lit(_share(threshold, p)) - F.lit(1e-9)).cast("int"))
-        own = _own(tags, n, need, value, p)
-        parts.append(F.when(n >= p, own).otherwise(F.array().cast("array<string>")))
-    return F.array_distinct(F.concat(*parts))
+        need = f"greatest(1, CAST(ceil(length({value}) * {_share(threshold, p):.17g}D - 1e-9D) AS INT))"
+        own = f"transform(slice({ranked}, 1, greatest(0, length({value}) - {need} + 1)), s -> concat('{p}', substring({value}, 1, {p}), '|', s.x))"
+        parts.append(f"CASE WHEN length({value}) >= {p} THEN {own} ELSE CAST(array() AS ARRAY<STRING>) END")
+    return f"array_distinct(concat({', '.join(parts)}))"
 
 
-def _ranked(tags: Column) -> Column:
-    """Tagged characters from rare to common; second and later occurrences of a letter are rarer than first ones."""
-    return F.array_sort(F.transform(tags, lambda x: F.struct(
-        (-F.substring(x, 2, 4).cast("int")).alias("k"), F.instr(F.lit(RARITY), F.upper(F.substring(x, 1, 1))).alias("r"), x.alias("x"))))
+def _tags(value: str) -> str:
+    """SQL of :func:`aurum.functions.similarity.tagged_chars`."""
+    return f"transform(split({value}, ''), (x, i) -> concat(x, CAST(size(filter(slice(split({value}, ''), 1, i + 1), y -> y = x)) AS STRING)))"
 
 
-def _own(tags: Column, n: Column, need: Column, value: Column, p: int) -> Column:
-    head = F.concat(F.lit(f"{p}"), F.substring(value, 1, p), F.lit("|"))
-    return F.transform(F.slice(tags, 1, F.greatest(F.lit(0), n - need + 1)), lambda s: F.concat(head, s["x"]))
+def _ranked(tags: str) -> str:
+    """SQL of the tagged characters from rare to common; second and later occurrences of a letter are rarer than first ones."""
+    return f"array_sort(transform({tags}, x -> struct(-CAST(substring(x, 2, 4) AS INT) AS k, instr('{RARITY}', upper(substring(x, 1, 1))) AS r, x AS x)))"
 
 
 def candidates(left: DataFrame, right: DataFrame, threshold: float, lcol: str = "value", rcol: str = "value",
@@ -62,8 +63,8 @@ def candidates(left: DataFrame, right: DataFrame, threshold: float, lcol: str =
     def side(df: DataFrame, col: str, name: str) -> DataFrame:
         v = df.select(*keys, F.col(col).alias(name)).where(F.col(name).isNotNull() & (F.length(name) > 0)).distinct()
         # a value's characters are tagged once; pairs only intersect them
-        v = v.withColumn(f"{name}_tags", tagged_chars(name)).withColumn("ranked", _ranked(F.col(f"{name}_tags")))
-        return v.withColumn("signature", F.explode(_signatures(F.col(name), F.col("ranked"), threshold))).drop("ranked")
+        v = v.withColumn(f"{name}_tags", F.expr(_tags(name))).withColumn("ranked", F.expr(_ranked(f"{name}_tags")))
+        return v.withColumn("signature", F.explode(F.expr(_signatures(name, "ranked", threshold)))).drop("ranked")
 
     pairs = side(left, lcol, "left_value").join(side(right, rcol, "right_value"), [*keys, "signature"])
     # jw_upper_bound >= threshold, solved for the overlap (at least one character is shared here)
