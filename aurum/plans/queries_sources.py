@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,7 @@ from aurum.plans import inputs
 from aurum.plans.catalog import register
 from aurum.plans.sqlfrag import date_valid, initcap_word, mod11_valid, row_hash, s, soundex
 from aurum.session import shared_dir
-from aurum.sources.files import ingest_stream, lineage_columns, read_source_csv
+from aurum.sources.files import ingest_stream, lineage_columns, read_ingested, read_source_csv
 
 NICE_SCHEMA = T.StructType([T.StructField("ssn", T.StringType()), T.StructField("first_name", T.StringType()),
                             T.StructField("last_name", T.StringType()), T.StructField("phone", T.StringType()),
@@ -93,7 +95,109 @@ def q_src_incremental(spark, sf_dir):
     n.where(F.col("_source_file").startswith("update/")).write.option("header", True).mode("append").csv(base + "/in")
     q = ingest_stream(spark, base + "/in", NICE_SCHEMA, base + "/table", base + "/ckpt", NICE_NULLS)
     q.awaitTermination()
-    return spark.read.parquet(base + "/table").drop("_source_path")
+    return read_ingested(spark, base + "/table")[0].drop("_source_path")
+
+
+# The three customer files as lines of text, with records that can't be loaded: a date that is none, an id that is a
+# NULL token where the file requires one, a line without its last field. (source, schema, NULL tokens)
+FREG_SCHEMA = T.StructType([T.StructField("ssn", T.StringType(), False), T.StructField("first_name", T.StringType()),
+                            T.StructField("last_name", T.StringType()), T.StructField("birth_date", T.DateType()),
+                            T.StructField("citizenship", T.StringType()), T.StructField("record_date", T.DateType()),
+                            T.StructField("_source_file", T.StringType())])
+BS_SCHEMA = T.StructType([T.StructField("ssn", T.StringType(), False)] + NICE_SCHEMA.fields[1:])
+FILES = {"FREG": (FREG_SCHEMA, ("", "NULL", "null")), "BS": (BS_SCHEMA, ("", "NULL", "null")), "NICE": (NICE_SCHEMA, NICE_NULLS)}
+BAD_DATE = {"record_date": (13, 4, "2023-13-01"), "birth_date": (17, 6, "unknown")}  # k % modulus = remainder -> value
+NO_ID = (19, 7, "NULL")
+SHORT_LINE = (23, 2)
+
+
+def _file_lines(spark, sf_dir, source):
+    """(phase, line) of a customer file; the damage is a function of the person number."""
+    def hit(modulus, remainder):
+        return F.col("k") % modulus == remainder
+
+    cols = []
+    for f in FILES[source][0].fields:
+        c = F.coalesce(F.col(f.name).cast("string"), F.lit(""))
+        if f.name in BAD_DATE:
+            c = F.when(hit(*BAD_DATE[f.name][:2]), BAD_DATE[f.name][2]).otherwise(c)
+        if f.name == "ssn":
+            c = F.when(hit(*NO_ID[:2]), NO_ID[2]).otherwise(c)
+        cols.append(c)
+    return inputs.table(spark, sf_dir, source.lower()).select(
+        F.split_part("_source_file", F.lit("/"), F.lit(1)).alias("phase"),
+        F.when(hit(*SHORT_LINE), F.concat_ws(",", *cols[:-1])).otherwise(F.concat_ws(",", *cols)).alias("line"))
+
+
+def _files_sql() -> str:
+    """CTE ``files``: the same lines, with the fields and the damage stated again."""
+    def one(source):
+        schema, _ = FILES[source]
+        vals = {f.name: f"COALESCE(CAST({f.name} AS VARCHAR), '')" for f in schema.fields}
+        for name, (m, r, v) in BAD_DATE.items():
+            if name in vals:
+                vals[name] = f"CASE WHEN k % {m} = {r} THEN '{v}' ELSE {vals[name]} END"
+        vals["ssn"] = f"CASE WHEN k % {NO_ID[0]} = {NO_ID[1]} THEN '{NO_ID[2]}' ELSE {vals['ssn']} END"
+        line = list(vals.values())
+        birth = f"k % {BAD_DATE['birth_date'][0]} = {BAD_DATE['birth_date'][1]}" if "birth_date" in vals else "FALSE"
+        no_id = f"(ssn IS NULL OR k % {NO_ID[0]} = {NO_ID[1]})" if source != "NICE" else "FALSE"
+        return f"""SELECT '{source}' AS source, split_part(_source_file, '/', 1) AS phase, {line[0]} AS raw_ssn, first_name,
+  CASE WHEN k % {SHORT_LINE[0]} = {SHORT_LINE[1]} THEN concat_ws(',', {', '.join(line[:-1])}) END AS short_line,
+  k % {BAD_DATE['record_date'][0]} = {BAD_DATE['record_date'][1]} AS bad_record, {birth} AS bad_birth, {no_id} AS no_id, k FROM {source.lower()}"""
+    return "files AS (" + " UNION ALL ".join(one(x) for x in FILES) + """),
+rejected AS (
+  SELECT source, phase, first_name, NULL AS field, 'columns' AS reason, short_line AS value, k FROM files WHERE short_line IS NOT NULL
+  UNION ALL SELECT source, phase, first_name, 'record_date', 'type', '""" + BAD_DATE["record_date"][2] + """', k FROM files WHERE bad_record
+  UNION ALL SELECT source, phase, first_name, 'birth_date', 'type', '""" + BAD_DATE["birth_date"][2] + """', k FROM files WHERE bad_birth
+  UNION ALL SELECT source, phase, first_name, 'ssn', 'missing', raw_ssn, k FROM files WHERE no_id
+)"""
+
+
+def _reasons(rejects):
+    return rejects.select("first_name", F.explode("_rejects").alias("r")).select("first_name", "r.field", "r.reason", "r.value")
+
+
+@register("src_load_rejects", _files_sql() + """
+SELECT source, 'accepted' AS reason, NULL AS field, count(*) AS rows FROM files
+WHERE short_line IS NULL AND NOT bad_record AND NOT bad_birth AND NOT no_id GROUP BY 1
+UNION ALL SELECT source, reason, field, count(*) FROM rejected GROUP BY ALL""", "SRC-01, SRC-04")
+def q_src_load_rejects(spark, sf_dir):
+    """All three files: accepted records, and the reasons of the others."""
+    out = []
+    for source, (schema, nulls) in FILES.items():
+        path = shared_dir(spark, f"files/{uuid.uuid4().hex[:8]}")
+        _file_lines(spark, sf_dir, source).select("line").write.text(path)
+        rows, rejects = read_source_csv(spark, path, schema, nulls, header=False)
+        one = rows.select(F.lit("accepted").alias("reason"), F.lit(None).cast("string").alias("field")) \
+            .unionByName(_reasons(rejects).select("reason", "field"))
+        out.append(one.groupBy("reason", "field").agg(F.count("*").alias("rows")).withColumn("source", F.lit(source)))
+    return reduce(DataFrame.unionByName, out).select("source", "reason", "field", "rows")
+
+
+def _ingested(spark, sf_dir, source):
+    """Two drops of files, two runs on one checkpoint, one table of rows and rejects."""
+    schema, nulls = FILES[source]
+    base = shared_dir(spark, f"incremental/{uuid.uuid4().hex[:8]}")
+    lines = _file_lines(spark, sf_dir, source)
+    for phase in ("initial", "update"):
+        lines.where(F.col("phase") == phase).select("line").write.mode("append").text(base + "/in")
+        ingest_stream(spark, base + "/in", schema, base + "/table", base + "/ckpt", nulls, header=False).awaitTermination()
+    return read_ingested(spark, base + "/table")
+
+
+@register("src_ingest_accepted", _files_sql() + """
+SELECT f.ssn, f.first_name, f.last_name, f.birth_date, f.citizenship, f.record_date, f._source_file
+FROM freg f WHERE NOT EXISTS (SELECT 1 FROM rejected r WHERE r.source = 'FREG' AND r.k = f.k)""", "SRC-02, SRC-04")
+def q_src_ingest_accepted(spark, sf_dir):
+    return _ingested(spark, sf_dir, "FREG")[0].drop("_source_path")
+
+
+@register("src_ingest_rejects", _files_sql() + """
+SELECT source, first_name, field, reason, value FROM rejected""", "SRC-02, SRC-04")
+def q_src_ingest_rejects(spark, sf_dir):
+    """Reasons and values of every rejected record of the three incremental loads."""
+    out = [_reasons(_ingested(spark, sf_dir, x)[1]).withColumn("source", F.lit(x)) for x in FILES]
+    return reduce(DataFrame.unionByName, out).select("source", "first_name", "field", "reason", "value")
 
 
 V1U = """SELECT ssn, first_name, last_name, birth_date, citizenship, CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS email,

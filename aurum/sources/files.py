@@ -1,4 +1,4 @@
-"""File sources and sinks: CSV with several NULL tokens, typed positional load,
+"""File sources and sinks: CSV with several NULL tokens, typed positional load with rejects,
 lineage file name/date, incremental (new-files-only) ingestion (SRC-01..05)."""
 
 from __future__ import annotations
@@ -9,41 +9,60 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 DEFAULT_NULLS = ("", "NULL", "null")
+MALFORMED = "_malformed_line"
+REJECT_TYPE = "array<struct<field:string,reason:string,value:string>>"
 
 
 def _nullify(c: Column, tokens) -> Column:
     return F.when(c.isin(*[t for t in tokens if t != ""]) | (F.length(c) == 0), F.lit(None)).otherwise(c)
 
 
-def read_source_csv(spark: SparkSession, path: str, schema: T.StructType, null_tokens=DEFAULT_NULLS,
-                    date_cols: tuple[str, ...] = (), with_lineage: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Header CSV, optional quotes, UTF-8; every token in ``null_tokens`` -> NULL.
+def _csv(reader, schema: T.StructType, path: str, header: bool) -> DataFrame:
+    """Every field as a string, plus the whole line of a record with too few or too many fields.
 
-    Columns are read as strings and typed afterwards with ``try_cast`` so a bad
-    value never fails the load; rows with an untypable value go to the rejects
-    frame (ON_ERROR=CONTINUE). Returns (rows, rejects).
+    The parser counts the fields of a line only if it reads all of them, so columns aren't pruned inside it: which
+    records are malformed must not depend on the columns that a query selects.
     """
-    string_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (spark.read.option("header", True).option("quote", '"').option("encoding", "UTF-8")
-           .option("mode", "PERMISSIVE").schema(string_schema).csv(path))
-    cols = [_nullify(F.col(f.name), null_tokens).alias(f.name) for f in schema.fields]
-    if with_lineage:
-        cols.append(F.col("_metadata.file_path").alias("_source_path"))
-    df = raw.select(*cols)
-    bad = F.lit(False)
-    for f in schema.fields:
-        if not isinstance(f.dataType, T.StringType):
-            typed = F.col(f.name).try_cast(f.dataType)
-            bad = bad | (F.col(f.name).isNotNull() & typed.isNull())
-            df = df.withColumn("_typed_" + f.name, typed)
-    df = df.withColumn("_bad", bad)
-    rejects = df.where("_bad").drop("_bad")
-    good = df.where(~F.col("_bad"))
+    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
+                           + [T.StructField(MALFORMED, T.StringType())])
+    return (reader.option("header", header).option("quote", '"').option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False).schema(strings).csv(path))
+
+
+def _reject(field: str | None, reason: str, value: Column) -> Column:
+    return F.struct(F.lit(field).cast("string").alias("field"), F.lit(reason).alias("reason"), value.cast("string").alias("value"))
+
+
+def type_rows(raw: DataFrame, schema: T.StructType, null_tokens=DEFAULT_NULLS, with_lineage: bool = True) -> DataFrame:
+    """Typed columns and ``_rejects``: why a record can't be loaded, empty for an accepted one.
+
+    Reasons are ``columns`` (the record has another number of fields; the value is its line), ``type`` (the value can't
+    be cast) and ``missing`` (NULL or a NULL token in a field that the schema declares not nullable). A rejected record
+    keeps the fields that can be typed. One projection: no shuffle, no second read.
+    """
+    cols, why = [], [F.when(F.col(MALFORMED).isNotNull(), _reject(None, "columns", F.col(MALFORMED)))]
     for f in schema.fields:
+        text = _nullify(F.col(f.name), null_tokens)
+        value = text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)
+        cols.append(value.alias(f.name))
         if not isinstance(f.dataType, T.StringType):
-            good = good.withColumn(f.name, F.col("_typed_" + f.name)).drop("_typed_" + f.name)
-            rejects = rejects.drop("_typed_" + f.name)
-    return good.drop("_bad"), rejects
+            why.append(F.when(text.isNotNull() & value.isNull(), _reject(f.name, "type", F.col(f.name))))
+        if not f.nullable:
+            why.append(F.when(text.isNull(), _reject(f.name, "missing", F.col(f.name))))
+    if with_lineage:
+        cols.append(F.col("_metadata.file_path").alias("_source_path"))
+    return raw.select(*cols, F.array_compact(F.array(*why)).cast(REJECT_TYPE).alias("_rejects"))
+
+
+def read_source_csv(spark: SparkSession, path: str, schema: T.StructType, null_tokens=DEFAULT_NULLS,
+                    with_lineage: bool = True, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """CSV files as (rows, rejects); optional quotes, UTF-8, every token in ``null_tokens`` -> NULL.
+
+    A bad record never fails the load: it goes to the rejects frame with its reasons (:func:`type_rows`).
+    """
+    typed = type_rows(_csv(spark.read, schema, path, header), schema, null_tokens, with_lineage)
+    ok = F.size("_rejects") == 0
+    return typed.where(ok).drop("_rejects"), typed.where(~ok)
 
 
 def lineage_columns(df: DataFrame, path_col: str = "_source_path") -> DataFrame:
@@ -54,20 +73,24 @@ def lineage_columns(df: DataFrame, path_col: str = "_source_path") -> DataFrame:
 
 
 def ingest_stream(spark: SparkSession, in_dir: str, schema: T.StructType, table_dir: str, checkpoint: str,
-                  null_tokens=DEFAULT_NULLS, max_files: int | None = None) -> StreamingQuery:
-    """New files only, appended to a Parquet table, restartable from its checkpoint
-    (SRC-02). ``trigger(availableNow)`` processes what is there and stops."""
-    string_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    reader = spark.readStream.option("header", True).schema(string_schema)
+                  null_tokens=DEFAULT_NULLS, max_files: int | None = None, header: bool = True) -> StreamingQuery:
+    """New files only, appended to a Parquet table, restartable from its checkpoint (SRC-02).
+
+    Accepted records and rejects are two partitions of one table, so that one entry of the sink's log commits both:
+    a batch that dies leaves neither, and a replayed batch adds neither twice. Read them with :func:`read_ingested`.
+    ``trigger(availableNow)`` processes what is there and stops.
+    """
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    s = reader.csv(in_dir)
-    cols = []
-    for f in schema.fields:
-        c = _nullify(F.col(f.name), null_tokens)
-        if not isinstance(f.dataType, T.StringType):
-            c = c.try_cast(f.dataType)
-        cols.append(c.alias(f.name))
-    out = s.select(*cols, F.col("_metadata.file_path").alias("_source_path"))
+    typed = type_rows(_csv(reader, schema, in_dir, header), schema, null_tokens)
+    out = typed.withColumn("_rejected", (F.size("_rejects") > 0).cast("int"))
     return (out.writeStream.format("parquet").option("path", table_dir).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+            .partitionBy("_rejected").trigger(availableNow=True).start())
+
+
+def read_ingested(spark: SparkSession, table_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a table written by :func:`ingest_stream`; each side reads its own partition."""
+    table = spark.read.parquet(table_dir)
+    return (table.where("_rejected = 0").drop("_rejected", "_rejects"),
+            table.where("_rejected = 1").drop("_rejected"))
