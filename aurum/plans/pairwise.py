@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from aurum import rules
 from aurum.functions import digits, soundex_nordic
-from aurum.operators import graph, partners
+from aurum.operators import aliases, graph, partners
 from aurum.operators.fuzzy import similar_values
 from aurum.operators.harmonise import enrich_v2, fake_name_flag, union_addresses, union_customers_v2
 from aurum.operators.quality import address_rules, customer_rules_bulk, score_quality
@@ -409,6 +409,22 @@ def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
                            inputs.addresses(spark, sf_dir, "NICE"))
 
 
+def alias_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alias classes of the surrogate keys (records without a national id)."""
+    surrogates = enriched(spark, sf_dir).where(F.col("ssn").isNull())
+    return layer(spark, ("v2_aliases", sf_dir), lambda: aliases.alias_classes(surrogates))
+
+
+def address_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layer(spark, ("v2_address_links", sf_dir),
+                 lambda: aliases.address_links(addresses(spark, sf_dir), alias_classes(spark, sf_dir)))
+
+
+def linked_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The addresses of all feeds, also under surrogate keys that only aliases of them have addresses for."""
+    return aliases.link_addresses(addresses(spark, sf_dir), address_links(spark, sf_dir))
+
+
 def address_groups(addr: DataFrame, cl: DataFrame) -> DataFrame:
     """Address -> customer cluster on (system, customer key, org) (JN-09)."""
     c = cl.select("source_system", F.col("source_key").alias("source_customer_key"), "organization", "cluster_id")
@@ -519,7 +535,7 @@ ADDR_SQL = PS.clusters("parity", "transitive") + PS.address_golden()
 @register("address_golden", ADDR_SQL + "\nSELECT * FROM a2_golden", "GD-05, GD-07, PRJ-03, JN-09, DQ-011..N02")
 def q_address_golden(spark, sf_dir):
     enr, cl = clusters_for(spark, sf_dir)
-    return address_golden(addresses(spark, sf_dir), cl)
+    return address_golden(linked_addresses(spark, sf_dir), cl)
 
 
 # ------------------------------------------------------------------------------------ serving
@@ -532,7 +548,7 @@ V2_SQL = PS.clusters("parity", "transitive") + PS.golden() + PS.address_golden()
 def v2_chain(spark, sf_dir):
     enr, cl = clusters_for(spark, sf_dir)
     gold = layer(spark, ("v2_golden", sf_dir), lambda: golden(enr, cl))
-    addr = addresses(spark, sf_dir)
+    addr = linked_addresses(spark, sf_dir)
     return enr, cl, gold, addr
 
 
@@ -598,15 +614,22 @@ def q_address_groups(spark, sf_dir):
     return address_groups(addr, cl)
 
 
+@register("surrogate_aliases", PS.clusters("parity", "transitive") + PS.addresses() + """
+SELECT source_system, source_key, owner_key FROM a2_link""", "CK-02")
+def q_surrogate_aliases(spark, sf_dir):
+    """Surrogate keys without an address of their own, and the alias whose addresses they take."""
+    return address_links(spark, sf_dir)
+
+
 @register("xref_address", V2_SQL + """
-SELECT row_number() OVER (ORDER BY address_id, organization, source_system, source_key) AS xref_id,
+SELECT row_number() OVER (ORDER BY address_id, organization, source_system, source_key, cluster_id) AS xref_id,
        address_id, cluster_id, organization, source_system, source_key
 FROM (SELECT DISTINCT cluster_id, organization, source_system, source_key,
              concat_ws('|', organization, source_system, source_key) AS address_id FROM a2_grouped)""", "HS-09, WN-08")
 def q_xref_address(spark, sf_dir):
     _, cl, _, addr = v2_chain(spark, sf_dir)
-    ag = address_groups(addr, cl).select("address_id", "cluster_id", "organization", "source_system", "source_key")
-    return graph.dense_number(ag, ["address_id", "organization", "source_system", "source_key"], out="xref_id")
+    ag = address_groups(addr, cl).select("address_id", "cluster_id", "organization", "source_system", "source_key").distinct()
+    return graph.dense_number(ag, ["address_id", "organization", "source_system", "source_key", "cluster_id"], out="xref_id")
 
 
 @register("history_v2", V2_SQL + PS.history() + "\nSELECT * FROM v2_history", "HS-04, HS-01, HS-02, WN-05, WN-06")

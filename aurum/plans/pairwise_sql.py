@@ -174,15 +174,41 @@ def addresses() -> str:
                 f"{IC('gate')} AS gate, trim(postnummer) AS postnummer, {IC('\"by\"')} AS \"by\", upper(trim(land)) AS land, "
                 f"o.organization, _source_file, CAST(regexp_extract(_source_file, '(\\d{{4}}-\\d{{2}}-\\d{{2}})_crm_', 1) AS DATE) AS file_date "
                 f"FROM {tbl} CROSS JOIN (VALUES ('BANK'), ('INS')) AS o(organization)")
+    priority = " ".join(f"WHEN '{k}' THEN {v}" for k, v in rules.ADDRESS_PRIORITY.items())
     return f""",
 a2_union AS (
   {one('FREG', 'addr_freg')}
   UNION ALL {one('BS', 'addr_bs')}
   UNION ALL {one('NICE', 'addr_nice')}
 ),
+a2_contact AS (
+  SELECT DISTINCT source_system, source_key, lower(trim(first_name)) AS first, phone, email FROM v2_enriched
+  WHERE ssn IS NULL AND length(trim(first_name)) > 0
+),
+a2_pair AS (
+  SELECT DISTINCT a.source_system, a.source_key AS x, b.source_key AS y FROM a2_contact a
+  JOIN a2_contact b ON a.source_system = b.source_system AND a.first = b.first
+  WHERE (a.phone = b.phone AND length(trim(a.phone)) > 0) OR (a.email = b.email AND length(trim(a.email)) > 0)
+),
+a2_reach AS (
+  SELECT source_system, x, y FROM a2_pair
+  UNION SELECT r.source_system, r.x, p.y FROM a2_reach r JOIN a2_pair p ON p.source_system = r.source_system AND p.x = r.y
+),
+a2_own AS (SELECT source_system, source_customer_key AS owner, max(file_date) AS newest FROM a2_union GROUP BY 1, 2),
+a2_link AS (
+  SELECT r.source_system, r.x AS source_key, first(o.owner ORDER BY o.newest DESC, o.owner) AS owner_key
+  FROM a2_reach r JOIN a2_own o ON o.source_system = r.source_system AND o.owner = r.y
+  WHERE NOT EXISTS (SELECT 1 FROM a2_own n WHERE n.source_system = r.source_system AND n.owner = r.x)
+  GROUP BY 1, 2
+),
+a2_known AS (
+  SELECT * FROM a2_union
+  UNION ALL SELECT u.* REPLACE (l.source_key AS source_customer_key) FROM a2_union u
+  JOIN a2_link l ON l.source_system = u.source_system AND l.owner_key = u.source_customer_key
+),
 a2_grouped AS (
-  SELECT a.*, c.cluster_id, CASE a.source_system WHEN 'FREG' THEN 1 WHEN 'BS' THEN 2 ELSE 3 END AS prio
-  FROM a2_union a JOIN v2_clusters c ON c.source_system = a.source_system AND c.source_key = a.source_customer_key
+  SELECT a.*, c.cluster_id, CASE a.source_system {priority} END AS prio
+  FROM a2_known a JOIN v2_clusters c ON c.source_system = a.source_system AND c.source_key = a.source_customer_key
    AND c.organization = a.organization
 )"""
 
