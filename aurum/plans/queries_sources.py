@@ -61,10 +61,10 @@ def q_src_typed(spark, sf_dir):
     return flags.agg(F.sum("o").cast("long").alias("loaded"), (F.count("*") - F.sum("o")).cast("int").alias("rejected"))
 
 
-@register("src_lineage", "SELECT record_date AS file_date, count(*) AS rows FROM freg GROUP BY 1", "SRC-03")
+@register("src_lineage", "SELECT record_date AS file_date, count(*) AS rows FROM (SELECT record_date FROM freg UNION ALL SELECT record_date FROM bs UNION ALL SELECT record_date FROM nice) GROUP BY 1", "SRC-03")
 def q_src_lineage(spark, sf_dir):
-    f = inputs.freg(spark, sf_dir).select("ssn", "first_name", F.col("record_date").cast("string").alias("record_date"))
-    path = _landing_csv(spark, sf_dir, "freg_by_date", f.withColumn("file_date", F.col("record_date")), partition_by="file_date")
+    f = _all_feeds(spark, sf_dir).select("ssn", "first_name", F.col("record_date").cast("string").alias("record_date"))
+    path = _landing_csv(spark, sf_dir, "customers_by_date", f.withColumn("file_date", F.col("record_date")), partition_by="file_date")
     schema = T.StructType([T.StructField("ssn", T.StringType()), T.StructField("first_name", T.StringType()),
                            T.StructField("record_date", T.StringType())])
     raw = spark.read.option("header", True).schema(schema).csv(path).select("ssn", F.col("_metadata.file_path").alias("_source_path"))
@@ -256,19 +256,31 @@ def q_profile(spark, sf_dir):
 
 # ------------------------------------------------------------------------- scalar functions
 
-@register("fn_initcap", f"SELECT first_name, {initcap_word('trim(first_name)')} AS title_name FROM nice", "FN-01")
+FEED_COLS = ["ssn", "first_name", "last_name", "phone", "email", "record_date"]
+ALL_FEEDS = "(SELECT " + "\nUNION ALL SELECT ".join([
+    "ssn, first_name, last_name, CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS email, record_date FROM freg",
+    ", ".join(FEED_COLS) + " FROM bs", ", ".join(FEED_COLS) + " FROM nice"]) + ")"
+
+
+def _all_feeds(spark, sf_dir):
+    """The common columns of the three customer feeds; the registry has no contact data."""
+    return inputs.freg(spark, sf_dir).select(*FEED_COLS[:3], F.lit(None).cast("string").alias("phone"), F.lit(None).cast("string").alias("email"), "record_date") \
+        .unionByName(inputs.bs(spark, sf_dir).select(*FEED_COLS)).unionByName(inputs.nice(spark, sf_dir).select(*FEED_COLS))
+
+
+@register("fn_initcap", f"SELECT first_name, {initcap_word('trim(first_name)')} AS title_name FROM {ALL_FEEDS}", "FN-01")
 def q_fn_initcap(spark, sf_dir):
-    return inputs.nice(spark, sf_dir).select("first_name", AF.title_case("first_name").alias("title_name"))
+    return _all_feeds(spark, sf_dir).select("first_name", AF.title_case("first_name").alias("title_name"))
 
 
-@register("fn_normalise_email", "SELECT email, lower(trim(email)) AS email_norm FROM nice", "FN-02")
+@register("fn_normalise_email", f"SELECT email, lower(trim(email)) AS email_norm FROM {ALL_FEEDS}", "FN-02")
 def q_fn_email(spark, sf_dir):
-    return inputs.nice(spark, sf_dir).select("email", AF.norm_email("email").alias("email_norm"))
+    return _all_feeds(spark, sf_dir).select("email", AF.norm_email("email").alias("email_norm"))
 
 
-@register("fn_normalise_phone", "SELECT phone, NULLIF(regexp_replace(phone, '[^0-9+]', '', 'g'), '') AS phone_norm FROM nice", "FN-03")
+@register("fn_normalise_phone", f"SELECT phone, NULLIF(regexp_replace(phone, '[^0-9+]', '', 'g'), '') AS phone_norm FROM {ALL_FEEDS}", "FN-03")
 def q_fn_phone(spark, sf_dir):
-    return inputs.nice(spark, sf_dir).select("phone", AF.norm_phone("phone").alias("phone_norm"))
+    return _all_feeds(spark, sf_dir).select("phone", AF.norm_phone("phone").alias("phone_norm"))
 
 
 def _suffix_sql(n):
@@ -276,31 +288,30 @@ def _suffix_sql(n):
     return f"CASE WHEN length({d}) >= {n} THEN right({d}, {n}) END"
 
 
-@register("fn_phone_suffix", f"SELECT phone, {_suffix_sql(4)} AS suffix4, {_suffix_sql(8)} AS suffix8, {_suffix_sql(10)} AS suffix10 FROM nice", "FN-04")
+@register("fn_phone_suffix", f"SELECT phone, {_suffix_sql(4)} AS suffix4, {_suffix_sql(8)} AS suffix8, {_suffix_sql(10)} AS suffix10 FROM {ALL_FEEDS}", "FN-04")
 def q_fn_suffix(spark, sf_dir):
-    n = inputs.nice(spark, sf_dir)
+    n = _all_feeds(spark, sf_dir)
     return n.select("phone", AF.phone_suffix("phone", 4).alias("suffix4"), AF.phone_suffix("phone", 8).alias("suffix8"),
                     AF.phone_suffix("phone", 10).alias("suffix10"))
 
 
-@register("fn_email_domain", "SELECT email, CASE WHEN strpos(email, '@') > 0 THEN substr(email, strpos(email, '@')) END AS domain FROM nice", "FN-05")
+@register("fn_email_domain", f"SELECT email, CASE WHEN strpos(email, '@') > 0 THEN substr(email, strpos(email, '@')) END AS domain FROM {ALL_FEEDS}", "FN-05")
 def q_fn_domain(spark, sf_dir):
-    return inputs.nice(spark, sf_dir).select("email", AF.email_domain("email").alias("domain"))
+    return _all_feeds(spark, sf_dir).select("email", AF.email_domain("email").alias("domain"))
 
 
-@register("fn_soundex", f"SELECT DISTINCT last_name, {soundex('last_name')} AS code FROM (SELECT last_name FROM freg UNION ALL SELECT last_name FROM nice)", "FN-06")
+@register("fn_soundex", f"SELECT DISTINCT last_name, {soundex('last_name')} AS code FROM {ALL_FEEDS}", "FN-06")
 def q_fn_soundex(spark, sf_dir):
-    u = inputs.freg(spark, sf_dir).select("last_name").unionByName(inputs.nice(spark, sf_dir).select("last_name"))
-    return u.select("last_name", AF.soundex_nordic("last_name").alias("code")).distinct()
+    return _all_feeds(spark, sf_dir).select("last_name", AF.soundex_nordic("last_name").alias("code")).distinct()
 
 
 @register("fn_jaro_winkler", """SELECT n.k, n.organization, upper(n.first_name) AS a, upper(f.first_name) AS b,
   round(jaro_winkler_similarity(upper(n.first_name), upper(f.first_name)), 6) AS jw
-FROM (SELECT * FROM nice WHERE _source_file LIKE 'initial/%') n JOIN (SELECT * FROM freg WHERE _source_file LIKE 'initial/%') f ON f.k = n.k""", "FN-07")
+FROM nice n JOIN freg f ON f.k = n.k""", "FN-07")
 def q_fn_jw(spark, sf_dir):
-    """Each CRM row's first name against the registry's for the same person (row-wise, no pairs)."""
-    n = inputs.table(spark, sf_dir, "nice").where(F.col("_source_file").startswith("initial/"))
-    f = inputs.table(spark, sf_dir, "freg").where(F.col("_source_file").startswith("initial/")).select("k", F.col("first_name").alias("f_first"))
+    """Each CRM row's first name against the registry's for the same person (a person has at most an initial row and an update)."""
+    n = inputs.table(spark, sf_dir, "nice")
+    f = inputs.table(spark, sf_dir, "freg").select("k", F.col("first_name").alias("f_first"))
     j = n.join(f, "k")
     return j.select("k", "organization", F.upper("first_name").alias("a"), F.upper("f_first").alias("b")) \
         .withColumn("jw", F.round(AF.jaro_winkler("a", "b"), 6))
@@ -312,10 +323,9 @@ def q_fn_mod11(spark, sf_dir):
     return u.select("ssn", AF.ssn_mod11_valid("ssn").alias("valid")).distinct()
 
 
-@register("fn_ssn_date_valid", f"SELECT DISTINCT ssn, {date_valid('ssn')} AS valid FROM (SELECT ssn FROM bs UNION ALL SELECT ssn FROM nice)", "FN-09")
+@register("fn_ssn_date_valid", f"SELECT DISTINCT ssn, {date_valid('ssn')} AS valid FROM {ALL_FEEDS}", "FN-09")
 def q_fn_date(spark, sf_dir):
-    u = inputs.bs(spark, sf_dir).select("ssn").unionByName(inputs.nice(spark, sf_dir).select("ssn"))
-    return u.select("ssn", AF.ssn_date_valid("ssn").alias("valid")).distinct()
+    return _all_feeds(spark, sf_dir).select("ssn", AF.ssn_date_valid("ssn").alias("valid")).distinct()
 
 
 from aurum import rules  # noqa: E402
@@ -344,9 +354,9 @@ def q_fake(spark, sf_dir):
     return fake_name_flag(u, tokens).select("source_system", "source_key", "organization", "is_fake_name")
 
 
-@register("fn_row_hash", f"SELECT ssn, first_name, record_date, {row_hash(['ssn', 'first_name', 'last_name', 'phone', 'email', 'record_date'], '|')} AS row_hash FROM nice", "FN-12")
+@register("fn_row_hash", f"SELECT ssn, first_name, record_date, {row_hash(['ssn', 'first_name', 'last_name', 'phone', 'email', 'record_date'], '|')} AS row_hash FROM {ALL_FEEDS}", "FN-12")
 def q_row_hash(spark, sf_dir):
-    n = inputs.nice(spark, sf_dir)
+    n = _all_feeds(spark, sf_dir)
     return n.select("ssn", "first_name", "record_date", AF.row_hash("ssn", "first_name", "last_name", "phone", "email", "record_date").alias("row_hash"))
 
 
@@ -355,9 +365,9 @@ def q_row_hash(spark, sf_dir):
   COALESCE(regexp_matches(first_name, {s(rules.NAME_PATTERN_BULK)}), FALSE) AS name_ok,
   COALESCE(regexp_matches(regexp_replace(phone, '[^0-9+]', '', 'g'), {s(rules.PHONE_PATTERN_NO)}), FALSE) AS phone_no_ok,
   COALESCE(regexp_matches(regexp_replace(phone, '[^0-9+]', '', 'g'), {s(rules.PHONE_PATTERN_INTL)}), FALSE) AS phone_intl_ok
-FROM nice""", "FN-16")
+FROM {ALL_FEEDS}""", "FN-16")
 def q_validators(spark, sf_dir):
-    n = inputs.nice(spark, sf_dir)
+    n = _all_feeds(spark, sf_dir)
     p = F.regexp_replace("phone", r"[^0-9+]", "")
     return n.select("email", "first_name", "phone",
                     F.coalesce(F.col("email").rlike(rules.EMAIL_PATTERN), F.lit(False)).alias("email_ok"),
@@ -367,8 +377,9 @@ def q_validators(spark, sf_dir):
 
 
 @register("fn_postcode", f"""SELECT src_address_id, postnummer, COALESCE(regexp_matches(postnummer, {s(rules.POSTCODE_PATTERN_NO)}), FALSE) AS postcode_ok,
-  CASE WHEN length(postnummer) >= 3 THEN left(postnummer, 3) END AS postal_block FROM addr_nice""", "FN-16, BLK-06")
+  CASE WHEN length(postnummer) >= 3 THEN left(postnummer, 3) END AS postal_block
+FROM (SELECT * FROM addr_freg UNION ALL SELECT * FROM addr_bs UNION ALL SELECT * FROM addr_nice)""", "FN-16, BLK-06")
 def q_postcode(spark, sf_dir):
-    a = inputs.addresses(spark, sf_dir, "NICE")
+    a = reduce(DataFrame.unionByName, [inputs.addresses(spark, sf_dir, x) for x in ("FREG", "BS", "NICE")])
     return a.select("src_address_id", "postnummer", F.coalesce(F.col("postnummer").rlike(rules.POSTCODE_PATTERN_NO), F.lit(False)).alias("postcode_ok"),
                     F.when(F.length("postnummer") >= 3, F.substring("postnummer", 1, 3)).alias("postal_block"))
