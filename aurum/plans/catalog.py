@@ -48,5 +48,5 @@ def full_sql(body: str) -> str:
 
 def load_all() -> dict[str, Entry]:
     # importing the plan modules fills the registry
-    from aurum.plans import queries_sources, ssn_first, pairwise, nrt, reports, damaged, streaming_queries  # noqa: F401
+    from aurum.plans import queries_sources, ssn_first, pairwise, nrt, reports, damaged, queries_files, streaming_queries  # noqa: F401
     return REGISTRY
