@@ -1,10 +1,13 @@
 """Exact top-k inner-product search over norm buckets.
 
 Vectors become integers, floor(scale * x). They are ordered by length and cut
-into buckets of similar length; the queries are cut into blocks. The longest
-bucket gives every query a first threshold (its k-th score there). For each
-query and bucket the threshold is turned into a local cosine threshold,
-threshold / (query length x bucket's longest):
+into buckets of similar length, a few neighbouring buckets to a group; the
+queries are cut into blocks. The longest group gives every query a first
+threshold (its k-th score there). A block meets the groups that are long enough
+for the lowest of its thresholds, and no other group is sent to it. Within a
+group the buckets follow in falling length, and the k best found so far raise a
+query's threshold for the next one. For each query and bucket the threshold is
+turned into a local cosine threshold, threshold / (query length x bucket's longest):
 
 * over 1: the bucket holds nothing for this query and is skipped;
 * high (``COORDINATE_FROM``): coordinate pruning. In the query's largest
@@ -14,14 +17,16 @@ threshold / (query length x bucket's longest):
   length that could still reach the threshold.
 
 What remains is verified by exact integer products, the best k by query and
-bucket are kept, and a window merges them by query. Query blocks meet bucket
-groups by an equi-join on the group number. No index is approximate and
-nothing is capped: ties at the k-th score are resolved by the smaller id.
+group are kept, and a window merges them by query. Blocks and groups travel in
+the narrowest integer type that holds them and meet by an equi-join on the
+group number. No index is approximate and nothing is capped: ties at the k-th
+score are resolved by the smaller id.
 
 Semantics: vectors that are null or hold a null or non-finite component take
-no part; of rows that repeat an id the smallest vector counts; a null id takes
-no part. Shorter vectors are read as padded with zeros. Scores are exact
-integers as long as they fit 63 bits.
+no part; a null id takes no part. Every row is a candidate, also of rows that
+repeat an id or a vector, but a query meets no row of its own id; query rows of
+one id share one list, the best of all of them. Shorter vectors are read as
+padded with zeros. Scores are exact integers as long as they fit 63 bits.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,28 +43,35 @@ from aurum.llm.common import materialise, ship_by_value, shuffle_partitions
 
 ship_by_value(__name__)
 
-#: vectors in a bucket, queries in a block, buckets in a join group
+#: vectors in a bucket, queries in a block, buckets in a group
 BUCKET, BLOCK, GROUP = 2048, 512, 4
 #: local cosine threshold from which coordinates prune, and how many are looked at
 COORDINATE_FROM, FOCUS = 0.7, 3
 SLACK = 1e-9
 
-PACKED = "ids binary, dim int, matrix binary, norms binary, longest double"
+PACKED = "ids binary, dim int, width int, matrix binary, norms binary, longest double, shelf int, place int"
 
 
 def integer_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 64) -> DataFrame:
-    """(vec_id, v array<long>, norm double), one row per id."""
+    """(vec_id, v array<long>, norm double) of every row that takes part."""
     e = F.col(embedding)
     bad = F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    one = df.where(F.col(vec_id).isNotNull() & e.isNotNull() & ~bad).groupBy(F.col(vec_id).cast("long").alias("vec_id")).agg(F.min(e).alias("e"))
-    v = one.select("vec_id", F.transform("e", lambda x: F.floor(x.cast("double") * scale)).alias("v"))
+    good = df.where(F.col(vec_id).isNotNull() & e.isNotNull() & ~bad)
+    v = good.select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(e, lambda x: F.floor(x.cast("double") * scale)).alias("v"))
     squares = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return v.withColumn("norm", F.sqrt(squares))
 
 
+def _width(m: np.ndarray) -> int:
+    """Bytes of the narrowest integer type that holds a matrix."""
+    low, high = int(m.min(initial=0)), int(m.max(initial=0))
+    return next(w for w in (1, 2, 4, 8) if -(1 << 8 * w - 1) <= low and high < 1 << 8 * w - 1)
+
+
 def _pack(rows: int):
-    """Rows in falling length -> packed blocks of at most ``rows``."""
+    """Rows in falling length -> packed blocks of at most ``rows``; ``shelf`` is the task, ``place`` the block's place in it."""
     def run(batches):
+        shelf, place = TaskContext.get().partitionId(), 0
         ids: list[int] = []
         vecs: list[list[int]] = []
         norms: list[float] = []
@@ -68,9 +81,12 @@ def _pack(rows: int):
             m = np.zeros((len(vecs), d), np.int64)
             for k, v in enumerate(vecs):
                 m[k, :len(v)] = v
+            w = _width(m)
             return pa.RecordBatch.from_arrays(
-                [pa.array([np.array(ids, "<i8").tobytes()], pa.binary()), pa.array([d], pa.int32()), pa.array([m.astype("<i8").tobytes()], pa.binary()),
-                 pa.array([np.array(norms, "<f8").tobytes()], pa.binary()), pa.array([float(max(norms))])], names=["ids", "dim", "matrix", "norms", "longest"])
+                [pa.array([np.array(ids, "<i8").tobytes()], pa.binary()), pa.array([d], pa.int32()), pa.array([w], pa.int32()),
+                 pa.array([m.astype(f"<i{w}").tobytes()], pa.binary()), pa.array([np.array(norms, "<f8").tobytes()], pa.binary()),
+                 pa.array([float(max(norms))]), pa.array([shelf], pa.int32()), pa.array([place], pa.int32())],
+                names=["ids", "dim", "width", "matrix", "norms", "longest", "shelf", "place"])
 
         for b in batches:
             for i, v, n in zip(*(b.column(c).to_pylist() for c in ("vec_id", "v", "norm"))):
@@ -79,19 +95,25 @@ def _pack(rows: int):
                 norms.append(n)
                 if len(ids) == rows:
                     yield block()
-                    ids, vecs, norms = [], [], []
+                    ids, vecs, norms, place = [], [], [], place + 1
         if ids:
             yield block()
     return run
 
 
 class Block:
-    """Unpacked ids, integer matrix and norms."""
+    """Ids, integer matrix and norms."""
+
+    def __init__(self, ids: np.ndarray, m: np.ndarray, norms: np.ndarray):
+        self.ids, self.m, self.norms = ids, m, norms
+
+    @classmethod
+    def unpacked(cls, ids: bytes, dim: int, width: int, matrix: bytes, norms: bytes) -> Block:
+        i = np.frombuffer(ids, "<i8")
+        return cls(i, np.frombuffer(matrix, f"<i{width}").reshape(len(i), dim).astype(np.int64), np.frombuffer(norms, "<f8"))
 
-    def __init__(self, ids: bytes, dim: int, matrix: bytes, norms: bytes):
-        self.ids = np.frombuffer(ids, "<i8")
-        self.m = np.frombuffer(matrix, "<i8").reshape(len(self.ids), dim)
-        self.norms = np.frombuffer(norms, "<f8")
+    def part(self, begin: int, end: int) -> Block:
+        return Block(self.ids[begin:end], self.m[begin:end], self.norms[begin:end])
 
     def products(self, other: Block, rows: np.ndarray | slice, cols: np.ndarray | slice) -> np.ndarray:
         """Exact inner products of own rows with the other's."""
@@ -112,9 +134,9 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def search_bucket(q: Block, thresholds: np.ndarray, p: Block, k: int) -> list[tuple[int, int, int]]:
-    """(query, candidate, score): each query's best k of a bucket at or over its threshold."""
-    out: list[tuple[int, int, int]] = []
+def search_bucket(q: Block, thresholds: np.ndarray, p: Block, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(row of the query, candidates, scores): each query's best k of a bucket at or over its threshold."""
+    out: list[tuple[int, np.ndarray, np.ndarray]] = []
     longest = float(p.norms.max())
     with np.errstate(divide="ignore", invalid="ignore"):
         local = np.where(thresholds > 0, thresholds / (q.norms * longest), -np.inf)  # NaN never: a positive threshold has positive lengths
@@ -127,9 +149,9 @@ def search_bucket(q: Block, thresholds: np.ndarray, p: Block, k: int) -> list[tu
         fit = (scores >= thresholds[row]) & (ids != q.ids[row])
         if not fit.all():
             ids, scores = ids[fit], scores[fit]
-        query = int(q.ids[row])
-        for x in best(ids, scores, k):
-            out.append((query, int(ids[x]), int(scores[x])))
+        if len(ids):
+            x = best(ids, scores, k)
+            out.append((int(row), ids[x], scores[x]))
 
     if len(by_length):
         # norms fall, so the vectors that are long enough are a prefix
@@ -164,59 +186,106 @@ def search_bucket(q: Block, thresholds: np.ndarray, p: Block, k: int) -> list[tu
     return out
 
 
+def search_group(q: Block, thresholds: np.ndarray, p: Block, k: int, bucket: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, candidates, scores): each query's best k of a group, whose buckets raise its threshold one after another."""
+    limits = thresholds.copy()
+    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for begin in range(0, len(p.ids), bucket):
+        for row, ids, scores in search_bucket(q, limits, p.part(begin, begin + bucket), k):
+            if row in held:
+                ids, scores = np.concatenate([held[row][0], ids]), np.concatenate([held[row][1], scores])
+                x = best(ids, scores, k)
+                ids, scores = ids[x], scores[x]
+            held[row] = ids, scores
+            if len(ids) == k:
+                limits[row] = max(limits[row], float(np.nextafter(float(scores[-1]), -np.inf)) if abs(scores[-1]) >= 2 ** 53 else float(scores[-1]))
+    return [(np.full(len(ids), q.ids[row]), ids, scores) for row, (ids, scores) in held.items()]
+
+
 def _first_thresholds(shared, k: int):
-    """Query blocks -> with each query's k-th score in the longest bucket (none: -inf)."""
+    """Query blocks -> with each query's k-th score in the longest group (none: -inf) and the length that the block needs."""
     def run(batches):
-        p = Block(*shared.value)
+        p = Block.unpacked(*shared.value)
         for b in batches:
-            found = []
-            for ids, dim, m, norms in zip(*(b.column(c).to_pylist() for c in ("ids", "dim", "matrix", "norms"))):
-                q = Block(ids, dim, m, norms)
+            found, needed = [], []
+            for row in zip(*(b.column(c).to_pylist() for c in ("ids", "dim", "width", "matrix", "norms"))):
+                q = Block.unpacked(*row)
                 products = q.products(p, slice(None), slice(None))
                 limits = np.full(len(q.ids), -np.inf)
-                for row in range(len(q.ids)):
-                    scores = products[row][p.ids != q.ids[row]]
+                for r in range(len(q.ids)):
+                    scores = products[r][p.ids != q.ids[r]]
                     if len(scores) >= k:
-                        limits[row] = np.partition(scores, len(scores) - k)[len(scores) - k]
+                        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                        limits[r] = float(kth) if abs(kth) < 2 ** 53 else np.nextafter(float(kth), -np.inf)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    least = np.where(limits > 0, limits / q.norms, -np.inf)
                 found.append(limits.astype("<f8").tobytes())
+                needed.append(float(least.min()))
             names = list(b.schema.names)
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(found, pa.binary())], names=[*names, "limits"])
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(found, pa.binary()), pa.array(needed, pa.float64())],
+                                             names=[*names, "limits", "needed"])
     return run
 
 
-def _verify(k: int):
+def _verify(k: int, bucket: int):
     def run(batches):
+        last, p = None, None
         for b in batches:
-            cols = [b.column(c) for c in ("q_ids", "q_dim", "q_matrix", "q_norms", "limits", "ids", "dim", "matrix", "norms")]
-            out: list[tuple[int, int, int]] = []
             for r in range(b.num_rows):
-                qi, qd, qm, qn, lim, pi, pd_, pm, pn = (c[r].as_py() for c in cols)
-                out += search_bucket(Block(qi, qd, qm, qn), np.frombuffer(lim, "<f8"), Block(pi, pd_, pm, pn), k)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
+                get = lambda *names: [b.column(c)[r].as_py() for c in names]  # noqa: B023, E731
+                raw = get("ids", "dim", "width", "matrix", "norms")
+                if raw != last:  # the rows of a group follow each other
+                    last, p = raw, Block.unpacked(*raw)
+                q = Block.unpacked(*get("q_ids", "q_dim", "q_width", "q_matrix", "q_norms"))
+                out = search_group(q, np.frombuffer(get("limits")[0], "<f8"), p, k, bucket)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
     return run
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
-    """(query_id, rank, vec_id, score) for the rows of :func:`integer_vectors` that ``is_query`` holds for."""
+def _numbered(groups: DataFrame) -> tuple[Column, Column]:
+    """The number of a group (0 has the longest vectors), and how many groups hold a vector of the length that a block needs.
+
+    Only a count and a length for each shelf come to the driver, as many as there are shuffle partitions.
+    """
+    shelves = groups.groupBy("shelf").agg(F.count("*").alias("n"), F.max("longest").alias("longest")).orderBy("shelf").collect()
+    sizes = np.zeros(shelves[-1]["shelf"] + 1, np.int64)
+    for s in shelves:
+        sizes[s["shelf"]] = s["n"]
+    ends = np.cumsum(sizes)
+    number = F.element_at(F.lit(ends - sizes), F.col("shelf") + 1) + F.col("place")
+    # shelves are ranges of falling length, so those that are long enough come first
+    long_enough = F.size(F.filter(F.lit(np.array([s["longest"] for s in shelves])), lambda x: x >= F.col("needed") * (1.0 - SLACK)))
+    return number, F.element_at(F.lit(np.concatenate([[0], ends[[s["shelf"] for s in shelves]]])), long_enough + 1)
+
+
+def meetings(vectors: DataFrame, is_query: Column, k: int) -> DataFrame | None:
+    """Every query block beside every group that can hold a vector for it (None: there are no vectors)."""
     spark = vectors.sparkSession
-    vectors = materialise(vectors, "topk-vectors")
+    # the row number breaks ties of the range partitioning, so that rows that repeat an id are dealt out too
+    vectors = materialise(vectors.withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
     tasks = shuffle_partitions(spark)
-    ordered = vectors.repartitionByRange(tasks, F.desc("norm"), F.col("vec_id")).sortWithinPartitions(F.desc("norm"), "vec_id")
-    buckets = materialise(ordered.mapInArrow(_pack(BUCKET), PACKED), "topk-buckets")
-    longest = buckets.orderBy(F.desc("longest"), "ids").limit(1).collect()  # one bucket, bounded by BUCKET
-    schema = "query_id long, rank int, vec_id long, score long"
+    order = [F.desc("norm"), F.col("vec_id"), F.col("row")]
+    ordered = vectors.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    groups = materialise(ordered.mapInArrow(_pack(BUCKET * GROUP), PACKED), "topk-groups")
+    longest = groups.orderBy("shelf", "place").limit(1).collect()  # one group, bounded by BUCKET and GROUP
     if not longest:
-        return spark.createDataFrame([], schema)
+        return None
     top = longest[0]
-    shared = spark.sparkContext.broadcast((bytes(top["ids"]), top["dim"], bytes(top["matrix"]), bytes(top["norms"])))
-    asked = vectors.where(is_query).repartition(tasks, "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id") \
-        .mapInArrow(_pack(BLOCK), PACKED).mapInArrow(_first_thresholds(shared, k), PACKED + ", limits binary")
-    # number the buckets densely enough for groups: a hash deals them, the group count follows their number
-    groups = max(1, -(-buckets.count() // GROUP))
-    dealt = buckets.withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)))
-    blocks = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("group"), F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"),
-                          F.col("matrix").alias("q_matrix"), F.col("norms").alias("q_norms"), "limits")
-    found = blocks.join(dealt, "group").mapInArrow(_verify(k), "query_id long, vec_id long, score long")
+    shared = spark.sparkContext.broadcast((bytes(top["ids"]), top["dim"], top["width"], bytes(top["matrix"]), bytes(top["norms"])))
+    asked = vectors.where(is_query).repartition(tasks, "row").sortWithinPartitions(*order) \
+        .mapInArrow(_pack(BLOCK), PACKED).mapInArrow(_first_thresholds(shared, k), PACKED + ", limits binary, needed double")
+    number, reach = _numbered(groups)
+    met = asked.withColumn("reach", reach).where("reach > 0").withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("reach") - 1)))
+    blocks = met.select("group", *[F.col(c).alias("q_" + c) for c in ("ids", "dim", "width", "matrix", "norms")], "limits")
+    return blocks.join(groups.select(number.alias("group"), "ids", "dim", "width", "matrix", "norms"), "group")
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
+    """(query_id, rank, vec_id, score) for the rows of :func:`integer_vectors` that ``is_query`` holds for."""
+    met = meetings(vectors, is_query, k)
+    if met is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    found = met.mapInArrow(_verify(k, BUCKET), "query_id long, vec_id long, score long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

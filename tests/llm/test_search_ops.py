@@ -133,19 +133,20 @@ def test_a_hot_passage_travels_by_window(spark, monkeypatch):
 
 # --- top-k
 
-def brute_top(vectors, k=20, every=20):
+def brute_top(rows, k=20, every=20):
+    """Rows are (id, vector); every row of another id is a candidate, rows of one id share a list."""
     out = []
-    for q, v in vectors.items():
-        if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in vectors.items() if c != q)
-            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scores[:k])]
+    for q in {i for i, _ in rows if i % every == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), c) for i, v in rows if i == q for c, w in rows if c != q)
+        out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scores[:k])]
     return sorted(out)
 
 
-@pytest.mark.parametrize("kind", ["gauss", "ties", "long", "aligned", "few", "large"])
+@pytest.mark.parametrize("kind", ["gauss", "ties", "long", "aligned", "few", "large", "repeated"])
 def test_top_k(spark, kind, monkeypatch):
     monkeypatch.setattr(topk, "BUCKET", 16)
     monkeypatch.setattr(topk, "BLOCK", 4)
+    monkeypatch.setattr(topk, "GROUP", 2)
     rng = np.random.default_rng(5)
     n = 12 if kind == "few" else 200
     m = rng.normal(size=(n, 8))
@@ -159,10 +160,12 @@ def test_top_k(spark, kind, monkeypatch):
     if kind == "large":
         m *= 1e7
     rows = [(i, m[i].tolist(), 0) for i in range(n)]
-    odd = [(1000, None, 0), (1020, [1.0, None], 0), (1040, [float("nan")] * 8, 0), (1060, [float("inf")] + [0.0] * 7, 0), (None, [1.0] * 8, 0), (0, m[0].tolist(), 0)]
+    if kind == "repeated":  # a third of all rows has one id, some of them one vector; a query's id repeats too
+        rows += [(7, (m[7] * (1 + i % 30)).tolist(), 0) for i in range(100)] + [(40, (-m[40]).tolist(), 0), (0, m[0].tolist(), 0)]
+    odd = [(1000, None, 0), (1020, [1.0, None], 0), (1040, [float("nan")] * 8, 0), (1060, [float("inf")] + [0.0] * 7, 0), (None, [1.0] * 8, 0)]
     d = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, score int")
     got = topk.top_k(topk.integer_vectors(d), F.col("vec_id") % 20 == 0)
-    ints = {i: [int(np.floor(x * 64)) for x in v] for i, v, _ in rows}
+    ints = [(i, [int(np.floor(x * 64)) for x in v]) for i, v, _ in rows]
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == brute_top(ints)
 
 
@@ -173,6 +176,19 @@ def test_top_k_of_nothing(spark):
     assert topk.top_k(topk.integer_vectors(one), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_short_groups_are_not_sent(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BUCKET", 16)
+    monkeypatch.setattr(topk, "GROUP", 2)
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(1000, 8)) * np.where(np.arange(1000) % 10 == 3, 50, 0.5)[:, None]
+    d = spark.createDataFrame([(i, m[i].tolist()) for i in range(1000)], "vec_id long, embedding array<double>")
+    vectors, asked = topk.integer_vectors(d), F.col("vec_id") % 20 == 0
+    ints = [(i, [int(np.floor(x * 64)) for x in v]) for i, v in enumerate(m)]
+    assert sorted(map(tuple, topk.top_k(vectors, asked, 3).collect())) == brute_top(ints, 3)
+    # 100 vectors are long; the 900 short ones fill 28 groups or more and cannot be among the best
+    assert max(r["group"] for r in topk.meetings(vectors, asked, 3).select("group").collect()) < 16
+
+
 # --- decontamination
 
 def brute_hits(texts, items, size=10):
