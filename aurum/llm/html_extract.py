@@ -13,6 +13,12 @@ sidebars, adverts, notices, reader comments ...) count as tags only: their
 words neither score nor appear. Where the region meets marked elements, it is
 widened to the whole of them; nothing is cut from it.
 
+Names alone may mislead: a story can lie in an element whose class holds one of
+those words, or a form can span the page. Where the words outside such elements
+are none, or a scrap beside those inside, the page is scanned again, its forms and
+names then being no more than tags (elements that are hidden or that are menus,
+headers, footers or sidebars by their tag stay out).
+
 Semantics: null html is empty. Character references are decoded; white space
 (any Unicode white space) becomes one space, blocks are joined by one space,
 inline tags join their neighbours without a space; an unclosed tag ends at the
@@ -62,10 +68,10 @@ SUBORDINATE = frozenset("comment comments user-comment reader-comment reply rela
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
-def boilerplate(name: str, attrs: str, in_content: bool) -> bool:
-    """Whether an element is one whose text is never article text."""
+def boilerplate(name: str, attrs: str, in_content: bool, by_name: bool = True) -> bool:
+    """Whether an element is one whose text is never article text; without ``by_name``, forms and class names do not tell."""
     if name in NEVER:
-        return True
+        return by_name or name != "form"
     if name == "header":
         return not in_content  # the article's own header holds its headline
     if not attrs or name in ("html", "body", "main") or name in VOID:
@@ -73,23 +79,23 @@ def boilerplate(name: str, attrs: str, in_content: bool) -> bool:
     names = CAMEL.sub("-", " ".join(filter(None, (x for m in NAME.findall(attrs) for x in m)))).replace("_", "-").lower()
     if name == "article":
         return not SUBORDINATE.isdisjoint(names.split())
-    return bool(HIDDEN.search(attrs)) or bool(names) and bool(ROLE.search(MODIFIER.sub(" ", names)))
+    return bool(HIDDEN.search(attrs)) or by_name and bool(names) and bool(ROLE.search(MODIFIER.sub(" ", names)))
 
 
-def tokenise(page: str) -> list[tuple[str, str, int]]:
+def tokenise(page: str, by_name: bool = True) -> list[tuple[str, str, int]]:
     """Tokens in page order: (kind, text, number of the content element they are in, or 0).
 
     kind: ``w`` raw text outside boilerplate, or the tag's kind: its name,
     with ``!`` before it for a boilerplate element, ``/`` for a closing tag.
     Where a page has articles, they are its content elements; else ``<main>`` is.
     """
-    found = _tokens(page)
+    found = _tokens(page, by_name)
     if any(articles for _, _, articles, _ in found):
         return [(kind, text, article) for kind, text, article, _ in found]
     return [(kind, text, int(main)) for kind, text, _, main in found]
 
 
-def _tokens(page: str) -> list[tuple[str, str, int, bool]]:
+def _tokens(page: str, by_name: bool) -> list[tuple[str, str, int, bool]]:
     out: list[tuple[str, str, int, bool]] = []
     article = main = number = 0  # depths, and the number of the outermost article
     skip: list[str] = []  # open elements since (and with) the boilerplate element that began the skipping
@@ -133,7 +139,7 @@ def _tokens(page: str) -> list[tuple[str, str, int, bool]]:
             put("/" + name)
             article -= name == "article" and article > 0
             main -= name == "main" and main > 0
-        elif not empty and boilerplate(name, attrs, bool(article or main)):
+        elif not empty and boilerplate(name, attrs, bool(article or main), by_name):
             put("!" + name)
             skip = [name]
             at = _after_raw(page, at, name)
@@ -217,9 +223,23 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return at
 
 
+#: a region of fewer words than the first, beside one of ``times`` as many among elements dropped by name, is a scrap
+SCRAP, TIMES = 20, 8
+
+
 def extract(page: str, weights: dict[str, float]) -> str:
     """Main text of one page."""
     tokens = tokenise(page)
+    text = _region(tokens, weights)
+    n = len(text.split())
+    if n and (n >= SCRAP or any(within for _, _, within in tokens)):
+        return text
+    wider = _region(tokenise(page, by_name=False), weights)
+    return wider if len(wider.split()) >= TIMES * n else text
+
+
+def _region(tokens: list[tuple[str, str, int]], weights: dict[str, float]) -> str:
+    """Text of the best region of a page's tokens, widened to the content elements it meets."""
     word = weights.get("w", 1.0)
     scores = [word * len(text.split()) if kind == "w" else 0.0 if kind.lstrip("/") in CONTENT else weights.get(feature(kind), UNSEEN)
               for kind, text, _ in tokens]

@@ -2,8 +2,8 @@
 
 Vectors become integers, floor(scale * x). They are ordered by length and cut
 into buckets of similar length, a few neighbouring buckets to a group; the
-queries are cut into blocks. The longest group gives every query a first
-threshold (its k-th score there). A block meets the groups that are long enough
+queries are cut into blocks. The longest vectors give every query a first
+threshold (its k-th score among them). A block meets the groups that are long enough
 for the lowest of its thresholds, and no other group is sent to it. Within a
 group the buckets follow in falling length, and the k best found so far raise a
 query's threshold for the next one. For each query and bucket the threshold is
@@ -202,10 +202,17 @@ def search_group(q: Block, thresholds: np.ndarray, p: Block, k: int, bucket: int
     return [(np.full(len(ids), q.ids[row]), ids, scores) for row, (ids, scores) in held.items()]
 
 
+def _joined(blocks: list[Block]) -> Block:
+    """Blocks behind each other, padded with zeros to one width."""
+    d = max(x.m.shape[1] for x in blocks)
+    wide = [np.pad(x.m, ((0, 0), (0, d - x.m.shape[1]))) for x in blocks]
+    return Block(np.concatenate([x.ids for x in blocks]), np.concatenate(wide), np.concatenate([x.norms for x in blocks]))
+
+
 def _first_thresholds(shared, k: int):
-    """Query blocks -> with each query's k-th score in the longest group (none: -inf) and the length that the block needs."""
+    """Query blocks -> with each query's k-th score among the longest vectors (none: -inf) and the length that the block needs."""
     def run(batches):
-        p = Block.unpacked(*shared.value)
+        p = _joined([Block.unpacked(*x) for x in shared.value])
         for b in batches:
             found, needed = [], []
             for row in zip(*(b.column(c).to_pylist() for c in ("ids", "dim", "width", "matrix", "norms"))):
@@ -243,15 +250,11 @@ def _verify(k: int, bucket: int):
     return run
 
 
-def _numbered(groups: DataFrame) -> tuple[Column, Column]:
-    """The number of a group (0 has the longest vectors), and how many groups hold a vector of the length that a block needs.
-
-    Only a count and a length for each shelf come to the driver, as many as there are shuffle partitions.
-    """
-    shelves = groups.groupBy("shelf").agg(F.count("*").alias("n"), F.max("longest").alias("longest")).orderBy("shelf").collect()
+def _numbered(shelves: list) -> tuple[Column, Column]:
+    """The number of a group (0 has the longest vectors), and how many groups hold a vector of the length that a block needs."""
     sizes = np.zeros(shelves[-1]["shelf"] + 1, np.int64)
     for s in shelves:
-        sizes[s["shelf"]] = s["n"]
+        sizes[s["shelf"]] = s["groups"]
     ends = np.cumsum(sizes)
     number = F.element_at(F.lit(ends - sizes), F.col("shelf") + 1) + F.col("place")
     # shelves are ranges of falling length, so those that are long enough come first
@@ -268,14 +271,19 @@ def meetings(vectors: DataFrame, is_query: Column, k: int) -> DataFrame | None:
     order = [F.desc("norm"), F.col("vec_id"), F.col("row")]
     ordered = vectors.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     groups = materialise(ordered.mapInArrow(_pack(BUCKET * GROUP), PACKED), "topk-groups")
-    longest = groups.orderBy("shelf", "place").limit(1).collect()  # one group, bounded by BUCKET and GROUP
-    if not longest:
+    # a few numbers for each shelf come to the driver, as many shelves as there are shuffle partitions
+    shelves = groups.groupBy("shelf").agg(F.count("*").alias("groups"), F.max("longest").alias("longest"), F.sum(F.length("ids") / 8).alias("rows")) \
+        .orderBy("shelf").collect()
+    if not shelves:
         return None
-    top = longest[0]
-    shared = spark.sparkContext.broadcast((bytes(top["ids"]), top["dim"], top["width"], bytes(top["matrix"]), bytes(top["norms"])))
+    # the first thresholds come from about one group of the longest vectors, though shelves may be small: less than two groups
+    reached = np.cumsum([min(s["rows"], BUCKET * GROUP) for s in shelves])
+    last = shelves[min(int(np.searchsorted(reached, BUCKET * GROUP)), len(shelves) - 1)]["shelf"]
+    top = groups.where((F.col("shelf") <= last) & (F.col("place") == 0)).orderBy("shelf").collect()
+    shared = spark.sparkContext.broadcast([(bytes(t["ids"]), t["dim"], t["width"], bytes(t["matrix"]), bytes(t["norms"])) for t in top])
     asked = vectors.where(is_query).repartition(tasks, "row").sortWithinPartitions(*order) \
         .mapInArrow(_pack(BLOCK), PACKED).mapInArrow(_first_thresholds(shared, k), PACKED + ", limits binary, needed double")
-    number, reach = _numbered(groups)
+    number, reach = _numbered(shelves)
     met = asked.withColumn("reach", reach).where("reach > 0").withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("reach") - 1)))
     blocks = met.select("group", *[F.col(c).alias("q_" + c) for c in ("ids", "dim", "width", "matrix", "norms")], "limits")
     return blocks.join(groups.select(number.alias("group"), "ids", "dim", "width", "matrix", "norms"), "group")

@@ -297,6 +297,29 @@ def test_markov_models_find_random_strings(spark):
 
 
 
+def test_recall_and_precision_of_random_strings(spark):
+    """A labelled table: random strings outside the base patterns, and long ordinary identifiers, both unseen in training."""
+    rng = random.Random(11)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rand = lambda n: "".join(rng.choice(chars) for _ in range(n))
+    parts = ("request handler connection timeout user name description maximum length internal configuration service account manager factory value "
+             "session index buffer reader writer stream process document customer address order total result parser builder context").split()
+    def identifier(kind, least):
+        words = []
+        while sum(map(len, words)) < least:
+            words.append(rng.choice(parts))
+        return "_".join(words) if kind == 0 else "-".join(words) if kind == 1 else words[0] + "".join(w.title() for w in words[1:])
+    train = [(i, f"{' '.join(identifier(k % 3, 6) for k in range(40))} token={rand(24)}") for i in range(400)]
+    model = secrets.fit(spark.createDataFrame(train, "doc_id long, text string"))
+    rows = [(i, rand(rng.randint(20, 44)) if i % 2 else identifier(i // 2 % 3, rng.randint(16, 40))) for i in range(1000)]
+    d = spark.createDataFrame([(i, f"see {x} there") for i, x in rows], "doc_id long, text string")
+    found = {r["doc_id"] for r in secrets.scan(d, model).collect() if any(s["kind"] == "random" for s in r["secrets"])}
+    true = {i for i, _ in rows if i % 2}
+    recall, precision = len(found & true) / len(true), len(found & true) / max(1, len(found))
+    print("random strings: recall", recall, "precision", precision)
+    assert recall >= 0.95 and precision >= 0.95
+
+
 def test_rare_secrets_are_all_labels(spark):
     """The bound of the sample counts labelled texts alone."""
     assigned = "token=Zm9vYmFyYmF6cXV4"
@@ -334,6 +357,22 @@ def test_story_beside_an_article():
     assert html_extract.extract(f"<main><h1>A headline of five words</h1><article><p>{story}</p></article></main>", w) == f"A headline of five words {story}"
 
 
+def test_names_and_forms_do_not_take_a_whole_story():
+    w = {"w": 1.0, "p": -0.5, "div": -0.5, "h1": -0.5, "!div": -2.0, "!form": -2.0, "!nav": -2.0, "!footer": -2.0, "form": -0.5, "body": -1.0}
+    story = prose(5, 80)
+    for open_, close in (('<div class="social-theory">', "</div>"), ('<div class="content alert-story">', "</div>"), ('<form id="aspnetForm">', "</form>")):
+        for title in ("", "<h1>A title</h1>"):
+            page = f"<body><nav>menu of it</nav>{title}{open_}<p>{story}</p>{close}<footer>all rights</footer></body>"
+            assert html_extract.extract(page, w).endswith(story) and "menu" not in html_extract.extract(page, w) and "rights" not in html_extract.extract(page, w)
+    # a text that stands by itself keeps what its names keep out, and an article is never a scrap
+    comments = '<div class="comments"><p>' + prose(6, 300) + "</p></div>"
+    assert html_extract.extract(f"<body><div><p>{story}</p></div>{comments}</body>", w) == story
+    assert html_extract.extract(f"<body><article><p>short news</p></article>{comments}</body>", w) == "short news"
+    for page in ('<div class="menu">a b</div>', '<form><button>Go</button></form>', '<nav>menu</nav><div hidden>x</div>'):
+        html_extract.extract(page, w)
+    assert html_extract.extract('<nav>menu</nav><div hidden>x</div>', w) == ""
+
+
 def test_given_pages_without_their_article_tags(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html")
     weights = html_extract.fit(pages)
