@@ -33,8 +33,11 @@ def enriched(spark: SparkSession, sf_dir: str, broadcast: bool = True) -> DataFr
     return enrich_v1(u)
 
 
-#: score bounds at which names without a match are searched for their best rejected candidate
-NEAR_STEPS = (0.7, 0.0)
+#: average scores (0-1) down to which names without a match are searched for their best rejected candidate
+NEAR_STEPS = (0.8, 0.65, 0.0)
+#: from this score of the weaker part on, few values are similar and both parts are looked up before candidates are
+BOTH_FROM = 0.55
+SLACK = 1e-9
 
 
 def _name_sets(enr: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -47,25 +50,36 @@ def _name_sets(enr: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cand, q
 
 
+def _hits(q: DataFrame, cand: DataFrame, qcol: str, ccol: str, threshold: float, score: str) -> DataFrame:
+    """Similar values (qcol, ccol, score) of one part of the names."""
+    return similar_values(q.select(F.col(qcol).alias("value")), cand.select(F.col(ccol).alias("value")), threshold) \
+        .select(F.col("left_value").alias(qcol), F.col("right_value").alias(ccol), F.col("jw").alias(score))
+
+
 def _scored(q: DataFrame, cand: DataFrame, bound: float) -> DataFrame:
-    """Names with every candidate whose average score is at least ``bound`` (and some below it).
+    """Names (qf, ql, need) with every candidate whose average score is at least ``bound`` and the name's own ``need``.
 
     An average of ``bound`` needs one part at least ``bound`` and the other at
-    least 2 ``bound`` - 1. Each search starts from the stronger part, so the
-    candidate names prune its hits before the weaker part is looked up.
+    least 2 ``bound`` - 1. Where that is high, a name meets the pairs of its
+    similar first and last names, whose number doesn't depend on how many
+    candidates share a name, and candidates are looked up last. Else each search
+    starts from the stronger part, so the candidate names prune its hits before
+    the weaker part is looked up; the weaker part has to make up what the
+    stronger one leaves of ``need``.
     """
-    weak = max(0.0, 2.0 * bound - 1.0)
+    weak = max(0.0, 2.0 * bound - 1.0 - SLACK)
+    enough = lambda s: s >= F.col("need") * 100.0
+    if weak >= BOTH_FROM:
+        both = q.join(_hits(q, cand, "qf", "cf", weak, "jf"), "qf").join(_hits(q, cand, "ql", "cl", weak, "jl"), "ql") \
+            .withColumn("score", (F.col("jf") + F.col("jl")) / 2.0 * 100.0).where(enough(F.col("score")))
+        return both.join(cand, ["cf", "cl"]).select("qf", "ql", "cf", "cl", "ssn_min", "ssn_max", "score")
     out = None
     for strong, other in ((("qf", "cf"), ("ql", "cl")), (("ql", "cl"), ("qf", "cf"))):
-        (sq, sc), (oq, oc) = strong, other
-        hits = similar_values(q.select(F.col(sq).alias("value")), cand.select(F.col(sc).alias("value")), bound) \
-            .select(F.col("left_value").alias(sq), F.col("right_value").alias(sc), F.col("jw").alias("jw_strong"))
-        met = q.join(hits, sq).join(cand, sc)
-        rest = similar_values(met.select(F.col(oq).alias("value")), met.select(F.col(oc).alias("value")), weak) \
-            .select(F.col("left_value").alias(oq), F.col("right_value").alias(oc), F.col("jw").alias("jw_other"))
+        met = q.join(_hits(q, cand, *strong, bound, "jw_strong"), strong[0]).where(F.col("jw_strong") >= F.col("need")).join(cand, strong[1])
+        rest = _hits(met, met, *other, weak, "jw_other")
         # a weak part without any common character scores 0
-        one = met.join(rest, [oq, oc], "left" if weak == 0.0 else "inner") \
-            .withColumn("score", (F.col("jw_strong") + F.coalesce("jw_other", F.lit(0.0))) / 2.0 * 100.0)
+        one = met.join(rest, list(other), "left" if weak == 0.0 else "inner") \
+            .withColumn("score", (F.col("jw_strong") + F.coalesce("jw_other", F.lit(0.0))) / 2.0 * 100.0).where(enough(F.col("score")))
         one = one.select("qf", "ql", "cf", "cl", "ssn_min", "ssn_max", "score")
         out = one if out is None else out.unionByName(one)
     return out.groupBy("qf", "ql", "cf", "cl").agg(F.min("ssn_min").alias("ssn_min"), F.max("ssn_max").alias("ssn_max"), F.max("score").alias("score"))
@@ -76,28 +90,40 @@ def fuzzy_candidates(enr: DataFrame, threshold: float = rules.FUZZY_THRESHOLD_V1
 
     Returns (best, near): ``best`` holds names whose best average score is >=
     threshold with the winning id (ties -> smallest id); ``near`` holds the best
-    score of every other name, with the largest id at that score. It is exact:
-    the bound falls in steps, a name is settled at the first step that finds a
-    score at or over it, and only names still open go on.
+    score of every other name, with the largest id at that score. It is exact,
+    a best-first search in steps: a name is settled at the first step whose
+    bound its best score reaches. An open name keeps the best score seen so far
+    and only meets candidates that can reach it; no step goes below the lowest
+    of these scores.
     """
     cand, q = _name_sets(enr)
-    cand, q = cand.checkpoint(), q.checkpoint()
-    scored = _scored(q, cand, threshold / 100.0).where(F.col("score") >= threshold)
-    best = (scored.groupBy("qf", "ql")
-            .agg(F.min_by(F.struct("ssn_min", "score"), F.struct(-F.col("score"), F.col("ssn_min"))).alias("b"))
-            .select("qf", "ql", F.col("b.ssn_min").alias("best_ssn"), F.col("b.score").alias("best_score"))).checkpoint()
-    near, left = None, q.join(best, ["qf", "ql"], "left_anti").checkpoint()
-    for bound in NEAR_STEPS:
-        hit = _scored(left, cand, bound).where(F.col("score") >= bound * 100.0)
-        hit = (hit.groupBy("qf", "ql").agg(F.max_by(F.struct("score", "ssn_max"), F.struct("score", "ssn_max")).alias("n"))
-               .select("qf", "ql", F.col("n.score").alias("near_score"), F.col("n.ssn_max").alias("near_ssn"))).checkpoint()
-        near = hit if near is None else near.unionByName(hit)
-        left = left.join(hit, ["qf", "ql"], "left_anti").checkpoint()
-        if left.isEmpty():
-            return best, near
-    # no candidate shares a character with these names: every candidate scores 0
-    top = cand.select(F.max("ssn_max")).scalar()
-    return best, near.unionByName(left.select("qf", "ql", F.lit(0.0).alias("near_score"), top.alias("near_ssn")).where(F.col("near_ssn").isNotNull()))
+    return best_candidates(q.checkpoint(), cand.checkpoint(), threshold)
+
+
+def best_candidates(q: DataFrame, cand: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """:func:`fuzzy_candidates` of names (qf, ql) among candidate names (cf, cl, ssn_min, ssn_max)."""
+    names = ["qf", "ql"]
+    top = [F.max_by(F.struct("score", "ssn_max"), F.struct("score", "ssn_max")).alias("n")]
+    first = _scored(q.withColumn("need", F.lit(0.0)), cand, threshold / 100.0).groupBy(*names).agg(
+        F.min_by(F.struct("ssn_min", "score"), F.struct(-F.col("score"), F.col("ssn_min"))).alias("b")).select(*names, "b.ssn_min", "b.score").checkpoint()
+    best = first.where(F.col("score") >= threshold).select(*names, F.col("ssn_min").alias("best_ssn"), F.col("score").alias("best_score"))
+    left = q.join(best, names, "left_anti").join(first, names, "left").select(*names, F.coalesce(F.col("score") / 100.0 - SLACK, F.lit(0.0)).alias("need")).checkpoint()
+    near = None
+    for step in NEAR_STEPS:
+        lowest = left.agg(F.min("need")).first()[0]  # one number
+        if lowest is None:
+            break
+        bound = max(step, lowest)
+        hit = _scored(left, cand, bound).groupBy(*names).agg(*top).select(*names, F.col("n.score").alias("near_score"), F.col("n.ssn_max").alias("near_ssn")).checkpoint()
+        done = hit.where(F.col("near_score") >= bound * 100.0)
+        near = done if near is None else near.unionByName(done)
+        left = left.join(done, names, "left_anti").join(hit, names, "left").select(
+            *names, F.greatest("need", F.coalesce(F.col("near_score") / 100.0 - SLACK, F.lit(0.0))).alias("need")).checkpoint()
+    if near is None:
+        return best, left.select("qf", "ql", F.lit(None).cast("double").alias("near_score"), F.lit(None).cast("string").alias("near_ssn"))
+    # no candidate shares a character with the names still open: every candidate scores 0
+    last = cand.select(F.max("ssn_max")).scalar()
+    return best, near.unionByName(left.select("qf", "ql", F.lit(0.0).alias("near_score"), last.alias("near_ssn")).where(F.col("near_ssn").isNotNull()))
 
 
 def groups(enr: DataFrame) -> DataFrame:
