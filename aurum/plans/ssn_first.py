@@ -57,7 +57,7 @@ def _hits(q: DataFrame, cand: DataFrame, qcol: str, ccol: str, threshold: float,
 
 
 def _scored(q: DataFrame, cand: DataFrame, bound: float) -> DataFrame:
-    """Names (qf, ql, need) with every candidate whose average score is at least ``bound`` and the name's own ``need``.
+    """Names (qf, ql and perhaps need) with every candidate whose average score is at least ``bound`` and the name's own ``need``.
 
     An average of ``bound`` needs one part at least ``bound`` and the other at
     least 2 ``bound`` - 1. Where that is high, a name meets the pairs of its
@@ -67,6 +67,8 @@ def _scored(q: DataFrame, cand: DataFrame, bound: float) -> DataFrame:
     the weaker part is looked up; the weaker part has to make up what the
     stronger one leaves of ``need``.
     """
+    if "need" not in q.columns:
+        q = q.withColumn("need", F.lit(0.0))
     weak = max(0.0, 2.0 * bound - 1.0 - SLACK)
     enough = lambda s: s >= F.col("need") * 100.0
     if weak >= BOTH_FROM:
@@ -104,7 +106,7 @@ def best_candidates(q: DataFrame, cand: DataFrame, threshold: float) -> tuple[Da
     """:func:`fuzzy_candidates` of names (qf, ql) among candidate names (cf, cl, ssn_min, ssn_max)."""
     names = ["qf", "ql"]
     top = [F.max_by(F.struct("score", "ssn_max"), F.struct("score", "ssn_max")).alias("n")]
-    first = _scored(q.withColumn("need", F.lit(0.0)), cand, threshold / 100.0).groupBy(*names).agg(
+    first = _scored(q, cand, threshold / 100.0).groupBy(*names).agg(
         F.min_by(F.struct("ssn_min", "score"), F.struct(-F.col("score"), F.col("ssn_min"))).alias("b")).select(*names, "b.ssn_min", "b.score").checkpoint()
     best = first.where(F.col("score") >= threshold).select(*names, F.col("ssn_min").alias("best_ssn"), F.col("score").alias("best_score"))
     left = q.join(best, names, "left_anti").join(first, names, "left").select(*names, F.coalesce(F.col("score") / 100.0 - SLACK, F.lit(0.0)).alias("need")).checkpoint()
