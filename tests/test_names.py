@@ -54,3 +54,22 @@ def test_a_threshold_outside_the_graph_is_an_error(monkeypatch):
         monkeypatch.setattr(rules, "MATCH_THRESHOLD", bad)
         with pytest.raises(ValueError):
             rules.check_match_graph()
+
+
+def test_blocks_of_any_size_find_every_pair_without_a_broadcast(spark):
+    """The sides of the search grow by signatures that size estimates don't know, so neither may be broadcast."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdeØ") for _ in range(rng.randint(1, 9)))
+    blocks = {"few": {word() for _ in range(5)}, "many": {word() for _ in range(90)}, "one": {"abc"}}
+    df = spark.createDataFrame([(k, v) for k, vs in blocks.items() for v in vs] + [(None, "abc"), ("few", None), ("few", "")], "k string, value string")
+    found = similar_values(df, df, 0.85, keys=["k"])
+    got = sorted((r["k"], r["left_value"], r["right_value"]) for r in found.collect())
+    assert got == sorted((k, x, y) for k, vs in blocks.items() for x in vs for y in vs if jaro_winkler_py(x, y) >= 0.85)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_blocks_meet_without_signatures(spark):
+    df = spark.createDataFrame([(f"k{i}", v) for i in range(50) for v in ("Per Hansen", "Petter Hansen")], "k string, value string")
+    found = candidates(df, df, 0.85, keys=["k"])
+    assert found.count() == 200
+    assert found.where("left_value = right_value").count() == 100
