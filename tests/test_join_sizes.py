@@ -39,3 +39,15 @@ def test_clusters_and_addresses_join_by_sort_merge(spark):
     for df in (pairwise.golden(written(enr), cl), pairwise.history(written(enr), cl), pairwise.address_golden(linked, cl), pairwise.address_history(linked, cl)):
         plan = _plan(df)
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_overrides_between_records_that_never_meet_add_no_partners(spark):
+    born = dt.date(1990, 1, 1)
+    rows = [_row("FREG", str(i), str(i), "Kari", "Hansen", born) for i in range(8)] + [_row("NICE", "x", None, "Kari", "Hansen")]
+    overrides = spark.createDataFrame([("x", str(i)) for i in range(6)] + [("1", "0")], "source_key_a string, source_key_b string")
+    g = pairwise.MatchGraph(written(spark.createDataFrame(rows, ENRICHED)), "parity", overrides)
+    # x has no id and no year of birth, so it's in no block: its six overrides part it from nobody
+    assert g.most_banned() == 1
+    assert sorted(r["node"] for r in g.unmerged().collect()) == ["BANK|FREG|0", "BANK|FREG|1"]
+    got = {r["source_key"]: r["cluster_id"] for r in pairwise.clusters(g, "transitive").collect()}
+    assert got == {str(i): "BANK|FREG|0" for i in range(8)} | {"x": "BANK|NICE|x"}
