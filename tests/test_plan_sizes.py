@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 
 from aurum.operators import fuzzy, graph, partners
-from aurum.plans import pairwise
+from aurum.plans import pairwise, reports
 from aurum.session import written
+from tests.conftest import SF_SMALL
 from tests.test_join_sizes import ENRICHED, _row
 
 
@@ -35,3 +36,7 @@ def test_no_plan_of_the_match_graph_holds_many_exchanges(spark, monkeypatch, mod
     # x is parted from both records of key 1, but a similar name ties it to record 2
     assert got[("FREG", "1")] == got[("BS", "1")] == "BANK|BS|1"
     assert got[("NICE", "x")] == ("BANK|FREG|2" if mode == "one_hop" else "BANK|BS|1")
+
+
+def test_gates_derive_golden_addresses_and_history_once(spark):
+    assert _exchanges(reports.q_checks(spark, SF_SMALL)) <= 55
