@@ -23,7 +23,6 @@ judged one by one, so repeated rows give repeated results.
 
 from __future__ import annotations
 
-import re
 from types import SimpleNamespace
 
 import numpy as np
@@ -42,7 +41,8 @@ WINDOW = 10
 SHARD, SAMPLE = 1 << 18, 8
 # fixed value of the contract: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z, as a byte table
 FOLD = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
-WORD = re.compile(rb"[^ ]+")
+#: the same words in a text as it is
+WORD_TEXT = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: str) -> list[bytes]:
@@ -276,22 +276,26 @@ def n_hit() -> Column:
     return F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"]).cast("long"))
 
 
-def remove_words(text: str, spans: list[tuple[int, int]]) -> str:
-    """``text`` without the characters from the first to the last word of each span."""
-    raw = text.encode("utf-8", "surrogatepass")
-    at = [m.span() for m in WORD.finditer(raw.translate(FOLD))]
-    out, pos = [], 0
-    for i, j in spans:
-        out.append(raw[pos:at[i][0]])
-        pos = at[j - 1][1]
-    return b"".join([*out, raw[pos:]]).decode("utf-8", "surrogatepass")
+def without_words(text: Column, spans: Column) -> Column:
+    """``text`` without the characters from the first to the last word of each span (sorted, disjoint)."""
+    ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"].cast("int")))
+    kept = F.arrays_zip(ends.alias("a"), F.transform(spans, lambda s: s["start"].cast("int")).alias("b"))
+
+    def joined(t: Column) -> Column:
+        def part(x: Column) -> Column:
+            # gaps and words up to the next span (or all the rest), then the gap in front of it
+            n = F.coalesce(x["b"], F.size(t["words"]))
+            both = F.zip_with(F.slice(t["gaps"], x["a"] + 1, n - x["a"]), F.slice(t["words"], x["a"] + 1, n - x["a"]), lambda gap, word: F.concat(gap, word))
+            return F.concat(both, F.slice(t["gaps"], n + 1, 1))
+        return F.array_join(F.flatten(F.transform(kept, part)), "")
+
+    # an array of one: the text is split once, not once for each span
+    once = F.array(F.struct(F.split(text, WORD_TEXT, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(WORD_TEXT), F.lit(0)).alias("words")))
+    return F.transform(once, joined)[0]
 
 
 def remove_hits(found: DataFrame, text: str = "text") -> DataFrame:
     """The result of :func:`find` with the hit words cut out of ``text`` (its own columns dropped)."""
-    @F.udf("string")
-    def cut(t, spans):  # runs only on texts that were hit
-        return None if t is None else remove_words(t, [(s["start"], s["end"]) for s in spans])
-
+    # expressions: a Python function behind the search would hold a second worker for each task
     hit = F.size("spans") > 0
-    return found.withColumn(text, F.when(hit, cut(F.when(hit, F.col(text)), F.col("spans"))).otherwise(F.col(text))).drop("n_words", "spans", "items")
+    return found.withColumn(text, F.when(hit, without_words(F.col(text), F.col("spans"))).otherwise(F.col(text))).drop("n_words", "spans", "items")
