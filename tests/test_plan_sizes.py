@@ -6,6 +6,7 @@ import pytest
 
 from aurum.operators import fuzzy, graph, partners
 from aurum.plans import pairwise, reports
+from aurum.plans.catalog import load_all
 from aurum.session import written
 from tests.conftest import SF_SMALL
 from tests.test_join_sizes import ENRICHED, _row
@@ -40,3 +41,19 @@ def test_no_plan_of_the_match_graph_holds_many_exchanges(spark, monkeypatch, mod
 
 def test_gates_derive_golden_addresses_and_history_once(spark):
     assert _exchanges(reports.q_checks(spark, SF_SMALL)) <= 55
+
+
+#: queries over the clusters of the golden chain that failed by driver memory
+GOLDEN_CHAIN = ["address_history", "address_winners", "cluster_numbering", "cluster_one_hop", "cluster_stats", "cross_org", "customer_360", "customer_360_flat",
+                "search_golden", "search_with_address", "source_count_share", "steward_list_by_org", "golden_diff", "golden_v2", "history_point_in_time",
+                "steward_queue_by_org", "steward_queue_v2"]
+
+
+@pytest.mark.parametrize("name", GOLDEN_CHAIN)
+def test_queries_of_the_golden_chain_are_small_plans_without_planned_broadcasts(spark, name):
+    df = load_all()[name].build(spark, SF_SMALL)
+    assert _exchanges(df) <= 12
+    planned = df._jdf.queryExecution().sparkPlan().toString()
+    # the numbering joins its offsets, a row for each partition, by an explicit broadcast
+    assert planned.count("BroadcastHashJoin") == (1 if name == "cluster_numbering" else 0)
+    assert "BroadcastNestedLoopJoin" not in planned
